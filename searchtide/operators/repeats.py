@@ -11,6 +11,8 @@ from searchtide.session import ready_checkpoints
 SLICE_ROWS = 5_000_000
 #: most sessions that are cut; when more qualify, only the largest are
 MOST_SLICED = 20_000
+#: most slices; beyond that they grow
+MOST_SLICES = 50_000
 
 _ORDER = ("event_ts", "eventid")
 
@@ -64,7 +66,7 @@ def _mark(rows: DataFrame, probe: DataFrame | None, slice_rows: int) -> DataFram
     tagged = rows.withColumn("session", _session())
     calm = tagged.join(wanted, "session", "left_anti").drop("session")
     busy = tagged.join(wanted, "session", "left_semi")
-    slices = max(2, -(-sum(n for _, n in large) // slice_rows))
+    slices = min(MOST_SLICES, max(2, -(-sum(n for _, n in large) // slice_rows)))
     return _compare(calm, _latest_before(Window.partitionBy("session_key").orderBy(*_ORDER))).unionByName(
         _mark_in_slices(busy, slices)
     )

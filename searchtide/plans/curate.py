@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from searchtide import vocab
@@ -29,9 +29,15 @@ class CurationRules:
     slice_rows: int = SLICE_ROWS
 
 
-def usable_events(raw: DataFrame) -> DataFrame:
-    """Add ``event_ts`` and drop events whose time is unreadable or from a corrupt year."""
+def usable_events(raw: DataFrame, seen: Observation | None = None) -> DataFrame:
+    """Add ``event_ts`` and drop events whose time is unreadable or from a corrupt year.
+
+    ``seen`` counts the events before they are dropped.
+    """
     timed = raw.withColumn("event_ts", moments.event_moment(F.col("datetime")))
+    if seen is not None:
+        # also keeps the condition above the parsed column, so each time is parsed once
+        timed = timed.observe(seen, F.count(F.lit(1)).alias("rows"))
     return timed.where(F.year("event_ts") >= vocab.FIRST_GOOD_YEAR)
 
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from searchtide.operators.lineage import lineage_counts, with_alarm
 from searchtide.plans.curate import CurationRules, prepared_events, usable_events
-from searchtide.session import require_settings
+from searchtide.session import require_settings, shuffles_sized_for
+from searchtide.sources import folders
 from searchtide.sources.curated import read_curated, remove_stale_partitions, write_curated
 from searchtide.sources.raw import parse_since, read_raw
 
@@ -31,7 +32,8 @@ def run_curation(
     genre folders that earlier runs left on the rewritten days; it needs a ``run_id``.
     """
     require_settings(spark)
-    everything = read_raw(spark, source, parse_since(since))
+    first_day = parse_since(since)
+    everything = read_raw(spark, source, first_day)
     raw = everything
     if quarantine is not None:
         # a condition on the file path: only the stray files are read
@@ -40,18 +42,21 @@ def run_curation(
 
     seen, usable, kept = Observation("raw"), Observation("usable"), Observation("kept")
     count = F.count(F.lit(1)).alias("rows")
-    events = usable_events(raw.observe(seen, count)).observe(usable, count)
+    events = usable_events(raw, seen).observe(usable, count)
     # the job that looks for large sessions gets a plan of its own, so it does not set the counters
-    prepared = prepared_events(events, lut, rules, probe=usable_events(raw)).observe(kept, count)
-    write_curated(prepared, target, run_id, rules, one_file_per_group)
+    with shuffles_sized_for(spark, folders.total_bytes(spark, source)):
+        prepared = prepared_events(events, lut, rules, probe=usable_events(raw)).observe(kept, count)
+        write_curated(prepared, target, run_id, rules, one_file_per_group)
+    days = None if first_day is None else F.col("dt") >= first_day.isoformat()
     if clear_days:
-        remove_stale_partitions(spark, target, run_id)
+        remove_stale_partitions(spark, target, run_id, days)
     counters = [o.get["rows"] for o in (seen, usable, kept)]
-    return _lineage(spark, everything, raw, counters, target, run_id)
+    written = read_curated(spark, target)
+    return _lineage(everything, raw, counters, written if days is None else written.where(days), run_id)
 
 
 def _lineage(
-    spark: SparkSession, everything: DataFrame, raw: DataFrame, counters: list[int], target: str, run_id: str
+    everything: DataFrame, raw: DataFrame, counters: list[int], written: DataFrame, run_id: str
 ) -> DataFrame:
     """Counts of the run.
 
@@ -63,13 +68,13 @@ def _lineage(
     exact = raw.count()
     output = post_dedup
     if run_id != "unknown":
-        output = read_curated(spark, target).where(F.col("_pipeline_run_id") == run_id).count()
+        output = written.where(F.col("_pipeline_run_id") == run_id).count()
     if counters[0] != exact or output != post_dedup:
         again = lineage_counts(raw).first()
         post_year, post_dedup = again["post_year_rows"], again["post_dedup_rows"]
         output = output if run_id != "unknown" else post_dedup
     total = exact if everything is raw else everything.count()
-    counts = spark.createDataFrame(
+    counts = raw.sparkSession.createDataFrame(
         [(run_id, total, post_year, post_dedup, output)],
         "run_id string, raw_rows bigint, post_year_rows bigint, post_dedup_rows bigint, output_rows bigint")
     return with_alarm(counts)

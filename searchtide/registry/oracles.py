@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from searchtide import vocab
 from searchtide.registry.settings import (
-    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, NEAR_WORD, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
+    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
     VERDICT_WORDS,
 )
 from searchtide.sources.testtables import WORD_PATTERNS
@@ -246,8 +246,8 @@ def oracle_sql() -> dict[str, str]:
             f"{CURATED}, {_LUT}", "SELECT event_id, CASE WHEN derived_genre = 'EMPTY_QUERY' THEN derived_genre "
             "ELSE coalesce(genre, derived_genre) END AS derived_genre FROM curated LEFT JOIN lut ON keyword_norm = keyword"),
         "genre_regex": "SELECT doc_id, " + _genre_case("lower(trim(text))", vocab.GENRE_PATTERNS) + " AS genre FROM documents",
-        "genre_fuzzy": _from(CURATED + f""", near_lut AS (
-  SELECT DISTINCT p_name[2:] AS keyword FROM part WHERE p_name LIKE '% {NEAR_WORD}'
+        "genre_fuzzy": _from(CURATED + """, near_lut AS (
+  SELECT DISTINCT p_name[2:] AS keyword FROM part
 ), words AS (SELECT DISTINCT keyword_norm FROM curated WHERE length(keyword_norm) >= 4)""",
             "SELECT keyword_norm, keyword AS near_keyword, 'PHIM_TRUNG' AS near_genre FROM words, near_lut "
             "WHERE levenshtein(keyword_norm, keyword) <= 1 QUALIFY row_number() OVER (PARTITION BY keyword_norm "

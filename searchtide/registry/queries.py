@@ -19,7 +19,7 @@ from searchtide.plans import report_pack, reports, trending
 from searchtide.plans.curate import curated, prepared_events, usable_events
 from searchtide.plans.lut_refresh import OfflineClassifier, refresh_lut
 from searchtide.registry.settings import (
-    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, NEAR_WORD, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
+    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
     VERDICT_WORDS,
 )
 from searchtide.session import require_settings, shared_folder
@@ -215,8 +215,8 @@ def genre_regex(spark, folder):
 @_query
 def genre_fuzzy(spark, folder):
     # part names that lost their first letter
-    near = _part_names(spark, folder).where(F.substring_index("keyword", " ", -1) == NEAR_WORD)
-    near = near.select(F.expr("substring(keyword, 2)").alias("keyword"), F.lit("PHIM_TRUNG").alias("genre"))
+    near = _part_names(spark, folder).select(
+        F.expr("substring(keyword, 2)").alias("keyword"), F.lit("PHIM_TRUNG").alias("genre"))
     return classify.near_genre(_curated(spark, folder), near)
 
 

@@ -13,9 +13,8 @@ TREND = TrendRules(baseline_age=21, min_growth=1.05)
 FILTER_TEXT, FILTER_GENRE = "BLUE", "THE_THAO"
 
 #: keyword table made of part names: last word -> genre
-LUT_WORDS = (("gear", "TRUYEN_HINH"), ("rod", "PHIM_VIET"), ("plate", "PHIM_AU_MY"))
+LUT_WORDS = (("rod", "PHIM_VIET"), ("plate", "PHIM_AU_MY"))
 RESOLVED_WORD = "anvil"
-NEAR_WORD = "gizmo"
 #: answers of a made-up classifier: last word -> what it writes
 VERDICT_WORDS = (("gizmo", "KDRAMA"), ("ring", "NHAC"), ("widget", "CARTOON"), ("bolt", "THE_THAO"))
 

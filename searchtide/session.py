@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -18,6 +20,7 @@ TUNING = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
 }
 
 
@@ -58,3 +61,20 @@ def ready_checkpoints(spark: SparkSession) -> None:
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+
+
+#: shuffle data a task should get; adaptive execution merges what turns out smaller
+SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
+    """Enough shuffle partitions for the given input while the block runs; never fewer than configured."""
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    wanted = max(int(before), -(-input_bytes // SHUFFLE_TASK_BYTES))
+    spark.conf.set(setting, str(wanted))
+    try:
+        yield wanted
+    finally:
+        spark.conf.set(setting, before)

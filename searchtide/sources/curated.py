@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchtide.plans.curate import CurationRules, finished
@@ -44,17 +44,19 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CURATED).parquet(path).select(*CURATED.names)
 
 
-def remove_stale_partitions(spark: SparkSession, path: str, run_id: str) -> list[str]:
+def remove_stale_partitions(spark: SparkSession, path: str, run_id: str, days: Column | None = None) -> list[str]:
     """Delete (day, genre) folders left by earlier runs on the days that ``run_id`` rewrote.
 
     Replacing partitions one by one leaves a folder behind when a day no longer has rows of a
     genre, for example after the keyword table moved its only keyword. Such a folder holds no
-    row of this run, although its day does.
+    row of this run, although its day does. ``days`` is a condition on ``dt`` for the days the run
+    can have written, so that the others are not looked at.
     """
     if run_id == "unknown":
         raise ValueError("stale partitions can be told apart only by a run id of their own")
     mine = F.count_if(F.col("_pipeline_run_id") == run_id) > 0
-    groups = read_curated(spark, path).groupBy(*PARTITIONS).agg(mine.alias("mine"))
+    rows = read_curated(spark, path)
+    groups = (rows if days is None else rows.where(days)).groupBy(*PARTITIONS).agg(mine.alias("mine"))
     # one row per folder: days times genres
     found = groups.collect()
     days = {g["dt"] for g in found if g["mine"]}

@@ -33,3 +33,9 @@ def rename(spark: SparkSession, old: str, new: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     files, location = _open(spark, path)
     files.delete(location, True)
+
+
+def total_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    files, location = _open(spark, path)
+    return files.getContentSummary(location).getLength() if files.exists(location) else 0

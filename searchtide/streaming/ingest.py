@@ -67,7 +67,7 @@ def ingest(
         rewritten = F.col("dt").isin([f"{d[:4]}-{d[4:6]}-{d[6:]}" for d in _around(touched, reach_days)])
         batch_run = f"{run_id}-{number}"
         write_curated(prepared.where(rewritten), target, batch_run, rules)
-        remove_stale_partitions(spark, target, batch_run)
+        remove_stale_partitions(spark, target, batch_run, rewritten)
 
     query = (
         stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
