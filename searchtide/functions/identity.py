@@ -6,11 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from searchtide.functions.moments import session_slot
+from searchtide.functions.text import dictionary
 
 
 def session_action(category: Column) -> Column:
-    named = F.create_map(F.lit("quit"), F.lit("ABANDON"), F.lit("enter"), F.lit("SUBMIT"))
-    return F.coalesce(named[category], F.upper(category))
+    return F.coalesce(dictionary({"quit": "ABANDON", "enter": "SUBMIT"})[category], F.upper(category))
 
 
 def is_abandoned(category: Column) -> Column:

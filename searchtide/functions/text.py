@@ -27,10 +27,15 @@ def normalize_keyword(text: Column) -> Column:
     return F.lower(F.trim(text))
 
 
+def dictionary(entries: Mapping[str, str]) -> Column:
+    """A constant map."""
+    texts = (part.replace("\\", "\\\\").replace("'", "\\'") for pair in entries.items() for part in pair)
+    return F.expr("map(" + ", ".join(f"'{text}'" for text in texts) + ")")
+
+
 def grouped(text: Column, groups: Mapping[str, str], default: str) -> Column:
     """Value of ``groups`` for the lower-cased text; ``default`` for null and for other texts."""
-    table = F.create_map(*[F.lit(part) for pair in groups.items() for part in pair])
-    return F.coalesce(table[F.lower(text)], F.lit(default))
+    return F.coalesce(dictionary(groups)[F.lower(text)], F.lit(default))
 
 
 def whole_words(pattern: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchtide.functions.text import strip
+from searchtide.functions.text import dictionary, strip
 from searchtide.operators.lookup import BROADCAST_BYTES, text_bytes
 from searchtide.vocab import GENRE_ALIASES, META_QUERIES, UNKNOWN, VERDICT_CODES
 
@@ -66,9 +66,7 @@ def sanitized(batched: DataFrame) -> DataFrame:
 def normalized_genre(answer: Column) -> Column:
     """A genre code for whatever the classifier wrote; ``UNKNOWN`` if it is no genre."""
     code = strip(F.upper(answer))
-    # aliases are upper case, so look the code up as it is
-    table = F.create_map(*[F.lit(part) for pair in GENRE_ALIASES.items() for part in pair])
-    named = F.coalesce(table[code], code)
+    named = F.coalesce(dictionary(GENRE_ALIASES)[code], code)
     return F.when(named.isin(*VERDICT_CODES), named).otherwise(UNKNOWN)
 
 

@@ -17,46 +17,39 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _every(n: int, rest: int = 0):
-    return F.col("event_id") % n == rest
-
-
-def _pick(n: int, *values: str | None):
-    """Value number ``event_id % n``."""
-    return F.element_at(F.array(*map(F.lit, values)), (F.col("event_id") % n + 1).cast("int"))
+#: raw columns from an event ``event_id, ts, user_id, event_type`` and the part name ``p_name`` its key points to
+_RAW_COLUMNS = {
+    "eventid": "string(event_id)",
+    "datetime": """case when event_id % 499 = 0 then '0004-01-01 00:00:00.000' when event_id % 503 = 0 then 'bad'
+        else date_format(ts, 'yyyy-MM-dd HH:mm:ss.SSS') end""",
+    "keyword": """case when event_id % 11 = 0 then null when event_id % 37 = 0 then ''
+        when event_id % 13 = 0 then upper(p_name) || ' ' else p_name end""",
+    "category": """case event_type when 'error' then 'quit' when 'purchase' then 'enter' when 'signup' then null
+        else event_type end""",
+    "action": "'search'",
+    "platform": "element_at(array('android', 'ios', 'smarttv', 'web', 'Samsung', null), int(event_id % 6 + 1))",
+    "networktype": "element_at(array('WiFi', '4g', '5g', 'ethernet', null), int(event_id % 5 + 1))",
+    "userplansmap": """case event_id % 4 when 1 then cast(array() as array<string>)
+        when 2 then array('VIP:30', 'SPORT: x') when 3 then array('BASIC', ' K+ :7') end""",
+    "proxy_isp": "case when event_id % 97 != 0 then 'isp' || string(event_id % 3) end",
+    "user_id": "case when event_id % 5 != 0 then string(user_id % 4) end",
+    "dt": "date_format(day, 'yyyyMMdd')",
+}
 
 
 def as_raw(events: DataFrame, parts: DataFrame) -> DataFrame:
-    """One raw search event per row of ``events``; works on a stream as well."""
-    stamped = events.withColumn("ts", F.col("ts").cast("timestamp")).withColumn(
-        "p_partkey", F.regexp_extract("props", r'"k":\s*(\d+)', 1).cast("bigint") % 20)
+    """One raw search event per row of ``events``, and a copy of every fiftieth in the next day's folder.
+
+    Works on a stream as well.
+    """
+    stamped = events.selectExpr(
+        "event_id", "timestamp(ts) as ts", "user_id", "event_type",
+        r"""bigint(regexp_extract(props, '"k":\\s*(\\d+)', 1)) % 20 as p_partkey""")
     # the key is a remainder of 20, so no more than 20 part keys can be asked for
-    names = F.broadcast(parts.where(F.col("p_partkey").between(0, 19)).select("p_partkey", "p_name"))
-    words = stamped.join(names, "p_partkey")
-    columns = {
-        "eventid": F.col("event_id").cast("string"),
-        "datetime": F.when(_every(499), "0004-01-01 00:00:00.000").when(_every(503), "bad")
-        .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")),
-        "keyword": F.when(_every(11), F.lit(None)).when(_every(37), "")
-        .when(_every(13), F.concat(F.upper("p_name"), F.lit(" "))).otherwise(F.col("p_name")),
-        "category": F.when(F.col("event_type") == "error", "quit").when(F.col("event_type") == "purchase", "enter")
-        .when(F.col("event_type") != "signup", F.col("event_type")),
-        "action": F.lit("search"),
-        "platform": _pick(6, "android", "ios", "smarttv", "web", "Samsung", None),
-        "networktype": _pick(5, "WiFi", "4g", "5g", "ethernet", None),
-        "userplansmap": F.when(_every(4, 1), F.array().cast("array<string>"))
-        .when(_every(4, 2), F.array(F.lit("VIP:30"), F.lit("SPORT: x")))
-        .when(_every(4, 3), F.array(F.lit("BASIC"), F.lit(" K+ :7"))),
-        "proxy_isp": F.when(~_every(97), F.concat(F.lit("isp"), (F.col("event_id") % 3).cast("string"))),
-        "user_id": F.when(~_every(5), (F.col("user_id") % 4).cast("string")),
-        "dt": F.date_format("ts", "yyyyMMdd"),
-    }
-    # every fiftieth event arrives a second time, in the next day's folder
-    days = F.when(_every(50), F.array(F.col("ts"), F.col("ts") + F.expr("INTERVAL 1 DAY"))).otherwise(F.array("ts"))
-    return (
-        words.withColumn("day", F.explode(days))
-        .select(*[columns[c].alias(c) for c in RAW.names if c != "dt"], F.date_format("day", "yyyyMMdd").alias("dt"))
-    )
+    names = F.broadcast(parts.where("p_partkey between 0 and 19").select("p_partkey", "p_name"))
+    arrivals = stamped.join(names, "p_partkey").selectExpr(
+        "*", "explode(if(event_id % 50 = 0, array(ts, ts + interval 1 day), array(ts))) as day")
+    return arrivals.selectExpr(*[f"{_RAW_COLUMNS[name]} as {name}" for name in RAW.names])
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
