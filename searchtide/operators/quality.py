@@ -65,28 +65,42 @@ def _share(part: Column, whole: Column) -> Column:
     return F.coalesce(half_up(part, whole, 1, 4), F.lit(0.0))
 
 
-def _measured(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """One row with a column ``m<i>`` per rule: the number the rule is about."""
-    direct = [(i, r) for i, r in enumerate(rules) if r.kind != "unique"]
-    columns = [F.count(F.lit(1)).alias("rows")]
-    for i, rule in direct:
-        value = F.col(rule.column)
-        if rule.kind == "listed":
-            columns.append(_share(F.count_if(value.cast("string").isin(*rule.values)), F.count(F.lit(1))).alias(f"m{i}"))
-        else:
-            columns.append(F.max(value).cast("double").alias(f"m{i}"))
-    parts = [rows.agg(*columns)]
-    once_by_column = {}
-    for i, rule in enumerate(rules):
-        if rule.kind == "unique":
-            once_by_column.setdefault(rule.column, []).append(f"m{i}")
-    for column, names in once_by_column.items():
-        per_value = rows.groupBy(column).count()
+def _measures(rows: DataFrame, rules: Sequence[Rule]) -> list[tuple[DataFrame, dict[int, Rule]]]:
+    """One-row tables with a column ``m<i>`` per rule, and the rules each table measures."""
+    parts = []
+    direct = {i: r for i, r in enumerate(rules) if r.kind != "unique"}
+    if direct:
+        whole = F.count(F.lit(1))
+        parts.append((rows.agg(*[
+            (_share(F.count_if(F.col(r.column).cast("string").isin(*r.values)), whole)
+             if r.kind == "listed" else F.max(r.column).cast("double")).alias(f"m{i}")
+            for i, r in direct.items()
+        ]), direct))
+    for column in dict.fromkeys(r.column for r in rules if r.kind == "unique"):
+        mine = {i: r for i, r in enumerate(rules) if r.kind == "unique" and r.column == column}
         once = F.count_if((F.col("count") == 1) & F.col(column).isNotNull())
         share = _share(once, F.coalesce(F.sum("count"), F.lit(0)))
-        parts.append(per_value.agg(*[share.alias(name) for name in names]))
-    # each part is a single row
-    return reduce(lambda left, right: left.join(right, F.lit(True)), parts)
+        parts.append((rows.groupBy(column).count().agg(*[share.alias(f"m{i}") for i in mine]), mine))
+    return parts
+
+
+def _verdict(i: int, rule: Rule) -> Column:
+    measure = F.col(f"m{i}")
+    if rule.kind == "listed":
+        passed, metric, said = measure >= rule.threshold, "ColumnValues.Compliance", "Values of {} in the list: "
+    elif rule.kind == "at_most":
+        # a column without values breaks no limit
+        passed, metric, said = F.coalesce(measure <= rule.limit, F.lit(True)), "Maximum", "Maximum of {}: "
+    else:
+        passed, metric, said = measure > rule.limit, "Uniqueness", "Uniqueness of {}: "
+    shown = F.coalesce(measure.cast("string"), F.lit("null"))
+    return F.struct(
+        F.lit(i).alias("position"),
+        F.lit(rule.text).alias("rule"),
+        F.when(passed, "Passed").otherwise("Failed").alias("outcome"),
+        F.when(~passed, F.concat(F.lit(said.format(rule.column)), shown)).alias("failure_reason"),
+        F.concat(F.lit(f'{{"Column.{rule.column}.{metric}":'), shown, F.lit("}")).alias("evaluated_metrics"),
+    )
 
 
 def evaluate(
@@ -101,34 +115,20 @@ def evaluate(
     run_date: date | None = None,
 ) -> DataFrame:
     """One result row per rule. All rules on values share one pass; each uniqueness column adds one grouping."""
-    verdicts = []
-    for i, rule in enumerate(rules):
-        measure = F.col(f"m{i}")
-        if rule.kind == "listed":
-            passed, metric = measure >= rule.threshold, f"Column.{rule.column}.ColumnValues.Compliance"
-            reason = F.concat(F.lit(f"Values of {rule.column} in the list: "), measure.cast("string"))
-        elif rule.kind == "at_most":
-            # a column without values breaks no limit
-            passed, metric = F.coalesce(measure <= rule.limit, F.lit(True)), f"Column.{rule.column}.Maximum"
-            reason = F.concat(F.lit(f"Maximum of {rule.column}: "), measure.cast("string"))
-        else:
-            passed, metric = measure > rule.limit, f"Column.{rule.column}.Uniqueness"
-            reason = F.concat(F.lit(f"Uniqueness of {rule.column}: "), measure.cast("string"))
-        verdicts.append(F.struct(
-            F.lit(rule.text).alias("rule"),
-            F.when(passed, "Passed").otherwise("Failed").alias("outcome"),
-            F.when(~passed, reason).alias("failure_reason"),
-            F.concat(F.lit(f'{{"{metric}":'), F.coalesce(measure.cast("string"), F.lit("null")), F.lit("}")).alias(
-                "evaluated_metrics"),
-        ))
+    verdicts = reduce(DataFrame.unionByName, [
+        measured.select(F.inline(F.array(*[_verdict(i, rule) for i, rule in mine.items()])))
+        for measured, mine in _measures(rows, rules)
+    ])
     constants = {
         "catalog_id": catalog, "database_name": database, "table_name": table, "dq_run_id": run_id,
         "evaluation_started_on": started, "evaluation_completed_on": completed,
     }
-    results = _measured(rows, rules).select(F.explode(F.array(*verdicts)).alias("v")).select(
-        *[F.lit(value).alias(name) for name, value in constants.items()], "v.*",
-        F.lit(run_date).cast("date").alias("run_date"))
-    return results.select(*DQ_RESULTS.names)
+    return (
+        verdicts.orderBy("position")
+        .withColumns({name: F.lit(value) for name, value in constants.items()})
+        .withColumn("run_date", F.lit(run_date).cast("date"))
+        .select(*DQ_RESULTS.names)
+    )
 
 
 def outcome_counts(results: DataFrame) -> DataFrame:
@@ -206,7 +206,7 @@ def recommend(
         if p["largest"] is not None:
             rules.append(at_most(column, p["largest"]))
     for key in keys:
-        share = _measured(rows, [unique(key, 0.0)]).first()["m0"]
+        share = _measures(rows, [unique(key, 0.0)])[0][0].first()["m0"]
         rules.append(unique(key, max(0.0, int(share * 100 - 1) / 100)))
     return rules
 

@@ -68,19 +68,33 @@ def dt_window(rows: DataFrame) -> DataFrame:
     )
 
 
+def calendar(rows: DataFrame) -> DataFrame:
+    """``(dt, searches)`` for every day from the first to the last; null searches on days without rows.
+
+    Days that are no dates have no neighbours and appear as they are.
+    """
+    days = day_counts(rows)
+    span = F.sequence(F.min("dt").try_cast("date"), F.max("dt").try_cast("date")).cast("array<string>")
+    every = days.agg(span.alias("span")).select(F.explode("span").alias("dt"))
+    return every.join(days, "dt", "full")
+
+
 def missing_days(rows: DataFrame) -> DataFrame:
     """Days between the first and the last one that have no rows."""
-    days = day_counts(rows).select("dt")
-    first_last = days.agg(F.min("dt").alias("a"), F.max("dt").alias("b"))
-    span = F.sequence(F.col("a").try_cast("date"), F.col("b").try_cast("date"))
-    every = first_last.select(F.explode(span.cast("array<string>")).alias("dt"))
-    return every.join(days, "dt", "left_anti").orderBy("dt")
+    return calendar(rows).where(F.col("searches").isNull()).select("dt").orderBy("dt")
 
 
 def window_caption(rows: DataFrame) -> DataFrame:
     """One row: the coverage sentence shown with each report."""
-    gaps = missing_days(rows).agg(
-        F.count("dt").alias("missing"), F.array_sort(F.collect_list("dt")).alias("missing_days"))
+    present, absent = F.col("searches").isNotNull(), F.col("searches").isNull()
+    window = calendar(rows).agg(
+        F.min(F.when(present, F.col("dt"))).alias("min_dt"),
+        F.max(F.when(present, F.col("dt"))).alias("max_dt"),
+        F.count_if(present).alias("n_days"),
+        F.coalesce(F.sum("searches"), F.lit(0)).alias("total_rows"),
+        F.count_if(absent).alias("missing"),
+        F.array_sort(F.collect_list(F.when(absent, F.col("dt")))).alias("missing_days"),
+    )
     more = F.when(F.col("missing") > 3, F.format_string(" (+%d more)", F.col("missing") - 3)).otherwise("")
     named = F.concat(F.array_join(F.slice("missing_days", 1, 3), "; "), more)
     parts = F.concat_ws(
@@ -90,10 +104,8 @@ def window_caption(rows: DataFrame) -> DataFrame:
         F.when(F.col("missing") > 0, F.concat(F.format_string("%d missing (", "missing"), named, F.lit(")"))),
         F.concat(F.format_number("total_rows", 0), F.lit(" rows")),
     )
-    # two one-row tables
     label = F.when(F.col("n_days") == 0, "no data").otherwise(parts)
-    return dt_window(rows).join(gaps, F.lit(True)).select(
-        label.alias("label"), "min_dt", "max_dt", "n_days", "total_rows", "missing")
+    return window.select(label.alias("label"), "min_dt", "max_dt", "n_days", "total_rows", "missing")
 
 
 def latest_day(rows: DataFrame) -> DataFrame:
@@ -245,9 +257,9 @@ def hour_matrix(rows: DataFrame) -> DataFrame:
 def classifier_coverage(rows: DataFrame) -> DataFrame:
     """Rows per genre and their share of all rows."""
     per_genre = tally(rows, "derived_genre", measures=("searches",))
-    whole = per_genre.agg(F.sum("searches").alias("whole"))
-    # the other side is one row per genre, this side is a single row
-    return per_genre.join(F.broadcast(whole), F.lit(True)).select(
+    # one group, but it holds one row per genre
+    whole = F.sum("searches").over(Window.partitionBy(F.lit(0)))
+    return per_genre.withColumn("whole", whole).select(
         "derived_genre", F.col("searches").alias("rows"), _share("searches", "whole").alias("pct"),
     ).orderBy(F.desc("rows"), "derived_genre")
 

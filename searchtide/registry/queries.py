@@ -59,10 +59,10 @@ def _curated(spark: SparkSession, folder: str, repeats: bool = False) -> DataFra
     return curated(raw_events(spark, folder), rules=TEST_RULES, run_id=RUN_ID, repeats=repeats)
 
 
-def _stored(spark: SparkSession, folder: str, name: str) -> DataFrame:
+def _stored(spark: SparkSession, folder: str, name: str, repeats: bool = True) -> DataFrame:
     """Curated rows from a table on disk, for jobs that read the curated table several times."""
     path = _scratch(spark, name)
-    prepared = prepared_events(usable_events(raw_events(spark, folder)), rules=TEST_RULES)
+    prepared = prepared_events(usable_events(raw_events(spark, folder)), rules=TEST_RULES, repeats=repeats)
     write_curated(prepared, path, RUN_ID, TEST_RULES)
     return read_curated(spark, path)
 
@@ -132,7 +132,7 @@ def sink_curated_roundtrip(spark, folder):
 
 @_query
 def curated_partition_lookup(spark, folder):
-    rows = partition(_stored(spark, folder, "lookup"), "2024-01-10", "PHIM_HAN")
+    rows = partition(_stored(spark, folder, "lookup", repeats=False), "2024-01-10", "PHIM_HAN")
     return rows.groupBy("derived_genre").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -282,13 +282,13 @@ def _windows(rows: DataFrame) -> trending.TrendWindows:
 
 @_query
 def report_trending(spark, folder):
-    report, _ = trending.trending(_curated(spark, folder), rules=TREND)
+    report, _ = trending.trending(_stored(spark, folder, "trending", repeats=False), rules=TREND)
     return report
 
 
 @_query
 def report_trending_fallback(spark, folder):
-    rows = _curated(spark, folder)
+    rows = _stored(spark, folder, "volume", repeats=False)
     return trending.volume(rows, _windows(rows), TREND)
 
 
@@ -426,7 +426,7 @@ def lut_resolved(spark, folder):
 def lut_refresh(spark, folder):
     store = _scratch(spark, "refresh-lut")
     lut_store.save(spark, store, _lut(spark, folder), _resolved(spark, folder))
-    rows = _stored(spark, folder, "lut-input")
+    rows = _stored(spark, folder, "lut-input", repeats=False)
     return refresh_lut(spark, rows, store, OfflineClassifier((("PHIM_HAN", "gizmo"),)))
 
 
@@ -434,7 +434,8 @@ def lut_refresh(spark, folder):
 
 
 def _results(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.evaluate(_curated(spark, folder), QUALITY_RULES, run_id=RUN_ID, run_date=date(2024, 1, 31))
+    # evaluation reads the table once for the values and once per uniqueness column
+    return quality.evaluate(_stored(spark, folder, "quality-input", repeats=False), QUALITY_RULES, run_id=RUN_ID, run_date=date(2024, 1, 31))
 
 
 _VERDICT = ("rule", "outcome", "failure_reason", "evaluated_metrics")
@@ -470,7 +471,7 @@ def dq_gate(spark, folder):
 @_query
 def dq_recommend(spark, folder):
     rules = quality.recommend(
-        _stored(spark, folder, "profile"),
+        _stored(spark, folder, "profile", repeats=False),
         ["derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned"],
         keys=["event_id"])
     return quality.rules_table(spark, rules)
@@ -485,7 +486,7 @@ _query(_lineage_query)
 
 
 def _contract_query(spark, folder):
-    rows = _stored(spark, folder, "contracts")
+    rows = _stored(spark, folder, "contracts", repeats=False)
     report, _ = trending.trending(rows, rules=TREND)
     results = quality.evaluate(rows, QUALITY_RULES, run_id=RUN_ID)
     return contracts.contract_checks(

@@ -28,7 +28,11 @@ def write_curated(
     ``one_file_per_group`` forbids that. Hashes and arrays are computed after the shuffle.
     """
     keys = [F.col(k) for k in PARTITIONS]
-    gathered = prepared.repartition(*keys) if one_file_per_group else prepared.hint("rebalance", *keys)
+    # the writer wants rows sorted by partition; sorted here, while they are narrow, they need no second
+    # sort, provided the partition columns cannot be null
+    named = prepared.withColumn("dt", F.coalesce("dt", F.lit("")))
+    gathered = named.repartition(*keys) if one_file_per_group else named.hint("rebalance", *keys)
+    gathered = gathered.sortWithinPartitions(*PARTITIONS)
     (
         finished(gathered, run_id, rules)
         .write.mode("overwrite")
