@@ -175,14 +175,21 @@ _VERDICT = "CASE " + " ".join(f"WHEN p_name LIKE '% {w}' THEN '{g}'" for w, g in
 #: brand number decides the form of the reply: broken, inverted, or straight
 _REPLIES = f"""named AS (
   SELECT DISTINCT CAST(p_brand[7:] AS INTEGER) AS batch_id, p_name, {_VERDICT} AS code FROM part
+), last_named AS (
+  SELECT batch_id, code, max(p_name) AS last FROM named WHERE batch_id % 7 <> 0 AND batch_id % 5 = 0 GROUP BY ALL
+), judged AS (
+  SELECT *, avg(CASE WHEN code IN ({_list(vocab.VERDICT_CODES)}) THEN 1.0 ELSE 0.0 END)
+    OVER (PARTITION BY batch_id) > 0.5 AS inverted FROM last_named
 ), pairs AS (
   SELECT batch_id, p_name AS name, code AS answer FROM named WHERE batch_id % 7 <> 0 AND batch_id % 5 <> 0
   UNION ALL
-  SELECT batch_id, max(p_name), code FROM named WHERE batch_id % 7 <> 0 AND batch_id % 5 = 0 GROUP BY batch_id, code
+  SELECT batch_id, CASE WHEN inverted THEN last ELSE code END, CASE WHEN inverted THEN code ELSE last END FROM judged
 )"""
 _ALIASED = "CASE answer " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in vocab.GENRE_ALIASES.items()) + " ELSE answer END"
 _APPLIED = f"""{_REPLIES}, applied AS (
-  SELECT batch_id, name AS keyword, {_ALIASED} AS genre FROM pairs WHERE answer <> 'UNKNOWN'
+  SELECT batch_id, name AS keyword, {_ALIASED} AS genre FROM pairs
+  WHERE {_ALIASED} IN ({_list(vocab.VERDICT_CODES)}) AND {_ALIASED} <> 'UNKNOWN'
+    AND EXISTS (SELECT 1 FROM named n WHERE n.batch_id = pairs.batch_id AND n.p_name = pairs.name)
 )"""
 
 
