@@ -6,10 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from searchtide.functions.text import SPACE
-from searchtide.vocab import LOCAL_OFFSET_HOURS, SESSION_SECONDS
+from searchtide.vocab import ARABIC_DIGITS, EXTENDED_ARABIC_DIGITS, LOCAL_OFFSET_HOURS, SESSION_SECONDS
 
-ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
-EXTENDED_ARABIC_DIGITS = "۰۱۲۳۴۵۶۷۸۹"
 #: a date, an hour of one or two digits, minutes, seconds, an optional fraction, then anything;
 #: the second branch makes the pattern match every text, so a text without a time loses all its groups
 _MOMENT = rf"(?s)^(?:{SPACE}*(\d{{4}}-\d\d-\d\d){SPACE}+(\d\d?):(\d\d):(\d\d)(?:\.(\d+))?.*|.*)$"

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from searchtide.functions.text import dictionary, strip
 from searchtide.operators.lookup import BROADCAST_BYTES, text_bytes
-from searchtide.vocab import GENRE_ALIASES, META_QUERIES, UNKNOWN, VERDICT_CODES
+from searchtide.vocab import GENRE_ALIASES, META_QUERIES, REPLY_FENCE, UNKNOWN, UNSENDABLE, VERDICT_CODES
 
 BATCH_SIZE = 50
 MAX_NEW = 15_000
 
 _JSON = {"allowSingleQuotes": "false"}
-_FENCE = r"(?dm)^```(?:json)?\s*|\s*```$"
 
 
 def unknown_keywords(rows: DataFrame, max_new: int = MAX_NEW) -> DataFrame:
@@ -55,7 +54,7 @@ def batches(keywords: DataFrame, max_new: int = MAX_NEW, size: int = BATCH_SIZE)
 
 def sanitized(batched: DataFrame) -> DataFrame:
     """Add ``clean``, the text sent to the classifier; of keywords with equal text only the first is sent."""
-    clean = strip(F.regexp_replace("keyword", r"[\x00-\x1f\x7f\\]", " "))
+    clean = strip(F.regexp_replace("keyword", UNSENDABLE, " "))
     first = Window.partitionBy("batch_id", "clean").orderBy("rank")
     return (
         batched.withColumn("clean", clean).where(F.col("clean") != "")
@@ -76,7 +75,7 @@ def reply_entries(replies: DataFrame) -> DataFrame:
     A reply without exactly one JSON object fails. The object is read inside an array, because
     text behind a lone object would go unnoticed.
     """
-    text = F.regexp_replace(strip(F.col("reply")), _FENCE, "")
+    text = F.regexp_replace(strip(F.col("reply")), REPLY_FENCE, "")
     objects = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", _JSON)
     entries = F.when(F.size(objects) == 1, F.map_entries(F.get(objects, F.lit(0))))
     return replies.select("batch_id", entries.isNull().alias("failed"), entries.alias("entries"))

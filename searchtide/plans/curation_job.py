@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,13 +51,21 @@ def run_curation(
     days = None if first_day is None else F.col("dt") >= first_day.isoformat()
     if clear_days:
         remove_stale_partitions(spark, target, run_id, days)
-    counters = [o.get["rows"] for o in (seen, usable, kept)]
+    counters = [_counter(o) for o in (seen, usable, kept)]
     written = read_curated(spark, target)
     return _lineage(everything, raw, counters, written if days is None else written.where(days), run_id)
 
 
+def _counter(observation: Observation) -> int | None:
+    """The count, or none where the counter went away together with an empty part of the plan."""
+    try:
+        return observation.get.get("rows")
+    except Py4JJavaError:
+        return None
+
+
 def _lineage(
-    everything: DataFrame, raw: DataFrame, counters: list[int], written: DataFrame, run_id: str
+    everything: DataFrame, raw: DataFrame, counters: list[int | None], written: DataFrame, run_id: str
 ) -> DataFrame:
     """Counts of the run.
 

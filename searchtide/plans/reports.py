@@ -232,23 +232,17 @@ ALL_GENRES = "All genres"
 
 def hour_matrix(rows: DataFrame) -> DataFrame:
     """One row per genre with 24 hourly counts, largest genre first, then a row for all genres."""
-    hours = list(range(24))
+    columns = {
+        f"h{hour:02d}": F.coalesce(F.sum(F.when(F.col("hour_of_day_vn") == hour, F.col("searches"))), F.lit(0))
+        for hour in range(24)
+    }
     per_hour = tally(rows, "derived_genre", "hour_of_day_vn", measures=("searches",))
-    genres = (
-        per_hour.groupBy("derived_genre").pivot("hour_of_day_vn", hours).agg(F.sum("searches"))
-        .select("derived_genre", *[F.coalesce(F.col(str(h)), F.lit(0)).alias(f"h{h:02d}") for h in hours])
-    )
-    sizes = tally(per_hour, "derived_genre", measures=("searches",))
-    columns = [f"h{h:02d}" for h in hours]
-    ranked = genres.join(sizes, "derived_genre").withColumn("last", F.lit(0))
-    everything = genres.agg(*[F.sum(c).alias(c) for c in columns]).select(
-        F.lit(ALL_GENRES).alias("derived_genre"), *columns, F.lit(0).cast("bigint").alias("searches"),
-        F.lit(1).alias("last"))
-    return (
-        ranked.unionByName(everything)
-        .orderBy("last", F.desc("searches"), "derived_genre")
-        .select("derived_genre", *columns)
-    )
+    is_total = F.grouping("derived_genre")
+    genres = per_hour.rollup("derived_genre").agg(
+        *[count.alias(name) for name, count in columns.items()], F.sum("searches").alias("searches"),
+        is_total.alias("is_total"))
+    return genres.orderBy("is_total", F.desc("searches"), "derived_genre").select(
+        F.when(F.col("is_total") == 1, ALL_GENRES).otherwise(F.col("derived_genre")).alias("derived_genre"), *columns)
 
 
 # --- coverage of the classifier -------------------------------------------------------------

@@ -51,6 +51,14 @@ OTHER_NETWORK = "unknown"
 PREMIUM_PLANS = ("VIP", "HBO GO+", "K+", "MAX")
 META_QUERIES = ("tìm kiếm bằng giọng nói",)
 
+# --- fixed values: characters not sent to a classifier, and the fences around its replies ------
+UNSENDABLE = r"[\x00-\x1f\x7f\\]"
+REPLY_FENCE = r"(?dm)^```(?:json)?\s*|\s*```$"
+
+# --- fixed values: digits found in event times ------------------------------------------------
+ARABIC_DIGITS = "٠١٢٣٤٥٦٧٨٩"
+EXTENDED_ARABIC_DIGITS = "۰۱۲۳۴۵۶۷۸۹"
+
 # --- fixed values: numbers ------------------------------------------------------------------
 FIRST_GOOD_YEAR = 2015
 LOCAL_OFFSET_HOURS = 7

@@ -144,6 +144,26 @@ def test_lineage(spark, raw, tmp_path):
     assert tuple(lineage_counts(raw).first())[:4] == (1020, 1015, 996, 996)
 
 
+def test_lineage_without_usable_rows(spark, tmp_path):
+    root = str(tmp_path / "landing")
+    write_raw(raw_table(spark, raw_row("1", "?"), raw_row("2", "?")), root)
+    row = run_curation(spark, root, str(tmp_path / "a"), run_id="r").first()
+    assert tuple(row) == ("r", 2, 0, 0, 0, 0.0, True)
+    row = run_curation(spark, root, str(tmp_path / "b"), since="2030-01-01", clear_days=True, run_id="r").first()
+    assert tuple(row) == ("r", 0, 0, 0, 0, 0.0, True)
+
+
+def test_a_counter_that_counted_twice_is_corrected(spark, raw, tmp_path, monkeypatch):
+    from searchtide.plans import curation_job
+
+    root = str(tmp_path / "landing")
+    write_raw(raw, root)
+    honest = curation_job._counter
+    monkeypatch.setattr(curation_job, "_counter", lambda observation: honest(observation) + 7)
+    row = run_curation(spark, root, str(tmp_path / "out"), rules=TEST_RULES, run_id="r").first()
+    assert tuple(row)[1:5] == (1020, 1015, 996, 996)
+
+
 @pytest.mark.parametrize("output,total,alarm", [(69, 100, True), (70, 100, False), (0, 0, True)])
 def test_retention_alarm(spark, output, total, alarm):
     counts = spark.createDataFrame([(total, total, output, output)],
