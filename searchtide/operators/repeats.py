@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from searchtide.operators.lookup import BROADCAST_BYTES, text_bytes
 from searchtide.session import ready_checkpoints
 
 #: a session with more rows than this is cut into slices
@@ -39,6 +40,7 @@ def mark_repeats(
     probe: DataFrame | None = None,
     slice_rows: int = SLICE_ROWS,
     split_null_sessions: bool = False,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Add ``is_repeat_search`` to rows with ``session_key, event_ts, eventid, keyword_norm``.
 
@@ -47,18 +49,22 @@ def mark_repeats(
 
     ``probe`` is a cheaper table with at least the same rows, used to find large sessions.
     ``split_null_sessions`` treats every row without a session key as its own session.
+    ``total_rows``, where known, saves the search for large sessions in a table that cannot hold one.
     """
+    probe = rows if probe is None else probe
+    alone = F.col("session_key").isNull()
+    keyed = rows.where(~alone) if split_null_sessions else rows
+    if total_rows is not None and total_rows <= slice_rows:
+        large = []
+    else:
+        large = large_sessions(probe.where(~alone) if split_null_sessions else probe, slice_rows)
+    marked = _mark(keyed, large, slice_rows)
     if split_null_sessions:
-        alone = F.col("session_key").isNull()
-        return (
-            _mark(rows.where(~alone), probe if probe is None else probe.where(~alone), slice_rows)
-            .unionByName(rows.where(alone).withColumn("is_repeat_search", F.lit(None).cast("boolean")))
-        )
-    return _mark(rows, probe, slice_rows)
+        marked = marked.unionByName(rows.where(alone).withColumn("is_repeat_search", F.lit(None).cast("boolean")))
+    return marked
 
 
-def _mark(rows: DataFrame, probe: DataFrame | None, slice_rows: int) -> DataFrame:
-    large = large_sessions(rows if probe is None else probe, slice_rows)
+def _mark(rows: DataFrame, large: list[tuple[int, int]], slice_rows: int) -> DataFrame:
     if not large:
         return _compare(rows, _latest_before(Window.partitionBy("session_key").orderBy(*_ORDER)))
     # at most MOST_SLICED long values: safe to send everywhere
@@ -102,7 +108,9 @@ def _mark_in_slices(busy: DataFrame, slices: int) -> DataFrame:
         .select("session", "k", "slice", "carried")
     )
     inside = sliced.withColumn("inside", _latest_before(by_slice)).withColumn("k", key)
-    joined = inside.join(F.broadcast(carried), ["session", "k", "slice"], "left")
+    # few rows, but their keywords may be long; a join by shuffle is fine too, as no slice is large
+    side = F.broadcast(carried) if text_bytes(carried) <= BROADCAST_BYTES else carried
+    joined = inside.join(side, ["session", "k", "slice"], "left")
     return _compare(joined, F.coalesce("inside", "carried")).drop("session", "k", "slice", "inside", "carried")
 
 

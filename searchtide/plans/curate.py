@@ -58,18 +58,19 @@ def prepared_events(
     rules: CurationRules = CurationRules(),
     repeats: bool = True,
     probe: DataFrame | None = None,
+    total_rows: int | None = None,
 ) -> DataFrame:
     """Deduplicated events with genre, ISO day and repeat flag, still with the narrow raw columns.
 
     Everything wide (hashes, plan arrays) is left to :func:`finished`, after the last shuffle.
     ``repeats=False`` skips the repeat flag for readers that do not need it. ``probe`` stands in for
-    ``events`` in the job that looks for large sessions.
+    ``events`` in the job that looks for large sessions; ``total_rows``, where known, may make it needless.
     """
     narrow = with_session_key(with_keyword(keep_first_event(events)))
     if repeats:
         narrow = mark_repeats(
             narrow, probe=with_session_key(events if probe is None else probe), slice_rows=rules.slice_rows,
-            split_null_sessions=rules.split_null_sessions,
+            split_null_sessions=rules.split_null_sessions, total_rows=total_rows,
         )
     else:
         narrow = narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))

@@ -41,19 +41,23 @@ def run_curation(
         everything.where(F.col("dt") == "").write.mode("overwrite").parquet(quarantine)
         raw = everything.where(F.col("dt") != "")
 
+    # known from the file footers
+    raw_rows = raw.count()
     seen, usable, kept = Observation("raw"), Observation("usable"), Observation("kept")
     count = F.count(F.lit(1)).alias("rows")
     events = usable_events(raw, seen).observe(usable, count)
     # the job that looks for large sessions gets a plan of its own, so it does not set the counters
     with shuffles_sized_for(spark, folders.total_bytes(spark, source)):
-        prepared = prepared_events(events, lut, rules, probe=usable_events(raw)).observe(kept, count)
+        prepared = prepared_events(
+            events, lut, rules, probe=usable_events(raw), total_rows=raw_rows).observe(kept, count)
         write_curated(prepared, target, run_id, rules, one_file_per_group)
     days = None if first_day is None else F.col("dt") >= first_day.isoformat()
     if clear_days:
         remove_stale_partitions(spark, target, run_id, days)
     counters = [_counter(o) for o in (seen, usable, kept)]
     written = read_curated(spark, target)
-    return _lineage(everything, raw, counters, written if days is None else written.where(days), run_id)
+    total = raw_rows if everything is raw else everything.count()
+    return _lineage(raw, raw_rows, total, counters, written if days is None else written.where(days), run_id)
 
 
 def _counter(observation: Observation) -> int | None:
@@ -65,7 +69,7 @@ def _counter(observation: Observation) -> int | None:
 
 
 def _lineage(
-    everything: DataFrame, raw: DataFrame, counters: list[int | None], written: DataFrame, run_id: str
+    raw: DataFrame, raw_rows: int, total: int, counters: list[int | None], written: DataFrame, run_id: str
 ) -> DataFrame:
     """Counts of the run.
 
@@ -74,15 +78,13 @@ def _lineage(
     exactly from the files; if a counter differs from them, the counts are worked out again.
     """
     _, post_year, post_dedup = counters
-    exact = raw.count()
     output = post_dedup
     if run_id != "unknown":
         output = written.where(F.col("_pipeline_run_id") == run_id).count()
-    if counters[0] != exact or output != post_dedup:
+    if counters[0] != raw_rows or output != post_dedup:
         again = lineage_counts(raw).first()
         post_year, post_dedup = again["post_year_rows"], again["post_dedup_rows"]
         output = output if run_id != "unknown" else post_dedup
-    total = exact if everything is raw else everything.count()
     counts = raw.sparkSession.createDataFrame(
         [(run_id, total, post_year, post_dedup, output)],
         "run_id string, raw_rows bigint, post_year_rows bigint, post_dedup_rows bigint, output_rows bigint")

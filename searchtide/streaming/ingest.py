@@ -48,7 +48,8 @@ def ingest(
     Each micro-batch is kept below ``kept`` by day, and the days it touches are curated again from
     there, so sessions and repeat searches see whole days. ``reach_days`` is how far apart the day
     folders of two copies of an event may be: that many days around the touched ones are curated
-    again too. A batch that runs twice writes the same folders again.
+    again too. A batch that runs twice writes the same folders again. Rows of files outside any day
+    folder stay in ``kept``.
     """
     def process(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
