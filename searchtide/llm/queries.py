@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import quality
+from searchtide.llm import neardup, quality
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality.score(docs, quality.fit(docs, table(spark, folder, "labels")))
+
+
+@_query
+def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, folder, "documents"))
