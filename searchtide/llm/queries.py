@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import neardup, quality
+from searchtide.llm import neardup, quality, sanitise
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -39,3 +39,14 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op5_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, folder, "documents"))
+
+
+@_query
+def op8_pii_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
+    found = sanitise.spans(table(spark, folder, "documents"))
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["place"] == sanitise.KINDS.index(kind))).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(number, sanitise.KINDS[:4]), F.sha2(sanitise.joined_spans(F.col("base")), 256).alias("base_sha256"),
+                        sanitise.joined_spans(F.col("all_spans")).alias("spans"))
