@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import neardup, quality, sanitise
+from searchtide.llm import mixing, neardup, pieces, quality, sanitise
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,3 +50,14 @@ def op8_pii_sanitisation(spark: SparkSession, folder: str) -> DataFrame:
 
     return found.select("doc_id", *map(number, sanitise.KINDS[:4]), F.sha2(sanitise.joined_spans(F.col("base")), 256).alias("base_sha256"),
                         sanitise.joined_spans(F.col("all_spans")).alias("spans"))
+
+
+@_query
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents"))
+
+
+@_query
+def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return pieces.encode(docs, pieces.load()).drop("text")

@@ -7,4 +7,37 @@ def oracle_sql() -> dict[str, str]:
     return dict(_SQL)
 
 
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    "op9_mixing": r"""
+with docs as (
+  select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
+    ('0x' || substr(md5(coalesce(doc_id::varchar, '')), 1, 15))::bigint as h
+  from documents
+), sources as (
+  select source, sum(size)::bigint as source_size, ((row_number() over (order by source nulls last) - 1) % 3 + 1)::bigint as w
+  from docs group by source
+), levels as (
+  select *, 3 * source_size as cap,
+    (sum(source_size) over () - coalesce(sum(3 * source_size) over (o rows between unbounded preceding and 1 preceding), 0))::double
+      / sum(w) over (o rows between current row and unbounded following) as level
+  from sources window o as (order by (3 * source_size) / w::double, source nulls last)
+), targets as (
+  select source, source_size, least(cap::double, coalesce(min(case when level <= cap / w::double then level end) over (), 0) * w) as target
+  from levels
+), plan as (
+  select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes from targets
+), units as (
+  select source, h, sum(size)::bigint as words from docs group by all
+), running as (
+  select *, sum(words) over (partition by source order by h) as upto from units
+), picked as (
+  select r.source, r.h, p.source_size, p.target,
+    p.passes + case when r.upto <= p.target - p.passes * p.source_size
+      or (r.upto - r.words <= p.target - p.passes * p.source_size and 2 * (p.target - p.passes * p.source_size - (r.upto - r.words)) >= r.words)
+      then 1 else 0 end as copies
+  from running r join plan p on r.source is not distinct from p.source
+)
+select d.doc_id, d.size, p.source_size, p.target, (d.size * p.copies)::bigint as taken, p.copies::bigint as copies
+from docs d join picked p on d.h = p.h and d.source is not distinct from p.source
+""",
+}
