@@ -59,7 +59,8 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = WEIGHTS, most_times: in
     capped = F.coalesce(F.sum("cap").over(fullest.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     open_weight = F.sum("weight").over(fullest.rowsBetween(0, Window.unboundedFollowing))
     every = every.withColumn("level", (total - capped).cast("double") / open_weight)
-    level = F.min(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(Window.partitionBy())
+    # the first level that its source can bear; those after it are lower
+    level = F.max(F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.col("level"))).over(Window.partitionBy())
     every = every.withColumn("target", F.least(F.col("cap").cast("double"), F.coalesce(level, F.lit(0.0)) * F.col("weight")))
     passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
     every = every.withColumn("passes", passes)

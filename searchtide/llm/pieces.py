@@ -69,8 +69,9 @@ def double_array(keys: dict[bytes, int]) -> Trie:
         ends[at] = number
     base, check, piece = [0] * 512, [-1] * 512, [-1] * 512
     check[0] = 0
-    # nodes with one child fill gaps; those with several are placed behind one another
-    waiting, gap, behind = [(0, 0)], 1, 1
+    # nodes with one child fill gaps; those with several are placed behind one another; places below 257 are out of
+    # reach for most bytes and stay free
+    waiting, gap, behind = [(0, 0)], 257, 257
     while waiting:
         node, place = waiting.pop()
         piece[place] = ends[node]
@@ -79,7 +80,7 @@ def double_array(keys: dict[bytes, int]) -> Trie:
             continue
         while gap < len(check) and check[gap] >= 0:
             gap += 1
-        start = max(1, (gap if len(codes) == 1 else max(gap, behind)) - codes[0])
+        start = (gap if len(codes) == 1 else max(gap, behind)) - codes[0]
         while True:
             while start + 256 >= len(check):
                 more = len(check)

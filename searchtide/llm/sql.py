@@ -22,7 +22,7 @@ with docs as (
       / sum(w) over (o rows between current row and unbounded following) as level
   from sources window o as (order by (3 * source_size) / w::double, source nulls last)
 ), targets as (
-  select source, source_size, least(cap::double, coalesce(min(case when level <= cap / w::double then level end) over (), 0) * w) as target
+  select source, source_size, least(cap::double, coalesce(max(case when level <= cap / w::double then level end) over (), 0) * w) as target
   from levels
 ), plan as (
   select *, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as passes from targets
