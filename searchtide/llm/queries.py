@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import mixing, neardup, pieces, quality, sanitise
+from searchtide.llm import mixing, neardup, pieces, quality, sanitise, syncmers
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,3 +61,8 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return pieces.encode(docs, pieces.load()).drop("text")
+
+
+@_query
+def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return syncmers.compared(table(spark, folder, "documents"))

@@ -143,20 +143,16 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", thres
     entity = found.where("size(found) > 0 and doc_id is not null").select("doc_id", F.explode("found").alias("m")).select(
         "doc_id", F.concat_ws(":", "m.place", "m.value").alias("entity"), F.concat("m.before", "m.after").alias("near"))
     near = entity.select("doc_id", "entity", F.xxhash64("near").alias("context"), F.explode(_terms(F.array_join("near", " "))).alias("term"))
-    # per document first, so that one document or one copied context counts once
-    seen = near.groupBy("entity", "term", "context", "doc_id").agg(F.lit(1).alias("one"))
-    context = seen.groupBy("entity", "term", "context").agg(F.collect_set("context").alias("c"), F.count("*").alias("docs"))
-    # a document with two contexts of one pair counts twice here; the exact count follows for supported pairs only
-    supported = context.groupBy("entity", "term").agg(F.count("*").alias("contexts")).where(F.col("contexts") >= least_contexts)
+    # one copied context counts once
+    supported = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
+    supported = supported.where(F.col("contexts") >= least_contexts)
     supported = staged(supported.select("entity", "term"), "pairs")
     together = near.join(counted(supported), ["entity", "term"]).select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
     held = entity.join(counted(staged(supported.select("entity").distinct(), "entities")), "entity")
     n_e = held.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
-    wanted = staged(supported.select("term").distinct(), "terms")
     words = docs.select(F.explode(_terms(F.col(text_col))).alias("term"))
-    n_t = words.join(counted(wanted), "term").groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").cast("double").alias("n"))
-    pairs = together.join(n_e, "entity").join(n_t, "term").crossJoin(F.broadcast(total))
+    n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
+    pairs = together.join(n_e, "entity").join(n_t, "term").withColumn("n", F.lit(float(docs.count())))
     pmi = F.log2(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
     scored = pairs.where("n_e < n").select("entity", "term", (pmi / -F.log2(F.col("n_e") / F.col("n"))).alias("disclosure"))
     return staged(scored.where(F.col("disclosure") >= threshold), "disclosures")
