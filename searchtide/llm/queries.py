@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import mixing, neardup, pieces, quality, sanitise, syncmers
+from searchtide.llm import langid, mixing, neardup, pieces, quality, sanitise, syncmers
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,11 @@ def op2_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def op10_syncmer_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return syncmers.compared(table(spark, folder, "documents"))
+
+
+@_query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"), 4, 2)))
+    found = langid.predict(docs, model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
