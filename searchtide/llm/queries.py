@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import langid, mixing, neardup, pieces, quality, sanitise, syncmers
+from searchtide.llm import langid, mixing, neardup, pieces, quality, sanitise, substrings, syncmers
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"), 4, 2)))
     found = langid.predict(docs, model)
     return found.select("doc_id", langid.held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.deduplicated(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"), "removed")
