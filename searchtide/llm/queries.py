@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import langid, mixing, neardup, pieces, quality, sanitise, substrings, syncmers
+from searchtide.llm import langid, lbl, mixing, neardup, pieces, quality, sanitise, substrings, syncmers
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.deduplicated(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"), "removed")
+
+
+@_query
+def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = langid.held_out(F.col("doc_id"), 5, 1)
+    found = lbl.score(docs, docs.where(~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
