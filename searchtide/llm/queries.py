@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm import langid, lbl, mixing, neardup, pieces, quality, sanitise, substrings, syncmers
+from searchtide.llm import langid, lbl, mixing, neardup, pieces, quality, sanitise, substrings, syncmers, warc
 from searchtide.llm.shared import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,3 +88,8 @@ def op4_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     held_out = langid.held_out(F.col("doc_id"), 5, 1)
     found = lbl.score(docs, docs.where(~held_out))
     return found.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))

@@ -8,6 +8,21 @@ def oracle_sql() -> dict[str, str]:
 
 
 _SQL: dict[str, str] = {
+    "op7_warc": """
+with payloads as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as hex from pages
+), spelled as (
+  select page_id, payload_bytes, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::bigint >> (15 - 5 * (i % 4))) & 31)::int, 1)), '') as payload_digest
+  from payloads
+), best as (
+  select *, max(page_id) over (partition by payload_digest, payload_bytes) as best from spelled
+)
+select page_id, payload_bytes::bigint as payload_bytes, payload_digest,
+  case when page_id = best then 'response' else 'revisit' end as record_type,
+  case when page_id <> best then best end as refers_to
+from best
+""",
     "op9_mixing": r"""
 with docs as (
   select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size,
