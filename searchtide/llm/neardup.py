@@ -259,7 +259,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
     """The documents with the smallest id of their group, with all their columns.
 
-    Rows that repeat that id are copies of one document and stay together. Groups without any id stay whole.
+    Rows that share an id are one document and stay or go together. A row without an id always stays.
     """
     gone = near_duplicates(docs, id_col, text_col, distance)
     gone = staged(gone.where("component_id is not null and not doc_id <=> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.shared import counted, staged
+from searchtide.llm.shared import counted, free_name, staged
 
 # Kinds and their patterns. Possessive quantifiers and the conditions on what stands before
 # only keep the search linear; they find the same matches.
@@ -209,8 +209,9 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     terms that disclose completely. Overlapping entities get one tag, that of the first."""
     _, terms = _with_terms(docs, id_col, text_col, threshold, least_contexts)
     keyed = terms.select(F.col("doc_id").alias("_key"), F.col("terms").alias("_terms"))
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row")).join(counted(keyed), F.col(f"row.`{id_col}`") == F.col("_key"), "left")
-    text = F.col(f"row.`{text_col}`")
+    row = free_name(docs, "row")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row)).join(counted(keyed), F.col(f"{row}.`{id_col}`") == F.col("_key"), "left")
+    text = F.col(f"{row}.`{text_col}`")
     complete = F.transform(F.filter("_terms", lambda t: t["disclosure"] >= COMPLETE), lambda t: t["term"])
     marked = F.concat(
         F.transform(base_spans(text), lambda s: F.struct(s["start"], s["stop"], F.concat(F.lit("<"), F.element_at(F.array(*map(F.lit, KINDS)), s["place"] + 1), F.lit(">")).alias("by"))),
@@ -227,6 +228,6 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     clean = F.aggregate(F.array_sort(marked), begin, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)))
     # texts without a span are passed on as they are
     clean = F.when(F.size(marked) > 0, clean).otherwise(text)
-    names = [f"row.`{c}`" for c in docs.columns if c != text_col]
+    names = [f"{row}.`{c}`" for c in docs.columns if c != text_col]
     out = rows.select(*[F.col(n) for n in names], clean.alias(text_col))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

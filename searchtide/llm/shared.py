@@ -48,3 +48,10 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
 def counted(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """A staged narrow table, marked for broadcast if it is counted to have at most ``most`` rows."""
     return F.broadcast(table) if table.count() <= most else table
+
+
+def free_name(rows: DataFrame, name: str) -> str:
+    """A column name that the rows do not have."""
+    while name in rows.columns:
+        name += "_"
+    return name
