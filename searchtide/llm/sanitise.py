@@ -228,6 +228,6 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     clean = F.aggregate(F.array_sort(marked), begin, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substr(text, acc["at"] + 1)))
     # texts without a span are passed on as they are
     clean = F.when(F.size(marked) > 0, clean).otherwise(text)
-    names = [f"{row}.`{c}`" for c in docs.columns if c != text_col]
-    out = rows.select(*[F.col(n) for n in names], clean.alias(text_col))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns])
+    # in two steps: within one, the rows' own columns could stand in for those named here
+    out = rows.select(F.col(row), clean.alias("_clean"))
+    return out.select(*[F.col("_clean").alias(c) if c == text_col else F.col(f"{row}.`{c}`") for c in docs.columns])
