@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from searchtide.functions.text import whole_words
 from searchtide.operators.lookup import attach
+from searchtide.session import ready_checkpoints
 from searchtide.vocab import EMPTY_QUERY, GENRE_PATTERNS, UNKNOWN
 
 #: shortest keyword compared by spelling
@@ -73,8 +74,12 @@ def classify(
     lut: DataFrame | None = None,
     patterns: Patterns = GENRE_PATTERNS,
     near: bool = False,
+    near_min_length: int = NEAR_MIN_LENGTH,
 ) -> DataFrame:
-    """Add ``derived_genre`` to rows with ``keyword_norm``."""
+    """Add ``derived_genre`` to rows with ``keyword_norm``.
+
+    ``near`` also accepts table entries one edit away, for keywords of at least ``near_min_length`` letters.
+    """
     stages = [pattern_genre(F.col("keyword_norm"), patterns)]
     extra = []
     if lut is not None:
@@ -82,8 +87,11 @@ def classify(
         stages.insert(0, F.col("lut_genre"))
         extra.append("lut_genre")
         if near:
-            open_keywords = rows.where((F.col("keyword_norm") != "") & F.coalesce(*stages).isNull())
-            rows = attach(rows, near_genre(open_keywords, lut), "keyword_norm", "near_genre")
+            # one row per open keyword, written down: measuring and joining start from there, not from the events
+            open_keywords = rows.where((F.col("keyword_norm") != "") & F.coalesce(*stages).isNull()).select("keyword_norm").distinct()
+            ready_checkpoints(rows.sparkSession)
+            found_near = near_genre(open_keywords.checkpoint(), lut, near_min_length).checkpoint()
+            rows = attach(rows, found_near, "keyword_norm", "near_genre")
             stages.append(F.col("near_genre"))
             extra.append("near_genre")
     found = F.coalesce(*stages, F.lit(UNKNOWN))

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 #: largest table (bytes of key and value text) that is sent to every executor
 BROADCAST_BYTES = 64 * 1024 * 1024
-#: ways a key is spread when the table is too large for that
-SALTS = 32
 
 
 def text_bytes(table: DataFrame) -> int:
@@ -23,19 +21,19 @@ def attach(
     key: str,
     value: str,
     broadcast_bytes: int = BROADCAST_BYTES,
-    salts: int = SALTS,
 ) -> DataFrame:
     """Add ``value`` from ``table(key, value)`` to ``rows``; null where the key is not found.
 
-    A table measured to be small is broadcast. A larger one is joined by shuffle; there each
-    key is spread over ``salts`` tasks (the table is repeated that often) so that one key holding
-    a large part of the rows, or a null key, does not land in one task.
+    A table measured to be small is broadcast. A larger one is joined by shuffle: rows without a key are
+    spread by their content, as they match nothing, and a key with very many rows is split by adaptive
+    execution, which may split the left side of a left join.
     """
     pairs = table.select(key, value).where(F.col(key).isNotNull())
     unique = pairs.groupBy(key).agg(F.max(value).alias(value))
     if text_bytes(pairs) <= broadcast_bytes:
         return rows.join(F.broadcast(unique), key, "left")
-    salt = "_salt"
-    spread_rows = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(salts)))
-    spread_table = unique.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    return spread_rows.join(spread_table, [key, salt], "left").drop(salt)
+    joined = "_lookup"
+    apart = F.concat(F.lit("-"), F.xxhash64(*rows.columns).cast("string"))
+    spread = rows.withColumn(joined, F.when(F.col(key).isNull(), apart).otherwise(F.concat(F.lit("+"), F.col(key))))
+    keyed = unique.select(F.concat(F.lit("+"), F.col(key)).alias(joined), value)
+    return spread.join(keyed, joined, "left").drop(joined)

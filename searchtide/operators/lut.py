@@ -15,12 +15,10 @@ MAX_NEW = 15_000
 _JSON = {"allowSingleQuotes": "false"}
 
 
-def unknown_keywords(rows: DataFrame, max_new: int = MAX_NEW) -> DataFrame:
-    """The most searched keywords without genre, three times as many as will be asked about."""
-    counted = rows.where(F.col("derived_genre") == UNKNOWN).where(F.col("keyword_norm").isNotNull()).groupBy(
-        "keyword_norm").agg(F.count(F.lit(1)).alias("cnt"))
-    top = counted.orderBy(F.desc("cnt"), "keyword_norm").limit(max_new * 3)
-    return top.where(F.col("keyword_norm") != "")
+def unknown_keywords(rows: DataFrame) -> DataFrame:
+    """All keywords without genre and how often they were searched."""
+    open_rows = rows.where((F.col("derived_genre") == UNKNOWN) & (F.col("keyword_norm") != ""))
+    return open_rows.groupBy("keyword_norm").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def without(keywords: DataFrame, known: DataFrame) -> DataFrame:
@@ -31,6 +29,8 @@ def without(keywords: DataFrame, known: DataFrame) -> DataFrame:
 
 
 def candidates(unknown: DataFrame, lut: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Keywords that nobody knows yet. Only then the budget of a run applies (see :func:`batches`), so known keywords
+    never take the place of new ones."""
     return without(without(unknown, lut), resolved)
 
 

@@ -156,14 +156,14 @@ def gate(results: DataFrame, min_score: float | None = None) -> DataFrame:
 
 
 def profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: rows, nulls, approximate distinct values, largest number. One pass over the table."""
+    """One row per column: rows, nulls, distinct values, largest number. One pass over the table."""
     numeric = {f.name for f in rows.schema.fields if f.dataType.typeName() in ("integer", "long", "double", "short")}
     measures = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         largest = F.max(c).cast("double") if c in numeric else F.lit(None).cast("double")
         measures += [
             F.count_if(F.col(c).isNull()).alias(f"{c}.nulls"),
-            F.approx_count_distinct(c).alias(f"{c}.distinct"),
+            F.count_distinct(c).alias(f"{c}.distinct"),
             largest.alias(f"{c}.largest"),
         ]
     described = [
@@ -193,7 +193,7 @@ def recommend(
     rules: list[Rule] = []
     described = profile(rows, columns).collect()
     few = [p["column"] for p in described if 0 < p["distinct"] <= most_listed]
-    values = _value_counts(rows, few, most_listed)
+    values = _value_counts(rows, few)
     for p in described:
         column, found = p["column"], values.get(p["column"], [])
         if found:
@@ -216,18 +216,17 @@ def _below(part: int, whole: int) -> float:
     return 1.0 if part == whole else (100 * part // whole) / 100
 
 
-def _value_counts(rows: DataFrame, columns: Sequence[str], most: int) -> dict[str, list[tuple[str, int]]]:
-    """Values and counts of low-cardinality columns, most frequent first, from one pass over the table."""
+def _value_counts(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
+    """All values and counts of columns known to have few, most frequent first, from one pass over the table."""
     if not columns:
         return {}
     pairs = F.explode(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")
     counts = rows.select(pairs).select("p.*").where(F.col("value").isNotNull()).groupBy("column", "value").count()
-    # the distinct counts are approximate, so allow some more; beyond that the column gets no list
     found: dict[str, list[tuple[str, int]]] = {}
-    for r in counts.orderBy(F.desc("count"), "column", "value").limit(2 * most * len(columns)).collect():
+    for r in sorted(counts.collect(), key=lambda r: (-r["count"], r["column"], r["value"])):
         found.setdefault(r["column"], []).append((r["value"], r["count"]))
-    return {c: v for c, v in found.items() if len(v) <= most}
+    return found
 
 
 def _shortest_cover(found: Sequence[tuple[str, int]], rows: float) -> list[tuple[str, int]]:

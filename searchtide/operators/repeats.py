@@ -5,122 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from searchtide.operators.lookup import BROADCAST_BYTES, text_bytes
 from searchtide.session import ready_checkpoints
 
-#: a session with more rows than this is cut into slices
-SLICE_ROWS = 5_000_000
-#: most sessions that are cut; when more qualify, only the largest are
-MOST_SLICED = 20_000
-#: most slices; beyond that they grow
-MOST_SLICES = 50_000
-
 _ORDER = ("event_ts", "eventid")
 
 
-def _session() -> Column:
-    """Sessions without a key form one group, as any other key does."""
-    return F.xxhash64(F.coalesce("session_key", F.lit("")))
-
-
-def large_sessions(rows: DataFrame, slice_rows: int = SLICE_ROWS, most: int = MOST_SLICED) -> list[tuple[int, int]]:
-    """Hash and row count of the sessions with more than ``slice_rows`` rows.
-
-    At most ``most`` come back. If more qualify the limit rises to the next count, and the
-    sessions below it are as small as that count, so they need no slices.
-    """
-    counted = rows.groupBy(_session().alias("session")).count().where(F.col("count") > slice_rows)
-    largest = counted.orderBy(F.desc("count"), "session").limit(most + 1).collect()
-    floor = largest[-1]["count"] if len(largest) > most else slice_rows
-    return [(r["session"], r["count"]) for r in largest if r["count"] > floor]
-
-
-def mark_repeats(
-    rows: DataFrame,
-    probe: DataFrame | None = None,
-    slice_rows: int = SLICE_ROWS,
-    split_null_sessions: bool = False,
-    total_rows: int | None = None,
-) -> DataFrame:
+def mark_repeats(rows: DataFrame, split_null_sessions: bool = False, slices: int | None = None) -> DataFrame:
     """Add ``is_repeat_search`` to rows with ``session_key, event_ts, eventid, keyword_norm``.
 
     True where the latest earlier keyword of the session (rows without keyword are passed over)
     equals the row's keyword; null where the row has no keyword or no earlier one exists.
-
-    ``probe`` is a cheaper table with at least the same rows, used to find large sessions.
     ``split_null_sessions`` treats every row without a session key as its own session.
-    ``total_rows``, where known, saves the search for large sessions in a table that cannot hold one.
+
+    Rows are range-partitioned in session order into ``slices`` (by default as many as shuffle partitions), so
+    a border may fall inside any session and no session, however large, lands in one task. The slice of a
+    row is fixed in a checkpoint. Within a slice the latest keyword comes from a window. Only the first
+    session of a slice can have begun before it; it takes its keyword over the border from a table with at
+    most one row per slice.
     """
-    probe = rows if probe is None else probe
     alone = F.col("session_key").isNull()
-    keyed = rows.where(~alone) if split_null_sessions else rows
-    if total_rows is not None and total_rows <= slice_rows:
-        large = []
-    else:
-        large = large_sessions(probe.where(~alone) if split_null_sessions else probe, slice_rows)
-    marked = _mark(keyed, large, slice_rows)
+    marked = _marked(rows.where(~alone) if split_null_sessions else rows, slices)
     if split_null_sessions:
         marked = marked.unionByName(rows.where(alone).withColumn("is_repeat_search", F.lit(None).cast("boolean")))
     return marked
 
 
-def _mark(rows: DataFrame, large: list[tuple[int, int]], slice_rows: int) -> DataFrame:
-    if not large:
-        return _compare(rows, _latest_before(Window.partitionBy("session_key").orderBy(*_ORDER)))
-    # at most MOST_SLICED long values: safe to send everywhere
-    wanted = F.broadcast(rows.sparkSession.createDataFrame([(s,) for s, _ in large], "session bigint"))
-    tagged = rows.withColumn("session", _session())
-    calm = tagged.join(wanted, "session", "left_anti").drop("session")
-    busy = tagged.join(wanted, "session", "left_semi")
-    slices = min(MOST_SLICES, max(2, -(-sum(n for _, n in large) // slice_rows)))
-    return _compare(calm, _latest_before(Window.partitionBy("session_key").orderBy(*_ORDER))).unionByName(
-        _mark_in_slices(busy, slices)
-    )
-
-
-def _mark_in_slices(busy: DataFrame, slices: int) -> DataFrame:
-    """The same answer for sessions too large for one task.
-
-    Rows are range-partitioned in session order, so each partition is a run of consecutive rows.
-    The partition number is fixed in a checkpoint. Inside a slice the latest keyword comes from a
-    window; the first rows of a slice take it from the nearest earlier slice of their session.
-    """
-    ready_checkpoints(busy.sparkSession)
-    sliced = (
-        busy.repartitionByRange(slices, "session", "session_key", *_ORDER)
-        .withColumn("slice", F.spark_partition_id())
-        .checkpoint()
-    )
-    by_slice = Window.partitionBy("session", "session_key", "slice").orderBy(*_ORDER)
-    ends = (
-        sliced.where(F.col("keyword_norm").isNotNull())
-        .groupBy("session", "session_key", "slice")
-        .agg(F.max_by("keyword_norm", F.struct(*_ORDER)).alias("end_keyword"))
-    )
-    # one row per slice and session: as many as slices plus sessions
-    every = sliced.select("session", "session_key", "slice").distinct()
-    key = F.coalesce("session_key", F.lit(""))
-    carried = (
-        every.withColumn("k", key)
-        .join(ends.withColumn("k", key).select("session", "k", "slice", "end_keyword"), ["session", "k", "slice"], "left")
-        .withColumn("carried", F.last("end_keyword", ignorenulls=True).over(
-            Window.partitionBy("session", "k").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)))
-        .select("session", "k", "slice", "carried")
-    )
-    inside = sliced.withColumn("inside", _latest_before(by_slice)).withColumn("k", key)
-    # few rows, but their keywords may be long; a join by shuffle is fine too, as no slice is large
-    side = F.broadcast(carried) if text_bytes(carried) <= BROADCAST_BYTES else carried
-    joined = inside.join(side, ["session", "k", "slice"], "left")
-    return _compare(joined, F.coalesce("inside", "carried")).drop("session", "k", "slice", "inside", "carried")
+def _marked(rows: DataFrame, slices: int | None) -> DataFrame:
+    spark = rows.sparkSession
+    ready_checkpoints(spark)
+    slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # sessions without a key form one session, which is not that of the empty key
+    keyed = rows.withColumn("_session", F.xxhash64("session_key", F.col("session_key").isNull()))
+    keyed = keyed.withColumn("_key", F.concat(F.when(F.col("session_key").isNull(), "-").otherwise("+"), F.coalesce("session_key", F.lit(""))))
+    sliced = keyed.repartitionByRange(slices, "_session", "_key", *_ORDER).withColumn("_slice", F.spark_partition_id()).checkpoint()
+    session = ["_session", "_key"]
+    keyword = F.struct(*_ORDER, "keyword_norm")
+    ends = sliced.groupBy(*session, "_slice").agg(F.max(F.when(F.col("keyword_norm").isNotNull(), keyword)).alias("end"))
+    by_slice = Window.partitionBy(*session).orderBy("_slice")
+    carried = ends.select(
+        *session, "_slice", F.lag("_slice").over(by_slice).alias("before"),
+        F.last("end.keyword_norm", ignorenulls=True).over(by_slice.rowsBetween(Window.unboundedPreceding, -1)).alias("_carried"),
+    ).where("before is not null").drop("before")
+    inside = _latest_before(Window.partitionBy("_slice", *session).orderBy(*_ORDER))
+    joined = sliced.withColumn("_inside", inside).join(F.broadcast(carried), [*session, "_slice"], "left")
+    marked = joined.withColumn("is_repeat_search", F.col("keyword_norm") == F.coalesce("_inside", "_carried"))
+    return marked.select(*rows.columns, "is_repeat_search")
 
 
 def _latest_before(window) -> Column:
     return F.last("keyword_norm", ignorenulls=True).over(window.rowsBetween(Window.unboundedPreceding, -1))
-
-
-def _compare(rows: DataFrame, latest: Column) -> DataFrame:
-    return (
-        rows.withColumn("_latest", latest)
-        .withColumn("is_repeat_search", F.col("keyword_norm") == F.col("_latest"))
-        .drop("_latest")
-    )

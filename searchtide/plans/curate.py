@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from searchtide import vocab
 from searchtide.functions import identity, moments, subscriptions, text
-from searchtide.operators.classify import Patterns, classify
+from searchtide.operators.classify import NEAR_MIN_LENGTH, Patterns, classify
 from searchtide.operators.dedup import keep_first_event
-from searchtide.operators.repeats import SLICE_ROWS, mark_repeats
+from searchtide.operators.repeats import mark_repeats
 from searchtide.schemas import CURATED
 
 
@@ -25,8 +25,11 @@ class CurationRules:
     networks: Mapping[str, str] = field(default_factory=lambda: vocab.NETWORK_GROUPS)
     premium_plans: Sequence[str] = vocab.PREMIUM_PLANS
     near_spellings: bool = False
+    #: shorter keywords take no near spelling
+    near_min_length: int = NEAR_MIN_LENGTH
     split_null_sessions: bool = False
-    slice_rows: int = SLICE_ROWS
+    #: parts that sessions are cut into; none: as many as shuffle partitions
+    session_slices: int | None = None
 
 
 def usable_events(raw: DataFrame, seen: Observation | None = None) -> DataFrame:
@@ -57,24 +60,18 @@ def prepared_events(
     lut: DataFrame | None = None,
     rules: CurationRules = CurationRules(),
     repeats: bool = True,
-    probe: DataFrame | None = None,
-    total_rows: int | None = None,
 ) -> DataFrame:
     """Deduplicated events with genre, ISO day and repeat flag, still with the narrow raw columns.
 
     Everything wide (hashes, plan arrays) is left to :func:`finished`, after the last shuffle.
-    ``repeats=False`` skips the repeat flag for readers that do not need it. ``probe`` stands in for
-    ``events`` in the job that looks for large sessions; ``total_rows``, where known, may make it needless.
+    ``repeats=False`` skips the repeat flag for readers that do not need it.
     """
     narrow = with_session_key(with_keyword(keep_first_event(events)))
     if repeats:
-        narrow = mark_repeats(
-            narrow, probe=with_session_key(events if probe is None else probe), slice_rows=rules.slice_rows,
-            split_null_sessions=rules.split_null_sessions, total_rows=total_rows,
-        )
+        narrow = mark_repeats(narrow, rules.split_null_sessions, rules.session_slices)
     else:
         narrow = narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))
-    classified = classify(narrow, lut, rules.patterns, rules.near_spellings)
+    classified = classify(narrow, lut, rules.patterns, rules.near_spellings, rules.near_min_length)
     return classified.withColumn("dt", moments.iso_day(F.col("dt")))
 
 

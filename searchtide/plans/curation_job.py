@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 
 from searchtide.operators.lineage import lineage_counts, with_alarm
 from searchtide.plans.curate import CurationRules, prepared_events, usable_events
-from searchtide.session import require_settings, shuffles_sized_for
-from searchtide.sources import folders
+from searchtide.session import require_settings, sized
 from searchtide.sources.curated import read_curated, remove_stale_partitions, write_curated
-from searchtide.sources.raw import parse_since, read_raw
+from searchtide.sources.raw import parse_since, raw_bytes, read_raw
 
 
 def run_curation(
@@ -23,17 +22,19 @@ def run_curation(
     rules: CurationRules = CurationRules(),
     run_id: str = "unknown",
     quarantine: str | None = None,
-    clear_days: bool = False,
+    clear_days: bool | None = None,
     one_file_per_group: bool = False,
 ) -> DataFrame:
     """Curate the raw events of ``source`` into ``target``.
 
     ``since`` limits the day folders. ``quarantine`` receives rows from files outside any day
     folder; without it they stay in the table under an unnamed day. ``clear_days`` also removes
-    genre folders that earlier runs left on the rewritten days; it needs a ``run_id``.
+    genre folders that earlier runs left on the rewritten days, so that no event stays in two; it needs a
+    ``run_id`` and is on by default if there is one.
     """
-    require_settings(spark)
     first_day = parse_since(since)
+    clear_days = run_id != "unknown" if clear_days is None else clear_days
+    spark = require_settings(sized(spark, raw_bytes(spark, source, first_day)))
     everything = read_raw(spark, source, first_day)
     raw = everything
     if quarantine is not None:
@@ -46,11 +47,8 @@ def run_curation(
     seen, usable, kept = Observation("raw"), Observation("usable"), Observation("kept")
     count = F.count(F.lit(1)).alias("rows")
     events = usable_events(raw, seen).observe(usable, count)
-    # the job that looks for large sessions gets a plan of its own, so it does not set the counters
-    with shuffles_sized_for(spark, folders.total_bytes(spark, source)):
-        prepared = prepared_events(
-            events, lut, rules, probe=usable_events(raw), total_rows=raw_rows).observe(kept, count)
-        write_curated(prepared, target, run_id, rules, one_file_per_group)
+    prepared = prepared_events(events, lut, rules).observe(kept, count)
+    write_curated(prepared, target, run_id, rules, one_file_per_group)
     days = None if first_day is None else F.col("dt") >= first_day.isoformat()
     if clear_days:
         remove_stale_partitions(spark, target, run_id, days)

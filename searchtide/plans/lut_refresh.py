@@ -32,8 +32,12 @@ class OfflineClassifier:
         return json.dumps(answers, ensure_ascii=False)
 
 
-def replies(batched: DataFrame, classifier: Classifier) -> DataFrame:
-    """``(batch_id, reply)``: one call per batch, on the executors; an exception leaves the reply empty."""
+#: tasks that call the classifier side by side; a lost one repeats only its own batches
+CALLERS = 32
+
+
+def replies(batched: DataFrame, classifier: Classifier, callers: int = CALLERS) -> DataFrame:
+    """``(batch_id, reply)``: one call per batch, in ``callers`` tasks; an exception leaves the reply empty."""
     def ask(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             answers = []
@@ -47,13 +51,15 @@ def replies(batched: DataFrame, classifier: Classifier) -> DataFrame:
     # a batch is at most a few dozen keywords
     in_order = F.array_sort(F.collect_list(F.struct("rank", "clean")))
     grouped = ops.sanitized(batched).groupBy("batch_id").agg(in_order["clean"].alias("words"))
-    return grouped.mapInPandas(ask, "batch_id int, reply string")
+    # an explicit number of tasks, which adaptive execution does not merge however small the batches are
+    return grouped.repartition(callers).mapInPandas(ask, "batch_id int, reply string")
 
 
 @dataclass(frozen=True)
 class RefreshLimits:
     max_new: int = ops.MAX_NEW
     batch_size: int = ops.BATCH_SIZE
+    callers: int = CALLERS
 
 
 def refresh_lut(
@@ -76,7 +82,7 @@ def refresh_lut(
         table.write.mode("overwrite").parquet(f"{work}/{name}")
         return spark.read.schema(table.schema).parquet(f"{work}/{name}")
 
-    asked = written(ops.candidates(ops.unknown_keywords(curated, limits.max_new), lut, resolved), "candidates")
+    asked = written(ops.candidates(ops.unknown_keywords(curated), lut, resolved), "candidates")
     skipped = asked.where(~ops.is_classifiable(F.col("keyword_norm"))).select(F.col("keyword_norm").alias("keyword"))
     batched = written(ops.batches(asked, limits.max_new, limits.batch_size), "batches")
     if batched.isEmpty():
@@ -85,7 +91,7 @@ def refresh_lut(
             lut_store.save(spark, store, lut, known)
         return _summary(spark, 0, lut, known, 0, "up-to-date")
 
-    replied = written(replies(batched, classifier), "replies")
+    replied = written(replies(batched, classifier, limits.callers), "replies")
     parsed = ops.reply_entries(replied)
     # a batch whose keywords are all empty once cleaned was not asked about; it has no reply
     silent = batched.select("batch_id").distinct().join(replied.select("batch_id"), "batch_id", "left_anti")

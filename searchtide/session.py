@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -63,18 +61,26 @@ def ready_checkpoints(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(folder)
 
 
-#: shuffle data a task should get; adaptive execution merges what turns out smaller
-SHUFFLE_TASK_BYTES = 128 * 1024 * 1024
+#: input data per shuffle task; rows shrink to narrow columns before they move, so a task gets less than this
+SHUFFLE_TASK_BYTES = 2 * 1024**3
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, input_bytes: int) -> Iterator[int]:
-    """Enough shuffle partitions for the given input while the block runs; never fewer than configured."""
-    setting = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(setting)
-    wanted = max(int(before), -(-input_bytes // SHUFFLE_TASK_BYTES))
-    spark.conf.set(setting, str(wanted))
-    try:
-        yield wanted
-    finally:
-        spark.conf.set(setting, before)
+def shuffle_tasks(spark: SparkSession, input_bytes: int) -> int:
+    """Shuffle partitions for a job that reads so many bytes; never fewer than the session has.
+
+    100 TB give about 50,000. Pass the number on (see :func:`sized`); the caller's session keeps its own.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // SHUFFLE_TASK_BYTES))
+
+
+def sized(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session of the same application with settings of its own, sized for the input.
+
+    Jobs in other threads keep their settings. Temporary views are not shared.
+    """
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.shuffle.partitions", str(shuffle_tasks(spark, input_bytes)))
+    return own

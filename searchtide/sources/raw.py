@@ -61,6 +61,12 @@ def read_raw(spark: SparkSession, root: str, since: date | None = None) -> DataF
     return named_as_used(reader.parquet(*paths)).where(F.try_to_date("dt", "yyyyMMdd") >= F.lit(since))
 
 
+def raw_bytes(spark: SparkSession, root: str, since: date | None = None) -> int:
+    """Bytes of the files that :func:`read_raw` would read."""
+    root = root.rstrip("/")
+    return sum(folders.total_bytes(spark, p) for p in ([root] if since is None else _since_paths(spark, root, since)))
+
+
 def write_raw(rows: DataFrame, root: str) -> None:
     """Lay rows out as a raw landing folder: one bare folder per day, names as on disk."""
     spark = rows.sparkSession

@@ -15,10 +15,10 @@ from searchtide.plans.curate import curated
 from searchtide.plans.curation_job import run_curation
 from searchtide.plans.lut_refresh import OfflineClassifier, RefreshLimits, refresh_lut, replies
 from searchtide.schemas import CURATED, RAW
-from searchtide.session import shuffles_sized_for
+from searchtide.session import shuffle_tasks, sized
 from searchtide.sources import lut_store, quality_results
 from searchtide.sources.curated import partition, read_curated, remove_stale_partitions, write_curated
-from searchtide.sources.raw import parse_since, read_raw, write_raw
+from searchtide.sources.raw import parse_since, raw_bytes, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES
 from searchtide.streaming.dedup import append_to, first_events
 from searchtide.streaming.ingest import ingest, raw_stream
@@ -125,7 +125,7 @@ def test_untouched_days_survive_and_stale_genres_go(spark, tmp_path):
     write_raw(raw_table(spark, raw_row("1"), raw_row("2", keyword="zzz", dt="20220602")), root)
     run_curation(spark, root, out, run_id="first")
     lut = spark.createDataFrame([("zzz", "NHAC")], "keyword string, genre string")
-    run_curation(spark, root, out, since="dt >= 2022-06-02", lut=lut, run_id="second")
+    run_curation(spark, root, out, since="dt >= 2022-06-02", lut=lut, run_id="second", clear_days=False)
     groups = {(r["dt"], r["derived_genre"]) for r in read_curated(spark, out).collect()}
     assert groups == {("2022-06-01", "ANIME"), ("2022-06-02", "UNKNOWN"), ("2022-06-02", "NHAC")}
     run_curation(spark, root, out, since="dt >= 2022-06-02", lut=lut, run_id="third", clear_days=True)
@@ -171,13 +171,24 @@ def test_retention_alarm(spark, output, total, alarm):
     assert with_alarm(counts).first()["retention_alarm"] is alarm
 
 
-def test_shuffles_are_sized_and_restored(spark):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with shuffles_sized_for(spark, 10 * 1024 ** 4) as n:
-        assert n == 81920 and spark.conf.get("spark.sql.shuffle.partitions") == "81920"
-    with shuffles_sized_for(spark, 1) as n:
-        assert n == int(before)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+def test_shuffles_are_sized_without_touching_the_session(spark):
+    setting = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(setting)
+    assert shuffle_tasks(spark, 100 * 1000**4) < 50_000
+    own = sized(spark, 1024**4)
+    assert own.conf.get(setting) == "512" and spark.conf.get(setting) == before
+    assert own.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert sized(spark, 1).conf.get(setting) == before
+
+
+def test_only_selected_days_are_sized(spark, raw, tmp_path):
+    root = str(tmp_path / "landing")
+    write_raw(raw, root)
+    days = sorted(p.name for p in Path(root).iterdir() if p.name.isdigit())
+    last = f"{days[-1][:4]}-{days[-1][4:6]}-{days[-1][6:]}"
+    chosen = raw_bytes(spark, root, parse_since(last))
+    assert chosen == sum(p.stat().st_size for p in (Path(root) / days[-1]).iterdir() if not p.name.endswith(".crc"))
+    assert raw_bytes(spark, root) > 5 * chosen
 
 
 # --- streams --------------------------------------------------------------------------------
@@ -284,12 +295,25 @@ def test_refresh(spark, tmp_path):
 
 def test_refresh_limits(spark):
     rows = unknown_rows(spark, {f"keyword {i:02d}": i + 1 for i in range(10)})
-    mined = ops.unknown_keywords(rows, max_new=2)
-    assert [r["cnt"] for r in mined.orderBy(F.desc("cnt")).collect()] == [10, 9, 8, 7, 6, 5]
+    mined = ops.unknown_keywords(rows)
+    assert [r["cnt"] for r in mined.orderBy(F.desc("cnt")).collect()] == [10, 9, 8, 7, 6, 5, 4, 3, 2, 1]
     batched = ops.batches(mined, max_new=3, size=2).orderBy("rank").collect()
     assert [(r["batch_id"], r["keyword"]) for r in batched] == [(0, "keyword 09"), (0, "keyword 08"), (1, "keyword 07")]
 
 
+def test_known_keywords_do_not_use_up_the_budget(spark):
+    rows = unknown_rows(spark, {f"keyword {i:02d}": i + 1 for i in range(10)})
+    known = spark.createDataFrame([(f"keyword {i:02d}",) for i in range(3, 10)], "keyword string")
+    left = ops.candidates(ops.unknown_keywords(rows), known.limit(4), known)
+    assert [r["keyword"] for r in ops.batches(left, max_new=2).orderBy("rank").collect()] == ["keyword 02", "keyword 01"]
+
+
+def test_batches_are_asked_in_several_tasks(spark):
+    batched = spark.createDataFrame([(i, i, f"k{i}") for i in range(60)], "batch_id int, rank int, keyword string")
+    asked = replies(batched, lambda words: words[0], callers=8)
+    assert asked.select(F.spark_partition_id()).distinct().count() > 4 and asked.count() == 60
+
+
 def test_classifier_sees_clean_words_in_order(spark):
     batched = spark.createDataFrame([(0, 2, "b\tb"), (0, 1, "a"), (1, 3, "c")], "batch_id int, rank int, keyword string")
     got = {r["batch_id"]: r["reply"] for r in replies(batched, lambda words: "/".join(words)).collect()}

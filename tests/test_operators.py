@@ -79,25 +79,30 @@ def test_large_sessions_give_the_same_flags(spark, hot):
         rows.append((session, i // 40 if i % 2 else i // 400, f"e{i:05d}", keyword))
     chance.shuffle(rows)
     frame = session_rows(spark, rows)
-    assert len(repeats.large_sessions(frame, 200)) == 1
     expected = brute_force(rows)
-    assert flags(repeats.mark_repeats(frame, slice_rows=200)) == expected
-    assert flags(repeats.mark_repeats(frame)) == expected
+    for slices in (1, 7, 40):
+        assert flags(repeats.mark_repeats(frame, slices=slices)) == expected
 
 
 def test_one_instant_and_one_session_is_still_cut(spark):
     rows = [("s", 0, f"e{i:04d}", "ab"[i % 7 == 0]) for i in range(600)]
     frame = session_rows(spark, rows)
-    marked = repeats.mark_repeats(frame, slice_rows=50)
+    marked = repeats.mark_repeats(frame, slices=12)
     assert flags(marked) == brute_force(rows)
 
 
-def test_large_sessions_are_limited_without_losing_rows(spark):
-    rows = [(f"s{i % 20}", i, f"e{i:04d}", "abc"[i % 3]) for i in range(400)] + [
-        ("top", i, f"t{i:04d}", "abc"[i % 3]) for i in range(90)]
+def test_equally_large_sessions_are_all_cut(spark):
+    rows = [(f"s{i % 6}", i // 30, f"e{i:04d}", "abc"[i % 5 % 3] if i % 4 else None) for i in range(600)]
     frame = session_rows(spark, rows)
-    assert len(repeats.large_sessions(frame, 10)) == 21
-    assert [n for _, n in repeats.large_sessions(frame, 10, most=5)] == [90]
+    marked = repeats.mark_repeats(frame, slices=30)
+    assert flags(marked) == brute_force(rows)
+
+
+def test_missing_and_empty_session_keys_differ(spark):
+    rows = [(None, i, f"n{i}", "x") for i in range(40)] + [("", i, f"m{i}", "y") for i in range(40)]
+    frame = session_rows(spark, rows)
+    got = flags(repeats.mark_repeats(frame, slices=9))
+    assert sum(v is None for v in got.values()) == 2 and all(v is not False for v in got.values())
 
 
 def test_sessions_without_key_can_stand_alone(spark):
@@ -112,7 +117,7 @@ def test_lookup_by_broadcast_and_by_shuffle_agree(spark):
     words = [None if i % 3 == 0 else "hot" if i % 3 == 1 else f"w{i}" for i in range(900)]
     rows = spark.createDataFrame(list(enumerate(words)), "id int, keyword_norm string")
     table = spark.createDataFrame([("hot", "A"), ("w2", "B"), ("w5", "C"), ("w5", "B"), (None, "N")], "keyword string, genre string")
-    small, large = classify.lut_genre(rows, table), classify.lut_genre(rows, table, broadcast_bytes=0, salts=4)
+    small, large = classify.lut_genre(rows, table), classify.lut_genre(rows, table, broadcast_bytes=0)
     assert "BroadcastHashJoin" in plan_of(small)
     assert small.count() == large.count() == 900
     assert small.exceptAll(large.select(*small.columns)).count() == 0
@@ -120,13 +125,17 @@ def test_lookup_by_broadcast_and_by_shuffle_agree(spark):
     assert (found[1], found[2], found[5], found[0], found[8]) == ("A", "B", "C", None, None)
 
 
-def test_lookup_spreads_a_hot_key(spark):
-    rows = spark.range(4000).select(F.lit("hot").alias("keyword_norm"), "id")
-    table = spark.createDataFrame([("hot", "A")], "keyword string, genre string")
-    spread = classify.lut_genre(rows, table, broadcast_bytes=0, salts=32)
-    salts = rows.select(F.pmod(F.xxhash64(*rows.columns), F.lit(32)).alias("s")).groupBy("s").count().collect()
-    assert len(salts) == 32 and max(r["count"] for r in salts) < 250
-    assert spread.where(F.col("lut_genre") == "A").count() == 4000
+def test_missing_keys_are_spread(spark):
+    rows = spark.range(4000).select(F.lit(None).cast("string").alias("keyword_norm"), "id")
+    table = spark.createDataFrame([("hot", "A"), (None, "N")], "keyword string, genre string")
+    joined = classify.lut_genre(rows, table, broadcast_bytes=0)
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = [r["count"] for r in classify.lut_genre(rows, table, broadcast_bytes=0).hint("merge").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    assert len(tasks) > 1 and max(tasks) < 2000 and joined.where("lut_genre is not null").count() == 0
 
 
 def edits(a: str, b: str) -> int:
@@ -174,7 +183,7 @@ def test_curated_plan_is_native_and_prunes(spark, raw):
 
 def test_curated_is_the_same_on_every_run(spark, raw):
     first = curated(raw, rules=TEST_RULES)
-    again = curated(raw.repartition(5), rules=CurationRules(patterns=TEST_RULES.patterns, slice_rows=20))
+    again = curated(raw.repartition(5), rules=CurationRules(patterns=TEST_RULES.patterns, session_slices=20))
     assert first.exceptAll(again).count() == 0 and again.exceptAll(first).count() == 0
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
+from searchtide.registry import oracles, queries
 from tests.conftest import SMALL
 from tools.compare import compare, tables
 
@@ -18,10 +19,11 @@ def db():
 
 
 def test_names_match():
-    assert set(entry.oracle_sql()) == set(entry.queries()) - ROWS_ONLY
+    assert set(oracles.oracle_sql()) == set(queries.queries()) - ROWS_ONLY
+    assert set(queries.queries()) <= set(entry.queries()) and set(oracles.oracle_sql()) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(queries.queries()))
 def test_query(spark, db, name):
     verdict, _, rows = compare(spark, db, SMALL, name)
     assert verdict == ("rows only" if name in ROWS_ONLY else "ok")
