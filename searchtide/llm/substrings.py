@@ -36,9 +36,6 @@ from searchtide.llm.shared import staged
 WINDOW = 20
 SEED = 8
 BITMAP_BITS = 1 << 26
-#: repeats (of few numbers each) that may be sent to every executor
-BROADCAST_SPANS = 2_000_000
-BROADCAST_DOCS = 500_000
 
 
 class Windows(NamedTuple):
@@ -162,18 +159,11 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return staged(spans, "spans")
 
 
-def _with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """Texts beside their spans. The spans are broadcast only if they are counted to be few."""
-    size = spans.agg(F.count("*").alias("docs"), F.coalesce(F.sum(F.size("spans")), F.lit(0)).alias("spans")).first()
-    few = size["docs"] <= BROADCAST_DOCS and size["spans"] <= BROADCAST_SPANS
-    right = spans.select(F.col("doc_id").alias("span_id"), "spans")
-    return docs.join(F.broadcast(right) if few else right, F.col("doc_id").eqNullSafe(F.col("span_id")), "left").drop("span_id")
-
-
 def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id``, ``n_words``, ``n_removed``, ``kept_text`` (words left, one blank between) and ``removed`` (maximal
     repeats as first word and word after the last) of every row."""
-    rows = _with_spans(_rows(docs, id_col, text_col), repeats(docs, id_col, text_col))
+    spans = repeats(docs, id_col, text_col).select(F.col("doc_id").alias("span_id"), "spans")
+    rows = _rows(docs, id_col, text_col).join(spans, F.col("doc_id").eqNullSafe(F.col("span_id")), "left").drop("span_id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, words in _parts(batches):
