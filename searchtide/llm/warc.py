@@ -7,8 +7,8 @@ converter reads each line by the fields of its own file and writes WARC records:
 Of records with equal payloads the one with the largest page number is the response; the others become
 revisits, which keep their HTTP header but not the payload.
 
-Archives are written by Spark's text writer, one record a row, with the end of a record as line separator. So
-they need no local files, and lost tasks leave nothing behind. Every ``RECORDS`` rows a new file begins.
+Archives are written by Spark's text writer, one record a row, with the end of a record as line separator, and
+gzipped. So they need no local files, and lost tasks leave nothing behind. Every ``RECORDS`` rows a new file begins.
 
 Defined results: a null html is an empty payload, a null url is written as ``-``, blanks and control characters
 in a url are escaped. A null page number counts as smaller than any other. Rows with the same page number and
@@ -18,6 +18,7 @@ payload are of the same type. An empty table gives an archive without records. O
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -86,7 +87,12 @@ def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str
                 written += 1
             yield pa.RecordBatch.from_arrays([_texts(out)], ["value"])
 
-    rows.mapInArrow(archived, "value string").write.option("lineSep", ARC_END).option("maxRecordsPerFile", records).text(path)
+    rows.mapInArrow(archived, "value string").write.options(lineSep=ARC_END, compression="gzip").option("maxRecordsPerFile", records).text(path)
+
+
+def unpacked(content: bytes) -> bytes:
+    """The bytes of an archive, gzipped (in one or more members) or not."""
+    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
 
 
 def parse_arc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -132,7 +138,7 @@ def read_arc(spark: SparkSession, path: str, narrow: bool = False) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 rows = {n: [] for n in names}
-                for fields, block in parse_arc(content.as_py()):
+                for fields, block in parse_arc(unpacked(content.as_py())):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     page_id, _ = _page_of(head)
                     day = fields["Archive-date"]
@@ -185,7 +191,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = R
                 written += 1
             yield pa.RecordBatch.from_arrays([_texts(out)], ["value"])
 
-    rows.mapInArrow(converted, "value string").write.option("lineSep", WARC_END).option("maxRecordsPerFile", records).text(warc_path)
+    rows.mapInArrow(converted, "value string").write.options(lineSep=WARC_END, compression="gzip").option("maxRecordsPerFile", records).text(warc_path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -212,7 +218,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column("content"):
                 rows = {n: [] for n in names}
-                for fields, block in parse_warc(content.as_py()):
+                for fields, block in parse_warc(unpacked(content.as_py())):
                     if fields["WARC-Type"] == "warcinfo":
                         continue
                     head, _, payload = block.partition(b"\r\n\r\n")

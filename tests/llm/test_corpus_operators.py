@@ -358,13 +358,13 @@ def test_archives(ready, tmp_path):
 def test_both_arc_versions_are_read(ready, tmp_path):
     pages = ready.createDataFrame([(i, f"http://h/{i}", f"page {i}\nend") for i in range(25)], "page_id long, url string, html string").coalesce(2)
     warc.write_arc(pages, f"{tmp_path}/arc", records=4)
-    files = [p.read_bytes() for p in (tmp_path / "arc").glob("part-*")]
+    files = [warc.unpacked(p.read_bytes()) for p in (tmp_path / "arc").glob("part-*")]
     versions = {c.split(b"\n")[1].split(b" ")[0] for c in files}
     assert versions == {b"1", b"2"} and all(c.startswith(b"filedesc://") for c in files)
     blocks = [block for c in files for _, block in warc.parse_arc(c)]
     assert sorted(b.partition(b"\r\n\r\n")[2] for b in blocks) == sorted(f"page {i}\nend".encode() for i in range(25))
     warc.convert(ready, f"{tmp_path}/arc", f"{tmp_path}/warc", records=4)
-    records = [x for p in (tmp_path / "warc").glob("part-*") for x in warc.parse_warc(p.read_bytes())]
+    records = [x for p in (tmp_path / "warc").glob("part-*") for x in warc.parse_warc(warc.unpacked(p.read_bytes()))]
     assert Counter(f["WARC-Type"] for f, _ in records)["response"] == 25
     assert all(f["WARC-Date"] == "2024-01-01T00:00:00Z" and f["WARC-Record-ID"].startswith("<urn:uuid:") for f, _ in records)
 
