@@ -42,7 +42,8 @@ def pct(part: str, whole: str, scale: int = 100, digits: int = 1) -> str:
 RAW = r"""
 keyed AS (
   SELECT e.event_id AS e, e.ts, e.user_id AS u, e.event_type AS et, p.p_name
-  FROM events e JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 20
+  FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events) e JOIN part p
+    ON p.p_partkey = CASE WHEN e.event_id % 2 = 0 THEN k % 20 ELSE (k * 97 + e.event_id) % (SELECT count(*) FROM part) END
 ), raw AS (
   SELECT CAST(e AS VARCHAR) AS eventid,
     CASE WHEN e % 499 = 0 THEN '0004-01-01 00:00:00.000' WHEN e % 503 = 0 THEN 'bad'
@@ -59,7 +60,8 @@ keyed AS (
     CASE WHEN e % 97 <> 0 THEN 'isp' || CAST(e % 3 AS VARCHAR) END AS proxy_isp,
     CASE WHEN e % 5 <> 0 THEN CAST(u % 4 AS VARCHAR) END AS user_id,
     strftime(day, '%Y%m%d') AS dt
-  FROM (SELECT *, unnest(CASE WHEN e % 50 = 0 THEN [ts, ts + INTERVAL 1 DAY] ELSE [ts] END) AS day FROM keyed)
+  FROM (SELECT *, CASE WHEN day(arrival) IN (10, 17, 18) THEN arrival + INTERVAL 3 DAY ELSE arrival END AS day
+    FROM (SELECT *, unnest(CASE WHEN e % 50 = 0 THEN [ts, ts + INTERVAL 1 DAY] ELSE [ts] END) AS arrival FROM keyed))
 )"""
 
 TIMED = RAW + r""", found AS (
@@ -263,16 +265,21 @@ def oracle_sql() -> dict[str, str]:
         "report_dt_window": _curated(
             "SELECT min(dt) AS min_dt, max(dt) AS max_dt, count(DISTINCT dt) AS n_days, count(*) AS total_rows, "
             "array_to_string(list_sort(list(DISTINCT dt)), ',') AS dts FROM curated"),
-        "report_missing_days": _from(CURATED + """, part_rows AS (
-  SELECT dt FROM curated WHERE derived_genre = 'PHIM_HAN' AND platform_group = 'Web' AND is_search_abandoned
-)""", "SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(min(CAST(dt AS DATE)), "
-             "max(CAST(dt AS DATE)), INTERVAL 1 DAY)) AS d FROM part_rows) "
-             "WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT dt FROM part_rows)"),
-        "report_window_caption": _curated(
+        "report_missing_days": _curated(
+            "SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(min(CAST(dt AS DATE)), "
+            "max(CAST(dt AS DATE)), INTERVAL 1 DAY)) AS d FROM curated) "
+            "WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT dt FROM curated)"),
+        "report_window_caption": _from(CURATED + """, gaps AS (
+  SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(min(CAST(dt AS DATE)), max(CAST(dt AS DATE)), INTERVAL 1 DAY)) AS d FROM curated)
+  WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT dt FROM curated)
+), absent AS (
+  SELECT count(*) AS missing, array_to_string(list_sort(list(dt))[1:3], '; ') AS named FROM gaps
+)""",
             "SELECT min(dt) || ' → ' || max(dt) || ' • ' || count(DISTINCT dt) || ' days • ' || "
+            "any_value(CASE WHEN missing > 0 THEN missing || ' missing (' || named || "
+            "CASE WHEN missing > 3 THEN ' (+' || (missing - 3) || ' more)' ELSE '' END || ') • ' ELSE '' END) || "
             "format('{:,}', count(*)) || ' rows' AS label, min(dt) AS min_dt, max(dt) AS max_dt, "
-            "count(DISTINCT dt) AS n_days, count(*) AS total_rows, "
-            "date_diff('day', min(CAST(dt AS DATE)), max(CAST(dt AS DATE))) + 1 - count(DISTINCT dt) AS missing FROM curated"),
+            "count(DISTINCT dt) AS n_days, count(*) AS total_rows, any_value(missing) AS missing FROM curated, absent"),
         "report_totals": _curated(
             f"SELECT count(*) AS total, count(DISTINCT keyword_norm) AS kw, {pct(_ABANDONED, _N)} AS abandon FROM curated"),
         "report_platform": _curated(

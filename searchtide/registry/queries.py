@@ -254,12 +254,7 @@ _report("report_genre_distribution", reports.genre_distribution)
 _report("rollup_keyword", reports.keyword_rollup)
 
 
-@_query
-def report_missing_days(spark, folder):
-    """Days without an abandoned web search for one genre; the whole table has no gaps."""
-    rows = _curated(spark, folder).where(
-        (F.col("derived_genre") == "PHIM_HAN") & (F.col("platform_group") == "Web") & F.col("is_search_abandoned"))
-    return reports.missing_days(rows)
+_report("report_missing_days", reports.missing_days)
 
 
 @_query

@@ -42,13 +42,14 @@ def as_raw(events: DataFrame, parts: DataFrame) -> DataFrame:
 
     Works on a stream as well.
     """
-    stamped = events.selectExpr(
-        "event_id", "timestamp(ts) as ts", "user_id", "event_type",
-        r"""bigint(regexp_extract(props, '"k":\\s*(\\d+)', 1)) % 20 as p_partkey""")
-    # the key is a remainder of 20, so no more than 20 part keys can be asked for
-    names = F.broadcast(parts.where("p_partkey between 0 and 19").select("p_partkey", "p_name"))
-    arrivals = stamped.join(names, "p_partkey").selectExpr(
-        "*", "explode(if(event_id % 50 = 0, array(ts, ts + interval 1 day), array(ts))) as day")
+    k = r"""bigint(regexp_extract(props, '"k":\\s*(\\d+)', 1))"""
+    # every second event asks for one of a few popular names, the others spread over the whole table
+    place = f"if(event_id % 2 = 0, {k} % 20, ({k} * 97 + event_id) % {max(1, parts.count())}L)"
+    stamped = events.selectExpr("event_id", "timestamp(ts) as ts", "user_id", "event_type", f"{place} as p_partkey")
+    arrivals = stamped.join(parts.select("p_partkey", "p_name"), "p_partkey").selectExpr(
+        "*", "explode(if(event_id % 50 = 0, array(ts, ts + interval 1 day), array(ts))) as at")
+    # three days without a folder of their own
+    arrivals = arrivals.selectExpr("*", "if(day(at) in (10, 17, 18), at + interval 3 days, at) as day")
     return arrivals.selectExpr(*[f"{_RAW_COLUMNS[name]} as {name}" for name in RAW.names])
 
 

@@ -197,4 +197,4 @@ def test_published_counts_of_the_fixture(spark, raw):
     rows = curated(raw, rules=TEST_RULES)
     assert (raw.count(), usable.count(), rows.count()) == (1020, 1015, 996)
     assert rows.where("search_session_id IS NULL").count() == 35
-    assert rows.where("is_repeat_search").count() == 7
+    assert rows.where("is_repeat_search").count() == 3
