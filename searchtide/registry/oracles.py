@@ -414,6 +414,31 @@ UNION ALL SELECT 'hour matrix is complete', count(*) >= 100, CAST(count(*) AS VA
             "SELECT * EXCLUDE (event_ts, plan_names, user_id_hashed, search_session_id, has_premium, subscription_count), "
             f"{_TS.format('event_ts')} AS event_ts, CASE WHEN plan_names IS NOT NULL THEN "
             "coalesce(array_to_string(plan_names, ','), '') END AS plan_names FROM curated"),
+        "dq_recommend": _from(CURATED + """, pairs AS (
+  SELECT * FROM (SELECT CAST(derived_genre AS VARCHAR) AS derived_genre, CAST(platform_group AS VARCHAR) AS platform_group,
+    CAST(network_type_norm AS VARCHAR) AS network_type_norm, CAST(subscription_count AS VARCHAR) AS subscription_count,
+    CAST(is_search_abandoned AS VARCHAR) AS is_search_abandoned FROM curated) UNPIVOT (v FOR col IN (*))
+), counts AS (
+  SELECT * FROM (SELECT col, v, count(*) AS c FROM pairs GROUP BY col, v) QUALIFY count(*) OVER (PARTITION BY col) <= 20
+), running AS (
+  SELECT *, (SELECT count(*) FROM curated) AS n, sum(c) OVER (PARTITION BY col) AS total,
+    sum(c) OVER (PARTITION BY col ORDER BY c DESC, v ROWS UNBOUNDED PRECEDING) - c AS before FROM counts
+), lists AS (
+  SELECT col, n, sum(c) AS covered, string_agg('"' || v || '"', ',' ORDER BY v) AS vs FROM running GROUP BY col, n
+  UNION ALL
+  SELECT col, n, sum(c) FILTER (before < 0.9 * n), string_agg('"' || v || '"', ',' ORDER BY v) FILTER (before < 0.9 * n) FROM running
+  GROUP BY col, n HAVING max(total) >= 0.9 * n AND count(*) FILTER (before < 0.9 * n) < count(*)
+), listed AS (
+  SELECT col, vs, CASE WHEN covered = n THEN 1.0 ELSE CAST(100 * covered // n AS DOUBLE) / 100 END AS threshold FROM lists
+), shares AS (
+  SELECT """ + pct("count(*) FILTER (n = 1)", "sum(n)", 1, 4) + """ AS share FROM (SELECT event_id, count(*) AS n FROM curated GROUP BY ALL)
+)""", """
+SELECT 'listed' AS kind, col AS "column", CAST(threshold AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS "limit", 'ColumnValues "' || col || '" in [' || vs || ']'
+  || CASE WHEN threshold >= 1 THEN '' ELSE printf(' with threshold >= %g', CAST(threshold AS DOUBLE)) END AS rule FROM listed
+UNION ALL
+SELECT 'at_most', 'subscription_count', 1.0, CAST(max(subscription_count) AS DOUBLE), printf('ColumnValues "subscription_count" <= %g', CAST(max(subscription_count) AS DOUBLE)) FROM curated
+UNION ALL
+SELECT 'unique', 'event_id', 1.0, greatest(0, trunc(share * 100 - 1) / 100), printf('Uniqueness "event_id" > %g', greatest(0, trunc(share * 100 - 1) / 100)) FROM shares"""),
         # streams
         "stream_ingest": _curated(f"SELECT {CURATED_COLUMNS.replace('_pipeline_run_id, ', '')} FROM curated"),
         "stream_dedup": _from(DEDUPED, f"SELECT eventid, {_TS.format('event_ts')} AS event_ts FROM deduped"),

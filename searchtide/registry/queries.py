@@ -469,7 +469,8 @@ def dq_recommend(spark, folder):
         _stored(spark, folder, "profile", repeats=False),
         ["derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned"],
         keys=["event_id"])
-    return quality.rules_table(spark, rules)
+    # the values are part of the rule's text
+    return quality.rules_table(spark, rules).drop("values")
 
 
 def _lineage_query(spark, folder):

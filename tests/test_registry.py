@@ -10,7 +10,7 @@ from tests.conftest import SMALL
 from tools.compare import compare, tables
 
 #: results that depend on choices SQL does not make
-ROWS_ONLY = {"dq_recommend"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
