@@ -65,7 +65,7 @@ def main() -> None:
             "hour_genre": lambda: finish(reports.hour_genre(rows)),
             "hour_matrix": lambda: finish(reports.hour_matrix(rows)),
             "window_caption": lambda: finish(reports.window_caption(rows)),
-            "partition_lookup": lambda: finish(partition(rows, "2024-01-10", "PHIM_HAN").agg(F.count(F.lit(1)))),
+            "partition_lookup": lambda: finish(partition(rows, "2024-01-12", "PHIM_HAN").agg(F.count(F.lit(1)))),
             "keyword_rollup": lambda: finish(reports.keyword_rollup(rows)),
             "unknown_keywords": lambda: finish(lut_ops.unknown_keywords(rows)),
             "lut_refresh": lambda: refresh_lut(
