@@ -158,31 +158,42 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if len(set(good)) < 2:
         return None
     lists = found["buckets"].combine_chunks()
-    row = np.repeat(np.arange(len(good)), lists.value_lengths().to_numpy())
-    col = lists.flatten().to_numpy().astype(np.int64)
-    value = found["values"].combine_chunks().flatten().to_numpy().astype(float)
-    return _trained(row, col, value, good)
+    first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    # views of what was collected, 6 bytes per feature; everything else is worked out block by block
+    return _trained(first, lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy(), good)
 
 
-def _trained(row: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, steps: int = 120) -> Model:
+#: rows whose features are worked on at a time while training
+_BLOCK = 64
+
+
+def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, steps: int = 120) -> Model:
+    """Fit to rows whose features are ``first[i]:first[i + 1]`` of ``col`` and ``value``."""
     held = np.arange(len(good)) % 4 == 3
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
         held = np.zeros(len(good), bool)
-    own = ~held[row]
     weights, intercept = np.zeros(BUCKETS), 0.0
     # both kinds weigh the same in the fit; the calibration restores the true shares
     weight = np.where(good == 1, 0.5 / max(1, (good[~held] == 1).sum()), 0.5 / max(1, (good[~held] == 0).sum())) * ~held
-    r, c, v = row[own], col[own], value[own]
-    first, second, b1, b2 = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
+    blocks = [(k, min(k + _BLOCK, len(good))) for k in range(0, len(good), _BLOCK)]
+
+    def margins(start: int, stop: int) -> np.ndarray:
+        part = slice(first[start], first[stop])
+        return tx.sums(value[part] * weights[col[part]], first[start : stop + 1] - first[start]) + intercept
+
+    mean, square, b1, b2 = np.zeros(BUCKETS), np.zeros(BUCKETS), 0.0, 0.0
     for step in range(1, steps + 1):
-        margin = np.bincount(r, v * weights[c], minlength=len(good)) + intercept
-        error = (_logistic(margin) - good) * weight
-        grad = np.bincount(c, v * error[r], minlength=BUCKETS) + 1e-7 * weights
-        first, second = 0.9 * first + 0.1 * grad, 0.99 * second + 0.01 * grad**2
-        weights -= 2.0 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.99**step)) + 1e-8)
-        b1, b2 = 0.9 * b1 + 0.1 * error.sum(), 0.99 * b2 + 0.01 * error.sum() ** 2
+        grad, shift = 1e-7 * weights, 0.0
+        for start, stop in blocks:
+            error = (_logistic(margins(start, stop)) - good[start:stop]) * weight[start:stop]
+            part = slice(first[start], first[stop])
+            grad += np.bincount(col[part], value[part] * np.repeat(error, np.diff(first[start : stop + 1])), minlength=BUCKETS)
+            shift += error.sum()
+        mean, square = 0.9 * mean + 0.1 * grad, 0.99 * square + 0.01 * grad**2
+        weights -= 2.0 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        b1, b2 = 0.9 * b1 + 0.1 * shift, 0.99 * b2 + 0.01 * shift**2
         intercept -= 0.1 * (b1 / (1 - 0.9**step)) / (np.sqrt(b2 / (1 - 0.99**step)) + 1e-8)
-    margin = np.bincount(row, value * weights[col], minlength=len(good)) + intercept
+    margin = np.concatenate([margins(start, stop) for start, stop in blocks])
     slope, shift = _calibrated(margin[held] if held.any() else margin, good[held] if held.any() else good)
     return Model(weights.astype(np.float32), float(intercept), slope, shift)
 
