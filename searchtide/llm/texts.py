@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: bytes of text worked on at a time; a single longer text is worked on alone
-CHUNK_BYTES = 2 * 1024 * 1024
+CHUNK_BYTES = 1024 * 1024
 
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
