@@ -1,14 +1,16 @@
 """Sanitisation of personal data: patterns, and terms that reveal what the patterns found.
 
 Patterns find e-mail addresses, network addresses, card and phone numbers. Each value found is a
-protected entity. From the whole corpus follows how strongly a term next to an entity reveals it: with
-n(e) documents with the entity, n(t) with the term and n(e, t) where the term stands next to the entity,
+protected entity. From the whole corpus follows how strongly a term of a document reveals an entity of the same
+document. With n(e) documents with the entity, n(t) with the term and n(e, t) with both, wherever they stand,
 
     PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t)))     disclosure = PMI(e; t) / -log2(n(e) / N)
 
-Disclosure 1 means that the term gives the entity away completely, 0 that it says nothing. Terms at or above the
-threshold, seen next to the entity in several different contexts (copies of one text count once), are marked wherever
-they stand in documents with that entity. ``sanitised`` puts a tag in place of entities,
+Disclosure 1 means that the term gives the entity away completely, 0 that it says nothing. Most values stand in one or
+two documents, too few to tell a revealing term from any rare word. A pair seen in fewer than ``LEAST_CONTEXTS`` different
+surroundings of the term therefore counts with that share only; for the rest stands the disclosure, worked out alike, of the e-mail domain,
+then of the kind of entity, and in the end 0. Copies and near copies, in which a term has the same surroundings, count once. Terms at or
+above the threshold are marked wherever they stand in documents with that entity. ``sanitised`` puts a tag in place of entities,
 generalises a disclosing term to its initial and removes one that discloses completely.
 
 Everything is DataFrame functions. Positions count code points from 0, the end is exclusive.
@@ -34,10 +36,9 @@ PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 KINDS = ("email", "ip", "card", "phone", "term")
 _PLACE = {kind: i for i, kind in enumerate(KINDS)}
 
-#: characters on either side of an entity, and whole words of these, that count as next to it
-CONTEXT_CHARS = 80
+#: words on either side of a term that are its surroundings
 CONTEXT_WORDS = 4
-#: different contexts in which a term must stand next to an entity
+#: different surroundings of a term from which on a pair speaks for itself
 LEAST_CONTEXTS = 3
 #: share of an entity's information that a term may reveal
 DISCLOSURE = 0.8
@@ -61,33 +62,18 @@ def _running(lengths: Column) -> Column:
     return F.flatten(F.zip_with(blocks, before(totals, F.lit(0)), before))
 
 
-def _found(text: Column, pattern: Column, kind: str, context: bool = False) -> Column:
-    """Matches of a pattern: place, start, stop, value and the text around."""
+def _found(text: Column, pattern: Column, kind: str) -> Column:
+    """Matches of a pattern: place, start, stop and value."""
     pieces, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, pattern, F.lit(0))
     # the text before each match and the match itself
     steps = F.zip_with(F.slice(pieces, 1, F.size(hits)), hits, lambda p, h: F.length(p) + F.length(h))
     ends = F.zip_with(_running(steps), steps, lambda a, b: a + b)
-    parts = F.arrays_zip(ends.alias("stop"), hits.alias("value"), pieces.alias("left"), F.slice(pieces, 2, F.greatest(F.size(hits), F.lit(1))).alias("right"))
+    parts = F.arrays_zip(ends.alias("stop"), hits.alias("value"))
 
     def span(x: Column) -> Column:
-        fields = [(x["stop"] - F.length(x["value"])).alias("start"), F.lit(_PLACE[kind]).alias("place"), x["stop"].alias("stop")]
-        if context:
-            fields += [x["value"].alias("value"), _near(x["left"], True).alias("before"), _near(x["right"], False).alias("after")]
-        return F.struct(*fields)
+        return F.struct((x["stop"] - F.length(x["value"])).alias("start"), F.lit(_PLACE[kind]).alias("place"), x["stop"].alias("stop"), x["value"].alias("value"))
 
-    return F.transform(F.filter(parts, lambda x: x["value"].isNotNull()), span)
-
-
-def _near(piece: Column, left: bool) -> Column:
-    """The whole words next to a match, from the text on one side of it."""
-    cut = F.substring(piece, -CONTEXT_CHARS, CONTEXT_CHARS) if left else F.substring(piece, 1, CONTEXT_CHARS)
-    words = F.regexp_extract_all(cut, F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
-    whole = F.length(piece) <= CONTEXT_CHARS
-    if left:
-        words = F.when(whole, words).otherwise(F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))))
-        return F.when(F.size(words) <= CONTEXT_WORDS, words).otherwise(F.slice(words, -CONTEXT_WORDS, CONTEXT_WORDS))
-    words = F.when(whole, words).otherwise(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))))
-    return F.slice(words, 1, CONTEXT_WORDS)
+    return F.transform(parts, span)
 
 
 def _digits(value: Column) -> Column:
@@ -106,14 +92,14 @@ def _small_parts(value: Column) -> Column:
     return F.forall(plain, lambda p: (F.length(p) <= 3) & (F.substring(p, 1, 3).cast("int") <= 255))
 
 
-def base_spans(text: Column, context: bool = False) -> Column:
+def base_spans(text: Column, values: bool = False) -> Column:
     """Entities by pattern as an array sorted by start, then kind."""
-    empty = F.array().cast(_SPAN if not context else _SPAN[:-2] + ",value:string,before:array<string>,after:array<string>>>")
+    empty = F.array().cast(_SPAN if not values else _SPAN[:-2] + ",value:string>>")
 
     def only(condition: Column, kind: str, pattern: str, valid=None) -> Column:
-        found = _found(text, F.lit(pattern), kind, True)
+        found = _found(text, F.lit(pattern), kind)
         found = F.filter(found, lambda x: valid(x["value"])) if valid else found
-        if not context:
+        if not values:
             found = F.transform(found, lambda x: F.struct(x["start"], x["place"], x["stop"]))
         return F.when(condition, found).otherwise(empty)
 
@@ -132,36 +118,77 @@ def _terms(words: Column) -> Column:
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``found`` (entities with value and context) of every row; staged, without the texts."""
-    found = base_spans(F.coalesce(F.col(text_col), F.lit("")), context=True)
-    return staged(docs.select(F.col(id_col).alias("doc_id"), found.alias("found")), "mentions")
+    """``doc_id``, ``found`` (entities with value) and, where there are any, ``near`` (each term outside e-mail addresses with a
+    hash of its surroundings, the smallest if it stands in several places) of every row; staged, without the texts."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), base_spans(text, values=True).alias("found"))
+    outside = F.regexp_replace(F.lower(F.regexp_replace("text", EMAIL, " ")), r"[\x20\x09-\x0D]+", " ")
+    rows = rows.select("doc_id", "found", F.when(F.size("found") > 0, F.split(outside, " ")).otherwise(F.array().cast("array<string>")).alias("words"))
+
+    def around(word: Column, i: Column) -> Column:
+        first = F.greatest(i + 1 - CONTEXT_WORDS, F.lit(1))
+        context = F.xxhash64(F.slice(F.col("words"), first, i + 2 + CONTEXT_WORDS - first))
+        return F.transform(_terms(word), lambda t: F.struct(t.alias("term"), context.alias("context")))
+
+    rows = rows.select("doc_id", "found", F.sort_array(F.flatten(F.transform("words", around))).alias("places"))
+    once = F.filter("places", lambda p, i: (i == 0) | (F.get("places", F.greatest(i - 1, F.lit(0)))["term"] != p["term"]))
+    return staged(rows.select("doc_id", "found", once.alias("near")), "mentions")
+
+
+def _entity(m: Column) -> Column:
+    return F.concat_ws(":", m["place"], m["value"])
+
+
+def _wider(entity: Column) -> list[Column]:
+    """The e-mail domain of an entity (null for other kinds) and its kind."""
+    kind = F.substring_index(entity, ":", 1)
+    return [F.when(kind == str(_PLACE["email"]), F.concat(F.lit("@"), F.lower(F.substring_index(entity, "@", -1)))), kind]
 
 
 def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", threshold: float = DISCLOSURE,
                 least_contexts: int = LEAST_CONTEXTS) -> DataFrame:
     """``entity``, ``term``, ``disclosure`` of the terms that reveal an entity, from counts over all documents."""
-    entity = found.where("size(found) > 0 and doc_id is not null").select("doc_id", F.explode("found").alias("m")).select(
-        "doc_id", F.concat_ws(":", "m.place", "m.value").alias("entity"), F.concat("m.before", "m.after").alias("near"))
-    near = entity.select("doc_id", "entity", F.xxhash64("near").alias("context"), F.explode(_terms(F.array_join("near", " "))).alias("term"))
-    # one copied context counts once
-    supported = near.select("entity", "term", "context").distinct().groupBy("entity", "term").agg(F.count("*").alias("contexts"))
-    supported = supported.where(F.col("contexts") >= least_contexts)
-    supported = staged(supported.select("entity", "term"), "pairs")
-    together = near.join(counted(supported), ["entity", "term"]).select("entity", "term", "doc_id").distinct().groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-    held = entity.join(counted(staged(supported.select("entity").distinct(), "entities")), "entity")
-    n_e = held.select("entity", "doc_id").distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    n = float(docs.count())
+    own = F.transform("found", _entity)
+    wider = F.filter(F.flatten(F.transform("found", lambda m: F.array(*_wider(_entity(m))))), lambda k: k.isNotNull())
+    keyed = found.where("size(found) > 0").select(F.array_distinct(F.concat(own, wider)).alias("keys"), "near")
+    n_e = staged(keyed.select(F.explode("keys").alias("key")).groupBy("key").agg(F.count("*").alias("n_e")), "entities")
     words = docs.select(F.explode(_terms(F.col(text_col))).alias("term"))
-    n_t = words.groupBy("term").agg(F.count("*").alias("n_t"))
-    pairs = together.join(n_e, "entity").join(n_t, "term").withColumn("n", F.lit(float(docs.count())))
-    pmi = F.log2(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
-    scored = pairs.where("n_e < n").select("entity", "term", (pmi / -F.log2(F.col("n_e") / F.col("n"))).alias("disclosure"))
+    n_t = staged(words.groupBy("term").agg(F.count("*").alias("n_t")), "frequencies")
+    near = keyed.select("keys", F.explode("near").alias("x")).select("keys", "x.*")
+    most = n_e.where(F.col("n_e") < n).agg(F.max("n_e")).first()[0]
+    if most and threshold > 0:
+        # terms so common that n(e, t) = min(n(e), n(t)) would not reach the threshold with any entity, domain or kind
+        common = n_t.where(F.col("n_t") > n * (most / n) ** threshold * (1 + 1e-9)).select("term")
+        near = near.join(counted(staged(common, "common")), "term", "left_anti")
+    pairs = near.select(F.explode("keys").alias("key"), "term", "context").groupBy("key", "term", "context").agg(F.count("*").alias("n_et"))
+    pairs = pairs.groupBy("key", "term").agg(F.sum("n_et").alias("n_et"), F.count("*").alias("contexts"))
+    pairs = pairs.join(counted(n_e), "key").join(n_t, "term")
+    pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
+    # what all documents have says nothing
+    score = F.when(F.col("n_e") < n, pmi / -F.log2(F.col("n_e") / n)).otherwise(F.lit(0.0))
+    share = F.least(F.col("contexts") / least_contexts, F.lit(1.0))
+    pairs = staged(pairs.select("key", "term", "n_e", score.alias("score"), share.alias("share")), "pairs")
+    single = F.contains("key", F.lit(":"))
+    rest = pairs.where(~single)
+    domain, kind = [counted(staged(rest.where(is_domain).select(F.col("key").alias(c), "term", (F.col("score") * F.col("share")).alias(f"{c}_score"), F.col("share").alias(f"{c}_share")), c))
+                    for c, is_domain in (("domain", F.col("key").startswith("@")), ("kind", ~F.col("key").startswith("@")))]
+    # the disclosure of a wider key is 1 at most
+    able = F.col("score") * F.col("share") + 1 - F.col("share") >= threshold - 1e-9
+    own = pairs.where(single & (F.col("n_e") < n) & able).select("*", *[c.alias(k) for k, c in zip(("domain", "kind"), _wider(F.col("key")))])
+    own = own.join(domain, ["domain", "term"], "left").join(kind, ["kind", "term"], "left")
+    total, left = F.col("score") * F.col("share"), 1 - F.col("share")
+    for c in ("domain", "kind"):
+        total = total + left * F.coalesce(f"{c}_score", F.lit(0.0))
+        left = left * (1 - F.coalesce(f"{c}_share", F.lit(0.0)))
+    scored = own.select(F.col("key").alias("entity"), "term", total.alias("disclosure"))
     return staged(scored.where(F.col("disclosure") >= threshold), "disclosures")
 
 
 def revealing(found: DataFrame, disclosing: DataFrame) -> DataFrame:
     """``doc_id`` and ``terms`` (term to its disclosure) that reveal an entity of that document."""
     held = found.where("size(found) > 0 and doc_id is not null").select("doc_id", F.explode("found").alias("m")).select(
-        "doc_id", F.concat_ws(":", "m.place", "m.value").alias("entity")).distinct()
+        "doc_id", _entity(F.col("m")).alias("entity")).distinct()
     terms = held.join(counted(disclosing), "entity").groupBy("doc_id", "term").agg(F.max("disclosure").alias("disclosure"))
     return staged(terms.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("term", "disclosure"))).alias("terms")), "revealing")
 
@@ -169,7 +196,7 @@ def revealing(found: DataFrame, disclosing: DataFrame) -> DataFrame:
 def _term_spans(text: Column, terms: Column) -> Column:
     """Where terms stand as whole runs of letters, in any case."""
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), F.array_join(F.transform(terms, lambda t: t["term"]), "|"), F.lit(r")(?!\p{L})"))
-    return _found(text, pattern, "term", True)
+    return _found(text, pattern, "term")
 
 
 def _with_terms(docs: DataFrame, id_col: str, text_col: str, threshold: float, least_contexts: int) -> tuple[DataFrame, DataFrame]:

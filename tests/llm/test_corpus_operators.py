@@ -217,6 +217,18 @@ def test_copies_reveal_nothing(ready):
     assert sanitise.spans(docs).where("size(all_spans) > size(base)").count() == 0
 
 
+def test_terms_far_from_values_of_few_documents(ready):
+    """A value of two documents, and values of one document each that share a domain; terms stand many words away."""
+    rows = [(i, f"{prose(i, 30)} Quuxley {prose(i + 9, 40)} rare.person@home.org {prose(i + 20, 20)} {w}") for i, w in enumerate(["oncewritten", "alsorare"])]
+    rows += [(10 + i, f"{prose(i + 60, 25)} Zibblet {prose(i + 70, 30)} {w}@club.org") for i, w in enumerate(["ann", "bob", "cid"])]
+    rows += [(30 + i, prose(i + 100, 80)) for i in range(60)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["s"] for r in sanitise.spans(docs).select("doc_id", sanitise.joined_spans(F.col("all_spans")).alias("s")).collect()}
+    for key, text in rows:
+        places = {(m.start(), m.end()) for m in re.finditer("Quuxley|Zibblet", text)}
+        assert places == {tuple(map(int, s.split(":")[1:])) for s in got[key].split(",") if s.startswith("term")}
+
+
 def test_sanitised(ready, edges):
     docs = ready.createDataFrame(SECRET, "doc_id long, text string")
     text = {r["doc_id"]: r["text"] for r in sanitise.sanitised(docs).collect()}
