@@ -6,7 +6,8 @@ two before it: a class vector is predicted as the weighted sum of the context's
 product with each class vector plus a bias gives that class's log score. The word within its class follows smoothed counts.
 
 Counts are over all training tokens. The vectors are trained with noise-contrastive estimation in numpy: every
-task passes over each ``STRIDE``-th position of its training texts, and the tasks' parameters are averaged, twice over.
+task passes over its training texts, and the tasks' parameters are averaged, ``ROUNDS`` times over; the rounds share the
+positions out among themselves, so that each position of each text is trained on once.
 What is trained on grows with the input; the parameters do not.
 
 Scores of a batch are lookups in tables of products: with E1 and E2 the exponentials of the scores that each of the two context
@@ -39,7 +40,6 @@ SINGLE = 512
 ENDINGS = 509
 CLASSES = SINGLE + ENDINGS
 DIMENSIONS = 24
-STRIDE = 16
 ROUNDS = 2
 BATCH = 512
 NOISE = 128
@@ -203,11 +203,11 @@ def _shaped(values: np.ndarray) -> Vectors:
 
 
 def fit(docs: DataFrame, counts: Counts, text_col: str = "text", rounds: int = ROUNDS) -> Vectors:
-    """Train on the texts; each round averages what the tasks learned, by their numbers of positions."""
+    """Train on every position of the texts, in one of the rounds; each round averages what the tasks learned, by their numbers of positions."""
     vectors = start(counts)
     share = (counts.class_tokens + 0.5) / (counts.class_tokens + 0.5).sum()
     small = Counts(counts.tokens, counts.distinct, counts.single, counts.head[:0], counts.head_counts[:0], counts.class_tokens, counts.class_words)
-    for _ in range(rounds):
+    for turn in range(rounds):
         sent = docs.sparkSession.sparkContext.broadcast((vectors, small))
 
         def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +219,7 @@ def fit(docs: DataFrame, counts: Counts, text_col: str = "text", rounds: int = R
                     words = tx.words_of(tx.lowered(data), offsets)
                     ids, vocabulary = tx.numbered(words.strings)
                     line, places = _sequence(_classes(vocabulary, known)[ids] if len(ids) else ids, words.first)
-                    places = places[::STRIDE]
+                    places = places[turn::rounds]
                     places = places[np.random.default_rng(len(places)).permutation(len(places))]
                     own = trained(own, line[places - 1], line[places - 2], line[places], share)
                     seen += len(places)

@@ -243,6 +243,15 @@ def test_training_beats_word_counts_where_order_matters():
     assert logp.mean() > math.log(1 / 6)
 
 
+def test_every_position_is_trained_on(ready):
+    """15 words and the end: every 16th position alone would only ever be the first word."""
+    words = [f"word{i}" for i in range(15)]
+    docs = ready.createDataFrame([(i, " ".join(words)) for i in range(200)], "doc_id long, text string").coalesce(1)
+    counts, _ = lbl.summed(lbl.token_counts(docs))
+    moved = np.abs(lbl.fit(docs, counts).context - lbl.start(counts).context).max(axis=1)
+    assert (moved[lbl._classes(pa.array(words, pa.large_string()), counts)] > 0).all()
+
+
 def test_scoring_without_training_texts(edges):
     got = lbl.score(edges, edges.limit(0)).collect()
     assert len(got) == len(EDGES) and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in got)
