@@ -117,16 +117,24 @@ def judged(texts: pa.Array, model: Model | None, threshold: float = THRESHOLD) -
     return out
 
 
+def _known(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
+    """``id`` and ``good`` of the labels that can be learned from."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good"))
+    return known.where("id is not null and good in (0, 1)").groupBy("id").agg(F.min("good").alias("good"))
+
+
 def _sample(labels: DataFrame, id_col: str, label_col: str, most: int) -> list[tuple]:
     """At most ``most`` labelled ids of each kind, in the order of a hash of the id."""
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("good"))
-    known = known.where("id is not null and good in (0, 1)").groupBy("id").agg(F.min("good").alias("good"))
+    known = _known(labels, id_col, label_col)
     return [tuple(r) for good in (0, 1) for r in known.where(F.col("good") == good).orderBy(F.xxhash64("id"), "id").limit(most).collect()]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label_col: str = "quality", rows_of_each: int = LABELLED_ROWS) -> Model | None:
-    """Fit on at most ``rows_of_each`` labelled documents of each kind, every fourth held back for calibration."""
+    """Fit on at most ``rows_of_each`` labelled documents of each kind, every fourth held back for calibration.
+
+    The calibration weighs both kinds by their numbers among all labelled documents.
+    """
     chosen = _sample(labels, id_col, label_col, rows_of_each)
     if len({good for _, good in chosen}) < 2:
         return None
@@ -159,21 +167,23 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         return None
     lists = found["buckets"].combine_chunks()
     first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    every = docs.select(F.col(id_col).alias("id")).join(_known(labels, id_col, label_col), "id").groupBy("good").count().collect()
+    totals = {r["good"]: r["count"] for r in every}
     # views of what was collected, 6 bytes per feature; everything else is worked out block by block
-    return _trained(first, lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy(), good)
+    return _trained(first, lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy(), good, totals)
 
 
 #: rows whose features are worked on at a time while training
 _BLOCK = 64
 
 
-def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, steps: int = 120) -> Model:
-    """Fit to rows whose features are ``first[i]:first[i + 1]`` of ``col`` and ``value``."""
+def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, totals: dict[int, int], steps: int = 120) -> Model:
+    """Fit to rows whose features are ``first[i]:first[i + 1]`` of ``col`` and ``value``; ``totals`` are the numbers of each kind to calibrate to."""
     held = np.arange(len(good)) % 4 == 3
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
         held = np.zeros(len(good), bool)
     weights, intercept = np.zeros(BUCKETS), 0.0
-    # both kinds weigh the same in the fit; the calibration restores the true shares
+    # both kinds weigh the same in the fit; the calibration restores the shares among all labels
     weight = np.where(good == 1, 0.5 / max(1, (good[~held] == 1).sum()), 0.5 / max(1, (good[~held] == 0).sum())) * ~held
     blocks = [(k, min(k + _BLOCK, len(good))) for k in range(0, len(good), _BLOCK)]
 
@@ -194,21 +204,28 @@ def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.nda
         b1, b2 = 0.9 * b1 + 0.1 * shift, 0.99 * b2 + 0.01 * shift**2
         intercept -= 0.1 * (b1 / (1 - 0.9**step)) / (np.sqrt(b2 / (1 - 0.99**step)) + 1e-8)
     margin = np.concatenate([margins(start, stop) for start, stop in blocks])
-    slope, shift = _calibrated(margin[held] if held.any() else margin, good[held] if held.any() else good)
+    slope, shift = _calibrated(margin[held] if held.any() else margin, good[held] if held.any() else good, totals)
     return Model(weights.astype(np.float32), float(intercept), slope, shift)
 
 
-def _calibrated(margin: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of the logistic curve through the margins, with softened targets, by Newton's method."""
+def _calibrated(margin: np.ndarray, good: np.ndarray, totals: dict[int, int] | None = None) -> tuple[float, float]:
+    """Slope and shift of the logistic curve through the margins, with softened targets, by Newton's method.
+
+    With ``totals`` each kind has the weight of its number there, however many rows of it are given.
+    """
     n1, n0 = (good == 1).sum(), (good == 0).sum()
+    weight = np.ones(len(good))
+    if totals:
+        weight = np.where(good == 1, totals[1] / max(1, n1), totals[0] / max(1, n0))
+        weight *= len(good) / weight.sum()
     target = np.where(good == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     scale = max(1e-6, float(np.abs(margin).mean()))
     x = np.column_stack([margin / scale, np.ones(len(margin))])
     w = np.array([1.0, 0.0])
     for _ in range(50):
         p = _logistic(x @ w)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target) + 1e-4 * w)
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + 1e-4 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ (weight * (p - target)) + 1e-4 * w)
         w -= np.clip(step, -2, 2)
     return float(w[0] / scale), float(w[1])
 

@@ -94,6 +94,25 @@ def test_calibration_orders_probabilities():
     assert slope > 0 and -1 < shift < 2
 
 
+def test_cut_does_not_move_with_the_number_of_labels(ready, monkeypatch):
+    """The same labels once and 100 times, of which the larger table fills the sample of one kind only, then of both."""
+    rng = np.random.default_rng(3)
+    margin, good = np.concatenate([rng.normal(1, 1.5, 870), rng.normal(-1, 1.5, 110)]), np.repeat([1.0, 0.0], [870, 110])
+    cuts = {}
+    for times in (1, 100):
+        kept = np.concatenate([np.flatnonzero(np.tile(good, times) == k)[:1500] for k in (0, 1)])
+        slope, shift = quality._calibrated(np.tile(margin, times)[kept], np.tile(good, times)[kept], {1: 870 * times, 0: 110 * times})
+        cuts[times] = -shift / slope
+    assert cuts[100] == pytest.approx(cuts[1], abs=0.3)
+    # what is handed over are the numbers of all labels with a document, not those of the sample
+    seen = []
+    true = quality._calibrated
+    monkeypatch.setattr(quality, "_calibrated", lambda m, g, totals: seen.append(totals) or true(m, g, totals))
+    docs = ready.createDataFrame([(i, prose(i, 60)) for i in range(60)], "doc_id long, text string")
+    labels = ready.createDataFrame([(i, int(i >= 10)) for i in range(60)] + [(99, 0), (98, 1), (None, 0)], "doc_id long, quality int")
+    assert quality.fit(docs, labels, rows_of_each=10) is not None and seen == [{0: 10, 1: 50}]
+
+
 # --- pieces -------------------------------------------------------------------------------------
 
 
