@@ -5,7 +5,8 @@ words. A run is an anchor if the pair with the smallest hash is its first or its
 on the run alone and not on what stands around it, so an unchanged passage keeps its anchors
 wherever it moves. A text with fewer words is one anchor as a whole; a text without words has none.
 
-The fingerprint is the set of anchor hashes; as a string it is the ``SKETCH`` smallest of them. Likeness is twice the shared
+The fingerprint is the set of anchor hashes; as a string it is a digest over all of them. Results also hold every anchor with
+its position, from which likeness and alignment follow. Likeness is twice the shared
 anchors over the anchors of both. ``aligned`` matches anchors of two texts by position.
 
 Everything is DataFrame functions.
@@ -26,7 +27,6 @@ from searchtide.llm.texts import WORD
 RUN_WORDS = 6
 #: pairs of neighbouring words in a run
 PAIRS = RUN_WORDS - 1
-SKETCH = 64
 #: ranges of ids that the table is cut into; a range is sorted by one task
 MOST_RANGES = 16_384
 _FINE = 64
@@ -59,9 +59,10 @@ def anchor_set(found: Column) -> Column:
     return F.array_distinct(F.transform(found, lambda a: a["hash"]))
 
 
-def sketch(hashes: Column) -> Column:
-    """The smallest hashes in order, 16 hex digits each."""
-    return F.array_join(F.transform(F.slice(F.array_sort(hashes), 1, SKETCH), lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+def digest(hashes: Column) -> Column:
+    """SHA-256 over all hashes in order; empty if there are none."""
+    text = F.array_join(F.transform(F.array_sort(hashes), lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+    return F.when(F.size(hashes) > 0, F.sha2(text, 256)).otherwise(F.lit(""))
 
 
 def likeness(one: Column, other: Column) -> Column:
@@ -127,7 +128,7 @@ def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Fingerprints of every text and of its edited text, and likeness to the edited and the next text.
+    """Fingerprints and all anchors of every text and of its edited text, and likeness to the edited and the next text.
 
     The edited text has its last half replaced by as many characters from the start of the next document.
     """
@@ -141,8 +142,10 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = rows.select(*keys, F.sha2(F.encode("edited", "utf-8"), 256).alias("edited_sha256"), word_hashes(F.col("text")).alias("w"), word_hashes(F.col("edited")).alias("v"))
     keys.append("edited_sha256")
     rows = rows.select(*keys, "w", "v", pair_hashes(F.col("w")).alias("wp"), pair_hashes(F.col("v")).alias("vp"))
-    rows = rows.select(*keys, anchor_set(anchors(F.col("w"), F.col("wp"))).alias("own"), anchor_set(anchors(F.col("v"), F.col("vp"))).alias("new"))
+    rows = rows.select(*keys, anchors(F.col("w"), F.col("wp")).alias("anchors"), anchors(F.col("v"), F.col("vp")).alias("edited_anchors"))
+    keys += ["anchors", "edited_anchors"]
+    rows = rows.select(*keys, anchor_set(F.col("anchors")).alias("own"), anchor_set(F.col("edited_anchors")).alias("new"))
     rows = rows.select(*keys, "own", "new", F.lead("own").over(order).alias("next")).where(~F.col("late"))
     near_next = F.when(F.col("doc_id").isNotNull(), likeness(F.col("own"), F.col("next")))
-    return rows.select("doc_id", "n_chars", "edited_sha256", sketch(F.col("own")).alias("fingerprint"), sketch(F.col("new")).alias("edited_fingerprint"),
-                       likeness(F.col("own"), F.col("new")).alias("near_edited"), near_next.alias("near_next"))
+    return rows.select("doc_id", "n_chars", "edited_sha256", digest(F.col("own")).alias("fingerprint"), digest(F.col("new")).alias("edited_fingerprint"),
+                       likeness(F.col("own"), F.col("new")).alias("near_edited"), near_next.alias("near_next"), "anchors", "edited_anchors")

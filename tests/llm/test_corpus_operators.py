@@ -347,6 +347,19 @@ def test_fingerprints_of_edges(ready, edges):
     assert one["near_next"] == 1.0
 
 
+def test_results_hold_every_anchor(ready):
+    """Long texts that differ at the end only; likeness follows from what is returned."""
+    common = prose(21, 1500)
+    frame = ready.createDataFrame([(1, f"{common} {prose(22, 8)}"), (2, f"{common} {prose(23, 8)}")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in syncmers.compared(frame).collect()}
+    whole = {r["doc_id"]: r["anchors"] for r in syncmers.anchored(frame).collect()}
+    assert all(got[k]["anchors"] == whole[k] and len(whole[k]) > 300 for k in (1, 2))
+    assert got[1]["fingerprint"] != got[2]["fingerprint"]
+    one, two, new = ({a["hash"] for a in x} for x in (got[1]["anchors"], got[2]["anchors"], got[1]["edited_anchors"]))
+    assert got[1]["near_next"] == pytest.approx(2 * len(one & two) / (len(one) + len(two)))
+    assert got[1]["near_edited"] == pytest.approx(2 * len(one & new) / (len(one) + len(new)))
+
+
 # --- archives -----------------------------------------------------------------------------------
 
 PAGES = [(1, "http://a b/\n", "x\r\n\r\nWARC/1.0\n"), (2, None, None), (3, "", ""), (5, "u", "é"), (4, "u", "é"), (None, "u", "é"), (7, "u", "q"), (7, "u", "q"), (8, "v", "long " * 90_000)]
