@@ -60,7 +60,8 @@ def chunks(batch: pa.RecordBatch, column: str | int, most: int = CHUNK_BYTES) ->
             yield batch.slice(start, stop - start)
 
 
-def _split(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Parts:
+def split(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Parts:
+    """Runs of bytes that are no separators, none of them over the border of a text."""
     inside = ~separators[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -76,12 +77,12 @@ def _split(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> Par
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
-    return _split(data, offsets, _BLANK)
+    return split(data, offsets, _BLANK)
 
 
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
     """Lines that are not empty."""
-    return _split(data, offsets, _NEWLINE)
+    return split(data, offsets, _NEWLINE)
 
 
 def owners(first: np.ndarray) -> np.ndarray:
