@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from searchtide.llm import texts as tx
 from searchtide.llm.ranks import ranked
+from searchtide.llm.shared import staged
 
 BUCKETS = 10_000
 SEED = 2024
@@ -260,7 +261,8 @@ def resampled(
 ) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_features``, ``weight``, ``score`` and ``rank`` (1 is the highest score; null: not drawn) of every row."""
     gain = gains(bucket_counts(docs, text_col, shortest, longest, buckets), bucket_counts(target, target_text_col, shortest, longest, buckets))
-    scored = weighed(docs, gain, id_col, text_col, shortest, longest).withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
+    # written down, since a range partition reads its input twice
+    scored = staged(weighed(docs, gain, id_col, text_col, shortest, longest), "weights").withColumn("score", F.col("weight") + noise(F.col("doc_id"), seed))
     long_enough = F.col("n_words") >= least_words
     order = [long_enough.desc(), F.col("score").desc(), F.col("doc_id").asc_nulls_last()]
     placed = ranked(scored, order, "place", "resampled")

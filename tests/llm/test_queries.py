@@ -16,12 +16,14 @@ CONTRACT = {
     5: ["fingerprint", "component_id"], 6: ["n_words", "n_removed", "kept_sha256"],
     7: ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"], 8: ["n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
     9: ["size", "source_size", "target", "taken"], 10: ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"],
+    11: ["n_features", "weight", "score", "rank"], 12: ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"],
+    13: ["conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"],
 }
 
 
 def test_all_are_registered():
     names = queries.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert set(names) | {"pipeline"} <= set(entry.queries()) and set(sql.oracle_sql()) <= set(entry.oracle_sql())
 
 
@@ -30,10 +32,13 @@ def test_query(spark, name):
     verdict, _, rows = compare(spark, tables(SMALL), SMALL, name)
     assert verdict == ("ok" if name in sql.oracle_sql() else "rows only")
     number = int(name[2:].split("_")[0])
-    table = "pages" if number == 7 else "documents"
-    assert rows == spark.read.parquet(f"{SMALL}/{table}.parquet").count()
+    table = {7: "pages", 12: "conversations", 13: "conversations"}.get(number, "documents")
+    key = {"pages": "page_id", "conversations": "conv_id"}.get(table, "doc_id")
+    whole = spark.read.parquet(f"{SMALL}/{table}.parquet")
+    # query 12 has a conversation of its own
+    assert rows == (whole.count() if table != "conversations" else whole.select(key).distinct().count() + (number == 12))
     columns = queries.queries()[name](spark, SMALL).columns
-    assert set(CONTRACT[number]) <= set(columns) and (number == 7 or "doc_id" in columns)
+    assert set(CONTRACT[number]) | {key} <= set(columns)
 
 
 def test_pipeline(ready):
