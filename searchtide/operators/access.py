@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from searchtide.vocab import HIDDEN_COLUMNS
 
@@ -24,6 +24,11 @@ def create_role_view(rows: DataFrame, role: str, name: str | None = None) -> str
     return view
 
 
-def exclusion_matches(full: DataFrame, seen: DataFrame, role: str) -> bool:
-    """Are exactly the columns missing that the role must not see?"""
-    return set(full.columns) - set(seen.columns) == set(hidden_columns(role))
+def seen_columns(spark: SparkSession, view: str) -> set[str]:
+    """Columns of a view as the catalog has them."""
+    return {column.name for column in spark.catalog.listColumns(view)}
+
+
+def exclusion_matches(full: DataFrame, view: str, role: str) -> bool:
+    """Are exactly the columns missing from the role's view that it must not see?"""
+    return set(full.columns) - seen_columns(full.sparkSession, view) == set(hidden_columns(role))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.operators.access import exclusion_matches, hidden_columns, visible_to
+from searchtide.operators.access import exclusion_matches, hidden_columns
 from searchtide.sources.curated import partition
 
 SEARCH_ACTION = "search"
@@ -52,11 +53,10 @@ def contract_checks(
     ])
 
 
-def access_checks(curated: DataFrame, roles: list[str]) -> DataFrame:
-    """Does each role see exactly the columns it may?"""
+def access_checks(curated: DataFrame, views: Mapping[str, str]) -> DataFrame:
+    """Does the view of each role, as the catalog has it, hide exactly the columns the role must not see?"""
     rows = [
-        (f"columns hidden from {role}", exclusion_matches(curated, visible_to(curated, role), role),
-         ",".join(hidden_columns(role)) or "all columns visible")
-        for role in roles
+        (f"columns hidden from {role}", exclusion_matches(curated, view, role), ",".join(hidden_columns(role)) or "all columns visible")
+        for role, view in views.items()
     ]
     return curated.sparkSession.createDataFrame(rows, "name string, ok boolean, detail string")

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def fingerprint(events: DataFrame) -> Column:
+    """A number for the whole row, equal for equal rows."""
+    return F.xxhash64(*sorted(events.columns))
+
+
 def keep_first_event(events: DataFrame, keep_null_ids: bool = True) -> DataFrame:
     """Keep the earliest row of each ``eventid`` over all days.
 
@@ -19,10 +24,9 @@ def keep_first_event(events: DataFrame, keep_null_ids: bool = True) -> DataFrame
     """
     if not keep_null_ids:
         events = events.where(F.col("eventid").isNotNull())
-    fingerprint = F.xxhash64(*sorted(events.columns))
     earliest = Window.partitionBy("eventid").orderBy("event_ts", "dt", "_fingerprint")
     return (
-        events.withColumn("_fingerprint", fingerprint)
+        events.withColumn("_fingerprint", fingerprint(events))
         .withColumn("_copy", F.row_number().over(earliest))
         .where(F.col("_copy") == 1)
         .drop("_copy", "_fingerprint")

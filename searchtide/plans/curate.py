@@ -12,7 +12,7 @@ from searchtide import vocab
 from searchtide.functions import identity, moments, subscriptions, text
 from searchtide.operators.classify import NEAR_MIN_LENGTH, Patterns, classify
 from searchtide.operators.dedup import keep_first_event
-from searchtide.operators.repeats import mark_repeats
+from searchtide.operators.repeats import HOT_ROWS, mark_repeats
 from searchtide.schemas import CURATED
 
 
@@ -28,8 +28,8 @@ class CurationRules:
     #: shorter keywords take no near spelling
     near_min_length: int = NEAR_MIN_LENGTH
     split_null_sessions: bool = False
-    #: parts that sessions are cut into; none: as many as shuffle partitions
-    session_slices: int | None = None
+    #: sessions with more rows are cut into pieces for the repeat flag
+    hot_session_rows: int = HOT_ROWS
 
 
 def usable_events(raw: DataFrame, seen: Observation | None = None) -> DataFrame:
@@ -68,7 +68,8 @@ def prepared_events(
     """
     narrow = with_session_key(with_keyword(keep_first_event(events)))
     if repeats:
-        narrow = mark_repeats(narrow, rules.split_null_sessions, rules.session_slices)
+        # sessions are counted before copies are removed, which spares a second deduplication
+        narrow = mark_repeats(narrow, rules.split_null_sessions, with_session_key(events), rules.hot_session_rows)
     else:
         narrow = narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))
     classified = classify(narrow, lut, rules.patterns, rules.near_spellings, rules.near_min_length)

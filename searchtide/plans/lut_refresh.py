@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 
 from searchtide.operators import lut as ops
 from searchtide.operators.classify import Patterns
-from searchtide.sources import lut_store
+from searchtide.sources import folders, lut_store
 from searchtide.vocab import GENRE_PATTERNS
 
 #: given the cleaned keywords of a batch, the text the classifier replied with
@@ -73,10 +74,20 @@ def refresh_lut(
     """Ask about the most searched unknown keywords and save the new table; one summary row.
 
     Batches and replies are written down before they are used: the classifier is asked once, and
-    what was asked stays the same however often later steps run.
+    what was asked stays the same however often later steps run. They lie in ``work``, by default a folder of this
+    run's own, which is removed at the end. If another refresh saves in between, this one fails and saves nothing.
     """
-    lut, resolved = lut_store.load(spark, store)
-    work = work or f"{store}/work"
+    own = f"{store}/work-{uuid.uuid4().hex}" if work is None else None
+    try:
+        return _refreshed(spark, curated, store, classifier, limits, work or own)
+    finally:
+        if own:
+            folders.remove(spark, own)
+
+
+def _refreshed(spark: SparkSession, curated: DataFrame, store: str, classifier: Classifier, limits: RefreshLimits, work: str) -> DataFrame:
+    base = lut_store.current(spark, store)
+    lut, resolved = lut_store.load(spark, store, base)
 
     def written(table: DataFrame, name: str) -> DataFrame:
         table.write.mode("overwrite").parquet(f"{work}/{name}")
@@ -88,7 +99,8 @@ def refresh_lut(
     if batched.isEmpty():
         known = ops.merged_resolved(resolved, skipped)
         if not skipped.isEmpty():
-            lut_store.save(spark, store, lut, known)
+            lut_store.save(spark, store, lut, known, base)
+            lut, known = lut_store.load(spark, store)
         return _summary(spark, 0, lut, known, 0, "up-to-date")
 
     replied = written(replies(batched, classifier, limits.callers), "replies")
@@ -99,7 +111,7 @@ def refresh_lut(
     verdicts = written(ops.applied_verdicts(ops.verdict_pairs(parsed), batched), "verdicts")
     new_lut = ops.merged_lut(lut, verdicts)
     new_resolved = ops.merged_resolved(resolved, skipped, ops.unresolved(batched, verdicts, failed))
-    lut_store.save(spark, store, new_lut, new_resolved)
+    lut_store.save(spark, store, new_lut, new_resolved, base)
     saved_lut, saved_resolved = lut_store.load(spark, store)
     return _summary(spark, verdicts.count(), saved_lut, saved_resolved, failed.count(), "refreshed")
 

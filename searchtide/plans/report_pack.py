@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchtide.plans import reports
-from searchtide.plans.trending import TrendRules, reference_day, trending
+from searchtide.plans.trending import TrendRules, TrendWindows, reference_day, trending
 from searchtide.session import shared_folder
 
 Section = Callable[[DataFrame, DataFrame], DataFrame]
@@ -62,7 +62,7 @@ def report_pack(curated: DataFrame, out: str, run_id: str, workers: int = 4) ->
             section = SECTIONS[name](cells, keywords).withColumn("coverage", F.lit(caption))
             section.coalesce(1).write.mode("overwrite").parquet(f"{out}/section={name}")
         except Exception as error:  # noqa: BLE001  the error is reported, the other sections go on
-            return f"{type(error).__name__}: {error}"
+            return _told(error)
         return None
 
     with ThreadPoolExecutor(workers) as pool:
@@ -72,19 +72,31 @@ def report_pack(curated: DataFrame, out: str, run_id: str, workers: int = 4) ->
 def refresh(
     curated: DataFrame, out: str, run_id: str, day: date | None = None, rules: TrendRules = TrendRules()
 ) -> DataFrame:
-    """Trending report and report pack; one row saying how it went."""
+    """Trending report and report pack; one row saying how it went, with the ``messages`` of what failed (null: nothing).
+
+    The trending section carries the days it compares and its mode as ``coverage``.
+    """
     spark: SparkSession = curated.sparkSession
     day = day or reference_day(curated)
-    errors, rows, mode = 0, 0, "failed"
+    failed: dict[str, str] = {}
+    rows, mode = 0, "failed"
     try:
         report, mode = trending(curated, day, rules)
+        report = report.withColumn("coverage", F.lit(TrendWindows.before(day, rules).caption(mode)))
         report.coalesce(1).write.mode("overwrite").parquet(f"{out}/section=trending")
         rows = spark.read.schema(report.schema).parquet(f"{out}/section=trending").count()
-    except Exception:  # noqa: BLE001  counted below
-        errors += 1
+    except Exception as error:  # noqa: BLE001  told in the summary; the pack is made all the same
+        failed["trending"] = _told(error)
     try:
-        errors += sum(error is not None for error in report_pack(curated, out, run_id).values())
-    except Exception:  # noqa: BLE001
-        errors += 1
+        failed |= {name: error for name, error in report_pack(curated, out, run_id).items() if error is not None}
+    except Exception as error:  # noqa: BLE001
+        failed["report pack"] = _told(error)
+    messages = "; ".join(f"{name}: {error}" for name, error in failed.items()) or None
     return spark.createDataFrame(
-        [(day.isoformat(), mode, rows, errors)], "dt string, mode string, trending_rows bigint, errors bigint")
+        [(day.isoformat(), mode, rows, len(failed), messages)], "dt string, mode string, trending_rows bigint, errors bigint, messages string")
+
+
+def _told(error: Exception) -> str:
+    """The error in one line."""
+    text = str(error).strip()
+    return f"{type(error).__name__}: {text.splitlines()[0] if text else ''}"

@@ -38,6 +38,12 @@ class TrendWindows:
             (start, start + timedelta(days=rules.baseline_days)),
         )
 
+    def caption(self, mode: str) -> str:
+        """The days compared, both ends included, and how."""
+        (a, b), (c, d) = self.current, self.baseline
+        one = timedelta(days=1)
+        return f"{a} → {b - one} vs {c} → {d - one} • {mode}"
+
 
 def _within(days: tuple[date, date]) -> Column:
     return (F.col("dt") >= days[0].isoformat()) & (F.col("dt") < days[1].isoformat())

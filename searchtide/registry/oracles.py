@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from searchtide import vocab
 from searchtide.registry.settings import (
-    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
-    VERDICT_WORDS,
+    ARRIVED_UNTIL, FILTER_GENRE, FILTER_TEXT, LOOKUP_DAY, LUT_WORDS, NEW_SINCE, PHRASES, QUALITY_RULES, RESOLVED_WORD, RUN_ID,
+    SINCE, TREND, VERDICT_WORDS,
 )
 from searchtide.sources.testtables import WORD_PATTERNS
 
@@ -129,13 +129,13 @@ def _curated(body: str) -> str:
     return _from(CURATED, body)
 
 
-def _windows() -> str:
-    return f""", days AS (SELECT max(CAST(dt AS DATE)) AS ref FROM curated), marked AS (
+def _windows(source: str = "curated") -> str:
+    return f""", days AS (SELECT max(CAST(dt AS DATE)) AS ref FROM {source}), marked AS (
   SELECT keyword_norm, derived_genre,
     CAST(dt AS DATE) >= ref - {TREND.current_days} AND CAST(dt AS DATE) < ref AS cur,
     CAST(dt AS DATE) >= ref - {TREND.baseline_age}
       AND CAST(dt AS DATE) < ref - {TREND.baseline_age} + {TREND.baseline_days} AS base
-  FROM curated, days WHERE {_PRESENT}
+  FROM {source}, days WHERE {_PRESENT}
 ), c AS (SELECT keyword_norm, derived_genre, count(*) AS n FROM marked WHERE cur GROUP BY ALL),
 b AS (SELECT keyword_norm, derived_genre, count(*) AS n FROM marked WHERE base GROUP BY ALL), grown AS (
   SELECT c.keyword_norm, c.derived_genre, c.n AS current_cnt, coalesce(b.n, 0) AS baseline_cnt,
@@ -146,6 +146,12 @@ b AS (SELECT keyword_norm, derived_genre, count(*) AS n FROM marked WHERE base G
 )"""
 
 
+_AGAIN = f""", renewed AS (
+  SELECT * REPLACE (CASE WHEN dt >= '{NEW_SINCE}' AND CAST(event_id AS BIGINT) % 3 = 0 AND {_PRESENT} THEN keyword_norm || ' again' ELSE keyword_norm END AS keyword_norm)
+  FROM curated
+)"""
+
+
 _GAPS = f"""SELECT keyword_norm, derived_genre, count(*) AS searches, {_ABANDONED} AS abandoned,
   {pct(_ABANDONED, _N)} AS abandon_rate_pct FROM curated WHERE {_KNOWN} AND {_PRESENT} GROUP BY ALL
   HAVING {_ABANDONED} >= 5 ORDER BY abandon_rate_pct DESC, abandoned DESC, keyword_norm, derived_genre LIMIT 500"""
@@ -217,6 +223,47 @@ def _quality() -> str:
     return f"{CURATED}, results AS (" + "\nUNION ALL ".join(selects) + ")"
 
 
+#: events whose files lie outside any day folder, in the queries about arrivals
+_UNDATED = "(CAST(eventid AS BIGINT) % 250 = 7)"
+
+_WINDOW = """gap_days AS (
+  SELECT strftime(d, '%Y-%m-%d') AS dt FROM (SELECT unnest(generate_series(min(CAST(dt AS DATE)), max(CAST(dt AS DATE)), INTERVAL 1 DAY)) AS d FROM curated)
+  WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT dt FROM curated)
+), absent AS (
+  SELECT count(*) AS missing, array_to_string(list_sort(list(dt))[1:3], '; ') AS named FROM gap_days
+), captioned AS (
+  SELECT min(dt) || ' → ' || max(dt) || ' • ' || count(DISTINCT dt) || ' days • ' ||
+    any_value(CASE WHEN missing > 0 THEN missing || ' missing (' || named || CASE WHEN missing > 3 THEN ' (+' || (missing - 3) || ' more)' ELSE '' END || ') • ' ELSE '' END)
+    || format('{:,}', count(*)) || ' rows' AS coverage FROM curated, absent
+)"""
+
+
+def _pack() -> str:
+    def two(rate: str) -> str:
+        return f"CAST(CAST({rate} AS DECIMAL(20,2)) AS VARCHAR)"
+
+    def line(section: str, body: str, *columns: str) -> str:
+        return f"SELECT '{section}' AS section, concat_ws('|', {', '.join(columns)}) AS row FROM ({body})"
+
+    share = "SELECT derived_genre, count(*) AS n, {part} AS k, {pct} AS p FROM curated {where} GROUP BY ALL"
+    abandon = f"count(*) AS c, {pct(_ABANDONED, _N)} AS a FROM curated"
+    lines = [
+        line("dt_window", "SELECT min(dt) AS a, max(dt) AS b, count(DISTINCT dt) AS n, count(*) AS c, array_to_string(list_sort(list(DISTINCT dt)), ',') AS d FROM curated",
+             "a", "b", "n", "c", "d"),
+        line("totals", f"SELECT count(*) AS n, count(DISTINCT keyword_norm) AS k, {pct(_ABANDONED, _N)} AS p FROM curated", "n", "k", two("p")),
+        line("platform", f"SELECT platform_group AS g, {abandon} GROUP BY ALL", "g", "c", two("a")),
+        line("genre", f"SELECT derived_genre AS g, {abandon} GROUP BY ALL", "g", "c", two("a")),
+        line("keywords", f"SELECT keyword_norm AS w, derived_genre AS g, {abandon} WHERE {_PRESENT} GROUP BY ALL ORDER BY c DESC, w, g LIMIT 20", "w", "g", "c", two("a")),
+        line("content_gaps", _GAPS, "keyword_norm", "derived_genre", "searches", "abandoned", two("abandon_rate_pct")),
+        line("premium", share.format(part=_PREMIUM, pct=pct(_PREMIUM, _N), where=""), "derived_genre", "n", "k", two("p")),
+        line("repeat", share.format(part=_REPEATED, pct=pct(_REPEATED, _N), where=""), "derived_genre", "n", "k", two("p")),
+        line("guest", share.format(part=_GUESTS, pct=pct(_GUESTS, _N), where=f"WHERE {_KNOWN}"), "derived_genre", "n", "k", two("p")),
+        line("hour_genre", _HOUR_GENRE, "hour_of_day_vn", "derived_genre", "searches", two("pct_of_genre")),
+    ]
+    body = " UNION ALL ".join(f"({text})" for text in lines)
+    return _from(f"{CURATED}, {_WINDOW}", f"SELECT section, row, coverage, 'complete' AS status FROM ({body}), captioned")
+
+
 def oracle_sql() -> dict[str, str]:
     quality = _quality()
     trend = CURATED + _windows()
@@ -226,10 +273,10 @@ def oracle_sql() -> dict[str, str]:
                               "array_to_string(userplansmap, ',') AS userplansmap, proxy_isp, user_id, dt FROM raw"),
         "src_path_dt": _from(RAW, "SELECT dt, count(*) AS rows FROM raw GROUP BY dt"),
         "src_incremental": _from(RAW, f"SELECT eventid, dt FROM raw WHERE strptime(dt, '%Y%m%d') >= DATE '{SINCE}'"),
-        "raw_action_distinct": _from(RAW, "SELECT DISTINCT action FROM raw"),
+        "raw_action_distinct": _from(RAW, "SELECT DISTINCT CASE WHEN CAST(eventid AS BIGINT) % 7 = 0 THEN 'open ' || platform ELSE action END AS action FROM raw"),
         "sink_curated_roundtrip": _curated(f"SELECT {CURATED_COLUMNS} FROM curated"),
         "curated_partition_lookup": _curated(
-            "SELECT derived_genre, count(*) AS rows FROM curated WHERE dt = '2024-01-10' AND derived_genre = 'PHIM_HAN' "
+            f"SELECT derived_genre, count(*) AS rows FROM curated WHERE dt = '{LOOKUP_DAY}' AND derived_genre = 'PHIM_HAN' "
             "GROUP BY derived_genre"),
         # enrichment
         "curated": _curated(f"SELECT {CURATED_COLUMNS} FROM curated"),
@@ -254,7 +301,9 @@ def oracle_sql() -> dict[str, str]:
         "genre_waterfall": _from(
             f"{CURATED}, {_LUT}", "SELECT event_id, CASE WHEN derived_genre = 'EMPTY_QUERY' THEN derived_genre "
             "ELSE coalesce(genre, derived_genre) END AS derived_genre FROM curated LEFT JOIN lut ON keyword_norm = keyword"),
-        "genre_regex": "SELECT doc_id, " + _genre_case("lower(trim(text))", vocab.GENRE_PATTERNS) + " AS genre FROM documents",
+        "genre_regex": f"""WITH phrased AS (SELECT *, [{_list(PHRASES)}][p_partkey % {len(PHRASES)} + 1] AS phrase FROM part), named AS (
+  SELECT p_partkey, lower(trim(CASE p_size % 3 WHEN 0 THEN phrase WHEN 1 THEN phrase || ' ' || p_name ELSE p_name || ' ' || phrase END)) AS k FROM phrased
+) SELECT p_partkey, {_genre_case("k", vocab.GENRE_PATTERNS)} AS genre FROM named""",
         "genre_fuzzy": _from(CURATED + """, near_lut AS (
   SELECT DISTINCT p_name[2:] AS keyword FROM part
 ), words AS (SELECT DISTINCT keyword_norm FROM curated WHERE length(keyword_norm) >= 4)""",
@@ -303,7 +352,13 @@ def oracle_sql() -> dict[str, str]:
         "report_hour_matrix": _curated(
             f"SELECT derived_genre, {_hour_columns('hour_of_day_vn')} FROM curated GROUP BY derived_genre UNION ALL "
             f"SELECT 'All genres', {_hour_columns('hour_of_day_vn')} FROM curated"),
-        "report_trending": _from(trend, "SELECT * FROM grown"),
+        "report_trending": _from(CURATED + _AGAIN + _windows("renewed"), "SELECT * FROM grown"),
+        "report_trending_section": _from(
+            trend + f""", captions AS (
+  SELECT strftime(ref - {TREND.current_days}, '%Y-%m-%d') || ' → ' || strftime(ref - 1, '%Y-%m-%d') || ' vs '
+    || strftime(ref - {TREND.baseline_age}, '%Y-%m-%d') || ' → ' || strftime(ref - {TREND.baseline_age} + {TREND.baseline_days} - 1, '%Y-%m-%d')
+    || ' • growth ≥ {TREND.min_growth}x' AS coverage FROM days
+)""", "SELECT grown.*, coverage FROM grown, captions"),
         "report_trending_fallback": _from(
             trend, f"SELECT keyword_norm, derived_genre, n AS current_cnt, CAST(0 AS BIGINT) AS baseline_cnt, "
             f"CAST(NULL AS DOUBLE) AS growth_multiplier, true AS is_new_keyword FROM c WHERE n >= {TREND.min_volume} "
@@ -336,27 +391,17 @@ def oracle_sql() -> dict[str, str]:
         "rollup_keyword_reports": _curated(
             f"SELECT keyword_norm, derived_genre, count(*) AS c, {pct(_ABANDONED, _N)} AS a FROM curated "
             f"WHERE {_PRESENT} GROUP BY ALL ORDER BY c DESC, keyword_norm, derived_genre LIMIT 20"),
-        "report_pack": _from(f"{CURATED}, gaps AS ({_GAPS}), hours AS ({_HOUR_GENRE})", " UNION ALL ".join(
-            f"SELECT '{name}' AS section, ({rows}) AS rows, 'complete' AS status" for name, rows in {
-                "dt_window": "SELECT 1::BIGINT", "totals": "SELECT 1::BIGINT",
-                "platform": "SELECT count(DISTINCT platform_group) FROM curated",
-                "genre": "SELECT count(DISTINCT derived_genre) FROM curated",
-                "keywords": "SELECT least(20, count(DISTINCT (keyword_norm, derived_genre))) FROM curated "
-                            f"WHERE {_PRESENT}",
-                "content_gaps": "SELECT count(*) FROM gaps",
-                "premium": "SELECT count(DISTINCT derived_genre) FROM curated",
-                "repeat": "SELECT count(DISTINCT derived_genre) FROM curated",
-                "guest": f"SELECT count(DISTINCT derived_genre) FROM curated WHERE {_KNOWN}",
-                "hour_genre": "SELECT count(*) FROM hours",
-            }.items())),
+        "report_pack": _pack(),
         "report_refresh_summary": _from(
             trend, f"SELECT max(dt) AS dt, 'growth ≥ {TREND.min_growth}x' AS mode, "
-            "(SELECT count(*) FROM grown) AS trending_rows, 0::BIGINT AS errors FROM curated"),
+            "(SELECT count(*) FROM grown) AS trending_rows, 0::BIGINT AS errors, NULL::VARCHAR AS messages FROM curated"),
         # keyword table
         "lut_unknown_keywords": _from(_MINED, "SELECT keyword_norm, cnt FROM mined"),
         "lut_candidates": _from(_MINED, "SELECT keyword_norm, cnt FROM candidates"),
-        "lut_classifiable": "SELECT DISTINCT lower(text) AS keyword, length(trim(lower(text))) > 2 AND trim(lower(text)) "
-                            f"<> '{vocab.META_QUERIES[0]}' AS classifiable FROM conversations",
+        "lut_classifiable": f"""WITH named AS (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN left(p_name, p_size % 5)
+  WHEN 1 THEN repeat(' ', p_size % 3) || '{vocab.META_QUERIES[0]}' || CASE WHEN p_size % 5 = 0 THEN ' lại' ELSE '' END
+  WHEN 2 THEN '  ' || left(p_name, p_size % 4) || '  ' ELSE p_name END AS keyword FROM part)
+SELECT p_partkey, length(trim(keyword)) > 2 AND trim(keyword) <> '{vocab.META_QUERIES[0]}' AS classifiable FROM named""",
         "lut_batches": _from(_MINED, "SELECT CAST((rank - 1) // 3 AS INTEGER) AS batch_id, CAST(rank AS INTEGER) AS rank, "
                              "keyword_norm AS keyword FROM asked"),
         "lut_sanitize": r"""WITH marked AS (
@@ -400,16 +445,16 @@ QUALIFY row_number() OVER (PARTITION BY batch_id, clean ORDER BY rank) = 1""",
   output_rows / CAST(raw_rows AS DOUBLE) < 0.7 AS retention_alarm FROM (
   SELECT (SELECT count(*) FROM raw) AS raw_rows, (SELECT count(*) FROM usable) AS post_year_rows,
     (SELECT count(*) FROM deduped) AS post_dedup_rows, (SELECT count(*) FROM deduped) AS output_rows)"""),
-        "contract_checks": _from(f"{quality}{_windows()}, gaps AS ({_GAPS}), hours AS ({_HOUR_GENRE})", """
+        "contract_checks": _from(f"{quality}{_windows()}, gaps AS ({_GAPS}), hours AS ({_HOUR_GENRE})", f"""
 SELECT 'curated partition has rows' AS name, count(*) > 0 AS ok, CAST(count(*) AS VARCHAR) AS detail FROM curated
-  WHERE dt = '2024-01-10' AND derived_genre = 'PHIM_HAN'
+  WHERE dt = '{LOOKUP_DAY}' AND derived_genre = 'PHIM_HAN'
 UNION ALL SELECT 'quality results are visible', count(*) > 0, CAST(count(*) AS VARCHAR) FROM results
 UNION ALL SELECT 'raw action is search', max(action) = 'search' AND min(action) = 'search', max(action) FROM raw
 UNION ALL SELECT 'top trending row is a keyword', derived_genre <> 'EMPTY_QUERY', keyword_norm FROM (
   SELECT * FROM grown ORDER BY current_cnt DESC, keyword_norm, derived_genre LIMIT 1)
-UNION ALL SELECT 'keyword lists are deep', n >= 10, CAST(n AS VARCHAR) FROM (
+UNION ALL SELECT 'keyword lists are deep', n >= 100, CAST(n AS VARCHAR) FROM (
   SELECT (SELECT count(*) FROM grown) + (SELECT count(*) FROM gaps) AS n)
-UNION ALL SELECT 'hour matrix is complete', count(*) >= 100, CAST(count(*) AS VARCHAR) FROM hours"""),
+UNION ALL SELECT 'hour matrix is complete', count(*) >= 200, CAST(count(*) AS VARCHAR) FROM hours"""),
         "access_lut_view": _curated(
             "SELECT * EXCLUDE (event_ts, plan_names, user_id_hashed, search_session_id, has_premium, subscription_count), "
             f"{_TS.format('event_ts')} AS event_ts, CASE WHEN plan_names IS NOT NULL THEN "
@@ -440,7 +485,22 @@ SELECT 'at_most', 'subscription_count', 1.0, CAST(max(subscription_count) AS DOU
 UNION ALL
 SELECT 'unique', 'event_id', 1.0, greatest(0, trunc(share * 100 - 1) / 100), printf('Uniqueness "event_id" > %g', greatest(0, trunc(share * 100 - 1) / 100)) FROM shares"""),
         # streams
-        "stream_ingest": _curated(f"SELECT {CURATED_COLUMNS.replace('_pipeline_run_id, ', '')} FROM curated"),
-        "stream_dedup": _from(DEDUPED, f"SELECT eventid, {_TS.format('event_ts')} AS event_ts FROM deduped"),
+        "curated_new_files": _curated(
+            f"SELECT {CURATED_COLUMNS.replace('_pipeline_run_id, ', '')}, 2::BIGINT AS dirty_days, 0::BIGINT AS idle_files FROM curated"),
+        "stream_ingest": _curated(
+            f"SELECT {CURATED_COLUMNS.replace('_pipeline_run_id, ', '')}, (SELECT count(*) FROM raw WHERE {_UNDATED}) AS undated FROM curated").replace(
+            "SELECT * FROM usable QUALIFY", f"SELECT * FROM usable WHERE NOT {_UNDATED} QUALIFY"),
+        "stream_dedup": _from(TIMED + f""", arrived AS (
+  SELECT *, dt <= '{ARRIVED_UNTIL}' AND CAST(eventid AS BIGINT) % 3 <> 0 AS early FROM usable WHERE NOT {_UNDATED}
+), firsts AS (
+  SELECT * FROM arrived QUALIFY row_number() OVER (PARTITION BY early, eventid ORDER BY event_ts, dt) = 1
+), clock AS (SELECT max(event_ts) AS newest FROM arrived WHERE early)""", f"""
+SELECT eventid, {_TS.format('event_ts')} AS event_ts, NULL::VARCHAR AS reason FROM firsts WHERE early
+UNION ALL SELECT eventid, {_TS.format('event_ts')}, CASE WHEN event_ts < newest - INTERVAL 2 DAY THEN 'late' END FROM firsts, clock
+  WHERE NOT early AND eventid NOT IN (SELECT eventid FROM firsts WHERE early)
+UNION ALL SELECT eventid, {_TS.format('event_ts')}, 'undated' FROM usable WHERE {_UNDATED}"""),
+        "access_checks": "SELECT * FROM (VALUES " + ", ".join(
+            f"('columns hidden from {role}', true, '{','.join(vocab.HIDDEN_COLUMNS[role]) or 'all columns visible'}')" for role in ("lut_refresh", "reports", "quality")
+        ) + f", ('columns hidden by a leaking view', false, '{','.join(vocab.HIDDEN_COLUMNS['lut_refresh'])}')) t(name, ok, detail)",
     }
     return sql

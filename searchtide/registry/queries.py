@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from searchtide.functions.moments import event_moment, repaired_datetime
@@ -17,18 +17,19 @@ from searchtide.operators.dedup import keep_first_event
 from searchtide.operators.lineage import lineage_counts
 from searchtide.plans import report_pack, reports, trending
 from searchtide.plans.curate import curated, prepared_events, usable_events
+from searchtide.plans.curation_job import run_new_files
 from searchtide.plans.lut_refresh import OfflineClassifier, refresh_lut
 from searchtide.registry.settings import (
-    FILTER_GENRE, FILTER_TEXT, LUT_WORDS, QUALITY_RULES, RESOLVED_WORD, RUN_ID, SINCE, TREND,
-    VERDICT_WORDS,
+    ARRIVED_UNTIL, FILTER_GENRE, FILTER_TEXT, LOOKUP_DAY, LUT_WORDS, NEW_SINCE, PHRASES, QUALITY_RULES, RESOLVED_WORD, RUN_ID,
+    SINCE, TREND, VERDICT_WORDS,
 )
 from searchtide.session import require_settings, shared_folder
 from searchtide.sources import lut_store, quality_results
 from searchtide.sources.curated import partition, read_curated, write_curated
 from searchtide.sources.raw import parse_since, read_raw, write_raw
-from searchtide.sources.testtables import TEST_RULES, as_raw, raw_events, table
-from searchtide.streaming.dedup import append_to, first_events
-from searchtide.streaming.ingest import ingest
+from searchtide.sources.testtables import TEST_RULES, raw_events, table
+from searchtide.streaming import dedup
+from searchtide.streaming.ingest import ingest, raw_stream, side_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -122,7 +123,10 @@ def src_incremental(spark, folder):
 
 @_query
 def raw_action_distinct(spark, folder):
-    return contracts.raw_actions(raw_events(spark, folder))
+    # every seventh event with an action of its own, some without one
+    e = F.col("eventid").cast("long")
+    action = F.when(e % 7 == 0, F.concat(F.lit("open "), F.col("platform"))).otherwise(F.col("action"))
+    return contracts.raw_actions(raw_events(spark, folder).withColumn("action", action))
 
 
 @_query
@@ -132,7 +136,7 @@ def sink_curated_roundtrip(spark, folder):
 
 @_query
 def curated_partition_lookup(spark, folder):
-    rows = partition(_stored(spark, folder, "lookup", repeats=False), "2024-01-10", "PHIM_HAN")
+    rows = partition(_stored(spark, folder, "lookup", repeats=False), LOOKUP_DAY, "PHIM_HAN")
     return rows.groupBy("derived_genre").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -208,8 +212,11 @@ def genre_waterfall(spark, folder):
 
 @_query
 def genre_regex(spark, folder):
-    text = normalize_keyword(F.col("text"))
-    return table(spark, folder, "documents").select("doc_id", classify.pattern_genre(text).alias("genre"))
+    """Part names with a phrase that a pattern knows, or nearly knows, before, behind or in place of them."""
+    phrase = F.element_at(F.array(*map(F.lit, PHRASES)), (F.col("p_partkey") % len(PHRASES) + 1).cast("int"))
+    keyword = F.when(F.col("p_size") % 3 == 0, phrase).when(F.col("p_size") % 3 == 1, F.concat(phrase, F.lit(" "), "p_name")).otherwise(
+        F.concat("p_name", F.lit(" "), phrase))
+    return table(spark, folder, "part").select("p_partkey", classify.pattern_genre(normalize_keyword(keyword)).alias("genre"))
 
 
 @_query
@@ -277,7 +284,11 @@ def _windows(rows: DataFrame) -> trending.TrendWindows:
 
 @_query
 def report_trending(spark, folder):
-    report, _ = trending.trending(_stored(spark, folder, "trending", repeats=False), rules=TREND)
+    """Some searches of the last days ask for a keyword nobody asked for before."""
+    rows = _stored(spark, folder, "trending", repeats=False)
+    is_new = (F.col("dt") >= NEW_SINCE) & (F.col("event_id").cast("long") % 3 == 0) & (F.col("keyword_norm") != "")
+    word = F.when(is_new, F.concat("keyword_norm", F.lit(" again"))).otherwise(F.col("keyword_norm"))
+    report, _ = trending.trending(rows.withColumn("keyword_norm", word), rules=TREND)
     return report
 
 
@@ -289,13 +300,20 @@ def report_trending_fallback(spark, folder):
 
 @_query
 def report_pack_sections(spark, folder):
+    """The contents of all sections, a row of a section as one text."""
     out = _scratch(spark, "pack")
     outcome = report_pack.report_pack(_stored(spark, folder, "pack-input"), out, uuid.uuid4().hex)
-    written = [
-        spark.read.parquet(f"{out}/section={name}").agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(name).alias("section"), "rows", F.lit("complete" if error is None else error).alias("status"))
-        for name, error in outcome.items()
-    ]
+
+    def shown(name: str, kind: str) -> Column:
+        text = F.col(name).cast("decimal(20,2)") if kind == "double" else F.col(name)
+        return F.coalesce(text.cast("string"), F.lit("-"))
+
+    written = []
+    for name, error in outcome.items():
+        rows = spark.read.parquet(f"{out}/section={name}")
+        written.append(rows.select(
+            F.lit(name).alias("section"), F.concat_ws("|", *[shown(c, k) for c, k in rows.dtypes if c != "coverage"]).alias("row"), "coverage",
+            F.lit("complete" if error is None else error).alias("status")))
     return reduce(DataFrame.unionByName, written)
 
 
@@ -308,6 +326,14 @@ def report_refresh_summary(spark, folder):
     return report_pack.refresh(rows, _scratch(spark, "refresh"), uuid.uuid4().hex, rules=TREND)
 
 
+@_query
+def report_trending_section(spark, folder):
+    """The trending section of a refresh as it is written, with its own caption."""
+    out = _scratch(spark, "refresh-section")
+    report_pack.refresh(_stored(spark, folder, "refresh-rows", repeats=False), out, uuid.uuid4().hex, rules=TREND)
+    return spark.read.parquet(f"{out}/section=trending")
+
+
 # --- keyword table --------------------------------------------------------------------------
 
 
@@ -328,8 +354,11 @@ def lut_candidates(spark, folder):
 
 @_query
 def lut_classifiable(spark, folder):
-    texts = table(spark, folder, "conversations").select(F.lower("text").alias("keyword")).distinct()
-    return texts.withColumn("classifiable", lut_ops.is_classifiable(F.col("keyword")))
+    """Part names, some cut to a few letters, some spoken, some with blanks around them."""
+    spoken = F.concat(F.repeat(F.lit(" "), (F.col("p_size") % 3).cast("int")), F.lit("tìm kiếm bằng giọng nói"), F.when(F.col("p_size") % 5 == 0, " lại").otherwise(""))
+    keyword = F.when(F.col("p_partkey") % 4 == 0, F.expr("left(p_name, int(p_size % 5))")).when(F.col("p_partkey") % 4 == 1, spoken).when(
+        F.col("p_partkey") % 4 == 2, F.expr("'  ' || left(p_name, int(p_size % 4)) || '  '")).otherwise(F.col("p_name"))
+    return table(spark, folder, "part").select("p_partkey", lut_ops.is_classifiable(keyword).alias("classifiable"))
 
 
 @_query
@@ -487,7 +516,7 @@ def _contract_query(spark, folder):
     results = quality.evaluate(rows, QUALITY_RULES, run_id=RUN_ID)
     return contracts.contract_checks(
         raw_events(spark, folder), rows, results, report, reports.content_gaps(rows), reports.hour_genre(rows),
-        "2024-01-10", "PHIM_HAN", min_listed=10, min_cells=100)
+        LOOKUP_DAY, "PHIM_HAN")
 
 
 _contract_query.__name__ = "contract_checks"
@@ -499,29 +528,83 @@ def access_lut_view(spark, folder):
     return _portable(access.visible_to(_curated(spark, folder, repeats=True), "lut_refresh"))
 
 
-# --- streams --------------------------------------------------------------------------------
+@_query
+def access_checks(spark, folder):
+    """Views of the roles as the catalog has them; the last one was made with a column it should not show."""
+    rows = _curated(spark, folder)
+    views = {role: access.create_role_view(rows, role, f"checked_{role}_{uuid.uuid4().hex}") for role in ("lut_refresh", "reports", "quality")}
+    leaking = f"checked_leak_{uuid.uuid4().hex}"
+    access.visible_to(rows, "lut_refresh").withColumn("user_id_hashed", rows["user_id_hashed"]).createOrReplaceTempView(leaking)
+    checks = contracts.access_checks(rows, views).unionByName(
+        contracts.access_checks(rows, {"lut_refresh": leaking}).withColumn("name", F.lit("columns hidden by a leaking view")))
+    for view in (*views.values(), leaking):
+        spark.catalog.dropTempView(view)
+    return checks
+
+
+# --- new files and streams ------------------------------------------------------------------
+
+
+def _undated(e: Column) -> Column:
+    """Events whose files lie outside any day folder."""
+    return e % 250 == 7
+
+
+def _arrive(rows: DataFrame, root: str) -> None:
+    """Raw rows as files below ``root``: by day, but some beside the day folders."""
+    stray = _undated(F.col("eventid").cast("long"))
+    write_raw(rows.where(~stray), f"{root}/days")
+    rows.where(stray).drop("dt").write.parquet(f"{root}/stray")
+
+
+@_query
+def curated_new_files(spark, folder):
+    """Two runs over what is new: first without some files of early days, which arrive late."""
+    base = _scratch(spark, "new-files")
+    rows = raw_events(spark, folder)
+    late = F.col("dt").isin("20240103", "20240104") & (F.col("eventid").cast("long") % 5 == 0)
+    write_raw(rows.where(~late), f"{base}/landing/a")
+    run_new_files(spark, f"{base}/landing", f"{base}/curated", rules=TEST_RULES, run_id="first", reach_days=4)
+    write_raw(rows.where(late), f"{base}/landing/b")
+    second = run_new_files(spark, f"{base}/landing", f"{base}/curated", rules=TEST_RULES, run_id="second", reach_days=4).first()
+    idle = run_new_files(spark, f"{base}/landing", f"{base}/curated", rules=TEST_RULES, run_id="third", reach_days=4).first()
+    rows = read_curated(spark, f"{base}/curated").drop("_pipeline_run_id")
+    return _portable(rows).withColumn("dirty_days", F.lit(second["dirty_days"])).withColumn("idle_files", F.lit(idle["new_files"]))
 
 
-def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    schema = table(spark, folder, "events").schema
-    # as a glob the path may be a single file as well as a folder of files
-    events = spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet")
-    return as_raw(events, table(spark, folder, "part"))
+def _streamed(spark: SparkSession, folder: str, name: str) -> str:
+    """Three arrivals out of order. Some events have a second copy ten days later, which arrives first and has to give way."""
+    base = _scratch(spark, name)
+    rows = raw_events(spark, folder)
+    e = F.col("eventid").cast("long")
+    later = F.date_format(F.to_date("dt", "yyyyMMdd") + F.expr("interval 10 days"), "yyyyMMdd")
+    far = rows.where((e % 70 == 3) & ~_undated(e)).withColumn("dt", later)
+    for number, arrival in enumerate([rows.where(e % 3 == 2).unionByName(far), rows.where(e % 3 == 0), rows.where(e % 3 == 1)]):
+        _arrive(arrival, f"{base}/landing/{number}")
+        ingest(raw_stream(spark, f"{base}/landing"), f"{base}/curated", f"{base}/progress", rules=TEST_RULES)
+    return f"{base}/curated"
 
 
 @_query
 def stream_ingest(spark, folder):
-    base = _scratch(spark, "ingest")
-    ingest(_event_stream(spark, folder), f"{base}/kept", f"{base}/curated", f"{base}/progress", rules=TEST_RULES)
-    return _portable(read_curated(spark, f"{base}/curated").drop("_pipeline_run_id"))
+    """The table and, beside each row, how many rows went to the side table."""
+    path = _streamed(spark, folder, "ingest")
+    rows = _portable(read_curated(spark, path).drop("_pipeline_run_id"))
+    return rows.withColumn("undated", F.lit(side_counts(spark, path).where("reason = 'undated'").first()["rows"]))
 
 
 @_query
 def stream_dedup(spark, folder):
+    """Two arrivals: the second brings copies, late events and new ones. Kept events have no reason."""
     base = _scratch(spark, "stream")
-    once = first_events(_event_stream(spark, folder)).select("eventid", "event_ts")
-    append_to(once, f"{base}/events", f"{base}/progress")
-    return _portable(spark.read.schema(once.schema).parquet(f"{base}/events"))
+    rows, e = raw_events(spark, folder), F.col("eventid").cast("long")
+    early = (F.col("dt") <= ARRIVED_UNTIL) & (e % 3 != 0)
+    for number, arrival in enumerate([rows.where(early), rows.where(~early)]):
+        _arrive(arrival, f"{base}/landing/{number}")
+        dedup.append_once(raw_stream(spark, f"{base}/landing"), f"{base}/events", f"{base}/progress")
+    kept = dedup.rows(spark, f"{base}/events").withColumn("reason", F.lit(None).cast("string"))
+    every = kept.unionByName(dedup.side_rows(spark, f"{base}/events"))
+    return _portable(every.select("eventid", "event_ts", "reason"))
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

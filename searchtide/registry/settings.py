@@ -8,6 +8,15 @@ from searchtide.vocab import GENRES
 
 RUN_ID = "check"
 SINCE = "2024-01-20"
+LOOKUP_DAY = "2024-01-12"
+#: from this day on the trending query has new keywords; until this day folder the first arrival of a stream reaches
+NEW_SINCE, ARRIVED_UNTIL = "2024-01-25", "20240122"
+#: what the patterns know, each of them at least once, and near misses of them
+PHRASES = (
+    "anime", "One-Piece", "one piece", "animes", "bong da", "bong-da", "bongda", "bong  da", "World Cup", "euro", "europe", "nhac", "nhac-tre", "mv", "mvp",
+    "phim viet", "phim-vn", "phim vienam", "phim han", "phim kbs", "phim trung", "phim tq", "phim my", "phim au my", "phim mym", "vtv", "vtv3", "HTV 7", "truyen hinh",
+    "truyen_hinh", "anime nhac", "nhac anime", "phim", "bóng đá",
+)
 #: the benchmark events span thirty days, so the baseline lies three weeks back
 TREND = TrendRules(baseline_age=21, min_growth=1.05)
 FILTER_TEXT, FILTER_GENRE = "BLUE", "THE_THAO"

@@ -13,7 +13,7 @@ from searchtide.sources import folders
 
 #: columns whose name on disk differs from the name used everywhere else
 _DISK_NAMES = {"eventID": "eventid", "networkType": "networktype", "userPlansMap": "userplansmap"}
-_DAY_FOLDER = r"/(\d{8})/"
+DAY_FOLDER = r"/(\d{8})/"
 
 
 def parse_since(argument: str | None) -> date | None:
@@ -29,7 +29,7 @@ def parse_since(argument: str | None) -> date | None:
 
 def day_of_file() -> Column:
     """Day folder of the file a row comes from; empty if it lies in none."""
-    return F.regexp_extract(F.col("_metadata.file_path"), _DAY_FOLDER, 1)
+    return F.regexp_extract(F.col("_metadata.file_path"), DAY_FOLDER, 1)
 
 
 def named_as_used(files: DataFrame) -> DataFrame:
@@ -61,10 +61,21 @@ def read_raw(spark: SparkSession, root: str, since: date | None = None) -> DataF
     return named_as_used(reader.parquet(*paths)).where(F.try_to_date("dt", "yyyyMMdd") >= F.lit(since))
 
 
+def read_folders(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Raw events of the files directly in the given folders."""
+    if not paths:
+        return spark.createDataFrame([], RAW)
+    return named_as_used(spark.read.schema(RAW_FILES).option("mergeSchema", "false").parquet(*paths))
+
+
 def raw_bytes(spark: SparkSession, root: str, since: date | None = None) -> int:
-    """Bytes of the files that :func:`read_raw` would read."""
+    """Bytes of the files that :func:`read_raw` would read. Many folders are listed by tasks."""
     root = root.rstrip("/")
-    return sum(folders.total_bytes(spark, p) for p in ([root] if since is None else _since_paths(spark, root, since)))
+    paths = [root] if since is None else _since_paths(spark, root, since)
+    if not paths:
+        return 0
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(paths)
+    return files.agg(F.sum("length")).first()[0] or 0
 
 
 def write_raw(rows: DataFrame, root: str) -> None:

@@ -2,16 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from searchtide.operators.dedup import fingerprint, keep_first_event
 from searchtide.plans.curate import usable_events
+from searchtide.schemas import RAW
+from searchtide.sources import folders, versions
+from searchtide.streaming import ledger
+from searchtide.streaming.ingest import last_batch
+
+ROWS, SIDE, CLOCK = "kind=rows", "kind=side", "kind=clock"
+_EVENT = T.StructType([*RAW.fields, T.StructField("event_ts", T.TimestampType())])
+_SIDE = T.StructType([*_EVENT.fields, T.StructField("reason", T.StringType())])
 
 
 def first_events(stream: DataFrame, delay: str = "2 days") -> DataFrame:
-    """Usable events of a raw stream, the first arrival of each id.
+    """Usable events of a raw stream, the first arrival of each id, within a bounded state.
 
     State must end somewhere, so unlike the batch job this finds copies only while their event
-    times lie within ``delay`` of each other, and the copy that arrives first stays.
+    times lie within ``delay`` of each other, and it drops rows older than that. :func:`append_once` does neither.
     """
     return usable_events(stream).withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(["eventid"])
 
@@ -23,3 +36,72 @@ def append_to(stream: DataFrame, path: str, checkpoint: str) -> None:
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
+
+
+def append_once(stream: DataFrame, root: str, checkpoint: str, delay: str = "2 days", run_id: str = "dedup") -> None:
+    """Append the first arrival of each event id to a versioned table, then stop.
+
+    Copies are found over any distance in time, by the ledger of ids; of copies in one batch the earliest stays. Nothing is lost
+    silently: a row without a day folder goes to the side table as ``undated``, and one whose event is not known and more than
+    ``delay`` older than the newest event of the batches before as ``late``. Rows without a usable time are dropped, as in the
+    batch job. Rows, side table, ledger and clock change in one step; a batch that runs twice is published once.
+    """
+    def process(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        base = versions.current(spark, root)
+        if last_batch(spark, root, base, run_id) >= number:
+            return
+        work = f"{root}/work/{uuid.uuid4().hex}"
+        try:
+            versions.publish(spark, root, base, _batch(spark, root, base, work, batch, delay), f"{run_id}-{number}", also_read=base.parts)
+        finally:
+            folders.remove(spark, work)
+
+    query = (
+        stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+
+
+def _batch(spark: SparkSession, root: str, base: versions.Version, work: str, batch: DataFrame, delay: str) -> dict[str, tuple[str, ...]]:
+    commit = versions.new_commit(root)
+    own = commit.rsplit("/", 1)[1]
+    dated = F.coalesce(F.col("dt").rlike(r"^\d{8}$"), F.lit(False))
+    timed = usable_events(batch)
+    timed.withColumn("dated", dated).write.parquet(f"{work}/timed")
+    timed = spark.read.schema(timed.schema.add("dated", "boolean")).parquet(f"{work}/timed")
+    first = keep_first_event(timed.where("dated").drop("dated"))
+    first = first.withColumn("fingerprint", fingerprint(first)).withColumn("id_key", ledger.id_key(F.col("eventid")))
+    first.write.parquet(f"{work}/first")
+    first = spark.read.schema(first.schema).parquet(f"{work}/first")
+    seen, _ = ledger.known(spark, root, base, first, work)
+    new = first.join(seen.select("id_key"), "id_key", "left_anti")
+    clock = versions.read(spark, root, T.StructType([T.StructField("newest", T.TimestampType())]), base, [CLOCK]).agg(F.max("newest")).first()[0]
+    late = F.lit(False) if clock is None else F.col("event_ts") < F.lit(clock) - F.expr(f"interval {delay}")
+    new.withColumn("late", late).write.parquet(f"{work}/new")
+    new = spark.read.schema(new.schema.add("late", "boolean")).parquet(f"{work}/new")
+
+    kept = new.where("not late")
+    kept.select(*_EVENT.names).write.parquet(f"{commit}/{ROWS}")
+    aside = timed.where("not dated").withColumn("reason", F.lit("undated")).unionByName(
+        new.where("late").withColumn("reason", F.lit("late")), allowMissingColumns=True)
+    aside.select(*_SIDE.names).write.parquet(f"{commit}/{SIDE}")
+    added = {ROWS: (f"{own}/{ROWS}",), SIDE: (f"{own}/{SIDE}",)}
+    # late events are known from now on, so that their copies are not set aside again
+    added |= ledger.add(new.select(*ledger.ENTRY.names), commit)
+    changes = {part: (*base.parts.get(part, ()), *where) for part, where in added.items()}
+    changes |= ledger.merged(spark, root, versions.Version(base.number, "", (), {**base.parts, **changes}), versions.new_commit(root))
+    newest = timed.where("dated").agg(F.max("event_ts").alias("newest"))
+    newest.write.parquet(f"{commit}/{CLOCK}")
+    changes[CLOCK] = (*base.parts.get(CLOCK, ()), f"{own}/{CLOCK}")
+    return changes
+
+
+def rows(spark: SparkSession, root: str) -> DataFrame:
+    """Events that :func:`append_once` kept."""
+    return versions.read(spark, root, _EVENT, parts=[ROWS])
+
+
+def side_rows(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that it set aside, with the ``reason``."""
+    return versions.read(spark, root, _SIDE, parts=[SIDE])

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import json
-from datetime import date
+import random
+import shutil
+from concurrent.futures import ThreadPoolExecutor
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -11,17 +14,18 @@ from pyspark.sql import functions as F
 
 from searchtide.operators import access, contracts, lut as ops, quality
 from searchtide.operators.lineage import lineage_counts, with_alarm
-from searchtide.plans.curate import curated
-from searchtide.plans.curation_job import run_curation
+from searchtide.plans.curate import CurationRules, curated
+from searchtide.plans.curation_job import run_curation, run_new_files
 from searchtide.plans.lut_refresh import OfflineClassifier, RefreshLimits, refresh_lut, replies
 from searchtide.schemas import CURATED, RAW
 from searchtide.session import shuffle_tasks, sized
-from searchtide.sources import lut_store, quality_results
-from searchtide.sources.curated import partition, read_curated, remove_stale_partitions, write_curated
+from searchtide.sources import lut_store, quality_results, versions
+from searchtide.sources.curated import commit_curated, partition, read_curated, remove_stale_partitions, write_curated
 from searchtide.sources.raw import parse_since, raw_bytes, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES
+from searchtide.streaming import dedup, ingest as stream_ingest, ledger
 from searchtide.streaming.dedup import append_to, first_events
-from searchtide.streaming.ingest import ingest, raw_stream
+from searchtide.streaming.ingest import ingest, raw_stream, side_counts
 
 OUT = [c for c in CURATED.names if c != "_pipeline_run_id"]
 
@@ -90,11 +94,12 @@ def test_job_writes_what_the_query_returns(spark, raw, curated_path, curated_row
     assert curated_rows.columns == CURATED.names
     assert same(curated_rows, curated(raw, rules=TEST_RULES))
     # one file per day and genre
-    for folder in Path(curated_path).glob("dt=*/derived_genre=*"):
+    for folder in Path(curated_path).glob("data/commit=*/dt=*/derived_genre=*"):
         assert len(list(folder.glob("*.parquet"))) == 1
-    plan = partition(curated_rows, "2024-01-10", "NHAC")._jdf.queryExecution().executedPlan().toString()
+    one = partition(curated_rows, "2024-01-12", "PHIM_HAN")
+    plan = one._jdf.queryExecution().executedPlan().toString()
     assert "(dt#" in plan.split("PartitionFilters", 1)[1].split("PushedFilters")[0]
-    assert len(partition(curated_rows, "2024-01-10", "NHAC").inputFiles()) <= len(curated_rows.inputFiles())
+    assert one.count() > 0 and {r["dt"] for r in one.collect()} == {"2024-01-12"}
 
 
 def test_large_partition_becomes_several_files(spark, tmp_path):
@@ -205,13 +210,111 @@ def test_ingest_in_steps_equals_one_batch_run(spark, tmp_path):
     for number, rows in enumerate(arrivals):
         write_raw(raw_table(spark, *rows), f"{root}/{number}")
         seen += rows
-        ingest(raw_stream(spark, root), str(tmp_path / "kept"), out, str(tmp_path / "progress"))
+        ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
         assert same(read_curated(spark, out), curated(raw_table(spark, *seen))), number
+    assert not list(Path(out).glob("work/*"))
     before = {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")}
-    ingest(raw_stream(spark, root), str(tmp_path / "kept"), out, str(tmp_path / "progress"))
+    ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
     assert before == {p: p.stat().st_mtime_ns for p in Path(out).rglob("*.parquet")}
 
 
+def random_arrivals(seed, parts, n):
+    """Raw rows of a few users in few sessions, with copies on other days and at other times, dealt at random."""
+    draw = random.Random(seed)
+    arrivals = [[] for _ in range(parts)]
+    for i in range(n):
+        at = datetime(2022, 6, 1) + timedelta(days=draw.choice([0, 0, 0, 1, 12]), seconds=draw.randrange(4000))
+        keyword = draw.choice(["naruto", "zzz", "nhac", None, ""])
+        user = draw.choice(["u", "v", None])
+        row = dict(keyword=keyword, user_id=user, proxy_isp=draw.choice(["isp", None]), category=draw.choice(["quit", None]))
+        for _ in range(draw.choice([1, 1, 2, 3])):
+            moment = at + timedelta(seconds=draw.choice([0, 0, -30, 900]))
+            day = at + timedelta(days=draw.choice([0, 0, 1, 11]))
+            key = draw.choice([f"e{i}"] * 9 + [None])
+            draw.choice(arrivals).append(raw_row(key, moment.strftime("%Y-%m-%d %H:%M:%S.000"), dt=day.strftime("%Y%m%d"), **row))
+    return arrivals
+
+
+@pytest.mark.parametrize("split,hot", [(False, 10**6), (True, 5)])
+def test_ingest_of_random_arrivals_equals_batch(spark, tmp_path, monkeypatch, split, hot):
+    """Copies over any distance, out of order, displaced; tails and ledger merged on the way."""
+    monkeypatch.setattr(ledger, "MOST_FILES", 2)
+    monkeypatch.setattr(stream_ingest, "MOST_TAILS", 1)
+    rules = CurationRules(split_null_sessions=split, hot_session_rows=hot)
+    root, out, seen = str(tmp_path / "landing"), str(tmp_path / "out"), []
+    for number, rows in enumerate(random_arrivals(3, 3, 70)):
+        write_raw(raw_table(spark, *rows), f"{root}/{number}")
+        seen += rows
+        ingest(raw_stream(spark, root), out, str(tmp_path / "progress"), rules=rules)
+        assert same(read_curated(spark, out), curated(raw_table(spark, *seen), rules=rules)), number
+
+
+def test_a_batch_writes_only_where_its_sessions_are(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+
+    def arrive(name, *rows):
+        write_raw(raw_table(spark, *rows), f"{root}/{name}")
+        before = versions.current(spark, out).parts
+        ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
+        after = versions.current(spark, out).parts
+        rewritten = {p for p in after if p.startswith("dt=") and not set(before.get(p, ())) <= set(after[p])}
+        return rewritten, {p for p in after if p.startswith("dt=") and before.get(p) != after[p]}
+
+    arrive("a", raw_row("1"), raw_row("2", "2022-06-02 05:00:00.000", user_id="other", dt="20220602"))
+    # later in the same session: the flag comes from the tail, a file is added, nothing is written anew
+    assert arrive("b", raw_row("3", "2022-06-01 05:10:00.000")) == (set(), {"dt=2022-06-01/derived_genre=ANIME"})
+    # earlier in it: its own folder is written anew, the other day is left alone
+    assert arrive("c", raw_row("4", "2022-06-01 05:05:00.000", keyword="zzz"))[0] == {"dt=2022-06-01/derived_genre=ANIME"}
+    # an earlier copy on another day takes the place of one
+    assert arrive("d", raw_row("2", "2022-06-01 05:00:00.000", user_id="other", dt="20220601"))[0] == set()
+    assert "dt=2022-06-02/derived_genre=ANIME" not in versions.current(spark, out).parts
+    flags = {r["event_id"]: r["is_repeat_search"] for r in read_curated(spark, out).collect()}
+    assert flags == {"1": None, "4": False, "3": False, "2": None}
+
+
+def test_rows_outside_day_folders_are_counted(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    write_raw(raw_table(spark, raw_row("1")), f"{root}/a")
+    raw_table(spark, raw_row("2"), raw_row("3")).drop("dt").write.parquet(f"{root}/stray")
+    ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    raw_table(spark, raw_row("4")).drop("dt").write.parquet(f"{root}/stray2")
+    ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    assert [r["event_id"] for r in read_curated(spark, out).collect()] == ["1"]
+    assert [tuple(r) for r in side_counts(spark, out).collect()] == [("undated", 3)]
+
+
+def test_a_batch_that_runs_again_is_published_once(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    write_raw(raw_table(spark, raw_row("1")), f"{root}/a")
+    ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    # as after a crash between publishing and noting the batch as done
+    for note in Path(tmp_path / "progress" / "commits").glob("*0*"):
+        note.unlink()
+    ingest(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    assert versions.numbers(spark, out) == [1] and read_curated(spark, out).count() == 1
+
+
+def test_ledger_opens_only_files_that_may_know(spark, tmp_path):
+    root, work = str(tmp_path / "table"), str(tmp_path / "work")
+    version = versions.Version()
+
+    def entries(ids, day="20220601"):
+        return spark.createDataFrame([(f"+{i}", datetime(2022, 6, 1), day, 1) for i in ids], ledger.ENTRY)
+
+    for start in (0, 5000):
+        commit = versions.new_commit(root)
+        added = ledger.add(entries(range(start, start + 5000)), commit)
+        version = versions.publish(spark, root, version, {p: (*version.parts.get(p, ()), *w) for p, w in added.items()})
+    found, opened = ledger.known(spark, root, version, entries([7, 5007, 99_999]), f"{work}/1")
+    assert {r["id_key"] for r in found.collect()} == {"+7", "+5007"} and len(opened) <= 3
+    # all known ids pass the filters, of the unknown few do
+    assert ledger.candidates(spark, root, version, entries(range(10_000))).select("id_key").distinct().count() == 10_000
+    wrong = ledger.candidates(spark, root, version, entries(range(10_000, 20_000))).select("id_key").distinct().count()
+    assert wrong < 200
+    found, opened = ledger.known(spark, root, version, entries([]), f"{work}/2")
+    assert found.count() == 0 and opened == []
+
+
 def test_stream_dedup(spark, tmp_path):
     root = str(tmp_path / "landing")
     write_raw(raw_table(spark, raw_row("1"), raw_row("2"), raw_row("bad", "?")), f"{root}/a")
@@ -222,6 +325,94 @@ def test_stream_dedup(spark, tmp_path):
     assert ids == ["1", "2", "3"]
 
 
+def test_stream_dedup_over_any_distance(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "events")
+    arrivals = [
+        [raw_row("1"), raw_row("2", "2022-06-10 05:00:00.000", dt="20220610"), raw_row("bad", "?")],
+        # a copy ten days later, a late event and one that is not yet late
+        [raw_row("1", dt="20220611"), raw_row("3"), raw_row("4", "2022-06-09 05:00:00.000", dt="20220610")],
+        # the late event again
+        [raw_row("3"), raw_row("4", dt="20220612"), raw_row("5", "2022-06-12 05:00:00.000", dt="20220612")],
+    ]
+    for number, rows in enumerate(arrivals):
+        write_raw(raw_table(spark, *rows), f"{root}/{number}")
+        raw_table(spark, raw_row(f"stray {number}")).drop("dt").write.parquet(f"{root}/stray-{number}")
+        dedup.append_once(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    assert sorted(r["eventid"] for r in dedup.rows(spark, out).collect()) == ["1", "2", "4", "5"]
+    aside = sorted((r["reason"], r["eventid"]) for r in dedup.side_rows(spark, out).collect())
+    assert aside == [("late", "3"), ("undated", "stray 0"), ("undated", "stray 1"), ("undated", "stray 2")]
+
+
+# --- versions and new files -----------------------------------------------------------------
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    """Both start from the same version: other folders go together, the same folder does not, and nothing is half visible."""
+    out = str(tmp_path / "table")
+
+    def prepared(*rows):
+        from searchtide.plans.curate import prepared_events, usable_events
+
+        return prepared_events(usable_events(raw_table(spark, *rows)))
+
+    base = commit_curated(prepared(raw_row("1"), raw_row("2", dt="20220602")), out, "first")
+    commit_curated(prepared(raw_row("3")), out, "second", base=base)
+    commit_curated(prepared(raw_row("4", dt="20220602")), out, "third", base=base)
+    assert {r["event_id"]: r["_pipeline_run_id"] for r in read_curated(spark, out).collect()} == {"3": "second", "4": "third"}
+    with pytest.raises(versions.Conflict):
+        commit_curated(prepared(raw_row("5"), raw_row("6", dt="20220609")), out, "loser", base=base)
+    assert {r["event_id"] for r in read_curated(spark, out).collect()} == {"3", "4"}
+    # a reader at work on an older version still finds it
+    assert versions.read(spark, out, CURATED, base).count() == 2
+    gone = versions.vacuum(spark, out, keep=1)
+    assert len(gone) == 1 and read_curated(spark, out).count() == 2
+
+
+def test_versions_under_threads(spark, tmp_path):
+    root = str(tmp_path)
+
+    def write(k):
+        base = versions.Version()
+        return versions.publish(spark, root, base, {f"part={k}": (f"commit={k}",)}, f"run-{k}").number
+
+    with ThreadPoolExecutor(8) as pool:
+        assert sorted(pool.map(write, range(8))) == list(range(1, 9))
+    newest = versions.current(spark, root)
+    assert newest.number == 8 and set(newest.parts) == {f"part={k}" for k in range(8)}
+    assert versions.runs(spark, root) == {f"run-{k}" for k in range(8)}
+
+    def same_part(k):
+        try:
+            return versions.publish(spark, root, newest, {"part=x": (f"commit={k}",)}, str(k)).run
+        except versions.Conflict:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        winners = [w for w in pool.map(same_part, range(8)) if w]
+    assert len(winners) == 1 and versions.current(spark, root).run == winners[0]
+    assert not [p for p in Path(root, "versions").iterdir() if "json-" in p.name]
+
+
+def test_late_files_are_found(spark, tmp_path):
+    root, out = str(tmp_path / "landing"), str(tmp_path / "out")
+    days = [raw_row(str(d), f"2022-06-0{d} 05:00:00.000", dt=f"2022060{d}") for d in range(1, 10)]
+    write_raw(raw_table(spark, *days), f"{root}/a")
+    assert tuple(run_new_files(spark, root, out, run_id="1").first())[1:] == (9, 0, 9, 9)
+    assert tuple(run_new_files(spark, root, out, run_id="2").first())[1:] == (0, 0, 0, 0)
+    late = raw_row("late", "2022-06-01 05:00:30.000", keyword="naruto", dt="20220601")
+    write_raw(raw_table(spark, late), f"{root}/b")
+    assert tuple(run_new_files(spark, root, out, run_id="3").first())[1:] == (1, 0, 1, 3)
+    assert same(read_curated(spark, out), curated(raw_table(spark, *days, late)))
+    # only days within reach were written again
+    assert {r["dt"] for r in read_curated(spark, out).where("_pipeline_run_id = '3'").collect()} == {"2022-06-01", "2022-06-02"}
+    shutil.rmtree(tmp_path / "landing" / "b")
+    shutil.rmtree(tmp_path / "landing" / "a" / "20220609")
+    raw_table(spark, raw_row("stray")).drop("dt").coalesce(1).write.parquet(f"{root}/stray")
+    assert tuple(run_new_files(spark, root, out, run_id="4").first())[1:4] == (1, 2, 3)
+    found = {(r["event_id"], r["dt"]) for r in read_curated(spark, out).collect()}
+    assert found == {(str(d), f"2022-06-0{d}") for d in range(1, 9)} | {("stray", None)}
+
+
 # --- keyword table --------------------------------------------------------------------------
 
 
@@ -328,11 +519,20 @@ def test_store_keeps_versions(spark, tmp_path):
     assert lut_store.save(spark, store, one) == 1
     lut, resolved = lut_store.load(spark, store)
     assert (lut.count(), resolved.count()) == (1, 0)
-    # a version that was never listed is not read, and the next writer replaces it
-    one.write.parquet(f"{store}/v2/lut")
-    assert lut_store.load(spark, store)[0].count() == 1
-    assert lut_store.save(spark, store, lut.unionByName(one), resolved) == 2
+    # files that were never listed are not read
+    one.write.parquet(f"{store}/data/commit=lost/lut")
+    base = lut_store.current(spark, store)
     assert lut_store.load(spark, store)[0].count() == 1
+    both = spark.createDataFrame([("a",), ("b",)], "keyword string")
+    assert lut_store.save(spark, store, lut.unionByName(one), both) == 2
+    lut, resolved = lut_store.load(spark, store)
+    # what has a genre is not resolved as well
+    assert lut.count() == 1 and [r["keyword"] for r in resolved.collect()] == ["b"]
+    # a writer that started from version 1 has not seen version 2
+    with pytest.raises(versions.Conflict):
+        lut_store.save(spark, store, spark.createDataFrame([("b", "NHAC")], "keyword string, genre string"), base=base)
+    assert lut_store.save(spark, store, spark.createDataFrame([("b", "NHAC")], "keyword string, genre string")) == 3
+    assert lut_store.load(spark, store)[1].count() == 0
 
 
 # --- quality and access ---------------------------------------------------------------------
@@ -380,7 +580,8 @@ def test_roles(spark, curated_rows):
     view = spark.table(access.create_role_view(curated_rows, "lut_refresh"))
     assert set(curated_rows.columns) - set(view.columns) == {
         "user_id_hashed", "search_session_id", "has_premium", "subscription_count"}
-    assert all(r["ok"] for r in contracts.access_checks(curated_rows, ["lut_refresh", "reports"]).collect())
-    assert not access.exclusion_matches(curated_rows, curated_rows, "lut_refresh")
+    views = {role: access.create_role_view(curated_rows, role) for role in ("lut_refresh", "reports")}
+    assert all(r["ok"] for r in contracts.access_checks(curated_rows, views).collect())
+    assert not access.exclusion_matches(curated_rows, views["reports"], "lut_refresh")
     with pytest.raises(ValueError):
         access.visible_to(curated_rows, "stranger")

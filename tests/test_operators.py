@@ -45,7 +45,8 @@ def test_dedup_survivor_does_not_depend_on_row_order(spark):
 
 
 def session_rows(spark, rows):
-    return spark.createDataFrame(rows, "session_key string, event_ts int, eventid string, keyword_norm string")
+    frame = spark.createDataFrame(rows, "session_key string, event_ts int, eventid string, keyword_norm string")
+    return frame.withColumn("event_ts", F.timestamp_seconds("event_ts"))
 
 
 def flags(frame):
@@ -80,28 +81,47 @@ def test_large_sessions_give_the_same_flags(spark, hot):
     chance.shuffle(rows)
     frame = session_rows(spark, rows)
     expected = brute_force(rows)
-    for slices in (1, 7, 40):
-        assert flags(repeats.mark_repeats(frame, slices=slices)) == expected
+    for hot_rows in (10**6, 200, 3, 0):
+        assert flags(repeats.mark_repeats(frame, hot_rows=hot_rows)) == expected
+    # a count from elsewhere only decides what is cut
+    assert flags(repeats.mark_repeats(frame, counted=frame.union(frame), hot_rows=900)) == expected
+    assert flags(repeats.mark_repeats(frame, counted=frame.limit(0), hot_rows=0)) == expected
 
 
 def test_one_instant_and_one_session_is_still_cut(spark):
     rows = [("s", 0, f"e{i:04d}", "ab"[i % 7 == 0]) for i in range(600)]
     frame = session_rows(spark, rows)
-    marked = repeats.mark_repeats(frame, slices=12)
+    marked = repeats.mark_repeats(frame, hot_rows=50)
     assert flags(marked) == brute_force(rows)
 
 
+def test_pieces_of_a_large_session_are_small(spark):
+    """Equal times, ids without a common beginning, ids that are missing: no window holds the whole session."""
+    rows = [(None, i // 500, f"{i:04d}-{i % 9}" if i % 50 else None, "ab"[i % 3 == 0] if i % 50 else None) for i in range(1500)]
+    frame = session_rows(spark, rows)
+    got = repeats.mark_repeats(frame, hot_rows=100).where("eventid is not null")
+    want = repeats.mark_repeats(frame, hot_rows=10**6).where("eventid is not null")
+    assert flags(got) == flags(want)
+
+
+def test_planning_runs_no_job(spark):
+    before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    rows = session_rows(spark, [("s", 1, "e", "k")])
+    repeats.mark_repeats(rows).explain()
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == before
+
+
 def test_equally_large_sessions_are_all_cut(spark):
     rows = [(f"s{i % 6}", i // 30, f"e{i:04d}", "abc"[i % 5 % 3] if i % 4 else None) for i in range(600)]
     frame = session_rows(spark, rows)
-    marked = repeats.mark_repeats(frame, slices=30)
+    marked = repeats.mark_repeats(frame, hot_rows=99)
     assert flags(marked) == brute_force(rows)
 
 
 def test_missing_and_empty_session_keys_differ(spark):
     rows = [(None, i, f"n{i}", "x") for i in range(40)] + [("", i, f"m{i}", "y") for i in range(40)]
     frame = session_rows(spark, rows)
-    got = flags(repeats.mark_repeats(frame, slices=9))
+    got = flags(repeats.mark_repeats(frame, hot_rows=5))
     assert sum(v is None for v in got.values()) == 2 and all(v is not False for v in got.values())
 
 
@@ -183,7 +203,7 @@ def test_curated_plan_is_native_and_prunes(spark, raw):
 
 def test_curated_is_the_same_on_every_run(spark, raw):
     first = curated(raw, rules=TEST_RULES)
-    again = curated(raw.repartition(5), rules=CurationRules(patterns=TEST_RULES.patterns, session_slices=20))
+    again = curated(raw.repartition(5), rules=CurationRules(patterns=TEST_RULES.patterns, hot_session_rows=20))
     assert first.exceptAll(again).count() == 0 and again.exceptAll(first).count() == 0
 
 

@@ -132,6 +132,10 @@ def test_pack_goes_on_after_a_failing_section(spark, curated_rows, tmp_path, mon
     monkeypatch.setitem(report_pack.SECTIONS, "premium", lambda cells, keywords: cells.select("no_such_column"))
     summary = report_pack.refresh(curated_rows, str(tmp_path), "failing", date(2024, 1, 30)).first()
     assert (summary["dt"], summary["errors"]) == ("2024-01-30", 1)
+    assert summary["messages"].startswith("premium: AnalysisException") and "no_such_column" in summary["messages"]
     written = {p.name for p in tmp_path.iterdir()}
     assert "section=premium" not in written and len(written) == len(report_pack.SECTIONS)
     assert "•" in spark.read.parquet(f"{tmp_path}/section=genre").first()["coverage"]
+    caption = trending.TrendWindows.before(date(2024, 1, 30)).caption(summary["mode"])
+    assert caption.startswith("2024-01-23 → 2024-01-29 vs 2023-12-26 → 2024-01-01 • ")
+    assert {r["coverage"] for r in spark.read.parquet(f"{tmp_path}/section=trending").collect()} <= {caption}
