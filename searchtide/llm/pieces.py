@@ -161,17 +161,25 @@ def best(vocabulary: Vocabulary, text: bytes) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts, remembering the segments met lately."""
+    """Encodes texts, remembering the segments met lately.
+
+    A segment is decoded when it is solved. As long as every one came back byte by byte, so did the texts made of them;
+    once one did not, texts are decoded as a whole.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.segments = re.compile(vocabulary.segment).findall
         self.known: dict[str, bytes] = {}
+        self.all_exact = True
 
     def solved(self, segment: str) -> bytes:
         if len(self.known) >= REMEMBERED:
             self.known.clear()
-        out = np.array(best(self.vocabulary, segment.encode()), np.int32).tobytes()
+        text = segment.encode()
+        ids = best(self.vocabulary, text)
+        self.all_exact &= b"".join([self.vocabulary.pieces[i] for i in ids]) == text
+        out = np.array(ids, np.int32).tobytes()
         if len(segment) <= 64:
             self.known[segment] = out
         return out
@@ -181,6 +189,10 @@ class Encoder:
         get, solved = self.known.get, self.solved
         return b"".join([get(s) or solved(s) for s in self.segments(" " + text)]) if text else b""
 
+    def comes_back(self, text: str, ids: np.ndarray) -> bool:
+        """Whether decoding gives the text, for a text this encoder has encoded."""
+        return self.all_exact or self.decode(ids) == text
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of piece numbers."""
         pieces = self.vocabulary.pieces
@@ -214,7 +226,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))
                 values = np.concatenate([np.zeros(0, np.int32), *[i for i in ids if i is not None]])
                 tokens = pa.ListArray.from_arrays(offsets, pa.array(values), mask=nulls)
-                exact = [None if t is None else coder.decode(i) == t for t, i in zip(texts, ids)]
+                exact = [None if t is None else coder.comes_back(t, i) for t, i in zip(texts, ids)]
                 number = pa.array(lengths, mask=nulls.to_numpy(zero_copy_only=False))
                 yield pa.RecordBatch.from_arrays([*part.columns, tokens, number, pa.array(exact, pa.bool_())],
                                                  [*part.schema.names, "tokens", "n_tokens", "exact"])

@@ -121,6 +121,18 @@ def vocabulary():
     return pieces.load()
 
 
+def test_exact_is_what_decoding_says(vocabulary):
+    """Also with a vocabulary that cannot spell some bytes."""
+    texts = ["a plain text", "", " two  blanks\n", "\U0001d11e é ▁", "x" * 100]
+    broken = vocabulary._replace(byte_ids=[vocabulary.byte_ids[65]] * 256)
+    for given in (vocabulary, broken):
+        coder = pieces.Encoder(given)
+        for text in texts * 2:
+            ids = np.frombuffer(coder.encode(text), np.int32)
+            assert coder.comes_back(text, ids) == (coder.decode(ids) == text)
+    assert not coder.all_exact
+
+
 def test_trie_holds_exactly_the_keys():
     keys = {k.encode(): i for i, k in enumerate(["a", "ab", "abc", "b", "é", "bca", "zz"])}
     trie = pieces.double_array(keys)
