@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import reduce
@@ -155,15 +155,21 @@ def gate(results: DataFrame, min_score: float | None = None) -> DataFrame:
 # --- recommendation -------------------------------------------------------------------------
 
 
+#: distinct values are estimated to one part in a hundred
+_ERROR = 0.01
+#: combinations of values counted in one pass
+MOST_CELLS = 100_000
+
+
 def profile(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per column: rows, nulls, distinct values, largest number. One pass over the table."""
+    """One row per column: rows, nulls, about how many distinct values, largest number. One pass, all columns at once."""
     numeric = {f.name for f in rows.schema.fields if f.dataType.typeName() in ("integer", "long", "double", "short")}
     measures = [F.count(F.lit(1)).alias("rows")]
     for c in columns:
         largest = F.max(c).cast("double") if c in numeric else F.lit(None).cast("double")
         measures += [
             F.count_if(F.col(c).isNull()).alias(f"{c}.nulls"),
-            F.count_distinct(c).alias(f"{c}.distinct"),
+            F.approx_count_distinct(c, _ERROR).alias(f"{c}.distinct"),
             largest.alias(f"{c}.largest"),
         ]
     described = [
@@ -186,14 +192,15 @@ def recommend(
 
     Columns with few values get a list of them, and a shorter list with a threshold where some
     values make up ``common_share`` of the rows; numbers get a limit; ``keys`` get a uniqueness
-    share just below the present one.
+    share just below the present one. Sketches decide which columns may have few values; only those are counted, exactly.
     """
     if existing:
         return list(existing)
     rules: list[Rule] = []
     described = profile(rows, columns).collect()
-    few = [p["column"] for p in described if 0 < p["distinct"] <= most_listed]
-    values = _value_counts(rows, few)
+    # some room for the error of the estimate
+    may_be_few = {p["column"]: p["distinct"] for p in described if 0 < p["distinct"] <= most_listed * (1 + 5 * _ERROR) + 1}
+    values = {c: found for c, found in _value_counts(rows, may_be_few).items() if len(found) <= most_listed}
     for p in described:
         column, found = p["column"], values.get(p["column"], [])
         if found:
@@ -216,16 +223,26 @@ def _below(part: int, whole: int) -> float:
     return 1.0 if part == whole else (100 * part // whole) / 100
 
 
-def _value_counts(rows: DataFrame, columns: Sequence[str]) -> dict[str, list[tuple[str, int]]]:
-    """All values and counts of columns known to have few, most frequent first, from one pass over the table."""
-    if not columns:
-        return {}
-    pairs = F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in columns])).alias("p")
-    counts = rows.select(pairs).select("p.*").where(F.col("value").isNotNull()).groupBy("column", "value").count()
+def _value_counts(rows: DataFrame, columns: Mapping[str, int]) -> dict[str, list[tuple[str, int]]]:
+    """All values and counts of columns with few values (about how many is given), most frequent first.
+
+    Columns are counted together: a pass has a row per combination of their values, as many columns at a time as have at most
+    ``MOST_CELLS`` combinations. The table's rows are not multiplied.
+    """
+    groups: list[tuple[list[str], int]] = []
+    for column, distinct in sorted(columns.items(), key=lambda c: c[1]):
+        # null is a value here
+        if groups and groups[-1][1] * (distinct + 1) <= MOST_CELLS:
+            groups[-1] = ([*groups[-1][0], column], groups[-1][1] * (distinct + 1))
+        else:
+            groups.append(([column], distinct + 1))
     found: dict[str, list[tuple[str, int]]] = {}
-    for r in sorted(counts.collect(), key=lambda r: (-r["count"], r["column"], r["value"])):
-        found.setdefault(r["column"], []).append((r["value"], r["count"]))
+    for together, _ in groups:
+        cells = rows.groupBy(*together).agg(F.count(F.lit(1)).alias("n"))
+        pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in together])).alias("p")
+        counts = cells.select("n", pairs).select("p.*", "n").where(F.col("value").isNotNull()).groupBy("column", "value").agg(F.sum("n").alias("n"))
+        for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["column"], r["value"])):
+            found.setdefault(r["column"], []).append((r["value"], r["n"]))
     return found
 
 
@@ -239,9 +256,10 @@ def _shortest_cover(found: Sequence[tuple[str, int]], rows: float) -> list[tuple
     return cover if total >= rows else []
 
 
+#: a rule set as rows
+RULES = "position int, kind string, column string, values array<string>, threshold double, limit double, rule string"
+
+
 def rules_table(spark, rules: Sequence[Rule]) -> DataFrame:
     """Rules as rows, for storing and showing."""
-    return spark.createDataFrame(
-        [(r.kind, r.column, list(r.values), r.threshold, r.limit, r.text) for r in rules],
-        "kind string, column string, values array<string>, threshold double, limit double, rule string",
-    )
+    return spark.createDataFrame([(i, r.kind, r.column, list(r.values), r.threshold, r.limit, r.text) for i, r in enumerate(rules)], RULES)

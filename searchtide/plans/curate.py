@@ -27,6 +27,7 @@ class CurationRules:
     near_spellings: bool = False
     #: shorter keywords take no near spelling
     near_min_length: int = NEAR_MIN_LENGTH
+    near_edits: int = 1
     split_null_sessions: bool = False
     #: sessions with more rows are cut into pieces for the repeat flag
     hot_session_rows: int = HOT_ROWS
@@ -72,7 +73,7 @@ def prepared_events(
         narrow = mark_repeats(narrow, rules.split_null_sessions, with_session_key(events), rules.hot_session_rows)
     else:
         narrow = narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))
-    classified = classify(narrow, lut, rules.patterns, rules.near_spellings, rules.near_min_length)
+    classified = classify(narrow, lut, rules.patterns, rules.near_spellings, rules.near_min_length, rules.near_edits)
     return classified.withColumn("dt", moments.iso_day(F.col("dt")))
 
 

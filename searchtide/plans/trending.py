@@ -49,6 +49,13 @@ def _within(days: tuple[date, date]) -> Column:
     return (F.col("dt") >= days[0].isoformat()) & (F.col("dt") < days[1].isoformat())
 
 
+def _searches(rows: DataFrame, condition: Column) -> Column:
+    """How many searches meet the condition, in rows of one search each or in sums."""
+    if "searches" in rows.columns:
+        return F.sum(F.when(condition, F.col("searches")).otherwise(0))
+    return F.count_if(condition)
+
+
 def reference_day(rows: DataFrame) -> date:
     newest = latest_day(rows).first()["max_dt"]
     if not newest:
@@ -63,13 +70,14 @@ def has_baseline(rows: DataFrame, windows: TrendWindows) -> bool:
 def growth(rows: DataFrame, windows: TrendWindows, rules: TrendRules = TrendRules()) -> DataFrame:
     """Keywords of the current window against the baseline window.
 
-    Both windows are counted in one pass over their days; a keyword without baseline rows is new.
+    Both windows are counted in one pass over their days; a keyword without baseline rows is new. Takes curated rows or a
+    tally by day.
     """
     in_current, in_baseline = _within(windows.current), _within(windows.baseline)
     counted = (
         rows.where((in_current | in_baseline) & keyword_present())
         .groupBy("keyword_norm", "derived_genre")
-        .agg(F.count_if(in_current).alias("current_cnt"), F.count_if(in_baseline).alias("baseline_cnt"))
+        .agg(_searches(rows, in_current).alias("current_cnt"), _searches(rows, in_baseline).alias("baseline_cnt"))
     )
     current, baseline = F.col("current_cnt"), F.col("baseline_cnt")
     grown = F.try_divide(current.cast("double"), baseline.cast("double")) >= rules.min_growth
@@ -85,7 +93,7 @@ def volume(rows: DataFrame, windows: TrendWindows, rules: TrendRules = TrendRule
     counted = (
         rows.where(_within(windows.current) & keyword_present())
         .groupBy("keyword_norm", "derived_genre")
-        .agg(F.count(F.lit(1)).alias("current_cnt"))
+        .agg(_searches(rows, F.lit(True)).alias("current_cnt"))
         .where(F.col("current_cnt") >= rules.min_volume)
     )
     return _ranked(

@@ -238,7 +238,7 @@ _WINDOW = """gap_days AS (
 )"""
 
 
-def _pack() -> str:
+def _pack_lines() -> str:
     def two(rate: str) -> str:
         return f"CAST(CAST({rate} AS DECIMAL(20,2)) AS VARCHAR)"
 
@@ -260,8 +260,65 @@ def _pack() -> str:
         line("guest", share.format(part=_GUESTS, pct=pct(_GUESTS, _N), where=f"WHERE {_KNOWN}"), "derived_genre", "n", "k", two("p")),
         line("hour_genre", _HOUR_GENRE, "hour_of_day_vn", "derived_genre", "searches", two("pct_of_genre")),
     ]
-    body = " UNION ALL ".join(f"({text})" for text in lines)
-    return _from(f"{CURATED}, {_WINDOW}", f"SELECT section, row, coverage, 'complete' AS status FROM ({body}), captioned")
+    return " UNION ALL ".join(f"({text})" for text in lines)
+
+
+_RECOMMENDED = (""", pairs AS (
+  SELECT * FROM (SELECT CAST(derived_genre AS VARCHAR) AS derived_genre, CAST(platform_group AS VARCHAR) AS platform_group,
+    CAST(network_type_norm AS VARCHAR) AS network_type_norm, CAST(subscription_count AS VARCHAR) AS subscription_count,
+    CAST(is_search_abandoned AS VARCHAR) AS is_search_abandoned FROM curated) UNPIVOT (v FOR col IN (*))
+), counts AS (
+  SELECT * FROM (SELECT col, v, count(*) AS c FROM pairs GROUP BY col, v) QUALIFY count(*) OVER (PARTITION BY col) <= 20
+), running AS (
+  SELECT *, (SELECT count(*) FROM curated) AS n, sum(c) OVER (PARTITION BY col) AS total,
+    sum(c) OVER (PARTITION BY col ORDER BY c DESC, v ROWS UNBOUNDED PRECEDING) - c AS before FROM counts
+), lists AS (
+  SELECT col, n, sum(c) AS covered, string_agg('"' || v || '"', ',' ORDER BY v) AS vs FROM running GROUP BY col, n
+  UNION ALL
+  SELECT col, n, sum(c) FILTER (before < 0.9 * n), string_agg('"' || v || '"', ',' ORDER BY v) FILTER (before < 0.9 * n) FROM running
+  GROUP BY col, n HAVING max(total) >= 0.9 * n AND count(*) FILTER (before < 0.9 * n) < count(*)
+), listed AS (
+  SELECT col, vs, CASE WHEN covered = n THEN 1.0 ELSE CAST(100 * covered // n AS DOUBLE) / 100 END AS threshold FROM lists
+), shares AS (
+  SELECT """ + pct("count(*) FILTER (n = 1)", "sum(n)", 1, 4) + """ AS share FROM (SELECT event_id, count(*) AS n FROM curated GROUP BY ALL)
+)""", """
+SELECT 'listed' AS kind, col AS "column", CAST(threshold AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS "limit", 'ColumnValues "' || col || '" in [' || vs || ']'
+  || CASE WHEN threshold >= 1 THEN '' ELSE printf(' with threshold >= %g', CAST(threshold AS DOUBLE)) END AS rule FROM listed
+UNION ALL
+SELECT 'at_most', 'subscription_count', 1.0, CAST(max(subscription_count) AS DOUBLE), printf('ColumnValues "subscription_count" <= %g', CAST(max(subscription_count) AS DOUBLE)) FROM curated
+UNION ALL
+SELECT 'unique', 'event_id', 1.0, greatest(0, trunc(share * 100 - 1) / 100), printf('Uniqueness "event_id" > %g', greatest(0, trunc(share * 100 - 1) / 100)) FROM shares""")
+
+
+def _job() -> str:
+    """The recommended rules measured again on rows of known genres."""
+    listed = pct("count(*) FILTER (WHERE contains(',' || vs || ',', ',\"' || v || '\",'))", "count(*)", 1, 4)
+    unique = pct("count(*) FILTER (WHERE n = 1 AND event_id IS NOT NULL)", "sum(n)", 1, 4)
+    columns = ("derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned")
+    # a missing value lies in no list
+    values = " UNION ALL ".join(f"SELECT '{c}' AS col, coalesce(CAST({c} AS VARCHAR), '?') AS v FROM known_rows" for c in columns)
+    return _from(CURATED + _RECOMMENDED[0] + f""", recommended AS ({_RECOMMENDED[1]}
+), known_rows AS (SELECT * FROM curated WHERE derived_genre <> 'UNKNOWN'), every AS ({values}), lists_measured AS (
+  SELECT l.col, vs, threshold, {listed} AS m FROM listed l JOIN every USING (col) GROUP BY ALL
+), outcomes AS (
+  SELECT r.rule, CASE WHEN m >= r.threshold THEN 'Passed' ELSE 'Failed' END AS outcome FROM recommended r JOIN lists_measured l
+    ON r.kind = 'listed' AND r."column" = l.col AND r.threshold = l.threshold AND r.rule LIKE '%[' || vs || ']%'
+  UNION ALL SELECT rule, CASE WHEN (SELECT max(subscription_count) FROM known_rows) <= "limit" THEN 'Passed' ELSE 'Failed' END FROM recommended WHERE kind = 'at_most'
+  UNION ALL SELECT rule, CASE WHEN (SELECT {unique} FROM (SELECT event_id, count(*) AS n FROM known_rows GROUP BY ALL)) > "limit" THEN 'Passed' ELSE 'Failed' END
+    FROM recommended WHERE kind = 'unique'
+), score AS (SELECT count(*) AS rules, count(*) FILTER (WHERE outcome = 'Passed') AS passed FROM outcomes)""",
+        "SELECT rule, outcome, true AS stamped, false AS recommended, rules, passed, " + pct("passed", "rules", 1, 4) + " AS score, "
+        + pct("passed", "rules", 1, 4) + " >= 0.9 AS proceed FROM outcomes, score")
+
+
+#: the curated table after one day was curated again with the keyword table
+_RECLASSIFIED = CURATED.replace("), curated AS (", "), curated_first AS (") + f""", {_LUT}, curated AS (
+  SELECT c.* REPLACE (CASE WHEN dt = '{LOOKUP_DAY}' AND derived_genre <> 'EMPTY_QUERY' THEN coalesce(genre, derived_genre) ELSE derived_genre END AS derived_genre)
+  FROM curated_first c LEFT JOIN lut ON keyword_norm = keyword
+)"""
+
+#: part names with one letter taken out and one other changed
+_MISSPELT = "misspelt AS (SELECT DISTINCT 'z' || p_name[2:4] || p_name[6:] AS keyword FROM part)"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -310,6 +367,19 @@ def oracle_sql() -> dict[str, str]:
             "SELECT keyword_norm, keyword AS near_keyword, 'PHIM_TRUNG' AS near_genre FROM words, near_lut "
             "WHERE levenshtein(keyword_norm, keyword) <= 1 QUALIFY row_number() OVER (PARTITION BY keyword_norm "
             "ORDER BY levenshtein(keyword_norm, keyword), keyword) = 1"),
+        "genre_fuzzy_two_edits": _from(CURATED + f", {_MISSPELT}, words AS (SELECT DISTINCT keyword_norm FROM curated WHERE length(keyword_norm) >= 4)",
+            "SELECT keyword_norm, keyword AS near_keyword, 'PHIM_TRUNG' AS near_genre FROM words, misspelt "
+            "WHERE levenshtein(keyword_norm, keyword) <= 2 QUALIFY row_number() OVER (PARTITION BY keyword_norm "
+            "ORDER BY levenshtein(keyword_norm, keyword), keyword) = 1"),
+        "genre_waterfall_near": _from(f"{CURATED}, {_LUT}, {_MISSPELT}" + """, entries AS (
+  SELECT keyword, max(genre) AS genre FROM (SELECT * FROM lut UNION ALL SELECT keyword, 'PHIM_TRUNG' FROM misspelt) GROUP BY keyword
+), near AS (
+  SELECT keyword_norm, e.genre FROM (SELECT DISTINCT keyword_norm FROM curated WHERE derived_genre = 'UNKNOWN' AND length(keyword_norm) >= 4) w, entries e
+  WHERE length(keyword) >= 4 AND levenshtein(keyword_norm, keyword) <= 2
+  QUALIFY row_number() OVER (PARTITION BY keyword_norm ORDER BY levenshtein(keyword_norm, keyword), keyword) = 1
+)""", """SELECT event_id, CASE WHEN derived_genre = 'EMPTY_QUERY' THEN derived_genre
+  ELSE coalesce(e.genre, CASE WHEN derived_genre = 'UNKNOWN' THEN n.genre END, derived_genre) END AS derived_genre
+FROM curated c LEFT JOIN entries e ON c.keyword_norm = e.keyword LEFT JOIN near n ON c.keyword_norm = n.keyword_norm"""),
         # reports
         "report_dt_window": _curated(
             "SELECT min(dt) AS min_dt, max(dt) AS max_dt, count(DISTINCT dt) AS n_days, count(*) AS total_rows, "
@@ -391,7 +461,12 @@ def oracle_sql() -> dict[str, str]:
         "rollup_keyword_reports": _curated(
             f"SELECT keyword_norm, derived_genre, count(*) AS c, {pct(_ABANDONED, _N)} AS a FROM curated "
             f"WHERE {_PRESENT} GROUP BY ALL ORDER BY c DESC, keyword_norm, derived_genre LIMIT 20"),
-        "report_pack": _pack(),
+        "report_pack": _from(f"{CURATED}, {_WINDOW}", f"SELECT section, row, coverage, 'complete' AS status FROM ({_pack_lines()}), captioned"),
+        "rollup_report_pack": _from(_RECLASSIFIED, f"SELECT section, row, 'dt={LOOKUP_DAY}' AS days_read FROM ({_pack_lines()})"),
+        "rollup_trending": _from(_RECLASSIFIED + _windows(), "SELECT * FROM grown"),
+        "rollup_distinct_keywords": _curated(
+            f"SELECT 'all' AS days, count(DISTINCT keyword_norm) AS kw, true AS near FROM curated UNION ALL "
+            f"SELECT 'recent', count(DISTINCT keyword_norm), true FROM curated WHERE dt >= '{SINCE}'"),
         "report_refresh_summary": _from(
             trend, f"SELECT max(dt) AS dt, 'growth ≥ {TREND.min_growth}x' AS mode, "
             "(SELECT count(*) FROM grown) AS trending_rows, 0::BIGINT AS errors, NULL::VARCHAR AS messages FROM curated"),
@@ -459,31 +534,8 @@ UNION ALL SELECT 'hour matrix is complete', count(*) >= 200, CAST(count(*) AS VA
             "SELECT * EXCLUDE (event_ts, plan_names, user_id_hashed, search_session_id, has_premium, subscription_count), "
             f"{_TS.format('event_ts')} AS event_ts, CASE WHEN plan_names IS NOT NULL THEN "
             "coalesce(array_to_string(plan_names, ','), '') END AS plan_names FROM curated"),
-        "dq_recommend": _from(CURATED + """, pairs AS (
-  SELECT * FROM (SELECT CAST(derived_genre AS VARCHAR) AS derived_genre, CAST(platform_group AS VARCHAR) AS platform_group,
-    CAST(network_type_norm AS VARCHAR) AS network_type_norm, CAST(subscription_count AS VARCHAR) AS subscription_count,
-    CAST(is_search_abandoned AS VARCHAR) AS is_search_abandoned FROM curated) UNPIVOT (v FOR col IN (*))
-), counts AS (
-  SELECT * FROM (SELECT col, v, count(*) AS c FROM pairs GROUP BY col, v) QUALIFY count(*) OVER (PARTITION BY col) <= 20
-), running AS (
-  SELECT *, (SELECT count(*) FROM curated) AS n, sum(c) OVER (PARTITION BY col) AS total,
-    sum(c) OVER (PARTITION BY col ORDER BY c DESC, v ROWS UNBOUNDED PRECEDING) - c AS before FROM counts
-), lists AS (
-  SELECT col, n, sum(c) AS covered, string_agg('"' || v || '"', ',' ORDER BY v) AS vs FROM running GROUP BY col, n
-  UNION ALL
-  SELECT col, n, sum(c) FILTER (before < 0.9 * n), string_agg('"' || v || '"', ',' ORDER BY v) FILTER (before < 0.9 * n) FROM running
-  GROUP BY col, n HAVING max(total) >= 0.9 * n AND count(*) FILTER (before < 0.9 * n) < count(*)
-), listed AS (
-  SELECT col, vs, CASE WHEN covered = n THEN 1.0 ELSE CAST(100 * covered // n AS DOUBLE) / 100 END AS threshold FROM lists
-), shares AS (
-  SELECT """ + pct("count(*) FILTER (n = 1)", "sum(n)", 1, 4) + """ AS share FROM (SELECT event_id, count(*) AS n FROM curated GROUP BY ALL)
-)""", """
-SELECT 'listed' AS kind, col AS "column", CAST(threshold AS DOUBLE) AS threshold, CAST(0 AS DOUBLE) AS "limit", 'ColumnValues "' || col || '" in [' || vs || ']'
-  || CASE WHEN threshold >= 1 THEN '' ELSE printf(' with threshold >= %g', CAST(threshold AS DOUBLE)) END AS rule FROM listed
-UNION ALL
-SELECT 'at_most', 'subscription_count', 1.0, CAST(max(subscription_count) AS DOUBLE), printf('ColumnValues "subscription_count" <= %g', CAST(max(subscription_count) AS DOUBLE)) FROM curated
-UNION ALL
-SELECT 'unique', 'event_id', 1.0, greatest(0, trunc(share * 100 - 1) / 100), printf('Uniqueness "event_id" > %g', greatest(0, trunc(share * 100 - 1) / 100)) FROM shares"""),
+        "dq_recommend": _from(CURATED + _RECOMMENDED[0], _RECOMMENDED[1]),
+        "dq_job": _job(),
         # streams
         "curated_new_files": _curated(
             f"SELECT {CURATED_COLUMNS.replace('_pipeline_run_id, ', '')}, 2::BIGINT AS dirty_days, 0::BIGINT AS idle_files FROM curated"),

@@ -15,17 +15,18 @@ from searchtide.functions.text import normalize_keyword
 from searchtide.operators import access, classify, contracts, lut as lut_ops, quality
 from searchtide.operators.dedup import keep_first_event
 from searchtide.operators.lineage import lineage_counts
-from searchtide.plans import report_pack, reports, trending
+from searchtide.plans import report_pack, reports, rollup, trending
 from searchtide.plans.curate import curated, prepared_events, usable_events
 from searchtide.plans.curation_job import run_new_files
 from searchtide.plans.lut_refresh import OfflineClassifier, refresh_lut
+from searchtide.plans.quality_job import run_quality
 from searchtide.registry.settings import (
     ARRIVED_UNTIL, FILTER_GENRE, FILTER_TEXT, LOOKUP_DAY, LUT_WORDS, NEW_SINCE, PHRASES, QUALITY_RULES, RESOLVED_WORD, RUN_ID,
     SINCE, TREND, VERDICT_WORDS,
 )
 from searchtide.session import require_settings, shared_folder
 from searchtide.sources import lut_store, quality_results
-from searchtide.sources.curated import partition, read_curated, write_curated
+from searchtide.sources.curated import commit_curated, partition, read_curated, write_curated
 from searchtide.sources.raw import parse_since, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES, raw_events, table
 from searchtide.streaming import dedup
@@ -227,6 +228,26 @@ def genre_fuzzy(spark, folder):
     return classify.near_genre(_curated(spark, folder), near)
 
 
+def _misspelt(spark: SparkSession, folder: str) -> DataFrame:
+    """Part names with one letter taken out and one other changed."""
+    return _part_names(spark, folder).select(
+        F.expr("'z' || substring(keyword, 2, 3) || substring(keyword, 6)").alias("keyword"), F.lit("PHIM_TRUNG").alias("genre"))
+
+
+@_query
+def genre_fuzzy_two_edits(spark, folder):
+    return classify.near_genre(_curated(spark, folder), _misspelt(spark, folder), edits=2)
+
+
+@_query
+def genre_waterfall_near(spark, folder):
+    """All stages: exact, patterns, near spellings of up to two edits."""
+    rows = _curated(spark, folder).select("event_id", "keyword_norm")
+    entries = _lut(spark, folder).unionByName(_misspelt(spark, folder))
+    found = classify.classify(rows, entries, TEST_RULES.patterns, near=True, near_edits=2)
+    return found.select("event_id", "derived_genre")
+
+
 # --- reports --------------------------------------------------------------------------------
 
 
@@ -298,22 +319,26 @@ def report_trending_fallback(spark, folder):
     return trending.volume(rows, _windows(rows), TREND)
 
 
-@_query
-def report_pack_sections(spark, folder):
-    """The contents of all sections, a row of a section as one text."""
-    out = _scratch(spark, "pack")
-    outcome = report_pack.report_pack(_stored(spark, folder, "pack-input"), out, uuid.uuid4().hex)
-
+def _as_text(rows: DataFrame, section: str) -> DataFrame:
+    """Rows of a section, each as one text."""
     def shown(name: str, kind: str) -> Column:
         text = F.col(name).cast("decimal(20,2)") if kind == "double" else F.col(name)
         return F.coalesce(text.cast("string"), F.lit("-"))
 
+    return rows.select(F.lit(section).alias("section"), F.concat_ws("|", *[shown(c, k) for c, k in rows.dtypes]).alias("row"))
+
+
+@_query
+def report_pack_sections(spark, folder):
+    """The contents of all sections."""
+    out = _scratch(spark, "pack")
+    outcome = report_pack.report_pack(_stored(spark, folder, "pack-input"), out, uuid.uuid4().hex)
     written = []
     for name, error in outcome.items():
         rows = spark.read.parquet(f"{out}/section={name}")
-        written.append(rows.select(
-            F.lit(name).alias("section"), F.concat_ws("|", *[shown(c, k) for c, k in rows.dtypes if c != "coverage"]).alias("row"), "coverage",
-            F.lit("complete" if error is None else error).alias("status")))
+        caption = rows.select("coverage").first()["coverage"]
+        written.append(_as_text(rows.drop("coverage"), name).withColumns(
+            {"coverage": F.lit(caption), "status": F.lit("complete" if error is None else error)}))
     return reduce(DataFrame.unionByName, written)
 
 
@@ -334,6 +359,52 @@ def report_trending_section(spark, folder):
     return spark.read.parquet(f"{out}/section=trending")
 
 
+# --- rollup ---------------------------------------------------------------------------------
+
+
+def _rolled_up(spark: SparkSession, folder: str, name: str) -> tuple[str, list[str]]:
+    """A rollup brought up to date after one day was curated again with a keyword table; and the days read for that."""
+    base = _scratch(spark, name)
+    table, root = f"{base}/curated", f"{base}/rollup"
+    events = usable_events(raw_events(spark, folder))
+    commit_curated(prepared_events(events, rules=TEST_RULES), table, RUN_ID, TEST_RULES)
+    rollup.refresh_rollup(spark, table, root)
+    again = prepared_events(events, _lut(spark, folder), TEST_RULES).where(F.col("dt") == LOOKUP_DAY)
+    commit_curated(again, table, RUN_ID, TEST_RULES)
+    return root, rollup.refresh_rollup(spark, table, root)
+
+
+@_query
+def rollup_report_pack(spark, folder):
+    """Every section answered from the rollup, not from the events."""
+    root, days = _rolled_up(spark, folder, "rollup-pack")
+    cells, keywords = rollup.read_rollup(spark, root, "cells"), rollup.read_rollup(spark, root, "keywords")
+    written = [_as_text(section(cells, keywords), name) for name, section in report_pack.SECTIONS.items()]
+    return reduce(DataFrame.unionByName, written).withColumn("days_read", F.lit(",".join(days)))
+
+
+@_query
+def rollup_trending(spark, folder):
+    root, _ = _rolled_up(spark, folder, "rollup-trending")
+    report, _ = trending.trending(rollup.read_rollup(spark, root, "keywords"), rules=TREND)
+    return report
+
+
+@_query
+def rollup_distinct_keywords(spark, folder):
+    """Distinct keywords of all days and of the days from a date on, exactly, and whether the sketches are within 2 %."""
+    root, _ = _rolled_up(spark, folder, "rollup-distinct")
+    windows = {"all": None, "recent": date.fromisoformat(SINCE)}
+    found = []
+    for name, first in windows.items():
+        exact = reports.totals(rollup.read_rollup(spark, root, "keywords", first)).select(F.col("kw").alias("exact"))
+        about = rollup.distinct_keywords(rollup.read_rollup(spark, root, "sketches", first))
+        # one row each
+        near = about.select(F.lit(name).alias("days"), F.col("kw").alias("about")).join(exact.select(F.lit(name).alias("days"), "exact"), "days")
+        found.append(near.select("days", F.col("exact").alias("kw"), (F.abs(F.col("about") - F.col("exact")) * 50 <= F.col("exact")).alias("near")))
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- keyword table --------------------------------------------------------------------------
 
 
@@ -499,7 +570,20 @@ def dq_recommend(spark, folder):
         ["derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned"],
         keys=["event_id"])
     # the values are part of the rule's text
-    return quality.rules_table(spark, rules).drop("values")
+    return quality.rules_table(spark, rules).drop("values", "position")
+
+
+@_query
+def dq_job(spark, folder):
+    """Recommend, evaluate, store, gate: the stored results beside the summary of the job. A second run keeps the rules."""
+    base = _scratch(spark, "dq-job")
+    rows = _stored(spark, folder, "dq-job-input", repeats=False)
+    columns = ["derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned"]
+    run_quality(rows, f"{base}/rules", f"{base}/first", columns, ["event_id"], "first", min_score=0.9)
+    summary = run_quality(rows.where(F.col("derived_genre") != "UNKNOWN"), f"{base}/rules", f"{base}/results", columns, ["event_id"], RUN_ID, min_score=0.9).first()
+    results = quality_results.read_results(spark, f"{base}/results")
+    stamped = (F.col("evaluation_started_on") != "") & (F.col("evaluation_completed_on") >= F.col("evaluation_started_on"))
+    return results.select("rule", "outcome", stamped.alias("stamped"), *[F.lit(summary[c]).alias(c) for c in ("recommended", "rules", "passed", "score", "proceed")])
 
 
 def _lineage_query(spark, folder):

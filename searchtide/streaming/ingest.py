@@ -154,7 +154,7 @@ class _Batch:
         # files of this commit can be read before it is published
         changes |= ledger.merged(self.spark, self.root, state, versions.new_commit(self.root))
         named = with_session_key(with_keyword(won)).withColumn("is_repeat_search", F.lit(None).cast("boolean"))
-        prepared = classify(named, self.lut, self.rules.patterns, self.rules.near_spellings, self.rules.near_min_length)
+        prepared = classify(named, self.lut, self.rules.patterns, self.rules.near_spellings, self.rules.near_min_length, self.rules.near_edits)
         fresh = finished(prepared.withColumn("dt", moments.iso_day(F.col("dt"))), self.run, self.rules)
         displaced = won.where("before is not null").select("eventid", moments.iso_day(F.col("before.dt")).alias("dt"))
         return self._written(fresh, "fresh"), self._written(displaced, "displaced")
