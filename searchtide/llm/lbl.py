@@ -5,10 +5,12 @@ their own; every other word belongs to the class of its last three bytes. The mo
 two before it: a class vector is predicted as the weighted sum of the context's vectors, and its
 product with each class vector plus a bias gives that class's log score. The word within its class follows smoothed counts.
 
-Counts are over all training tokens. The vectors are trained with noise-contrastive estimation in numpy: every
-task passes over its training texts, and the tasks' parameters are averaged, ``ROUNDS`` times over; the rounds share the
-positions out among themselves, so that each position of each text is trained on once.
-What is trained on grows with the input; the parameters do not.
+Counts are over all training tokens. The vectors are trained with noise-contrastive estimation in numpy. The texts, as sequences of
+classes, are dealt into *shards* of about ``SHARD_TOKENS`` tokens by a hash of the text's id and content, and lie in a shard in the order of that hash. In
+each of ``ROUNDS`` rounds every shard is passed over from the same starting point, and what the shards learned is averaged by their numbers of
+positions. The rounds share the positions out among themselves, so that each position of each text is trained on once. So the model
+depends on the texts alone: not on how the input is cut, on the number of tasks, or on a task that runs again; and as a shard has one
+size, more data bring more shards, not weaker ones. What is trained on grows with the input; the parameters do not.
 
 Scores of a batch are lookups in tables of products: with E1 and E2 the exponentials of the scores that each of the two context
 classes gives each class, the normaliser of every context pair is one entry of the product of E1 and E2.
@@ -41,6 +43,11 @@ ENDINGS = 509
 CLASSES = SINGLE + ENDINGS
 DIMENSIONS = 24
 ROUNDS = 2
+#: training tokens of a shard (4 MB), and of the pieces that very long texts are cut into
+SHARD_TOKENS = 2_000_000
+PIECE_TOKENS = 65_536
+#: most tasks that shards are dealt to; beyond that a task has several
+SHARD_TASKS = 20_000
 BATCH = 512
 NOISE = 128
 RATE = 0.1
@@ -202,31 +209,95 @@ def _shaped(values: np.ndarray) -> Vectors:
     return Vectors(r.reshape(CLASSES, DIMENSIONS), q.reshape(CLASSES, DIMENSIONS), c.reshape(2, DIMENSIONS), b)
 
 
-def fit(docs: DataFrame, counts: Counts, text_col: str = "text", rounds: int = ROUNDS) -> Vectors:
-    """Train on every position of the texts, in one of the rounds; each round averages what the tasks learned, by their numbers of positions."""
+def shards(docs: DataFrame, counts: Counts, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per shard: ``shard``, ``lines`` (16-bit classes of its pieces, each with the two classes before it) and their ``lengths``; staged."""
+    small = Counts(counts.tokens, counts.distinct, counts.single, counts.head[:0], counts.head_counts[:0], counts.class_tokens, counts.class_words)
+    sent = docs.sparkSession.sparkContext.broadcast(small)
+
+    def sequenced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch, "text"):
+                data, offsets = tx.encoded(part.column("text"))
+                words = tx.words_of(tx.lowered(data), offsets)
+                ids, vocabulary = tx.numbered(words.strings)
+                line, _ = _sequence(_classes(vocabulary, sent.value)[ids] if len(ids) else ids, words.first)
+                line = line.astype(np.int16)
+                begin = words.first + 3 * np.arange(len(words.first))
+                owner, piece, lines = [], [], []
+                for i, (f, t) in enumerate(zip(begin[:-1].tolist(), begin[1:].tolist())):
+                    for k, at in enumerate(range(f, t - 2, PIECE_TOKENS)):
+                        owner.append(i)
+                        piece.append(k)
+                        lines.append(line[at : min(t, at + PIECE_TOKENS + 2)].tobytes())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id").take(pa.array(owner, pa.int64())), pa.array(piece, pa.int32()), pa.array(lines, pa.binary())], ["id", "piece", "line"])
+
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, lines = None, []
+
+        def row() -> pa.RecordBatch:
+            lengths = pa.array([[len(x) // 2 for x in lines]], pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([b"".join(lines)], pa.binary()), lengths], ["shard", "lines", "lengths"])
+
+        for batch in batches:
+            for key, line in zip(batch.column("shard").to_pylist(), batch.column("line").to_pylist()):
+                if key != shard and lines:
+                    yield row()
+                    lines = []
+                shard = key
+                lines.append(line)
+        if lines:
+            yield row()
+
+    number = max(1, -(-counts.tokens // SHARD_TOKENS))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    pieces = rows.mapInArrow(sequenced, f"id {docs.schema[id_col].dataType.simpleString()}, piece int, line binary")
+    dealt = pieces.select(F.xxhash64("id", "piece", "line").alias("h"), "line").withColumn("shard", F.pmod("h", F.lit(number)))
+    dealt = dealt.repartition(min(number, SHARD_TASKS), "shard").sortWithinPartitions("shard", "h", "line")
+    return staged(dealt.select("shard", "line").mapInArrow(gathered, "shard long, lines binary, lengths array<int>"), "shards")
+
+
+def _positions(line: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Places of the targets: all but the first two classes of each piece."""
+    target = np.ones(len(line), bool)
+    begin = np.cumsum(lengths) - lengths
+    target[begin] = target[begin + 1] = False
+    return np.flatnonzero(target)
+
+
+def fit(dealt: DataFrame, counts: Counts, rounds: int = ROUNDS) -> Vectors:
+    """Train on every position of the shards, in one of the rounds; each round averages what the shards learned."""
     vectors = start(counts)
+    spark = dealt.sparkSession
     share = (counts.class_tokens + 0.5) / (counts.class_tokens + 0.5).sum()
-    small = Counts(counts.tokens, counts.distinct, counts.single, counts.head[:0], counts.head_counts[:0], counts.class_tokens, counts.class_words)
     for turn in range(rounds):
-        sent = docs.sparkSession.sparkContext.broadcast((vectors, small))
+        sent = spark.sparkContext.broadcast(vectors)
 
         def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, known = sent.value
-            seen = 0
+            seen, total = 0, np.zeros(len(_flat(sent.value)))
+            for batch in batches:
+                for shard, lines, lengths in zip(*(batch.column(c) for c in ("shard", "lines", "lengths"))):
+                    line = np.frombuffer(lines.as_buffer(), np.int16).astype(np.int64)
+                    places = _positions(line, lengths.values.to_numpy())[turn::rounds]
+                    places = places[np.random.default_rng([shard.as_py(), turn]).permutation(len(places))]
+                    if len(places):
+                        total += _flat(trained(sent.value, line[places - 1], line[places - 2], line[places], share)) * len(places)
+                        seen += len(places)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total])], ["seen", "sums"])
+
+        def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seen, total = 0, 0.0
             for batch in batches:
-                for part in tx.chunks(batch, "text"):
-                    data, offsets = tx.encoded(part.column("text"))
-                    words = tx.words_of(tx.lowered(data), offsets)
-                    ids, vocabulary = tx.numbered(words.strings)
-                    line, places = _sequence(_classes(vocabulary, known)[ids] if len(ids) else ids, words.first)
-                    places = places[turn::rounds]
-                    places = places[np.random.default_rng(len(places)).permutation(len(places))]
-                    own = trained(own, line[places - 1], line[places - 2], line[places], share)
-                    seen += len(places)
-            yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([_flat(own) * seen])], ["seen", "sums"])
-
-        rows = docs.select(F.col(text_col).alias("text")).mapInArrow(learned, "seen long, sums array<double>").where("seen > 0")
-        cells = rows.select("seen", F.posexplode("sums").alias("cell", "value")).groupBy("cell").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen")).toArrow()
+                seen += int(batch.column("seen").to_numpy().sum())
+                total = total + batch.column("sums").flatten().to_numpy().reshape(batch.num_rows, -1).sum(axis=0)
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array([seen], pa.int64()), pa.array([total])], ["seen", "sums"])
+
+        # one array per task becomes one per shuffle partition, then one row per parameter
+        few = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        by_task = dealt.mapInArrow(learned, "seen long, sums array<double>").repartition(few).mapInArrow(added, "seen long, sums array<double>")
+        cells = by_task.select("seen", F.posexplode("sums").alias("cell", "value")).groupBy("cell").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen")).toArrow()
         if cells.num_rows:
             mean = np.zeros(len(_flat(vectors)))
             mean[cells["cell"].to_numpy()] = cells["value"].to_numpy() / cells["seen"].to_numpy()
@@ -272,7 +343,7 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
     """``doc_id``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` (smoothed word counts) and ``score`` of every row of ``docs``."""
     counted = token_counts(training, text_col)
     counts, level = summed(counted)
-    products = tables(fit(training, counts, text_col))
+    products = tables(fit(shards(training, counts, id_col, text_col), counts))
     sent = docs.sparkSession.sparkContext.broadcast((counts, products))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -279,10 +279,34 @@ def test_every_position_is_trained_on(ready):
     words = [f"word{i}" for i in range(15)]
     docs = ready.createDataFrame([(i, " ".join(words)) for i in range(200)], "doc_id long, text string").coalesce(1)
     counts, _ = lbl.summed(lbl.token_counts(docs))
-    moved = np.abs(lbl.fit(docs, counts).context - lbl.start(counts).context).max(axis=1)
+    moved = np.abs(lbl.fit(lbl.shards(docs, counts), counts).context - lbl.start(counts).context).max(axis=1)
     assert (moved[lbl._classes(pa.array(words, pa.large_string()), counts)] > 0).all()
 
 
+def test_scores_do_not_depend_on_the_cut(docs, monkeypatch):
+    """Texts in 1, 8 and 64 partitions, several shards, pieces shorter than the texts."""
+    monkeypatch.setattr(lbl, "SHARD_TOKENS", 20_000)
+    monkeypatch.setattr(lbl, "PIECE_TOKENS", 100)
+    found = []
+    for cut in (1, 8, 64):
+        rows = docs.select("doc_id", "text").repartition(cut)
+        found.append({r["doc_id"]: (r["score"], r["base_score"], r["n_tokens"]) for r in lbl.score(rows, rows).collect()})
+    assert found[0].keys() == found[1].keys() == found[2].keys()
+    for key, (score, base, n) in found[0].items():
+        assert all(f[key][0] == pytest.approx(score, abs=1e-6) and f[key][2] == n for f in found[1:])
+    gain = sum(s - b for s, b, _ in found[0].values()) / sum(n for _, _, n in found[0].values())
+    assert gain > 0.05
+
+
+def test_shards_hold_every_position_once(docs, monkeypatch):
+    monkeypatch.setattr(lbl, "SHARD_TOKENS", 20_000)
+    monkeypatch.setattr(lbl, "PIECE_TOKENS", 100)
+    counts, _ = lbl.summed(lbl.token_counts(docs))
+    rows = lbl.shards(docs, counts).collect()
+    assert len(rows) > 5 and len({r["shard"] for r in rows}) == len(rows)
+    assert sum(len(lbl._positions(np.frombuffer(r["lines"], np.int16), np.array(r["lengths"]))) for r in rows) == counts.tokens
+
+
 def test_scoring_without_training_texts(edges):
     got = lbl.score(edges, edges.limit(0)).collect()
     assert len(got) == len(EDGES) and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in got)
