@@ -262,4 +262,4 @@ RULES = "position int, kind string, column string, values array<string>, thresho
 
 def rules_table(spark, rules: Sequence[Rule]) -> DataFrame:
     """Rules as rows, for storing and showing."""
-    return spark.createDataFrame([(i, r.kind, r.column, list(r.values), r.threshold, r.limit, r.text) for i, r in enumerate(rules)], RULES)
+    return spark.createDataFrame([(i, r.kind, r.column, list(r.values), float(r.threshold), float(r.limit), r.text) for i, r in enumerate(rules)], RULES)
