@@ -28,7 +28,6 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,11 +46,6 @@ _SEPARATORS[:128] = True
 _SEPARATORS[ord("0") : ord("9") + 1] = False
 _SEPARATORS[ord("a") : ord("z") + 1] = False
 
-_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
-    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
-#: n-grams longer than this are hashed and compared one by one
-_SHORT = 31
-
 
 class Grams(NamedTuple):
     """N-grams of several texts as slices of one buffer. Those of text ``i`` are ``first[i]:first[i + 1]``."""
@@ -96,54 +90,19 @@ def grams(texts: pa.Array, shortest: int = 1, longest: int = 1) -> Grams:
     return Grams(joined, starts, stops, np.searchsorted(owners, np.arange(len(offsets))), np.diff(words.first))
 
 
-def _eight(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on, as one number."""
-    return np.ndarray(shape=(len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
-
-
-def _turned(x: np.ndarray, by: int) -> np.ndarray:
-    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
-
-
-def hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
-    """XXH64 of each slice; all slices under 32 bytes at once."""
-    eight, size = _eight(data), stops - starts
-    h = np.uint64(seed) + _P5 + size.astype(np.uint64)
-    at = starts.copy()
-    for k in range(_SHORT // 8):
-        on = np.flatnonzero((size >= 8 * (k + 1)) & (size <= _SHORT))
-        lane = _turned(eight[at[on]] * _P2, 31) * _P1
-        h[on] = _turned(h[on] ^ lane, 27) * _P1 + _P4
-        at[on] += 8
-    on = np.flatnonzero(((size & 7) >= 4) & (size <= _SHORT))
-    lane = (eight[at[on]] & np.uint64(0xFFFFFFFF)) * _P1
-    h[on] = _turned(h[on] ^ lane, 23) * _P2 + _P3
-    at[on] += 4
-    for k in range(3):
-        on = np.flatnonzero(((size & 3) > k) & (size <= _SHORT))
-        h[on] = _turned(h[on] ^ (data[at[on]].astype(np.uint64) * _P5), 11) * _P1
-        at[on] += 1
-    h = (h ^ (h >> np.uint64(33))) * _P2
-    h = (h ^ (h >> np.uint64(29))) * _P3
-    h ^= h >> np.uint64(32)
-    for i in np.flatnonzero(size > _SHORT).tolist():
-        h[i] = xxhash.xxh64_intdigest(data[starts[i] : stops[i]].tobytes(), seed)
-    return h
-
-
 def _same_bytes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Whether slices ``a`` and ``b`` (numbers of slices, pairwise) hold the same bytes."""
-    eight, size = _eight(data), stops - starts
+    eight, size = tx.eight(data), stops - starts
     same = size[a] == size[b]
-    for k in range(-(-_SHORT // 8)):
+    for k in range(-(-tx.SHORT // 8)):
         left = size[a] - 8 * k
-        on = np.flatnonzero(same & (left > 0) & (size[a] <= _SHORT) & (a != b))
+        on = np.flatnonzero(same & (left > 0) & (size[a] <= tx.SHORT) & (a != b))
         if len(on):
             unlike = eight[starts[a[on]] + 8 * k] ^ eight[starts[b[on]] + 8 * k]
             # bytes beyond the slice do not count
             unlike <<= (8 * np.maximum(0, 8 - left[on])).astype(np.uint64)
             same[on] &= unlike == 0
-    for i in np.flatnonzero(same & (size[a] > _SHORT) & (a != b)).tolist():
+    for i in np.flatnonzero(same & (size[a] > tx.SHORT) & (a != b)).tolist():
         x, y = a[i], b[i]
         same[i] = np.array_equal(data[starts[x] : stops[x]], data[starts[y] : stops[y]])
     return same
@@ -155,7 +114,7 @@ def interned(found: Grams, keys: np.ndarray | None = None) -> Slots:
     All n-grams probe at once. Of those that meet a free slot one takes it; those equal to its holder in hash and
     bytes stay, the others move on to the next slot. At most half of the slots are taken.
     """
-    keys = hashes(found.data, found.starts, found.stops) if keys is None else keys
+    keys = tx.slice_hashes(found.data, found.starts, found.stops) if keys is None else keys
     n = len(keys)
     capacity = 1 << max(4, (2 * n).bit_length())
     holder, of = np.full(capacity, -1, np.int64), np.zeros(n, np.int64)

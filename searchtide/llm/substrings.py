@@ -9,7 +9,8 @@ has different extents, at the ends of passages, are windows compared one by one.
 then merge to maximal ones.
 
 A window repeats if its words also start earlier: in a document with a smaller id, or earlier in the same
-document. Window and seed are hashed independently with 64 bits each, and both must agree.
+document. Words are compared by hashes: each word has two independent XXH64, one for seeds and one for windows, and windows are
+equal if the 64 bits of the seed's eight words and the 64 bits of all twenty agree.
 
 Seeds that occur once are sifted out before anything is moved: a bitmap of fixed size (``BITMAP_BITS``) holds the repeated
 ones. It only saves work; whatever passes it is grouped exactly.
@@ -36,6 +37,8 @@ from searchtide.llm.shared import staged
 WINDOW = 20
 SEED = 8
 BITMAP_BITS = 1 << 26
+#: seeds of the two XXH64 of a word: one for the runs that are seeds, one for the windows
+_SEEDS = (0x5EED, 0x31D0)
 
 
 class Windows(NamedTuple):
@@ -51,14 +54,14 @@ class Windows(NamedTuple):
 def windows(words: tx.Parts) -> tuple[Windows, np.ndarray]:
     """Windows that do not repeat within their own text; and of all windows which do (by first word)."""
     ids, vocabulary = tx.numbered(words.strings)
-    name = tx.string_hashes(vocabulary)[ids]
+    name, other = (tx.strong_hashes(vocabulary, seed)[ids] for seed in _SEEDS)
     owner = tx.owners(words.first)
     repeat = np.zeros(len(ids), bool)
     starts = np.flatnonzero(tx.whole(owner, WINDOW))
     if len(starts) == 0:
         none = np.zeros(0, np.int64)
         return Windows(none, none, none.astype(np.uint64), none, none.astype(np.uint64)), repeat
-    whole = tx.mixed(tx.rolled(tx.mixed(name ^ np.uint64(0x5851F42D4C957F2D)), WINDOW)[starts])
+    whole = tx.mixed(tx.rolled(other, WINDOW)[starts])
     _, once = np.unique(whole ^ tx.mixed(owner[starts].astype(np.uint64) + np.uint64(1)), return_index=True)
     local = np.ones(len(starts), bool)
     local[once] = False

@@ -12,6 +12,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: bytes of text worked on at a time; a single longer text is worked on alone
@@ -23,6 +24,11 @@ _NEWLINE = np.zeros(256, dtype=bool)
 _NEWLINE[10] = True
 _MULTIPLIER = 0x9E3779B97F4A7C15
 
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(p) for p in (
+    0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+#: n-grams longer than this are hashed and compared one by one
+SHORT = 31
+
 
 class Parts(NamedTuple):
     """Words or lines of several texts. Those of text ``i`` are ``first[i]:first[i + 1]``."""
@@ -140,6 +146,49 @@ def string_hashes(strings: pa.Array) -> np.ndarray:
     return mixed((total[offsets[1:]] - total[offsets[:-1]]) * back[offsets[:-1]])
 
 
+def eight(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one number."""
+    return np.ndarray(shape=(len(data) - 7,), dtype="<u8", buffer=data, strides=(1,))
+
+
+def _turned(x: np.ndarray, by: int) -> np.ndarray:
+    return (x << np.uint64(by)) | (x >> np.uint64(64 - by))
+
+
+def slice_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: int = 0) -> np.ndarray:
+    """XXH64 of each slice; all slices under 32 bytes at once."""
+    lanes, size = eight(data), stops - starts
+    h = np.uint64(seed) + _P5 + size.astype(np.uint64)
+    at = starts.copy()
+    for k in range(SHORT // 8):
+        on = np.flatnonzero((size >= 8 * (k + 1)) & (size <= SHORT))
+        lane = _turned(lanes[at[on]] * _P2, 31) * _P1
+        h[on] = _turned(h[on] ^ lane, 27) * _P1 + _P4
+        at[on] += 8
+    on = np.flatnonzero(((size & 7) >= 4) & (size <= SHORT))
+    lane = (lanes[at[on]] & np.uint64(0xFFFFFFFF)) * _P1
+    h[on] = _turned(h[on] ^ lane, 23) * _P2 + _P3
+    at[on] += 4
+    for k in range(3):
+        on = np.flatnonzero(((size & 3) > k) & (size <= SHORT))
+        h[on] = _turned(h[on] ^ (data[at[on]].astype(np.uint64) * _P5), 11) * _P1
+        at[on] += 1
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    h ^= h >> np.uint64(32)
+    for i in np.flatnonzero(size > SHORT).tolist():
+        h[i] = xxhash.xxh64_intdigest(data[starts[i] : stops[i]].tobytes(), seed)
+    return h
+
+
+def strong_hashes(strings: pa.Array, seed: int) -> np.ndarray:
+    """XXH64 of each string."""
+    data, offsets = encoded(strings)
+    # eight bytes can be read from any place
+    data = np.concatenate([data, np.zeros(9, np.uint8)])
+    return slice_hashes(data, offsets[:-1], offsets[1:], seed)
+
+
 def whole(first_owner: np.ndarray, n: int) -> np.ndarray:
     """Which runs of ``n`` consecutive parts lie in one text, given the text of each part."""
     size = max(0, len(first_owner) - n + 1)

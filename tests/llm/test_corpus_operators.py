@@ -150,6 +150,15 @@ def test_passages_that_share_parts(ready, seed):
     check_removed(ready, rows)
 
 
+def test_words_that_polynomial_hashes_confuse(ready):
+    """Two Thue-Morse words of 1,024 letters: equal under every polynomial modulo a power of two, but not the same word."""
+    one = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    two = "".join("ba"[bin(i).count("1") % 2] for i in range(1024))
+    begin = " ".join(f"w{i}" for i in range(19))
+    rows = ready.createDataFrame([(1, f"{begin} {one}"), (2, f"{begin} {two}"), (3, f"{begin} {one}")], "doc_id long, text string")
+    assert {r["doc_id"]: r["n_removed"] for r in substrings.deduplicated(rows).collect()} == {1: 0, 2: 0, 3: 20}
+
+
 def test_repeats_of_edges(edges):
     got = substrings.deduplicated(edges).collect()
     assert len(got) == len(EDGES) and substrings.deduplicated(edges.limit(0)).count() == 0

@@ -14,6 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from searchtide.llm import resampling as rs
+from searchtide.llm import texts as tx
 from searchtide.llm.ranks import ranked
 from tests.llm.conftest import CLASHING, EDGES, prose
 from tests.conftest import SMALL
@@ -115,7 +116,7 @@ def test_grams_of_odd_texts():
 def test_hashes_are_xxh64(seed):
     words = ["a" * n for n in range(1, 80)] + ["é" * n for n in range(1, 30)] + [prose(3, 40).replace(" ", "")]
     found = of([" ".join(words)])
-    got = rs.hashes(found.data, found.starts, found.stops, seed).tolist()
+    got = tx.slice_hashes(found.data, found.starts, found.stops, seed).tolist()
     assert got == [xxhash.xxh64_intdigest(w.encode(), seed) for w in spelled(found)]
 
 
@@ -125,7 +126,7 @@ def test_slots_tell_all_words_apart(keys):
     words = (prose(5, 3000) + " " + "x" * 33 + " " + "x" * 32 + "y " + "x" * 33 + " abcdefgh abcdefghi abcdefg").split()
     found = of([" ".join(words)])
     n = len(found.starts)
-    forced = {"own": None, "all equal": np.zeros(n, np.uint64), "few": rs.hashes(found.data, found.starts, found.stops) % np.uint64(5),
+    forced = {"own": None, "all equal": np.zeros(n, np.uint64), "few": tx.slice_hashes(found.data, found.starts, found.stops) % np.uint64(5),
               "last slot": np.full(n, 2**64 - 1, np.uint64)}[keys]
     slots = rs.interned(found, forced)
     texts = spelled(found)
