@@ -33,27 +33,32 @@ DISTANCE = 4
 BITS = 64
 
 
-def text_fingerprints(texts: pa.Array, size: int = SHINGLE_WORDS) -> np.ndarray:
-    """A 64-bit fingerprint of each text: the majority of each bit over the hashes of its shingles."""
+def _shingled(texts: pa.Array, size: int) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """Number, words (lower-case, one blank between) and hashes of all shingles of each text that has words."""
     data, offsets = tx.encoded(texts)
     words = tx.words_of(tx.lowered(data), offsets)
     # all words with one blank after each: a shingle is a slice of this
     bounds = np.frombuffer(words.strings.buffers()[1], np.int64)[: len(words.strings) + 1]
     if len(words.strings) == 0:
-        return np.zeros(len(offsets) - 1, np.uint64)
+        return
     begin = bounds[:-1] + np.arange(len(bounds) - 1)
     end = bounds[1:] + np.arange(len(bounds) - 1)
     joined = np.full(end[-1] + 1, 32, np.uint8)
     place = np.arange(bounds[-1]) + np.repeat(np.arange(len(begin)), end - begin)
     joined[place] = np.frombuffer(words.strings.buffers()[2], np.uint8)[: bounds[-1]]
     joined, digest = joined.tobytes(), xxhash.xxh64_intdigest
-    out = np.zeros(len(offsets) - 1, np.uint64)
     for i, (f, t) in enumerate(zip(words.first[:-1], words.first[1:])):
         if t == f:
             continue
         last = max(f, t - size)
         cuts = zip(begin[f : last + 1].tolist(), end[min(f + size, t) - 1 : t].tolist())
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in cuts], np.uint64)
+        yield i, joined[begin[f] : end[t - 1]], np.array([digest(joined[a:b], SEED) for a, b in cuts], np.uint64)
+
+
+def text_fingerprints(texts: pa.Array, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """A 64-bit fingerprint of each text: the majority of each bit over the hashes of its shingles."""
+    out = np.zeros(len(texts), np.uint64)
+    for i, _, hashes in _shingled(texts, size):
         out[i] = _majority(hashes)
     return out
 
@@ -256,11 +261,82 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
-    """The documents with the smallest id of their group, with all their columns.
+#: shingles, distance and similarity (shared over all shingles) by which one of several near copies stays
+KEEP_WORDS, KEEP_DISTANCE, KEEP_SIMILARITY = 5, 8, 0.8
+
+
+def _contents(docs: DataFrame, size: int) -> DataFrame:
+    """``doc_id``, ``bits`` and ``content`` (128-bit hash of the words) of rows ``doc_id, text``; staged."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch, "text"):
+                bits, content = np.zeros(part.num_rows, np.uint64), [b""] * part.num_rows
+                for i, words, hashes in _shingled(part.column("text"), size):
+                    bits[i], content[i] = _majority(hashes), xxhash.xxh3_128_digest(words)
+                columns = [part.column("doc_id"), pa.array(bits.view(np.int64)), pa.array(content, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "bits", "content"])
+
+    return staged(docs.mapInArrow(hashed, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, bits long, content binary"), "contents")
+
+
+def _shingle_sets(docs: DataFrame, size: int) -> DataFrame:
+    """``content`` and ``shingles`` (hashes, each once) of rows ``text``."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in tx.chunks(batch, "text"):
+                content, sets = [], []
+                for _, words, hashes in _shingled(part.column("text"), size):
+                    content.append(xxhash.xxh3_128_digest(words))
+                    sets.append(np.unique(hashes).view(np.int64))
+                yield pa.RecordBatch.from_arrays([pa.array(content, pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"])
+
+    return docs.select("text").mapInArrow(listed, "content binary, shingles array<long>")
+
+
+def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = KEEP_WORDS,
+           distance: int = KEEP_DISTANCE, similarity: float = KEEP_SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Contents that the document ``kept_id`` stands for; the contents of all rows with an id; and the contents with their ``least`` ids.
+
+    Texts with equal words are one content. Contents whose fingerprints are linked within ``distance`` bits are candidates; whether they
+    are near copies is decided on the shingles themselves: in each group the smallest id stays and stands for all that share
+    ``similarity`` of their shingles with it; what is left over goes on among itself, until it has nothing in common. So nothing goes that
+    is not similar to a document that stays, however groups are chained.
+    """
+    rows = docs.where(docs[id_col].isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    prints = _contents(rows, size)
+    nodes = staged(prints.groupBy("content").agg(F.min("doc_id").alias("least"), F.first("bits").alias("bits")), "contents")
+    found = groups(nodes.select(F.col("least").alias("doc_id"), "bits"), distance)
+    grouped = nodes.join(found, "bits").select("content", "least", F.col("component_id").alias("component"))
+    several = grouped.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+    members = staged(grouped.join(several, "component"), "members")
+    texts = rows.join(members.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    sets = _shingle_sets(texts, size).groupBy("content").agg(F.first("shingles").alias("shingles"))
+    left = staged(members.join(sets, "content"), "open")
+    gone = nodes.limit(0).select("content", F.col("least").alias("kept_id"))
+    while True:
+        leader = left.groupBy("component").agg(F.min(F.struct("least", "content")).alias("leader"), F.count("*").alias("n")).where("n > 1")
+        leader = staged(leader.select("component", F.col("leader.least").alias("kept_id"), F.col("leader.content").alias("content")), "leaders")
+        if leader.isEmpty():
+            break
+        held = leader.join(left.select("content", F.col("shingles").alias("held")), "content").withColumnRenamed("content", "leading")
+        shared = F.size(F.array_intersect("shingles", "held"))
+        alike = shared >= similarity * (F.size("shingles") + F.size("held") - shared)
+        judged = staged(left.join(held, "component").where("content != leading").withColumn("alike", alike).drop("held", "leading"), "judged")
+        gone = gone.unionByName(judged.where("alike").select("content", "kept_id"))
+        left = judged.where("not alike").drop("alike", "kept_id")
+    return gone, prints, nodes
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = KEEP_DISTANCE) -> DataFrame:
+    """The documents that stay of each group of near copies (:func:`copied`), with all their columns.
 
-    Rows that share an id are one document and stay or go together. A row without an id always stays.
+    Rows that share an id are one document and stay or go together. A row without an id always stays. Null, empty and blank texts are
+    equal. An empty table gives an empty result. Other columns are not looked at, whatever their names.
     """
-    gone = near_duplicates(docs, id_col, text_col, distance)
-    gone = staged(gone.where("component_id is not null and not doc_id <=> component_id").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    gone, prints, nodes = copied(docs, id_col, text_col, distance=distance)
+    smaller = nodes.select("content", "least").join(gone, "content", "left")
+    goes = prints.join(smaller, "content").where(F.col("kept_id").isNotNull() | (F.col("doc_id") != F.col("least")))
+    goes = staged(goes.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
+    return docs.join(goes, docs[id_col] == goes["gone_id"], "left_anti")
