@@ -123,9 +123,9 @@ def _known(labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     return known.where("id is not null and good in (0, 1)").groupBy("id").agg(F.min("good").alias("good"))
 
 
-def _sample(labels: DataFrame, id_col: str, label_col: str, most: int) -> list[tuple]:
-    """At most ``most`` labelled ids of each kind, in the order of a hash of the id."""
-    known = _known(labels, id_col, label_col)
+def _sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, most: int) -> list[tuple]:
+    """At most ``most`` ids of each kind that have a label and a document, in the order of a hash of the id."""
+    known = _known(labels, id_col, label_col).join(docs.select(F.col(id_col).alias("id")), "id", "left_semi")
     return [tuple(r) for good in (0, 1) for r in known.where(F.col("good") == good).orderBy(F.xxhash64("id"), "id").limit(most).collect()]
 
 
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     The calibration weighs both kinds by their numbers among all labelled documents.
     """
-    chosen = _sample(labels, id_col, label_col, rows_of_each)
+    chosen = _sample(docs, labels, id_col, label_col, rows_of_each)
     if len({good for _, good in chosen}) < 2:
         return None
     kind = docs.schema[id_col].dataType.simpleString()

@@ -21,7 +21,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from searchtide.llm.ranks import ranked
 from searchtide.llm.texts import WORD
 
 RUN_WORDS = 6
@@ -93,6 +95,11 @@ def _ranges(docs: DataFrame, id_col: str) -> list:
     spark = docs.sparkSession
     wanted = min(MOST_RANGES, max(1, 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     ids = docs.select(F.col(id_col).alias("id")).where("id is not null")
+    if not isinstance(docs.schema[id_col].dataType, T.NumericType):
+        # there are no percentiles of texts: every so-manieth id in the order of all of them
+        placed = ranked(ids.distinct(), [F.col("id")], "place", "ids")
+        step = max(1, -(-placed.count() // wanted))
+        return sorted(r["id"] for r in placed.where(F.col("place") % step == 0).collect())
     cuts = ids.agg(F.percentile_approx("id", [i / wanted for i in range(wanted)], 20 * wanted).alias("cuts")).first()["cuts"] or []
     cuts = sorted(set(cuts))
     if not cuts:

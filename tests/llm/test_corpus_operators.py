@@ -395,6 +395,17 @@ def test_edited_texts(ready, edges, docs, parts):
         ready.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def test_ids_may_be_texts(ready, docs):
+    """In the order of the ids as texts."""
+    named = docs.select(F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("doc_id"), "text")
+    rows = sorted((r["doc_id"], r["text"] or "") for r in named.collect())
+    expected = {}
+    for (key, text), (_, after) in zip(rows, rows[1:] + rows[:1]):
+        half = len(text) // 2
+        expected[key] = hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest()
+    assert {r["doc_id"]: r["edited_sha256"] for r in syncmers.compared(named).collect()} == expected
+
+
 def test_anchors_are_closed_syncmers(ready, docs):
     """The smallest inner pair of an anchor is its first or last, and no other run has that."""
     frame = docs.where("n_chars < 3000").limit(40)

@@ -113,6 +113,13 @@ def test_cut_does_not_move_with_the_number_of_labels(ready, monkeypatch):
     assert quality.fit(docs, labels, rows_of_each=10) is not None and seen == [{0: 10, 1: 50}]
 
 
+def test_labels_without_documents_are_not_chosen(ready):
+    """Far more labels than documents: the sample is taken among those that have one."""
+    docs = ready.createDataFrame([(i, prose(i, 60)) for i in range(40)], "doc_id long, text string")
+    labels = ready.createDataFrame([(i, i % 2) for i in range(5000)], "doc_id long, quality int")
+    assert quality.fit(docs, labels, rows_of_each=10) is not None
+
+
 # --- pieces -------------------------------------------------------------------------------------
 
 
