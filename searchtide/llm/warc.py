@@ -7,8 +7,16 @@ converter reads each line by the fields of its own file and writes WARC records:
 Of records with equal payloads the one with the largest page number is the response; the others become
 revisits, which keep their HTTP header but not the payload.
 
-Archives are written by Spark's text writer, one record a row, with the end of a record as line separator, and
-gzipped. So they need no local files, and lost tasks leave nothing behind. Every ``RECORDS`` rows a new file begins.
+What the line says is taken from both its ends, since a content type may have blanks (and so, in old files, may an address). A block that begins
+with an HTTP header, ended by an empty line of either kind, becomes a ``response``; any other block, such as that of a ``dns:`` record, is a
+payload as it is and becomes a ``resource`` of the ARC line's content type. The number of a page is read from a header of this module's own
+writer; without one it is null, and then the latest date, and the smallest identifier, tell which of equal payloads is the response.
+
+Archives are written by Spark's text writer, a whole file of about ``FILE_BYTES`` a row, and
+gzipped. So they need no local files, files and rows are bounded by bytes, and lost tasks leave nothing behind.
+
+Damage: a line that is no header line and a record that declares more bytes than there are do not end up in the result. :func:`damaged_arc` lists them with
+file, offset and reason; reading goes on at the next header line. :func:`parse_arc` without a list for them raises ``ValueError``.
 
 Defined results: a null html is an empty payload, a null url is written as ``-``, blanks and control characters
 in a url are escaped. A null page number counts as smaller than any other. Rows with the same page number and
@@ -18,10 +26,11 @@ payload are of the same type. An empty table gives an archive without records. O
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
+import re
 import uuid
-from collections.abc import Iterator
+import zlib
+from collections.abc import Callable, Iterator
 from urllib.parse import quote
 
 import pyarrow as pa
@@ -41,9 +50,13 @@ WARC_END = "\r\n\r\n"
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 RECORDS = 1000
+#: bytes of records after which a new file begins; a larger record stands alone
+FILE_BYTES = 16 * 1024 * 1024
 #: when pages without a date were archived
 ARCHIVED = "20240101000000"
 _PAGE_HEADER = b"X-Page-Id"
+#: WARC field for the length of a payload, which a revisit does not hold
+_LENGTH = "X-Payload-Length"
 
 
 def sha1(data: bytes) -> str:
@@ -69,87 +82,201 @@ def _page_record(version: int, page_id, url: str | None, payload: bytes) -> byte
     return " ".join(line.get(f, "-") for f in ARC_FIELDS[version].split()).encode() + b"\n" + head + payload
 
 
+def _files(rows: Iterator[dict], weight: Callable[[dict], int], head: Callable[[int], bytes], record: Callable[[dict, int], bytes], end: str,
+           records: int) -> Iterator[pa.RecordBatch]:
+    """Files of records, one a row: each a head and then up to ``records`` records or about ``FILE_BYTES``. The writer adds the last end."""
+    parts, size, number = [], 0, -1
+    for row in rows:
+        if parts and (len(parts) > records or size + weight(row) > FILE_BYTES):
+            yield pa.RecordBatch.from_arrays([_texts([end.encode().join(parts)])], ["value"])
+            parts = []
+        if not parts:
+            number += 1
+            parts, size = [head(number)], 0
+        parts.append(record(row, number))
+        size += len(parts[-1])
+    if parts:
+        yield pa.RecordBatch.from_arrays([_texts([end.encode().join(parts)])], ["value"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for row in zip(*batch.columns):
+            yield {n: v.as_py() for n, v in zip(batch.schema.names, row)}
+
+
+def _write(files: DataFrame, end: str, path: str) -> None:
+    files.write.options(lineSep=end, compression="gzip").option("maxRecordsPerFile", 1).text(path)
+
+
 def write_arc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", records: int = RECORDS) -> None:
     """Archive pages, by turns in files of version 1 and 2."""
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).cast("binary").alias("html"))
 
     def archived(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, written, version = TaskContext.get().partitionId(), 0, 1
-        for batch in batches:
-            out = []
-            for page_id, url, html in zip(*(c.to_pylist() for c in batch.columns)):
-                if written % records == 0:
-                    number = written // records
-                    version = 1 + (part + number) % 2
-                    out.append(_file_record(version, f"{part:06d}-{number:06d}.arc"))
-                    written += 1
-                out.append(_page_record(version, page_id, url, html or b""))
-                written += 1
-            yield pa.RecordBatch.from_arrays([_texts(out)], ["value"])
-
-    rows.mapInArrow(archived, "value string").write.options(lineSep=ARC_END, compression="gzip").option("maxRecordsPerFile", records).text(path)
-
-
-def unpacked(content: bytes) -> bytes:
-    """The bytes of an archive, gzipped (in one or more members) or not."""
-    return gzip.decompress(content) if content[:2] == b"\x1f\x8b" else content
+        part = TaskContext.get().partitionId()
+
+        def version(number: int) -> int:
+            return 1 + (part + number) % 2
+
+        yield from _files(
+            _rows(batches), lambda r: len(r["html"] or b""), lambda k: _file_record(version(k), f"{part:06d}-{k:06d}.arc"),
+            lambda r, k: _page_record(version(k), r["page_id"], r["url"], r["html"] or b""), ARC_END, records)
+
+    _write(rows.mapInArrow(archived, "value string"), ARC_END, path)
+
+
+def unpacked(content: bytes, damaged: list[tuple[int, str]] | None = None) -> bytes:
+    """The bytes of an archive, gzipped (in one or more members) or not. Of one that is cut, as many as there are."""
+    if content[:2] != b"\x1f\x8b":
+        return content
+    out, left = [], content
+    while left[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        try:
+            out.append(member.decompress(left))
+        except zlib.error as error:
+            if damaged is not None:
+                damaged.append((sum(map(len, out)), f"not gzip: {error}"))
+            break
+        if not member.eof:
+            if damaged is not None:
+                damaged.append((sum(map(len, out)), "gzip ends early"))
+            break
+        left = member.unused_data
+    return b"".join(out)
+
+
+#: address, place and date stand in every version; what comes between them and the length depends on it
+_LINE = re.compile(rb"(?P<url>\S.*?) (?P<ip>\d+(?:\.\d+){3}|[0-9A-Fa-f:]*:[0-9A-Fa-f:]+|-) (?P<date>\d{8,14}) (?P<rest>.*\S)")
+
+
+def header_line(line: bytes, fields: list[str]) -> dict[str, str] | None:
+    """The fields of an ARC header line; none if it is no such line."""
+    found = _LINE.fullmatch(line.rstrip(b"\r"))
+    if found is None:
+        return None
+    # all fields after the content type are single words, so they are counted from the end
+    rest = found["rest"].decode("utf-8", errors="replace").rsplit(" ", len(fields) - 4)
+    if len(rest) != len(fields) - 3 or not rest[-1].isdigit():
+        return None
+    return dict(zip(fields, [found["url"].decode("utf-8", errors="replace"), found["ip"].decode(), found["date"].decode(), *rest]))
+
+
+def parse_arc(content: bytes, damaged: list[tuple[int, str]] | None = None) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields and block of each record after the file's own.
+
+    Without a record of the file itself, lines are read as those of version 1. Damage is added to ``damaged`` as offset and reason, and reading goes
+    on at the next header line; without such a list it raises ``ValueError``.
+    """
+    fields, at = ARC_FIELDS[1].split(" "), 0
 
+    def wrong(reason: str) -> None:
+        if damaged is None:
+            raise ValueError(f"{reason} at byte {at}: {content[at : at + 100]!r}")
+        damaged.append((at, reason))
 
-def parse_arc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields and block of each record after the file's own."""
-    fields, at = None, 0
     while at < len(content):
-        end = content.index(b"\n", at)
-        values = content[at:end].decode("utf-8", errors="replace").split(" ")
-        length = int(values[-1])
+        if content[at] in b"\r\n":
+            at += 1
+            continue
+        end = content.find(b"\n", at)
+        end = len(content) if end < 0 else end
+        # the line of the file itself has five fields in version 1, and in version 2 the fields of version 2
+        own = content.startswith(b"filedesc://", at)
+        line = header_line(content[at:end], fields)
+        if own and line is None:
+            line = header_line(content[at:end], ARC_FIELDS[2].split(" "))
+        if line is None:
+            wrong("no header line")
+            at = end + 1
+            continue
+        length = int(line["Archive-length"])
+        if end + 1 + length > len(content):
+            wrong(f"{length} bytes declared, {max(0, len(content) - end - 1)} left")
+            at = end + 1
+            continue
         block = content[end + 1 : end + 1 + length]
         at = end + 1 + length
-        while content[at : at + 1] == b"\n":
-            at += 1
-        if values[0].startswith("filedesc://"):
-            fields = block.split(b"\n")[1].decode().split(" ")
-        elif fields is None or len(values) != len(fields):
-            raise ValueError(f"not an ARC header line: {content[:200]!r}")
+        if own:
+            named = block.split(b"\n")[1].decode().split() if block.count(b"\n") else []
+            fields = named if len(named) in (5, 10) else fields
         else:
-            yield dict(zip(fields, values)), block
+            yield line, block
+
+
+_BREAK = re.compile(rb"\r\n\r\n|\n\n")
+
 
+def split_block(block: bytes) -> tuple[bytes, bytes]:
+    """HTTP header with the empty line that ends it, and payload. A block that is no HTTP response is all payload."""
+    if not block.startswith(b"HTTP/"):
+        return b"", block
+    found = _BREAK.search(block)
+    return (block, b"") if found is None else (block[: found.end()], block[found.end() :])
 
-def _page_of(head: bytes) -> tuple[int | None, int]:
-    """Page number and payload length from an HTTP header."""
-    lines = dict(x.split(b":", 1) for x in head.split(b"\r\n") if b":" in x)
-    number = lines[_PAGE_HEADER].strip()
-    return (int(number) if number else None), int(lines[b"Content-Length"])
 
+def _page_of(head: bytes) -> int | None:
+    """Page number from an HTTP header of this module's own writer."""
+    found = re.search(rb"(?mi)^" + _PAGE_HEADER + rb": *(-?\d+)\r?$", head)
+    return int(found[1]) if found else None
 
-def record_id(fields: dict[str, str], page_id: int | None) -> str:
-    """An identifier that depends on what the ARC line says only."""
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join([fields['URL'], fields['Archive-date'], str(page_id)]))}>"
 
+def record_id(fields: dict[str, str], page_id: int | None, digest: str = "") -> str:
+    """An identifier that depends on what the ARC record says only."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, ' '.join([fields['URL'], fields['Archive-date'], str(page_id) if page_id is not None else digest]))}>"
 
-_ARC_RECORD = "page_id long, record_id string, url string, date string, head binary, payload binary, payload_digest string, payload_bytes long"
+
+def warc_date(date: str) -> str:
+    """An ARC date, of 8 to 14 digits, in ISO form."""
+    day = date.ljust(14, "0")
+    return f"{day[:4]}-{day[4:6]}-{day[6:8]}T{day[8:10]}:{day[10:12]}:{day[12:14]}Z"
+
+
+_ARC_RECORD = "page_id long, record_id string, url string, date string, type string, head binary, payload binary, payload_digest string, payload_bytes long"
+
+
+def _archives(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
 def read_arc(spark: SparkSession, path: str, narrow: bool = False) -> DataFrame:
-    """Records of ARC files with WARC identifier, date and payload digest; ``narrow``: without url, header and payload."""
-    wanted = "page_id long, record_id string, payload_digest string, payload_bytes long" if narrow else _ARC_RECORD
+    """Whole records of ARC files with WARC identifier, date and payload digest; ``narrow``: without url, type, header and payload."""
+    wanted = "page_id long, record_id string, date string, payload_digest string, payload_bytes long" if narrow else _ARC_RECORD
     names = [x.split()[0] for x in wanted.split(", ")]
+    schema = pa.schema([(n, _ARROW[x.split()[1]]) for n, x in zip(names, wanted.split(", "))])
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content"):
                 rows = {n: [] for n in names}
-                for fields, block in parse_arc(unpacked(content.as_py())):
-                    head, _, payload = block.partition(b"\r\n\r\n")
-                    page_id, _ = _page_of(head)
-                    day = fields["Archive-date"]
-                    row = {"page_id": page_id, "record_id": record_id(fields, page_id), "url": fields["URL"],
-                           "date": f"{day[:4]}-{day[4:6]}-{day[6:8]}T{day[8:10]}:{day[10:12]}:{day[12:14]}Z",
-                           "head": head, "payload": payload, "payload_digest": sha1(payload), "payload_bytes": len(payload)}
+                for fields, block in parse_arc(unpacked(content.as_py()), []):
+                    head, payload = split_block(block)
+                    page_id, digest = _page_of(head), sha1(payload)
+                    row = {"page_id": page_id, "record_id": record_id(fields, page_id, digest), "url": fields["URL"], "date": warc_date(fields["Archive-date"]),
+                           "type": fields["Content-type"], "head": head, "payload": payload, "payload_digest": digest, "payload_bytes": len(payload)}
                     for n in names:
                         rows[n].append(row[n])
-                yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([(n, _ARROW[x.split()[1]]) for n, x in zip(names, wanted.split(", "))]))
+                yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(parsed, wanted)
+    return _archives(spark, path).select("content").mapInArrow(parsed, wanted)
+
+
+def damaged_arc(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``offset`` and ``reason`` of everything in ARC files that is not in :func:`read_arc`. Files cut within gzip are damaged as a whole."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for file, content in zip(batch.column("path").to_pylist(), batch.column("content")):
+                damaged: list[tuple[int, str]] = []
+                for _ in parse_arc(unpacked(content.as_py(), damaged), damaged):
+                    pass
+                found += [(file, *d) for d in damaged]
+            columns = [pa.array(c, t) for c, t in zip(zip(*found) if found else ([], [], []), (pa.string(), pa.int64(), pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["file", "offset", "reason"])
+
+    return _archives(spark, path).mapInArrow(listed, "file string, offset long, reason string")
 
 
 _ARROW = {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}
@@ -164,34 +291,35 @@ def _warc_record(kind: str, number: str, date: str, fields: list[tuple[str, str]
 def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = RECORDS) -> None:
     """Write the records of ARC files as WARC files."""
     narrow = staged(read_arc(spark, arc_path, narrow=True), "digests")
-    # the largest number of each payload is its response; of equal ones the smallest identifier is referred to
+    # the largest number of each payload is its response, without numbers the latest; of equal ones the smallest identifier is referred to
+    place = F.struct(F.col("page_id").isNull(), -F.col("page_id"), F.when(F.col("page_id").isNull(), -F.unix_seconds(F.to_timestamp("date"))), F.col("record_id"))
     best = narrow.groupBy("payload_digest", "payload_bytes").agg(
-        F.max("page_id").alias("best"), F.min_by("record_id", F.struct(F.col("page_id").isNull(), -F.col("page_id"), F.col("record_id"))).alias("refers_to"), F.count("*").alias("n"))
+        F.max("page_id").alias("best"), F.min_by("record_id", place).alias("refers_to"), F.count("*").alias("n"))
     best = best.where("n > 1").drop("n")
-    later = narrow.join(best, ["payload_digest", "payload_bytes"]).where("not page_id <=> best")
+    later = narrow.join(best, ["payload_digest", "payload_bytes"]).where("not page_id <=> best or (best is null and record_id <> refers_to)")
     later = later.select(F.col("record_id").alias("r"), F.col("payload_digest").alias("d"), "refers_to").distinct()
     rows = read_arc(spark, arc_path).join(later, (F.col("record_id") == F.col("r")) & (F.col("payload_digest") == F.col("d")), "left").drop("r", "d")
 
     def converted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, written = TaskContext.get().partitionId(), 0
-        for batch in batches:
-            out = []
-            for r in batch.to_pylist():
-                if written % records == 0:
-                    name = f"{part:06d}-{written // records:06d}.warc"
-                    number = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
-                    out.append(_warc_record("warcinfo", number, r["date"], [("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"software: searchtide\r\n"))
-                    written += 1
-                fields = [("WARC-Target-URI", r["url"]), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), ("Content-Type", "application/http;msgtype=response")]
-                if r["refers_to"] is None:
-                    out.append(_warc_record("response", r["record_id"], r["date"], fields, r["head"] + b"\r\n\r\n" + r["payload"]))
-                else:
-                    fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", r["refers_to"])]
-                    out.append(_warc_record("revisit", r["record_id"], r["date"], fields, r["head"] + b"\r\n\r\n"))
-                written += 1
-            yield pa.RecordBatch.from_arrays([_texts(out)], ["value"])
-
-    rows.mapInArrow(converted, "value string").write.options(lineSep=WARC_END, compression="gzip").option("maxRecordsPerFile", records).text(warc_path)
+        part = TaskContext.get().partitionId()
+
+        def head(number: int) -> bytes:
+            name = f"{part:06d}-{number:06d}.warc"
+            own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
+            return _warc_record("warcinfo", own, warc_date(ARCHIVED), [("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"software: searchtide\r\n")
+
+        def record(r: dict, number: int) -> bytes:
+            http = bool(r["head"])
+            fields = [("WARC-Target-URI", r["url"]), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), (_LENGTH, str(r["payload_bytes"])),
+                      ("Content-Type", "application/http;msgtype=response" if http else r["type"])]
+            if r["refers_to"] is None:
+                return _warc_record("response" if http else "resource", r["record_id"], r["date"], fields, r["head"] + r["payload"])
+            fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", r["refers_to"])]
+            return _warc_record("revisit", r["record_id"], r["date"], fields, r["head"])
+
+        yield from _files(_rows(batches), lambda r: len(r["payload"]), head, record, WARC_END, records)
+
+    _write(rows.mapInArrow(converted, "value string"), WARC_END, warc_path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -221,10 +349,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 for fields, block in parse_warc(unpacked(content.as_py())):
                     if fields["WARC-Type"] == "warcinfo":
                         continue
-                    head, _, payload = block.partition(b"\r\n\r\n")
-                    page_id, length = _page_of(head)
+                    head, payload = split_block(block)
+                    page_id, length = _page_of(head), int(fields[_LENGTH])
                     digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
-                    whole = fields["WARC-Type"] == "response"
+                    whole = fields["WARC-Type"] != "revisit"
                     if fields["WARC-Block-Digest"] != f"sha1:{sha1(block)}" or whole and (len(payload), sha1(payload)) != (length, digest):
                         raise ValueError(f"damaged record {fields['WARC-Record-ID']}")
                     for n, v in zip(names, (page_id, fields["WARC-Record-ID"], length, digest, fields["WARC-Type"], fields.get("WARC-Refers-To"))):

@@ -481,6 +481,76 @@ def test_both_arc_versions_are_read(ready, tmp_path):
     assert all(f["WARC-Date"] == "2024-01-01T00:00:00Z" and f["WARC-Record-ID"].startswith("<urn:uuid:") for f, _ in records)
 
 
+_HTTP = b"HTTP/1.0 200 OK\r\nContent-Type: text/html\r\n\r\n"
+
+
+def _of(line, block):
+    return line + b" %d\n" % len(block) + block + b"\n"
+
+
+def test_archives_of_others():
+    """Both versions as the format describes them, without headers of our own."""
+    body = b"URL IP-address Archive-date Content-type Archive-length\n"
+    first = _of(b"filedesc://a.arc 0.0.0.0 20010203040506 text/plain", b"1 0 Crawler\n" + body)
+    blocks = [_HTTP + b"<html>a</html>", b"HTTP/1.1 200 OK\nServer: x\n\nbare newlines", b"20010203040506\nexample.org. 10 IN A 1.2.3.4\n", b"no head at all", b"HTTP/1.0 404\r\n\r\n"]
+    lines = [b"http://e.org/ 1.2.3.4 20010203040506 text/html; charset=utf-8", b"http://e.org/a b 1.2.3.4 20010203040506 text/html", b"dns:e.org 1.2.3.4 20010203040506 text/dns",
+             b"ftp://e.org/x 1.2.3.4 200102030405 application/octet-stream", b"http://e.org/n 1.2.3.4 20010203 no-type"]
+    content = first + b"".join(map(_of, lines, blocks))
+    found = list(warc.parse_arc(content))
+    assert [b for _, b in found] == blocks
+    assert found[0][0]["Content-type"] == "text/html; charset=utf-8" and found[1][0]["URL"] == "http://e.org/a b"
+    assert [warc.split_block(b)[1] for b in blocks] == [b"<html>a</html>", b"bare newlines", blocks[2], blocks[3], b""]
+    assert [warc.warc_date(f["Archive-date"]) for f, _ in found][3:] == ["2001-02-03T04:05:00Z", "2001-02-03T00:00:00Z"]
+    # version 2, and no record of the file itself
+    second = _of(b"filedesc://b.arc 0.0.0.0 20010203040506 text/plain 200 - - 0 b.arc", b"2 0 Crawler\n" + warc.ARC_FIELDS[2].encode() + b"\n")
+    line = b"http://e.org/ 1.2.3.4 20010203040506 text/html; charset=utf-8 301 c0ffee http://e.org/y 77 b.arc"
+    (fields, block), = warc.parse_arc(second + _of(line, blocks[0]))
+    assert block == blocks[0] and (fields["Content-type"], fields["Result-code"], fields["Filename"]) == ("text/html; charset=utf-8", "301", "b.arc")
+    assert [b for _, b in warc.parse_arc(_of(lines[0], blocks[0]))] == blocks[:1]
+
+
+def test_archives_of_others_are_converted(ready, tmp_path):
+    import gzip
+
+    (tmp_path / "arc").mkdir()
+    body = b"1 0 Crawler\nURL IP-address Archive-date Content-type Archive-length\n"
+    first = _of(b"filedesc://a.arc 0.0.0.0 20010203040506 text/plain", body)
+    page = _HTTP + b"same"
+    records = [_of(b"http://e.org/1 1.2.3.4 20010203040506 text/html", page), _of(b"http://e.org/2 1.2.3.4 20020203040506 text/html", page),
+               _of(b"dns:e.org 1.2.3.4 20010203040506 text/dns", b"answer")]
+    # one gzip member for each record, as crawlers write them; and a file cut in the middle of a record
+    (tmp_path / "arc" / "a.arc.gz").write_bytes(b"".join(map(gzip.compress, [first, *records])))
+    (tmp_path / "arc" / "b.arc").write_bytes(first + records[0].replace(b"/1", b"/3") + records[1][:-20])
+    (tmp_path / "arc" / "c.arc.gz").write_bytes(gzip.compress(first + records[2].replace(b"e.org", b"f.org"))[:-12])
+    damaged = {(r["file"].rsplit("/", 1)[1], r["reason"]) for r in warc.damaged_arc(ready, f"{tmp_path}/arc").collect()}
+    assert {f for f, _ in damaged} == {"b.arc", "c.arc.gz"} and any("declared" in r for _, r in damaged) and ("c.arc.gz", "gzip ends early") in damaged
+    warc.convert(ready, f"{tmp_path}/arc", f"{tmp_path}/warc")
+    got = {}
+    for p in (tmp_path / "warc").glob("part-*"):
+        for fields, block in warc.parse_warc(warc.unpacked(p.read_bytes())):
+            got[fields.get("WARC-Target-URI")] = (fields, block)
+    kinds = {url: f["WARC-Type"] for url, (f, _) in got.items() if url}
+    assert kinds["http://e.org/2"] == "response" and kinds["http://e.org/1"] == kinds["http://e.org/3"] == "revisit" and kinds["dns:e.org"] == "resource"
+    assert got["http://e.org/1"][0]["WARC-Refers-To"] == got["http://e.org/2"][0]["WARC-Record-ID"]
+    assert got["dns:e.org"][0]["Content-Type"] == "text/dns" and got["dns:e.org"][1] == b"answer"
+    assert got["http://e.org/2"][1] == page and got["http://e.org/1"][1] == _HTTP
+    read = {r["record_type"] for r in warc.read_warc(ready, f"{tmp_path}/warc").collect()}
+    assert read == {"response", "revisit", "resource"}
+
+
+def test_files_are_bounded_by_bytes(ready, tmp_path, monkeypatch):
+    rows = iter([{"html": b"x" * n} for n in (10, 600, 50, 1500, 20, 30)])
+    monkeypatch.setattr(warc, "FILE_BYTES", 700)
+    files = [b.column(0)[0].as_py() for b in warc._files(rows, lambda r: len(r["html"]), lambda k: b"head%d" % k, lambda r, k: r["html"], "\n", 1000)]
+    assert [len(f) for f in files] == [10 + 600 + 50 + 5 + 3, 1500 + 6, 20 + 30 + 5 + 2]
+    rows = iter([{"html": b"x"} for _ in range(5)])
+    assert len(list(warc._files(rows, lambda r: 1, lambda k: b"h", lambda r, k: b"r", "\n", 2))) == 3
+
+
 def test_damaged_archives_are_refused():
     with pytest.raises(ValueError):
-        list(warc.parse_arc(b"http://x 0.0.0.0 20240101000000 text/html 3\nabc\n"))
+        list(warc.parse_arc(b"http://x 0.0.0.0 20240101000000 text/html 3 4 5\nabc\n"))
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(b"http://x 0.0.0.0 20240101000000 text/html 30\nabc\n"))
+    with pytest.raises(ValueError):
+        list(warc.parse_arc(b"nonsense\n"))
