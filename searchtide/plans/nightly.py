@@ -19,7 +19,7 @@ from searchtide.plans.quality_job import run_quality
 from searchtide.plans.trending import TrendRules
 from searchtide.session import build_session
 from searchtide.sources import lut_store
-from searchtide.sources.curated import read_curated
+from searchtide.sources.curated import newest_day, read_curated
 
 #: columns that rules are recommended for, and columns whose values should be unique
 PROFILED = ("derived_genre", "platform_group", "network_type_norm", "subscription_count", "is_search_abandoned")
@@ -70,7 +70,8 @@ def run_night(
         return str(found)
 
     def refreshed() -> str:
-        found = row(report_pack.refresh(read_curated(spark, table), f"{lake}/reports/run={run_id}", run_id, day, trend))
+        newest = day or newest_day(spark, table)
+        found = row(report_pack.refresh(read_curated(spark, table), f"{lake}/reports/run={run_id}", run_id, newest, trend))
         if found["errors"]:
             raise RuntimeError(found["messages"])
         return str(found)

@@ -7,6 +7,7 @@ place, for tables that other engines read as plain folders. :func:`read_curated`
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Mapping
 from datetime import date
 
@@ -115,6 +116,16 @@ def remove_stale_partitions(spark: SparkSession, path: str, run_id: str, days: C
     return stale
 
 
+def newest_day(spark: SparkSession, path: str) -> date | None:
+    """The latest day of the table, from the names of its folders; no file is opened."""
+    if versions.is_versioned(spark, path):
+        names = {p.split("/")[0] for p in versions.current(spark, path).parts}
+    else:
+        names = set(folders.subfolders(spark, path))
+    days = [n[3:] for n in names if re.fullmatch(r"dt=\d{4}-\d{2}-\d{2}", n)]
+    return date.fromisoformat(max(days)) if days else None
+
+
 def days_between(rows: DataFrame, first: date, last: date) -> DataFrame:
     return rows.where(F.col("dt").between(first.isoformat(), last.isoformat()))
 

@@ -20,7 +20,7 @@ from searchtide.plans.lut_refresh import OfflineClassifier, RefreshLimits, refre
 from searchtide.schemas import CURATED, RAW
 from searchtide.session import shuffle_tasks, sized
 from searchtide.sources import lut_store, quality_results, versions
-from searchtide.sources.curated import commit_curated, partition, read_curated, remove_stale_partitions, write_curated
+from searchtide.sources.curated import commit_curated, newest_day, partition, read_curated, remove_stale_partitions, write_curated
 from searchtide.sources.raw import parse_since, raw_bytes, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES
 from searchtide.streaming import dedup, ingest as stream_ingest, ledger
@@ -362,6 +362,7 @@ def test_of_two_writers_one_wins(spark, tmp_path):
     with pytest.raises(versions.Conflict):
         commit_curated(prepared(raw_row("5"), raw_row("6", dt="20220609")), out, "loser", base=base)
     assert {r["event_id"] for r in read_curated(spark, out).collect()} == {"3", "4"}
+    assert newest_day(spark, out) == date(2022, 6, 2) and newest_day(spark, str(tmp_path / "none")) is None
     # a reader at work on an older version still finds it
     assert versions.read(spark, out, CURATED, base).count() == 2
     gone = versions.vacuum(spark, out, keep=1)
