@@ -9,8 +9,9 @@ document. With n(e) documents with the entity, n(t) with the term and n(e, t) wi
 Disclosure 1 means that the term gives the entity away completely, 0 that it says nothing. Most values stand in one or
 two documents, too few to tell a revealing term from any rare word. A pair seen in fewer than ``LEAST_CONTEXTS`` different
 surroundings of the term therefore counts with that share only; for the rest stands the disclosure, worked out alike, of the e-mail domain,
-then of the kind of entity, and in the end 0. Copies and near copies, in which a term has the same surroundings, count once. Terms at or
-above the threshold are marked wherever they stand in documents with that entity. ``sanitised`` puts a tag in place of entities,
+then of the kind of entity, and in the end 0. Copies and near copies, in which a term has the same surroundings, count once. Surroundings
+are counted as the classes they meet in two divisions into 64, the larger of both numbers, so that counts of tasks merge: of two surroundings
+one pair in 4,096 counts as one, of three one in 465 as two or one. Terms at or above the threshold are marked wherever they stand in documents with that entity. ``sanitised`` puts a tag in place of entities,
 generalises a disclosing term to its initial and removes one that discloses completely.
 
 Everything is DataFrame functions. Positions count code points from 0, the end is exclusive.
@@ -40,6 +41,8 @@ _PLACE = {kind: i for i, kind in enumerate(KINDS)}
 CONTEXT_WORDS = 4
 #: different surroundings of a term from which on a pair speaks for itself
 LEAST_CONTEXTS = 3
+#: surroundings are told apart in two divisions into this many classes, one bit each
+_CLASSES = 64
 #: share of an entity's information that a term may reveal
 DISCLOSURE = 0.8
 COMPLETE = 0.999
@@ -118,8 +121,8 @@ def _terms(words: Column) -> Column:
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, ``found`` (entities with value) and, where there are any, ``near`` (each term outside e-mail addresses with a
-    hash of its surroundings, the smallest if it stands in several places) of every row; staged, without the texts."""
+    """``doc_id``, ``found`` (entities with value) and, where there are any, ``near`` (each term outside e-mail addresses with the two
+    classes of its surroundings, those with the smallest hash if it stands in several places) of every row; staged, without the texts."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), base_spans(text, values=True).alias("found"))
     outside = F.regexp_replace(F.lower(F.regexp_replace("text", EMAIL, " ")), r"[\x20\x09-\x0D]+", " ")
@@ -132,7 +135,8 @@ def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     rows = rows.select("doc_id", "found", F.sort_array(F.flatten(F.transform("words", around))).alias("places"))
     once = F.filter("places", lambda p, i: (i == 0) | (F.get("places", F.greatest(i - 1, F.lit(0)))["term"] != p["term"]))
-    return staged(rows.select("doc_id", "found", once.alias("near")), "mentions")
+    classes = F.transform(once, lambda p: F.struct(p["term"], F.pmod(p["context"], F.lit(_CLASSES**2)).cast("smallint").alias("context")))
+    return staged(rows.select("doc_id", "found", classes.alias("near")), "mentions")
 
 
 def _entity(m: Column) -> Column:
@@ -161,8 +165,9 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", thres
         # terms so common that n(e, t) = min(n(e), n(t)) would not reach the threshold with any entity, domain or kind
         common = n_t.where(F.col("n_t") > n * (most / n) ** threshold * (1 + 1e-9)).select("term")
         near = near.join(counted(staged(common, "common")), "term", "left_anti")
-    pairs = near.select(F.explode("keys").alias("key"), "term", "context").groupBy("key", "term", "context").agg(F.count("*").alias("n_et"))
-    pairs = pairs.groupBy("key", "term").agg(F.sum("n_et").alias("n_et"), F.count("*").alias("contexts"))
+    bits = [F.expr(f"bit_or(shiftleft(1L, CAST(context {part} {_CLASSES} AS INT)))") for part in ("%", "div")]
+    pairs = near.select(F.explode("keys").alias("key"), "term", "context").groupBy("key", "term").agg(
+        F.count("*").alias("n_et"), F.greatest(*map(F.bit_count, bits)).alias("contexts"))
     pairs = pairs.join(counted(n_e), "key").join(n_t, "term")
     pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
     # what all documents have says nothing
