@@ -21,7 +21,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchtide.llm import texts as tx
@@ -263,17 +263,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: shingles, distance and similarity (shared over all shingles) by which one of several near copies stays
 KEEP_WORDS, KEEP_DISTANCE, KEEP_SIMILARITY = 5, 8, 0.8
+#: documents of a group that are compared with the rest of it in one round: one at first, twice as many each round, at most this many
+MOST_LEADERS = 64
 
 
-def _contents(docs: DataFrame, size: int) -> DataFrame:
-    """``doc_id``, ``bits`` and ``content`` (128-bit hash of the words) of rows ``doc_id, text``; staged."""
+def _contents(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``bits`` (fingerprint of the words, each once) and ``content`` (128-bit hash of all words) of rows ``doc_id, text``; staged."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in tx.chunks(batch, "text"):
                 bits, content = np.zeros(part.num_rows, np.uint64), [b""] * part.num_rows
-                for i, words, hashes in _shingled(part.column("text"), size):
-                    bits[i], content[i] = _majority(hashes), xxhash.xxh3_128_digest(words)
+                for i, words, hashes in _shingled(part.column("text"), 1):
+                    bits[i], content[i] = _majority(np.unique(hashes)), xxhash.xxh3_128_digest(words)
                 columns = [part.column("doc_id"), pa.array(bits.view(np.int64)), pa.array(content, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "bits", "content"])
 
@@ -299,13 +301,15 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
            distance: int = KEEP_DISTANCE, similarity: float = KEEP_SIMILARITY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Contents that the document ``kept_id`` stands for; the contents of all rows with an id; and the contents with their ``least`` ids.
 
-    Texts with equal words are one content. Contents whose fingerprints are linked within ``distance`` bits are candidates; whether they
-    are near copies is decided on the shingles themselves: in each group the smallest id stays and stands for all that share
-    ``similarity`` of their shingles with it; what is left over goes on among itself, until it has nothing in common. So nothing goes that
-    is not similar to a document that stays, however groups are chained.
+    Texts with equal words are one content. Candidates are contents linked within ``distance`` bits of the fingerprint of their words, each
+    taken once: an edited word changes one of these but ``size`` shingles, so that near copies stay close and unlike texts do not. Whether
+    they are near copies is decided on the shingles themselves. In each group the smallest ids are compared with all larger ones. Those
+    that have no smaller one alike among them stay, and all that share ``similarity`` of their shingles with one of these go; what is left
+    over goes on among itself. So the documents that stay are those of taking ids in ascending order and keeping each that is not similar
+    to one kept before, and nothing goes that is not similar to a document that stays, however groups are chained.
     """
     rows = docs.where(docs[id_col].isNotNull()).select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    prints = _contents(rows, size)
+    prints = _contents(rows)
     nodes = staged(prints.groupBy("content").agg(F.min("doc_id").alias("least"), F.first("bits").alias("bits")), "contents")
     found = groups(nodes.select(F.col("least").alias("doc_id"), "bits"), distance)
     grouped = nodes.join(found, "bits").select("content", "least", F.col("component_id").alias("component"))
@@ -315,17 +319,25 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     sets = _shingle_sets(texts, size).groupBy("content").agg(F.first("shingles").alias("shingles"))
     left = staged(members.join(sets, "content"), "open")
     gone = nodes.limit(0).select("content", F.col("least").alias("kept_id"))
+    leaders, order = 1, Window.partitionBy("component").orderBy("least", "content")
     while True:
-        leader = left.groupBy("component").agg(F.min(F.struct("least", "content")).alias("leader"), F.count("*").alias("n")).where("n > 1")
-        leader = staged(leader.select("component", F.col("leader.least").alias("kept_id"), F.col("leader.content").alias("content")), "leaders")
-        if leader.isEmpty():
+        several = left.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
+        first = left.join(several, "component", "left_semi").withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
+        first = staged(first.select("component", F.col("least").alias("kept_id"), F.col("content").alias("leading"), F.col("shingles").alias("held")), "leaders")
+        if first.isEmpty():
             break
-        held = leader.join(left.select("content", F.col("shingles").alias("held")), "content").withColumnRenamed("content", "leading")
+        own, held = F.size("shingles"), F.size("held")
         shared = F.size(F.array_intersect("shingles", "held"))
-        alike = shared >= similarity * (F.size("shingles") + F.size("held") - shared)
-        judged = staged(left.join(held, "component").where("content != leading").withColumn("alike", alike).drop("held", "leading"), "judged")
-        gone = gone.unionByName(judged.where("alike").select("content", "kept_id"))
-        left = judged.where("not alike").drop("alike", "kept_id")
+        # the first condition follows from the second and needs no intersection
+        alike = (F.least(own, held) >= similarity * F.greatest(own, held)) & (shared >= similarity * (own + held - shared))
+        later = F.struct("least", "content") > F.struct("kept_id", "leading")
+        pairs = staged(left.join(first, "component").where(later & alike).select("content", "leading", "kept_id"), "alike")
+        stay = first.select("leading").join(pairs.select(F.col("content").alias("leading")), "leading", "left_anti")
+        go = staged(pairs.join(stay, "leading").groupBy("content").agg(F.min("kept_id").alias("kept_id")), "gone")
+        gone = gone.unionByName(go)
+        decided = go.select("content").union(stay.select("leading"))
+        left = staged(left.join(decided, "content", "left_anti"), "open")
+        leaders = min(2 * leaders, MOST_LEADERS)
     return gone, prints, nodes
 
 
