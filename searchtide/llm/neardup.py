@@ -262,8 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 #: shingles, distance and similarity (shared over all shingles) by which one of several near copies stays
-KEEP_WORDS, KEEP_DISTANCE, KEEP_SIMILARITY = 5, 8, 0.8
-#: documents of a group that are compared with the rest of it in one round: one at first, twice as many each round, at most this many
+KEEP_WORDS, KEEP_DISTANCE, KEEP_SIMILARITY = 5, 7, 0.8
+#: documents of a group that are compared with the rest of it in one round: one at first, four times as many each round, at most this many
 MOST_LEADERS = 64
 
 
@@ -337,7 +337,7 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         gone = gone.unionByName(go)
         decided = go.select("content").union(stay.select("leading"))
         left = staged(left.join(decided, "content", "left_anti"), "open")
-        leaders = min(2 * leaders, MOST_LEADERS)
+        leaders = min(4 * leaders, MOST_LEADERS)
     return gone, prints, nodes
 
 
