@@ -1,6 +1,6 @@
 """Quality rules: hashed n-gram logistic regression with calibrated probabilities.
 
-A text is the relative frequencies of its hashed words, word pairs and byte n-grams. A logistic
+A text is the relative frequencies of its hashed words, word pairs and character n-grams. A logistic
 regression on these is trained with numpy on a bounded sample of labelled rows, its margins are
 turned into probabilities on rows left out of the training (a two-parameter logistic fit), and
 texts are scored in Arrow batches against a fixed threshold. Simple counts of words, symbols,
@@ -30,7 +30,7 @@ LABELLED_ROWS = 1500
 #: lowest probability of good quality that is kept
 THRESHOLD = 0.5
 LEAST_WORDS = 50
-BYTE_GRAMS = (3, 5)
+CHARACTER_GRAMS = (3, 5)
 _SYMBOLS = np.zeros(256, dtype=bool)
 _SYMBOLS[list(b"#*$%&|<>")] = True
 
@@ -51,9 +51,10 @@ def _hashed(data: np.ndarray, offsets: np.ndarray, words: tx.Parts, ids: np.ndar
     owner = tx.owners(words.first)
     pair, inside = tx.rolled(name, 2), tx.whole(owner, 2)
     kinds.append((tx.mixed(pair[inside]), np.searchsorted(owner[:-1][inside] if len(owner) else owner, np.arange(len(offsets)))))
-    letters = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
-    for n in BYTE_GRAMS:
-        gram, inside = tx.rolled(data, n), tx.whole(letters, n)
+    characters, first = tx.characters(data, offsets)
+    letters = tx.owners(first)
+    for n in CHARACTER_GRAMS:
+        gram, inside = tx.rolled(characters, n), tx.whole(letters, n)
         at = letters[: len(inside)][inside]
         kinds.append((tx.mixed(gram[inside] + np.uint64(n)), np.searchsorted(at, np.arange(len(offsets)))))
     return [((h & np.uint64(BUCKETS - 1)).astype(np.int32), first) for h, first in kinds]

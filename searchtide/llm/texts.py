@@ -91,6 +91,20 @@ def lines_of(data: np.ndarray, offsets: np.ndarray) -> Parts:
     return split(data, offsets, _NEWLINE)
 
 
+def characters(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each character (its UTF-8 bytes as one number) of all texts, and where the characters of each text begin."""
+    if len(data) == 0 or data.max() < 0x80:
+        return data, offsets
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    padded = np.concatenate([data, np.zeros(3, np.uint8)])
+    value, inside = data[starts].astype(np.uint64), np.ones(len(starts), bool)
+    for k in range(1, 4):
+        byte = padded[starts + k]
+        inside &= (byte & 0xC0) == 0x80
+        value = np.where(inside, value * np.uint64(256) + byte, value)
+    return value, np.searchsorted(starts, offsets)
+
+
 def owners(first: np.ndarray) -> np.ndarray:
     """The text each part belongs to."""
     return np.repeat(np.arange(len(first) - 1), np.diff(first))

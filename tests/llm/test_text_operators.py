@@ -46,6 +46,29 @@ def test_equal_strings_have_equal_hashes():
     assert hashes[0] == hashes[2] and len(set(hashes.tolist())) == 5
 
 
+def test_characters_are_whole_letters():
+    """Of one to four bytes, over the borders of texts, alone and at the ends."""
+    texts = ["aé", None, "", "語語x", "😀", "é😀é", "plain", "e\u0301"]
+    data, offsets = tx.encoded(pa.array(texts))
+    values, first = tx.characters(data, offsets)
+    got = [values[a:b].tolist() for a, b in zip(first, first[1:])]
+    assert got == [[int.from_bytes(c.encode(), "big") for c in t or ""] for t in texts]
+    ascii_data, ascii_offsets = tx.encoded(pa.array(["abc", "", "d"]))
+    values, first = tx.characters(ascii_data, ascii_offsets)
+    assert [values[a:b].tolist() for a, b in zip(first, first[1:])] == [[97, 98, 99], [], [100]]
+
+
+def test_features_count_characters_not_bytes():
+    """As many n-grams of a text as it has places for n characters, none over the border of two texts."""
+    texts = ["日本語の文", "ab", "", "naïve é"]
+    data, offsets = tx.encoded(pa.array(texts))
+    words = tx.words_of(data, offsets)
+    ids, names = tx.numbered(words.strings)
+    kinds = quality._hashed(data, offsets, words, ids, names)[2:]
+    for n, (bucket, first) in zip(quality.CHARACTER_GRAMS, kinds):
+        assert np.diff(first).tolist() == [max(0, len(t) - n + 1) for t in texts] and len(bucket) == first[-1]
+
+
 def test_chunks_keep_all_rows():
     batch = pa.RecordBatch.from_arrays([pa.array(["a" * 100, None, "b" * 10, "c" * 500, ""])], ["text"])
     assert sum((p.column(0).to_pylist() for p in tx.chunks(batch, "text", 50)), []) == batch.column(0).to_pylist()
