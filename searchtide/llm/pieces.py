@@ -160,34 +160,146 @@ def best(vocabulary: Vocabulary, text: bytes) -> list[int]:
     return out[::-1]
 
 
+#: bytes of the longest segments that are solved together; longer ones are solved one by one
+TOGETHER_BYTES = 64
+#: segments solved together
+TOGETHER = 8_192
+
+
+class Arrays(NamedTuple):
+    """Trie, scores and bytes of the pieces as arrays."""
+
+    base: np.ndarray
+    check: np.ndarray
+    piece: np.ndarray
+    scores: np.ndarray
+    data: np.ndarray
+    begin: np.ndarray
+    byte_ids: np.ndarray
+
+
+def arrays(vocabulary: Vocabulary) -> Arrays:
+    base, check, piece = (np.array(x, np.int64) for x in vocabulary.trie)
+    begin = np.concatenate([[0], np.cumsum([len(p) for p in vocabulary.pieces])])
+    return Arrays(base, check, piece, np.array(vocabulary.scores, np.float64), np.frombuffer(b"".join(vocabulary.pieces), np.uint8), begin,
+                  np.array(vocabulary.byte_ids, np.int32))
+
+
+def best_of(vocabulary: Vocabulary, held: Arrays, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Piece numbers of the best segmentations one after the other, how many each text has, and whether they decode to the texts.
+
+    The steps of :func:`best` in the same order, each for all texts at once.
+    """
+    sizes = np.array([len(t) for t in texts], np.int64)
+    n, width = len(texts), int(sizes.max(initial=0))
+    inside = np.arange(width) < sizes[:, None]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    byte = np.zeros((width, n), np.int64)
+    byte.T[inside] = data
+    lead = np.select([byte < 0x80, byte < 0xE0, byte < 0xF0], [1, 2, 3], 4)
+    value = np.full((width + 1, n), -np.inf)
+    origin, chosen = np.zeros((width + 1, n), np.int64), np.full((width + 1, n), -1, np.int64)
+    value[0] = 0.0
+
+    def offer(at: np.ndarray, rows: np.ndarray, worth: np.ndarray, start: int, number: np.ndarray | int) -> None:
+        better = worth > value[at, rows]
+        at, rows = at[better], rows[better]
+        value[at, rows], origin[at, rows] = worth[better], start
+        chosen[at, rows] = number[better] if isinstance(number, np.ndarray) else number
+
+    for i in range(width):
+        reached = np.flatnonzero((sizes > i) & (value[i] > -np.inf))
+        rows, state = reached, np.zeros(len(reached), np.int64)
+        for j in range(i, width):
+            nxt = held.base[state] + byte[j, rows]
+            on = (sizes[rows] > j) & (nxt < len(held.check)) & (nxt != 0)
+            on[on] = held.check[nxt[on]] == state[on]
+            rows, state = rows[on], nxt[on]
+            if not len(rows):
+                break
+            number = held.piece[state]
+            ends = number >= 0
+            to, number = rows[ends], number[ends]
+            offer(np.full(len(to), j + 1), to, value[i, to] + held.scores[number], i, number)
+        offer(i + lead[i, reached], reached, value[i, reached] + vocabulary.unknown, i, -1)
+    # each piece at the place where it begins, and the bytes of uncovered characters at their own
+    ids = np.full((n, width), -1, np.int64)
+    rows, at = np.flatnonzero(sizes), sizes[sizes > 0]
+    while len(rows):
+        start, number = origin[at, rows], chosen[at, rows]
+        whole = number >= 0
+        ids[rows[whole], start[whole]] = number[whole]
+        for k in range(4):
+            loose = ~whole & (start + k < at)
+            ids[rows[loose], start[loose] + k] = held.byte_ids[byte[start[loose] + k, rows[loose]]]
+        rows, at = rows[start > 0], start[start > 0]
+    found = ids >= 0
+    out = ids[found]
+    length = held.begin[out + 1] - held.begin[out]
+    exact = int(length.sum()) == len(data)
+    if exact:
+        # where each piece's bytes begin among all, and so each byte's place in the pieces
+        place = np.arange(len(data)) + np.repeat(held.begin[out] - (np.cumsum(length) - length), length)
+        exact = bool((held.data[place] == data).all())
+    return out.astype(np.int32), found.sum(axis=1), exact
+
+
 class Encoder:
-    """Encodes texts, remembering the segments met lately.
+    """Encodes texts, remembering the segments met lately; the new segments of several texts are solved together.
 
     A segment is decoded when it is solved. As long as every one came back byte by byte, so did the texts made of them;
     once one did not, texts are decoded as a whole.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        self.vocabulary, self.held = vocabulary, arrays(vocabulary)
         self.segments = re.compile(vocabulary.segment).findall
         self.known: dict[str, bytes] = {}
         self.all_exact = True
 
-    def solved(self, segment: str) -> bytes:
-        if len(self.known) >= REMEMBERED:
-            self.known.clear()
+    def _solved(self, segment: str) -> bytes:
         text = segment.encode()
         ids = best(self.vocabulary, text)
         self.all_exact &= b"".join([self.vocabulary.pieces[i] for i in ids]) == text
-        out = np.array(ids, np.int32).tobytes()
-        if len(segment) <= 64:
-            self.known[segment] = out
+        return np.array(ids, np.int32).tobytes()
+
+    def _learn(self, segments: set[str]) -> list[str]:
+        """Remember the piece numbers of segments that are not known yet; returns those too long to be kept."""
+        short, texts, long = [], [], []
+        for segment in segments:
+            text = segment.encode()
+            if len(text) <= TOGETHER_BYTES:
+                short.append(segment)
+                texts.append(text)
+            else:
+                self.known[segment] = self._solved(segment)
+                long.append(segment)
+        # of like lengths together
+        order = sorted(range(len(texts)), key=lambda i: len(texts[i]))
+        for k in range(0, len(order), TOGETHER):
+            part = order[k : k + TOGETHER]
+            ids, number, exact = best_of(self.vocabulary, self.held, [texts[i] for i in part])
+            self.all_exact &= exact
+            found, ends = ids.tobytes(), (4 * np.cumsum(number)).tolist()
+            for i, f, t in zip(part, [0, *ends], ends):
+                self.known[short[i]] = found[f:t]
+        return long
+
+    def encode_all(self, texts: list[str | None]) -> list[bytes | None]:
+        """Piece numbers of each text as 32-bit numbers; null for null."""
+        segments = [self.segments(" " + t) if t else [] for t in texts]
+        long = self._learn(set().union(*segments).difference(self.known))
+        get = self.known.__getitem__
+        out = [None if t is None else b"".join(map(get, s)) for t, s in zip(texts, segments)]
+        for segment in long:
+            del self.known[segment]
+        if len(self.known) >= REMEMBERED:
+            self.known.clear()
         return out
 
     def encode(self, text: str) -> bytes:
         """Piece numbers as 32-bit numbers."""
-        get, solved = self.known.get, self.solved
-        return b"".join([get(s) or solved(s) for s in self.segments(" " + text)]) if text else b""
+        return self.encode_all([text])[0]
 
     def comes_back(self, text: str, ids: np.ndarray) -> bool:
         """Whether decoding gives the text, for a text this encoder has encoded."""
@@ -220,7 +332,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text") -> D
         for batch in batches:
             for part in tx.chunks(batch, at):
                 texts = part.column(at).to_pylist()
-                ids = [None if t is None else np.frombuffer(coder.encode(t), np.int32) for t in texts]
+                ids = [None if t is None else np.frombuffer(t, np.int32) for t in coder.encode_all(texts)]
                 lengths = np.array([0 if i is None else len(i) for i in ids], np.int64)
                 nulls = pa.array([i is None for i in ids], pa.bool_())
                 offsets = pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32))

@@ -345,3 +345,25 @@ def test_scoring_without_training_texts(edges):
 
 def test_prose_differs():
     assert prose(1, 5) != prose(2, 5)
+
+
+def test_segments_of_several_texts_are_solved_together(monkeypatch):
+    """The same pieces as one by one, and no short segment is solved alone."""
+    vocabulary = pieces.load()
+    texts = ["", "\n\n  a\n", "▁▁ x", "héllo wörld 日本語 😀😀", "\x00\x01 b", "é" * 40, None, " \n ", *(prose(k, 300) for k in range(5))]
+    cut = pieces.Encoder(vocabulary).segments
+    alone = [None if t is None else sum((pieces.best(vocabulary, s.encode()) for s in cut(" " + t)), []) if t else [] for t in texts]
+    assert pieces.best_of(vocabulary, pieces.arrays(vocabulary), [])[0].tolist() == []
+
+    def never(*_):
+        raise AssertionError("solved alone")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pieces, "TOGETHER", 7)
+        patch.setattr(pieces, "best", never)
+        coder = pieces.Encoder(vocabulary)
+        found = coder.encode_all([t for t in texts if t != "é" * 40])
+    assert [None if f is None else np.frombuffer(f, np.int32).tolist() for f in found] == [a for a, t in zip(alone, texts) if t != "é" * 40]
+    assert coder.all_exact
+    # a long segment is solved, and not kept
+    assert np.frombuffer(coder.encode("é" * 40), np.int32).tolist() == alone[5] and " " + "é" * 40 not in coder.known
