@@ -67,13 +67,21 @@ def prepared_events(
     Everything wide (hashes, plan arrays) is left to :func:`finished`, after the last shuffle.
     ``repeats=False`` skips the repeat flag for readers that do not need it.
     """
+    return with_genre(marked_events(events, rules, repeats), lut, rules)
+
+
+def marked_events(events: DataFrame, rules: CurationRules = CurationRules(), repeats: bool = True) -> DataFrame:
+    """Deduplicated events with keyword, session and repeat flag: what does not depend on the keyword table."""
     narrow = with_session_key(with_keyword(keep_first_event(events)))
     if repeats:
         # sessions are counted before copies are removed, which spares a second deduplication
-        narrow = mark_repeats(narrow, rules.split_null_sessions, with_session_key(events), rules.hot_session_rows)
-    else:
-        narrow = narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))
-    classified = classify(narrow, lut, rules.patterns, rules.near_spellings, rules.near_min_length, rules.near_edits)
+        return mark_repeats(narrow, rules.split_null_sessions, with_session_key(events), rules.hot_session_rows)
+    return narrow.withColumn("is_repeat_search", F.lit(None).cast("boolean"))
+
+
+def with_genre(marked: DataFrame, lut: DataFrame | None = None, rules: CurationRules = CurationRules()) -> DataFrame:
+    """Marked events with genre and ISO day."""
+    classified = classify(marked, lut, rules.patterns, rules.near_spellings, rules.near_min_length, rules.near_edits)
     return classified.withColumn("dt", moments.iso_day(F.col("dt")))
 
 

@@ -30,5 +30,16 @@ def test_query(spark, db, name):
     assert name in ("report_missing_days", "report_filter", "report_trending") or rows > 0
 
 
+def test_rollup_curates_once(spark, monkeypatch):
+    """Both curations read events that are marked already: neither derives, deduplicates or sorts them again."""
+    seen, true = [], queries.commit_curated
+    monkeypatch.setattr(queries, "commit_curated", lambda rows, *rest: seen.append(rows) or true(rows, *rest))
+    assert queries.queries()["rollup_distinct_keywords"](spark, SMALL).count() == 2
+    for rows in seen:
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("events.parquet" in f for f in rows.inputFiles()) and "Window" not in plan
+    assert len(seen) == 2
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["keyword_norm", "derived_genre", "searches", "abandoned", "abandon_rate_pct"]
