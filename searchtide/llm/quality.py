@@ -1,7 +1,7 @@
 """Quality rules: hashed n-gram logistic regression with calibrated probabilities.
 
 A text is the relative frequencies of its hashed words, word pairs and character n-grams. A logistic
-regression on these is trained with numpy on a bounded sample of labelled rows, its margins are
+regression on these is trained with numpy, in a task, on a bounded sample of labelled rows, its margins are
 turned into probabilities on rows left out of the training (a two-parameter logistic fit), and
 texts are scored in Arrow batches against a fixed threshold. Simple counts of words, symbols,
 repeated lines and repeated three-word windows come from the same pass.
@@ -161,25 +161,39 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                     [part.column("good"), pa.array(buckets, pa.list_(pa.int16())), pa.array(values, pa.list_(pa.float32())),
                      part.column("id").cast(pa.string())], ["good", "buckets", "values", "id"])
 
-    found = rows.mapInArrow(featured, "good int, buckets array<smallint>, values array<float>, id string").toArrow()
-    found = found.sort_by([("id", "ascending"), ("good", "ascending")]).combine_chunks()
-    good = found["good"].to_numpy().astype(float)
-    if len(set(good)) < 2:
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        good, size, col, value = [], [], [], []
+        for batch in batches:
+            good.append(batch.column("good").to_numpy())
+            size.append(batch.column("buckets").value_lengths().to_numpy())
+            # copies of 6 bytes per feature, so that no batch is held; everything else is worked out block by block
+            col.append(batch.column("buckets").flatten().to_numpy().copy())
+            value.append(batch.column("values").flatten().to_numpy().copy())
+        if len(set(np.concatenate(good or [[]]).tolist())) < 2:
+            return
+        first = np.concatenate([[0], np.cumsum(np.concatenate(size))])
+        weights, intercept, margin, kind = _trained(first, np.concatenate(col), np.concatenate(value), np.concatenate(good).astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([weights]), pa.array([intercept]), pa.array([margin]), pa.array([kind])],
+                                         ["weights", "intercept", "margins", "kinds"])
+
+    # the sample is trained on in one task; the driver gets the weights, and the margins to calibrate on
+    found = rows.mapInArrow(featured, "good int, buckets array<smallint>, values array<float>, id string")
+    gathered = found.repartition(1).sortWithinPartitions("id", "good").drop("id")
+    trained = gathered.mapInArrow(learned, "weights array<double>, intercept double, margins array<double>, kinds array<double>").toArrow()
+    if not trained.num_rows:
         return None
-    lists = found["buckets"].combine_chunks()
-    first = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())])
+    weights, margin, kind = (trained[c].combine_chunks().flatten().to_numpy() for c in ("weights", "margins", "kinds"))
     every = docs.select(F.col(id_col).alias("id")).join(_known(labels, id_col, label_col), "id").groupBy("good").count().collect()
-    totals = {r["good"]: r["count"] for r in every}
-    # views of what was collected, 6 bytes per feature; everything else is worked out block by block
-    return _trained(first, lists.flatten().to_numpy(), found["values"].combine_chunks().flatten().to_numpy(), good, totals)
+    slope, shift = _calibrated(margin, kind, {r["good"]: r["count"] for r in every})
+    return Model(weights.astype(np.float32), trained["intercept"][0].as_py(), slope, shift)
 
 
 #: rows whose features are worked on at a time while training
 _BLOCK = 64
 
 
-def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, totals: dict[int, int], steps: int = 120) -> Model:
-    """Fit to rows whose features are ``first[i]:first[i + 1]`` of ``col`` and ``value``; ``totals`` are the numbers of each kind to calibrate to."""
+def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.ndarray, steps: int = 120) -> tuple[np.ndarray, float, np.ndarray, np.ndarray]:
+    """Weights and intercept fitted to rows whose features are ``first[i]:first[i + 1]`` of ``col`` and ``value``; margins and kinds of the rows to calibrate on."""
     held = np.arange(len(good)) % 4 == 3
     if len(set(good[held])) < 2 or len(set(good[~held])) < 2:
         held = np.zeros(len(good), bool)
@@ -205,8 +219,8 @@ def _trained(first: np.ndarray, col: np.ndarray, value: np.ndarray, good: np.nda
         b1, b2 = 0.9 * b1 + 0.1 * shift, 0.99 * b2 + 0.01 * shift**2
         intercept -= 0.1 * (b1 / (1 - 0.9**step)) / (np.sqrt(b2 / (1 - 0.99**step)) + 1e-8)
     margin = np.concatenate([margins(start, stop) for start, stop in blocks])
-    slope, shift = _calibrated(margin[held] if held.any() else margin, good[held] if held.any() else good, totals)
-    return Model(weights.astype(np.float32), float(intercept), slope, shift)
+    left = held if held.any() else np.ones(len(good), bool)
+    return weights, float(intercept), margin[left], good[left]
 
 
 def _calibrated(margin: np.ndarray, good: np.ndarray, totals: dict[int, int] | None = None) -> tuple[float, float]:

@@ -143,6 +143,16 @@ def test_labels_without_documents_are_not_chosen(ready):
     assert quality.fit(docs, labels, rows_of_each=10) is not None
 
 
+def test_features_do_not_come_to_the_driver(ready, monkeypatch):
+    """The model is trained in a task: what is brought to the driver are one row of weights and the rows that are counted."""
+    docs = ready.createDataFrame([(i, prose(i, 60)) for i in range(40)], "doc_id long, text string")
+    labels = ready.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    brought, true = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda rows: brought.append(true(rows)) or brought[-1])
+    assert quality.fit(docs, labels) is not None
+    assert [t.num_rows for t in brought] == [1] and "buckets" not in brought[0].column_names
+
+
 # --- pieces -------------------------------------------------------------------------------------
 
 
