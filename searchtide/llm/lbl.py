@@ -334,10 +334,35 @@ def tables(vectors: Vectors) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return one.astype(np.float32), two.astype(np.float32), whole.astype(np.float32)
 
 
-def _sums_of(strings: pa.Array, ids: np.ndarray, first: np.ndarray, counts: Counts, products: tuple) -> dict[str, np.ndarray]:
+class Head:
+    """Places of the commonest words, by sorted hashes and compared as strings; made once, as it takes longer than to look up a batch."""
+
+    def __init__(self, words: pa.Array):
+        hashes = tx.strong_hashes(words, 0)
+        self.words, self.order = words, np.argsort(hashes, kind="stable")
+        self.hashes = hashes[self.order]
+
+    def places(self, strings: pa.Array) -> np.ndarray:
+        """Where each string stands among the words; -1 if it does not."""
+        out = np.full(len(strings), -1, np.int64)
+        if not len(self.words):
+            return out
+        hashes = tx.strong_hashes(strings, 0)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        met = np.flatnonzero(self.hashes[at] == hashes)
+        place = self.order[at[met]]
+        same = pc.equal(self.words.take(pa.array(place)), strings.take(pa.array(met))).to_numpy(zero_copy_only=False).astype(bool)
+        out[met[same]] = place[same]
+        # equal hashes of different words
+        for i in met[~same].tolist():
+            out[i] = pc.index(self.words, strings[i]).as_py()
+        return out
+
+
+def _sums_of(strings: pa.Array, ids: np.ndarray, first: np.ndarray, counts: Counts, products: tuple, common: Head) -> dict[str, np.ndarray]:
     one, two, whole = products
     classes = _classes(strings, counts)
-    place = pc.fill_null(pc.index_in(strings, counts.head), -1).to_numpy()
+    place = common.places(strings)
     count = np.where(place >= 0, counts.head_counts[np.maximum(place, 0)] if len(counts.head_counts) else 0, -1)
     line, places = _sequence(classes[ids], first)
     h1, h2, w = line[places - 1], line[places - 2], line[places]
@@ -347,12 +372,12 @@ def _sums_of(strings: pa.Array, ids: np.ndarray, first: np.ndarray, counts: Coun
     inside = np.where(classes >= SINGLE, smooth - np.log10(counts.class_tokens + 0.5 * (counts.class_words + 1))[classes], 0.0)
     texts = len(first) - 1
     ends = first[1:] + np.arange(1, texts + 1)
-    at_end = pc.index_in(pa.array([END], pa.large_string()), counts.head)[0].as_py()
-    end = np.log10((counts.head_counts[at_end] if at_end is not None else 0) + 0.5)
+    at_end = int(common.places(pa.array([END], pa.large_string()))[0])
+    end = np.log10((counts.head_counts[at_end] if at_end >= 0 else 0) + 0.5)
     n = np.diff(first) + 1
     return {
         "n_tokens": n,
-        "known": tx.sums((count > 0)[ids], first) + (at_end is not None),
+        "known": tx.sums((count > 0)[ids], first) + (at_end >= 0),
         "base": tx.sums(smooth[ids], first) + end - n * np.log10(counts.tokens + 0.5 * (counts.distinct + 1)),
         "model": tx.sums(logp, np.concatenate([[0], ends])) + tx.sums(inside[ids], first),
         "open": count < 0,
@@ -368,12 +393,13 @@ def score(docs: DataFrame, training: DataFrame, id_col: str = "doc_id", text_col
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, held = sent.value
+        common = Head(known.head)
         for batch in batches:
             for part in tx.chunks(batch, "text"):
                 data, offsets = tx.encoded(part.column("text"))
                 words = tx.words_of(tx.lowered(data), offsets)
                 ids, vocabulary = tx.numbered(words.strings)
-                out = _sums_of(vocabulary, ids, words.first, known, held)
+                out = _sums_of(vocabulary, ids, words.first, known, held, common)
                 # words outside the head, each text's own ones once
                 places = np.flatnonzero(out["open"][ids])
                 keys, number = np.unique(tx.owners(words.first)[places] * (len(vocabulary) + 1) + ids[places], return_counts=True)

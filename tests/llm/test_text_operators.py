@@ -347,6 +347,24 @@ def test_shards_hold_every_position_once(docs, monkeypatch):
     assert sum(len(lbl._positions(np.frombuffer(r["lines"], np.int16), np.array(r["lengths"]))) for r in rows) == counts.tokens
 
 
+def test_common_words_are_looked_up_without_a_new_table(docs, monkeypatch):
+    """Places by hash are those by comparison, also where hashes are equal; and no batch makes a table of all common words."""
+    words = pa.array([*dict.fromkeys(prose(1, 500).split()), "", "é", "x" * 40], pa.large_string())
+    asked = pa.array(["", "é", "nowhere", "x" * 40, "x" * 41, *words.to_pylist()[:50]], pa.large_string())
+    wanted = [words.to_pylist().index(w) if w in words.to_pylist() else -1 for w in asked.to_pylist()]
+    assert lbl.Head(words).places(asked).tolist() == wanted
+    assert lbl.Head(words[:0]).places(asked).tolist() == [-1] * len(asked)
+    with monkeypatch.context() as patch:
+        patch.setattr(lbl.tx, "strong_hashes", lambda strings, seed: np.zeros(len(strings), np.uint64))
+        assert lbl.Head(words).places(asked).tolist() == wanted
+    counts, _ = lbl.summed(lbl.token_counts(docs))
+    products, common, tables, true = lbl.tables(lbl.start(counts)), lbl.Head(counts.head), [], lbl.pc.index_in
+    monkeypatch.setattr(lbl, "pc", type("Counted", (), {"__getattr__": lambda self, name: (
+        (lambda strings, table: tables.append(len(table)) or true(strings, table)) if name == "index_in" else getattr(pa.compute, name))})())
+    found = lbl._sums_of(words, np.arange(len(words)), np.array([0, len(words)]), counts, products, common)
+    assert found["n_tokens"].tolist() == [len(words) + 1] and max(tables) <= lbl.SINGLE
+
+
 def test_scoring_without_training_texts(edges):
     got = lbl.score(edges, edges.limit(0)).collect()
     assert len(got) == len(EDGES) and all(r["n_known"] == 0 and r["train_tokens"] == 0 for r in got)
