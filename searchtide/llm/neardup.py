@@ -193,8 +193,11 @@ def plan(nodes: DataFrame, distance: int = DISTANCE) -> list[tuple[int, list[int
     return best[1]
 
 
-def _links(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int) -> DataFrame:
-    """Pairs of nodes of different groups within the distance, as their groups."""
+def _links(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int, leaders: int = 0) -> DataFrame:
+    """Pairs of nodes of different groups within the distance, as their groups ``u > v``; a pair may come several times.
+
+    With ``leaders``, each partition value offers only so many of its nodes, drawn by a hash; ``size`` is the number of all it has.
+    """
     def spread(flipped: bool, names: tuple[str, str]) -> DataFrame:
         items = [F.struct(F.lit(i).alias("part"), F.col("bits").bitwiseAND(F.lit(mask)).bitwiseXOR(F.lit(flip)).alias("value"))
                  for i, (mask, flips) in enumerate(partitions) for flip in (flips if flipped else [0])]
@@ -202,10 +205,40 @@ def _links(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance:
         return at.select("at.*", F.col("bits").alias(names[0]), F.col("root").alias(names[1]))
 
     probe, data = spread(True, ("b1", "r1")), spread(False, ("b2", "r2"))
+    # a node asks only where there are nodes of another group: the inside of a group is not gone through
+    sizes = data.groupBy("part", "value").agg(F.min("r2").alias("low"), F.max("r2").alias("high"), F.count("*").alias("size"))
+    probe = probe.join(sizes, ["part", "value"]).where((F.col("low") != F.col("r1")) | (F.col("high") != F.col("r1")))
+    if leaders:
+        drawn = Window.partitionBy("part", "value").orderBy(F.xxhash64("b2", F.lit(leaders)), "b2")
+        data = data.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= leaders)
     near = F.bit_count(F.col("b1").bitwiseXOR(F.col("b2"))) <= distance
+    once = F.lit(True) if leaders else F.col("b1") < F.col("b2")
     found = probe.alias("p").join(data.alias("d"), (F.col("p.part") == F.col("d.part")) & (F.col("p.value") == F.col("d.value"))
-                                  & (F.col("r1") != F.col("r2")) & (F.col("b1") < F.col("b2")) & near)
-    return found.select(F.greatest("r1", "r2").alias("u"), F.least("r1", "r2").alias("v")).distinct()
+                                  & (F.col("r1") != F.col("r2")) & once & near)
+    return found.select(F.greatest("r1", "r2").alias("u"), F.least("r1", "r2").alias("v"), "size")
+
+
+#: leaders of each partition value in the first round, four times as many each round, at most so many
+FIRST_DRAWN, MOST_DRAWN = 4, 64
+
+
+def _joined(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int) -> DataFrame:
+    """Nodes with groups joined along all links.
+
+    All pairs of a dense group would grow with the square of its size. So nodes are first linked with a few leaders of each partition
+    value, and groups joined by that, until leaders find so few links that those of all pairs are not expected to outnumber the nodes.
+    Then all pairs of nodes that are still in different groups are looked at, so that no link is lost whatever was drawn.
+    """
+    total, leaders = nodes.count(), FIRST_DRAWN
+    while True:
+        found = staged(_links(nodes, partitions, distance, leaders), "links")
+        # the pairs if all nodes found what the leaders did; each would be found from both its sides
+        expected = (found.agg(F.sum(F.greatest("size", F.lit(leaders)) / F.lit(leaders))).first()[0] or 0) / 2
+        nodes = staged(_rooted(nodes, components(found.select("u", "v"))), "nodes")
+        if expected <= total:
+            break
+        leaders = min(4 * leaders, MOST_DRAWN)
+    return staged(_rooted(nodes, components(_links(nodes, partitions, distance).select("u", "v"))), "nodes")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -240,15 +273,14 @@ def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
 def groups(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``bits`` and ``component_id`` (smallest id of the group) of each distinct fingerprint of (doc_id, bits).
 
-    Nodes one bit apart are linked first. The probe then only returns pairs of different
-    groups, so that a dense cluster of near copies does not return all its pairs.
+    Nodes one bit apart are linked first, then nodes and leaders (:func:`_joined`). The probe of all pairs then only
+    returns pairs of different groups, so that a dense cluster of near copies does not return all its pairs.
     """
     nodes = prints.groupBy("bits").agg(F.min("doc_id").alias("least"))
     nodes = staged(nodes.select("bits", "least", F.col("bits").alias("root")), "nodes")
     halves = [(_mask(range(32)), [0]), (_mask(range(32, 64)), [0])]
-    nodes = staged(_rooted(nodes, components(_links(nodes, halves, 1))), "nodes")
-    nodes = _rooted(nodes, components(_links(nodes, plan(nodes, distance), distance)))
-    nodes = staged(nodes, "nodes")
+    nodes = staged(_rooted(nodes, components(_links(nodes, halves, 1).select("u", "v"))), "nodes")
+    nodes = _joined(nodes, plan(nodes, distance), distance)
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     return nodes.join(least, "root").select("bits", "component_id")
 

@@ -84,6 +84,26 @@ def test_links_of_dense_clusters(ready, seed):
     assert all(got[neardup._signed(p)] == least[group[p]] for p in near)
 
 
+def test_links_found_grow_with_the_nodes(ready, monkeypatch):
+    """All 400 nodes of a cluster are linked to each other; only a few of these links are listed, and two nodes beside it are still found."""
+    rng = np.random.default_rng(5)
+    near = sorted({sum(1 << int(b) for b in rng.choice(64, 3, replace=False)) for _ in range(400)})
+    far = [near[0] ^ (0b1111111 << 50), near[0] ^ (0b1111111 << 50) ^ (0b1111111 << 20)]
+    plain, listed = neardup._links, []
+
+    def counted(*args):
+        found = plain(*args)
+        listed.append(found.count())
+        return found
+
+    monkeypatch.setattr(neardup, "_links", counted)
+    rows = [(i, neardup._signed(p)) for i, p in enumerate([*near, *far])]
+    got = {r["bits"]: r["component_id"] for r in neardup.groups(ready.createDataFrame(rows, "doc_id long, bits long"), 7).collect()}
+    assert {got[b] for _, b in rows} == {0}
+    # no two nodes are within one bit, and all pairs would be 200 for each node
+    assert sum(listed) < 40 * len(rows)
+
+
 def test_thresholds_cover_the_distance():
     cost, chosen = neardup.allocated(1000, [22, 21, 21], [[10.0, 50.0, 100.0], [9e9, 9e9, 9e9], [10.0, 50.0, 100.0]])
     assert sum(t + 1 for t in chosen) == 5 and chosen[1] == -1 and cost < 1e9
