@@ -19,7 +19,8 @@ _SESSION = ("_session", "_key")
 _LEVELS = (("_slot",), ("_second",), ("event_ts", "_prefix"))
 
 
-def mark_repeats(rows: DataFrame, split_null_sessions: bool = False, counted: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def mark_repeats(rows: DataFrame, split_null_sessions: bool = False, counted: DataFrame | None = None, hot_rows: int = HOT_ROWS,
+                 hot_keys: Sequence[str | None] | None = None) -> DataFrame:
     """Add ``is_repeat_search`` to rows with ``session_key, event_ts, eventid, keyword_norm``.
 
     True where the latest earlier keyword of the session (rows without keyword are passed over)
@@ -32,9 +33,11 @@ def mark_repeats(rows: DataFrame, split_null_sessions: bool = False, counted: Da
     instant and the beginning of the event id, all of which follow from the row alone: each piece is a window of its own, and
     what it lacks is the latest keyword of the pieces before it, carried from the finest level to the coarsest. So no task
     holds more of a session than one instant's events with one beginning, and a retried task cuts as the first one did.
+
+    A caller that has counted already names the large sessions in ``hot_keys``; if there are none, the rows are gone through once.
     """
     alone = F.col("session_key").isNull()
-    marked = _marked(rows.where(~alone) if split_null_sessions else rows, counted, hot_rows)
+    marked = _marked(rows.where(~alone) if split_null_sessions else rows, counted, hot_rows, hot_keys)
     if split_null_sessions:
         marked = marked.unionByName(rows.where(alone).withColumn("is_repeat_search", F.lit(None).cast("boolean")))
     return marked
@@ -46,13 +49,17 @@ def _keyed(rows: DataFrame) -> DataFrame:
         "_key", F.concat(F.when(F.col("session_key").isNull(), "-").otherwise("+"), F.coalesce("session_key", F.lit(""))))
 
 
-def _marked(rows: DataFrame, counted: DataFrame | None, hot_rows: int) -> DataFrame:
-    sizes = _keyed((rows if counted is None else counted).select("session_key")).groupBy(*_SESSION).count()
-    hot = F.broadcast(sizes.where(F.col("count") > hot_rows).select(*_SESSION))
+def _marked(rows: DataFrame, counted: DataFrame | None, hot_rows: int, hot_keys: Sequence[str | None] | None) -> DataFrame:
     keyed = _keyed(rows)
-    usual = keyed.join(hot, list(_SESSION), "left_anti")
-    usual = usual.withColumn("_before", _latest_before(_SESSION, ("event_ts", "eventid")))
-    marked = usual.unionByName(_cut(keyed.join(hot, list(_SESSION))))
+    if hot_keys is None:
+        sizes = _keyed((rows if counted is None else counted).select("session_key")).groupBy(*_SESSION).count()
+        hot = sizes.where(F.col("count") > hot_rows).select(*_SESSION)
+    else:
+        hot = _keyed(rows.sparkSession.createDataFrame([(k,) for k in hot_keys], "session_key string")).select(*_SESSION)
+    usual = keyed if hot_keys is not None and not hot_keys else keyed.join(F.broadcast(hot), list(_SESSION), "left_anti")
+    marked = usual.withColumn("_before", _latest_before(_SESSION, ("event_ts", "eventid")))
+    if hot_keys is None or hot_keys:
+        marked = marked.unionByName(_cut(keyed.join(F.broadcast(hot), list(_SESSION))))
     return marked.withColumn("is_repeat_search", F.col("keyword_norm") == F.col("_before")).select(*rows.columns, "is_repeat_search")
 
 

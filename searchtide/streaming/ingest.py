@@ -38,6 +38,8 @@ _TAIL = T.StructType([
     T.StructField("session", T.StringType()), T.StructField("last", _POINT), T.StructField("word", T.StringType()),
     T.StructField("days", T.ArrayType(T.StringType())), T.StructField("batch", T.LongType()),
 ])
+#: columns by which the flag of a row is found and its row is found again
+_FLAGGED = ("search_session_id", "event_ts", "event_id", "keyword_norm", "is_repeat_search", *PARTITIONS)
 #: day of the tail of events without a session, which form one session over all days
 _NO_DAY = "none"
 
@@ -178,11 +180,11 @@ class _Batch:
         touched = fresh.groupBy(session.alias("session")).agg(
             F.min(_place()).alias("first"), F.max(_place()).alias("new_last"),
             F.max(F.when(F.col("keyword_norm").isNotNull(), F.struct("event_ts", "event_id", "keyword_norm")))["keyword_norm"].alias("new_word"),
-            F.collect_set("dt").alias("new_days"), F.first(_tail_day(session, F.col("event_ts"))).alias("day"))
+            F.collect_set("dt").alias("new_days"), F.first(_tail_day(session, F.col("event_ts"))).alias("day"), F.count(F.lit(1)).alias("rows"))
         removed = gone.groupBy(session.alias("of")).agg(F.lit(True).alias("removed"), F.first(_tail_day(session, F.col("event_ts"))).alias("of_day"))
         touched = touched.join(removed, F.col("session").eqNullSafe(F.col("of")), "full").select(
             F.when(F.col("day").isNull(), F.col("of")).otherwise(F.col("session")).alias("session"), F.coalesce("day", "of_day").alias("day"),
-            "first", "new_last", "new_word", "new_days", F.coalesce("removed", F.lit(False)).alias("removed"))
+            "first", "new_last", "new_word", "new_days", "rows", F.coalesce("removed", F.lit(False)).alias("removed"))
         tails = self._tails(self._days(touched, F.col("day"))).withColumnRenamed("session", "s")
         touched = touched.join(tails, F.col("session").eqNullSafe(F.col("s")), "left").drop("s", "batch")
         alone = F.col("session").isNull() if self.rules.split_null_sessions else F.lit(False)
@@ -193,19 +195,25 @@ class _Batch:
         days = self._days(reopened.select(F.explode("days").alias("d")), F.col("d"))
         keys = reopened.select(F.col("session").alias("s"))
         of_key = session.eqNullSafe(F.col("s"))
-        old = self._curated(days).join(keys, of_key, "left_semi").join(gone_key, is_gone, "left_anti")
-        old = self._written(old.withColumn("old", F.lit(True)), "old")
-        carried = touched.where("not again").select(F.col("session").alias("s"), F.col("word"))
-        flagged_new = self._flags(fresh.withColumn("old", F.lit(False)).join(carried, of_key).drop("s"), F.col("word")).drop("word")
-        together = old.unionByName(fresh.withColumn("old", F.lit(False)).join(keys, of_key, "left_semi"))
-        flagged = self._written(self._flags(together, F.lit(None).cast("string")), "flagged")
-        fresh_rows = flagged_new.unionByName(flagged.where("not old")).drop("old")
+        # what the flag depends on; the other columns of rows that stay are read where their folder is written anew
+        old = self._curated(days).select(*_FLAGGED).join(keys, of_key, "left_semi").join(gone_key, is_gone, "left_anti")
+        old = self._written(old, "old")
+        # all rows of reopened sessions; in others, the tail stands for the rows before
+        tail = touched.where("not again and word is not null").select(
+            F.col("session").alias("search_session_id"), "last.event_ts", "last.event_id", F.col("word").alias("keyword_norm"))
+        together = fresh.withColumn("role", F.lit("new")).unionByName(
+            old.withColumnRenamed("is_repeat_search", "was").withColumn("role", F.lit("old")), allowMissingColumns=True).unionByName(
+            tail.withColumn("role", F.lit("tail")), allowMissingColumns=True)
+        sizes = touched.select("session", "rows").unionByName(old.groupBy(session.alias("session")).agg(F.count(F.lit(1)).alias("rows")))
+        # at most one key per hot_session_rows
+        hot = [r["session"] for r in sizes.groupBy("session").agg(F.sum("rows").alias("rows")).where(F.col("rows") >= self.rules.hot_session_rows).collect()]
+        flagged = self._written(self._flags(together, hot).where("role != 'tail'"), "flagged")
+        fresh_rows = flagged.where("role = 'new'")
 
         # folders with a row that goes or changes are written anew, all others are added to
-        now = F.col("now").alias("is_now")
-        new_flags = flagged.where("old").select(F.col("event_id").alias("f_id"), F.col("dt").alias("f_dt"), F.col("is_repeat_search").alias("now"))
-        changed = old.join(new_flags, F.col("event_id").eqNullSafe(F.col("f_id")) & (F.col("dt") == F.col("f_dt"))).where(
-            ~F.col("is_repeat_search").eqNullSafe(F.col("now"))).select(*PARTITIONS, F.col("event_id").alias("f_id"), F.col("dt").alias("f_dt"), now, F.lit(True).alias("flagged"))
+        now = F.col("is_repeat_search").alias("is_now")
+        changed = flagged.where(F.col("role") == "old").where(~F.col("was").eqNullSafe(F.col("is_repeat_search"))).select(
+            *PARTITIONS, F.col("event_id").alias("f_id"), F.col("dt").alias("f_dt"), now, F.lit(True).alias("flagged"))
         changed = self._written(changed, "changed")
         folders_changed = changed.select(*PARTITIONS).unionByName(gone.select(*PARTITIONS)).distinct()
         # one value per day and genre
@@ -218,16 +226,10 @@ class _Batch:
         self._take_rows(rewritten, changes)
         self._write_tails(touched, flagged, changes)
 
-    def _flags(self, rows: DataFrame, before: Column) -> DataFrame:
-        """The repeat flag of rows that are all of their session, or all after ``before``, its latest keyword so far."""
+    def _flags(self, rows: DataFrame, hot: list[str | None]) -> DataFrame:
+        """The repeat flag of rows that are all of their session, or all after its tail, which is among them."""
         named = rows.drop("is_repeat_search").withColumnsRenamed({"search_session_id": "session_key", "event_id": "eventid"})
-        first = named.withColumn("_given", before)
-        marked = mark_repeats(first, self.rules.split_null_sessions, hot_rows=self.rules.hot_session_rows)
-        # a flag is missing where the row has no keyword or none comes before; then the given one does
-        flag = F.coalesce("is_repeat_search", F.col("keyword_norm") == F.col("_given"))
-        if self.rules.split_null_sessions:
-            flag = F.when(F.col("session_key").isNotNull(), flag)
-        marked = marked.withColumn("is_repeat_search", flag).drop("_given")
+        marked = mark_repeats(named, self.rules.split_null_sessions, hot_keys=hot)
         return marked.withColumnsRenamed({"session_key": "search_session_id", "eventid": "event_id"}).select(*rows.columns)
 
     def _take_rows(self, rewritten: set[str], changes: dict) -> None:

@@ -249,6 +249,24 @@ def test_ingest_of_random_arrivals_equals_batch(spark, tmp_path, monkeypatch, sp
         assert same(read_curated(spark, out), curated(raw_table(spark, *seen), rules=rules)), number
 
 
+def test_flags_of_counted_sessions_take_one_pass(spark):
+    """Who has counted the sessions goes through the rows once, and large sessions without a key are cut as well."""
+    from searchtide.operators.repeats import mark_repeats
+
+    draw = random.Random(2)
+    at = datetime(2022, 6, 1)
+    rows = spark.createDataFrame(
+        [(draw.choice(["a", "b", None, ""]), at + timedelta(seconds=draw.randrange(9000)), str(i), draw.choice(["x", "y", "", None])) for i in range(300)],
+        "session_key string, event_ts timestamp, eventid string, keyword_norm string")
+    expected = mark_repeats(rows)
+    counted = mark_repeats(rows, hot_keys=[])
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Join" not in plan and "Aggregate" not in plan
+    flags = {r["eventid"]: r["is_repeat_search"] for r in expected.collect()}
+    for got in (counted, mark_repeats(rows, hot_keys=["a", None])):
+        assert {r["eventid"]: r["is_repeat_search"] for r in got.collect()} == flags
+
+
 def test_a_batch_writes_only_where_its_sessions_are(spark, tmp_path):
     root, out = str(tmp_path / "landing"), str(tmp_path / "out")
 
