@@ -24,10 +24,10 @@ def keep_first_event(events: DataFrame, keep_null_ids: bool = True) -> DataFrame
     """
     if not keep_null_ids:
         events = events.where(F.col("eventid").isNotNull())
-    earliest = Window.partitionBy("eventid").orderBy("event_ts", "dt", "_fingerprint")
-    return (
-        events.withColumn("_fingerprint", fingerprint(events))
-        .withColumn("_copy", F.row_number().over(earliest))
-        .where(F.col("_copy") == 1)
-        .drop("_copy", "_fingerprint")
-    )
+    return earliest(events.withColumn("_fingerprint", fingerprint(events)), "eventid", "_fingerprint").drop("_fingerprint")
+
+
+def earliest(events: DataFrame, key: str, mark: str) -> DataFrame:
+    """The earliest row of each key; of several of one time and day, that with the least mark."""
+    first = Window.partitionBy(key).orderBy("event_ts", "dt", mark)
+    return events.withColumn("_copy", F.row_number().over(first)).where(F.col("_copy") == 1).drop("_copy")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from datetime import date
 from functools import reduce
 
@@ -26,7 +26,7 @@ from searchtide.registry.settings import (
 )
 from searchtide.schemas import RAW
 from searchtide.session import require_settings, shared_folder
-from searchtide.sources import lut_store, quality_results
+from searchtide.sources import folders, lut_store, quality_results
 from searchtide.sources.curated import commit_curated, partition, read_curated, write_curated
 from searchtide.sources.raw import parse_since, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES, raw_events, table
@@ -639,11 +639,23 @@ def _undated(e: Column) -> Column:
     return e % 250 == 7
 
 
-def _arrive(rows: DataFrame, root: str) -> None:
-    """Raw rows as files below ``root``: by day, but some beside the day folders."""
-    stray = _undated(F.col("eventid").cast("long"))
-    write_raw(rows.where(~stray), f"{root}/days")
-    rows.where(stray).drop("dt").write.parquet(f"{root}/stray")
+def _arrivals(rows: DataFrame, base: str) -> Iterator[str]:
+    """The folder ``landing`` after each ``arrival``, a number from 0 to 9 in the rows: files by day, but some beside the day folders.
+
+    All are written in one pass, aside, and arrive by a rename.
+    """
+    spark = rows.sparkSession
+    place = F.when(_undated(F.col("eventid").cast("long")), "stray").otherwise(F.col("dt"))
+    write_raw(rows.withColumn("dt", F.concat("arrival", F.lit("-"), place)).drop("arrival"), f"{base}/staged")
+    staged = [name for name in folders.subfolders(spark, f"{base}/staged") if "-" in name]
+    for number in sorted({name[0] for name in staged}):
+        root = f"{base}/landing/{number}"
+        folders.make(spark, f"{root}/days")
+        for name in staged:
+            if name[0] == number:
+                place = name[2:]
+                folders.rename(spark, f"{base}/staged/{name}", f"{root}/{place}" if place == "stray" else f"{root}/days/{place}")
+        yield f"{base}/landing"
 
 
 @_query
@@ -667,10 +679,13 @@ def _streamed(spark: SparkSession, folder: str, name: str) -> str:
     rows = raw_events(spark, folder)
     e = F.col("eventid").cast("long")
     later = F.date_format(F.to_date("dt", "yyyyMMdd") + F.expr("interval 10 days"), "yyyyMMdd")
-    far = rows.where((e % 70 == 3) & ~_undated(e)).withColumn("dt", later)
-    for number, arrival in enumerate([rows.where(e % 3 == 2).unionByName(far), rows.where(e % 3 == 0), rows.where(e % 3 == 1)]):
-        _arrive(arrival, f"{base}/landing/{number}")
-        ingest(raw_stream(spark, f"{base}/landing"), f"{base}/curated", f"{base}/progress", rules=TEST_RULES)
+    own = F.struct(((e + 1) % 3).alias("arrival"), "dt")
+    copy = F.struct(F.lit(0).cast("long").alias("arrival"), later.alias("dt"))
+    far = (e % 70 == 3) & ~_undated(e)
+    rows = rows.withColumn("at", F.explode(F.when(far, F.array(own, copy)).otherwise(F.array(own)))).withColumns(
+        {"arrival": F.col("at.arrival"), "dt": F.col("at.dt")}).drop("at")
+    for landing in _arrivals(rows, base):
+        ingest(raw_stream(spark, landing), f"{base}/curated", f"{base}/progress", rules=TEST_RULES)
     return f"{base}/curated"
 
 
@@ -688,9 +703,8 @@ def stream_dedup(spark, folder):
     base = _scratch(spark, "stream")
     rows, e = raw_events(spark, folder), F.col("eventid").cast("long")
     early = (F.col("dt") <= ARRIVED_UNTIL) & (e % 3 != 0)
-    for number, arrival in enumerate([rows.where(early), rows.where(~early)]):
-        _arrive(arrival, f"{base}/landing/{number}")
-        dedup.append_once(raw_stream(spark, f"{base}/landing"), f"{base}/events", f"{base}/progress")
+    for landing in _arrivals(rows.withColumn("arrival", F.when(early, 0).otherwise(1)), base):
+        dedup.append_once(raw_stream(spark, landing), f"{base}/events", f"{base}/progress")
     kept = dedup.rows(spark, f"{base}/events").withColumn("reason", F.lit(None).cast("string"))
     every = kept.unionByName(dedup.side_rows(spark, f"{base}/events"))
     return _portable(every.select("eventid", "event_ts", "reason"))

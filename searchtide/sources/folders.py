@@ -72,6 +72,12 @@ def _local(path: str) -> str:
     return unquote(urlparse(path).path) if path.startswith("file:") else path
 
 
+def make(spark: SparkSession, path: str) -> None:
+    """The folder and those above it, where they are missing."""
+    files, location = _open(spark, path)
+    files.mkdirs(location)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     files, location = _open(spark, old)
     if not files.rename(location, spark.sparkContext._jvm.org.apache.hadoop.fs.Path(new)):

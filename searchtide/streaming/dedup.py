@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from searchtide.operators.dedup import fingerprint, keep_first_event
+from searchtide.operators.dedup import earliest, fingerprint
 from searchtide.plans.curate import usable_events
 from searchtide.schemas import RAW
 from searchtide.sources import folders, versions
@@ -44,7 +44,8 @@ def append_once(stream: DataFrame, root: str, checkpoint: str, delay: str = "2 d
     Copies are found over any distance in time, by the ledger of ids; of copies in one batch the earliest stays. Nothing is lost
     silently: a row without a day folder goes to the side table as ``undated``, and one whose event is not known and more than
     ``delay`` older than the newest event of the batches before as ``late``. Rows without a usable time are dropped, as in the
-    batch job. Rows, side table, ledger and clock change in one step; a batch that runs twice is published once.
+    batch job. Rows, side table, ledger and clock change in one step; a batch that runs twice is published once. A batch is read more
+    than once, its ids first, so the stream must give the same rows each time, as files do.
     """
     def process(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
@@ -67,32 +68,33 @@ def _batch(spark: SparkSession, root: str, base: versions.Version, work: str, ba
     commit = versions.new_commit(root)
     own = commit.rsplit("/", 1)[1]
     dated = F.coalesce(F.col("dt").rlike(r"^\d{8}$"), F.lit(False))
-    timed = usable_events(batch)
-    timed.withColumn("dated", dated).write.parquet(f"{work}/timed")
-    timed = spark.read.schema(timed.schema.add("dated", "boolean")).parquet(f"{work}/timed")
-    first = keep_first_event(timed.where("dated").drop("dated"))
-    first = first.withColumn("fingerprint", fingerprint(first)).withColumn("id_key", ledger.id_key(F.col("eventid")))
-    first.write.parquet(f"{work}/first")
-    first = spark.read.schema(first.schema).parquet(f"{work}/first")
-    seen, _ = ledger.known(spark, root, base, first, work)
-    new = first.join(seen.select("id_key"), "id_key", "left_anti")
-    clock = versions.read(spark, root, T.StructType([T.StructField("newest", T.TimestampType())]), base, [CLOCK]).agg(F.max("newest")).first()[0]
-    late = F.lit(False) if clock is None else F.col("event_ts") < F.lit(clock) - F.expr(f"interval {delay}")
-    new.withColumn("late", late).write.parquet(f"{work}/new")
-    new = spark.read.schema(new.schema.add("late", "boolean")).parquet(f"{work}/new")
-
-    kept = new.where("not late")
-    kept.select(*_EVENT.names).write.parquet(f"{commit}/{ROWS}")
-    aside = timed.where("not dated").withColumn("reason", F.lit("undated")).unionByName(
-        new.where("late").withColumn("reason", F.lit("late")), allowMissingColumns=True)
-    aside.select(*_SIDE.names).write.parquet(f"{commit}/{SIDE}")
-    added = {ROWS: (f"{own}/{ROWS}",), SIDE: (f"{own}/{SIDE}",)}
+    # by the ids alone, before any row is moved; more ids than those of usable events do no harm
+    seen, _ = ledger.known(spark, root, base, batch.where(dated).select(ledger.id_key(F.col("eventid")).alias("id_key")), work)
+    clock = versions.read(spark, root, T.StructType([T.StructField("newest", T.TimestampType())]), base, [CLOCK]).agg(
+        F.unix_micros(F.max("newest"))).first()[0]
+    late = F.lit(False) if clock is None else F.col("event_ts") < F.timestamp_micros(F.lit(clock)) - F.expr(f"interval {delay}")
+
+    timed = usable_events(batch.where(dated))
+    arrived = Observation()
+    marked = timed.withColumn("fingerprint", fingerprint(timed)).withColumn("id_key", ledger.id_key(F.col("eventid"))).observe(
+        arrived, F.unix_micros(F.max("event_ts")).alias("newest"))
+    # rows move once: copies go and known events are left out where the rows of an id have been gathered
+    new = earliest(marked, "id_key", "fingerprint").join(seen.select("id_key"), "id_key", "left_anti").withColumn("reason", F.when(late, "late"))
+    undated = usable_events(batch.where(~dated)).withColumn("reason", F.lit("undated"))
+    kind = F.when(F.col("reason").isNull(), ROWS.removeprefix("kind=")).otherwise(SIDE.removeprefix("kind="))
+    new.select(*_SIDE.names).unionByName(undated.select(*_SIDE.names)).withColumn("kind", kind).write.partitionBy("kind").parquet(commit)
+    added = versions.written_parts(spark, commit, 1)
+
+    stored = spark.read.schema(_SIDE).parquet(commit).where("reason is null or reason = 'late'").select(*_EVENT.names)
     # late events are known from now on, so that their copies are not set aside again
-    added |= ledger.add(new.select(*ledger.ENTRY.names), commit)
+    stored = stored.withColumn("fingerprint", fingerprint(stored)).withColumn("id_key", ledger.id_key(F.col("eventid")))
+    added |= ledger.add(stored.select(*ledger.ENTRY.names), commit)
     changes = {part: (*base.parts.get(part, ()), *where) for part, where in added.items()}
     changes |= ledger.merged(spark, root, versions.Version(base.number, "", (), {**base.parts, **changes}), versions.new_commit(root))
-    newest = timed.where("dated").agg(F.max("event_ts").alias("newest"))
-    newest.write.parquet(f"{commit}/{CLOCK}")
+    # the observation of a plan that turned out empty is never answered
+    answered = any(part.startswith(ledger.IDS) for part in added)
+    newest = arrived.get["newest"] if answered else timed.agg(F.unix_micros(F.max("event_ts"))).first()[0]
+    spark.range(1).select(F.timestamp_micros(F.lit(newest).cast("long")).alias("newest")).write.parquet(f"{commit}/{CLOCK}")
     changes[CLOCK] = (*base.parts.get(CLOCK, ()), f"{own}/{CLOCK}")
     return changes
 

@@ -11,6 +11,9 @@ id the least one holds; it only ever gets earlier.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +28,8 @@ _BLOCK_BITS = 32_768
 _HASHES = 4
 #: ids that a block is made for: 16 bits each, one wrong answer in 400
 _BLOCK_IDS = 2_048
+#: filters that are sent to every task as a whole; larger ones are joined by shuffles
+_SENT_BYTES = 64 * 1024**2
 
 ENTRY = T.StructType([
     T.StructField("id_key", T.StringType()), T.StructField("event_ts", T.TimestampType()),
@@ -50,11 +55,11 @@ def _block(blocks: Column) -> Column:
     return F.pmod(F.xxhash64("id_key", F.lit("block")), blocks)
 
 
-def _positions() -> Column:
+def _positions() -> list[Column]:
     first, step = F.xxhash64("id_key", F.lit("a")), F.xxhash64("id_key", F.lit("b"))
     # in 31 bits each, so that nothing overflows
     first, step = (F.pmod(c, F.lit(2**31)) for c in (first, step))
-    return F.array(*[F.pmod(first + F.lit(k) * step, F.lit(_BLOCK_BITS)) for k in range(_HASHES)])
+    return [F.pmod(first + F.lit(k) * step, F.lit(_BLOCK_BITS)) for k in range(_HASHES)]
 
 
 def _bit(bits: Column, position: Column) -> Column:
@@ -66,11 +71,13 @@ def add(entries: DataFrame, commit: str) -> dict[str, tuple[str, ...]]:
     """Write entries and their filters into a commit. Returns the folders to add to the table."""
     spark = entries.sparkSession
     entries.select(*ENTRY.names, _bucket().alias("bucket")).hint("rebalance", F.col("bucket")).write.partitionBy("bucket").parquet(f"{commit}/{IDS}")
-    written = spark.read.schema(ENTRY).parquet(f"{commit}/{IDS}")
-    most = written.groupBy(_bucket().alias("bucket")).count().agg(F.max("count")).first()[0] or 0
+    # the bucket comes from the folder
+    written = spark.read.schema(T.StructType([*ENTRY.fields, T.StructField("bucket", T.LongType())])).parquet(f"{commit}/{IDS}")
+    most = written.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0
     blocks = max(1, -(-most // _BLOCK_IDS))
-    marked = written.select("id_key").distinct().select(
-        _bucket().alias("bucket"), F.lit(blocks).cast("long").alias("blocks"), _block(F.lit(blocks)).alias("block"), F.explode(_positions()).alias("position"))
+    # an id that is there twice sets the same bits twice
+    marked = written.select(
+        "bucket", F.lit(blocks).cast("long").alias("blocks"), _block(F.lit(blocks)).alias("block"), F.explode(F.array(*_positions())).alias("position"))
     filters = marked.groupBy("bucket", "blocks", "block").agg(F.bitmap_construct_agg("position").alias("bits"))
     filters.write.parquet(f"{commit}/{FILTERS}")
     own = commit.rsplit("/", 1)[1]
@@ -82,23 +89,27 @@ def candidates(spark: SparkSession, root: str, version: versions.Version, keys:
     """``id_key, commit, bucket`` for the keys that some file of the ledger may know, by its filter alone."""
     filters = versions.read(spark, root, _FILTER, version, [FILTERS])
     # a batch writes filters of one size; there are at most MOST_FILES of them
-    sizes = [F.struct(F.lit(r["commit"]).alias("commit"), F.lit(r["blocks"]).alias("blocks")) for r in filters.select("commit", "blocks").distinct().collect()]
+    written = filters.select("commit", "blocks").distinct().collect()
+    sizes = [F.struct(F.lit(r["commit"]).alias("commit"), F.lit(r["blocks"]).alias("blocks")) for r in written]
     asked = keys.select("id_key", F.explode(F.array(*sizes)).alias("file")).select(
-        "id_key", "file.commit", _bucket().alias("bucket"), _block(F.col("file.blocks")).alias("block"), _positions().alias("positions"))
-    near = asked.join(filters.drop("blocks"), ["commit", "bucket", "block"])
-    return near.where(F.forall("positions", lambda p: _bit(F.col("bits"), p))).select("id_key", "commit", "bucket")
+        "id_key", "file.commit", _bucket().alias("bucket"), _block(F.col("file.blocks")).alias("block"))
+    # the planner knows no sizes but those of files, by which it may take the keys for the smaller side
+    small = sum(r["blocks"] for r in written) * BUCKETS * _BLOCK_BITS // 8 <= _SENT_BYTES
+    near = asked.join(filters.drop("blocks").hint("broadcast" if small else "merge"), ["commit", "bucket", "block"])
+    # one condition after the other is compiled; a function over an array of positions is not
+    return near.where(reduce(and_, [_bit(F.col("bits"), p) for p in _positions()])).select("id_key", "commit", "bucket")
 
 
 def known(spark: SparkSession, root: str, version: versions.Version, keys: DataFrame, work: str) -> tuple[DataFrame, list[str]]:
     """The entries that hold for those of the keys that are known, and the folders that were opened to find them."""
     if FILTERS not in version.parts:
-        return spark.createDataFrame([], ENTRY), []
+        return spark.createDataFrame([], ENTRY).limit(0), []
     candidates(spark, root, version, keys).write.parquet(f"{work}/candidates")
     found = spark.read.parquet(f"{work}/candidates")
     # at most BUCKETS x MOST_FILES folders
     opened = sorted(f"{root}/data/commit={r['commit']}/{IDS}/bucket={r['bucket']}" for r in found.select("commit", "bucket").distinct().collect())
     if not opened:
-        return spark.createDataFrame([], ENTRY), []
+        return spark.createDataFrame([], ENTRY).limit(0), []
     entries = spark.read.schema(ENTRY).parquet(*opened).join(found.select("id_key").distinct(), "id_key")
     return least(entries), opened
 

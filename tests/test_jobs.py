@@ -19,13 +19,14 @@ from searchtide.plans.curation_job import run_curation, run_new_files
 from searchtide.plans.lut_refresh import OfflineClassifier, RefreshLimits, refresh_lut, replies
 from searchtide.schemas import CURATED, RAW
 from searchtide.session import shuffle_tasks, sized
-from searchtide.sources import lut_store, quality_results, versions
+from searchtide.sources import folders, lut_store, quality_results, versions
 from searchtide.sources.curated import commit_curated, newest_day, partition, read_curated, remove_stale_partitions, write_curated
 from searchtide.sources.raw import parse_since, raw_bytes, read_raw, write_raw
 from searchtide.sources.testtables import TEST_RULES
 from searchtide.streaming import dedup, ingest as stream_ingest, ledger
 from searchtide.streaming.dedup import append_to, first_events
 from searchtide.streaming.ingest import ingest, raw_stream, side_counts
+from tests.conftest import SMALL
 
 OUT = [c for c in CURATED.names if c != "_pipeline_run_id"]
 
@@ -361,6 +362,72 @@ def test_stream_dedup_over_any_distance(spark, tmp_path):
     assert aside == [("late", "3"), ("undated", "stray 0"), ("undated", "stray 1"), ("undated", "stray 2")]
 
 
+def test_stream_dedup_moves_rows_once(spark, tmp_path, monkeypatch):
+    """A batch keeps no copies of its rows aside, whatever is in it."""
+    root, out, kept_aside = str(tmp_path / "landing"), str(tmp_path / "events"), []
+    remove = folders.remove
+
+    def watched(session, path):
+        if "/work/" in path:
+            kept_aside.append(folders.subfolders(session, path))
+        remove(session, path)
+
+    monkeypatch.setattr(folders, "remove", watched)
+    arrivals = [
+        [raw_row("1", dt="20220603"), raw_row("1"), raw_row(None, "2022-06-01 06:00:00.000"), raw_row(None)],
+        # only what is known; only times that cannot be read; nothing but a file outside the day folders
+        [raw_row("1"), raw_row(None), raw_row("1", "2022-06-30 05:00:00.000", dt="20220630")],
+        [raw_row("bad", "?")],
+        [],
+        # the known copy has moved the clock
+        [raw_row("2"), raw_row("3", "2022-06-29 05:00:00.000", dt="20220629")],
+    ]
+    for number, rows in enumerate(arrivals):
+        if rows:
+            write_raw(raw_table(spark, *rows), f"{root}/{number}")
+        else:
+            raw_table(spark, raw_row("stray")).drop("dt").write.parquet(f"{root}/stray")
+        dedup.append_once(raw_stream(spark, root), out, str(tmp_path / "progress"))
+    rows = sorted((r["eventid"] or "", r["dt"], r["event_ts"].hour) for r in dedup.rows(spark, out).collect())
+    assert rows == [("", "20220601", 5), ("1", "20220601", 5), ("3", "20220629", 5)]
+    assert sorted((r["reason"], r["eventid"]) for r in dedup.side_rows(spark, out).collect()) == [("late", "2"), ("undated", "stray")]
+    assert len(kept_aside) == len(arrivals) and {name for names in kept_aside for name in names} <= {"candidates"}
+
+
+def test_arrivals_are_written_in_one_pass(spark, tmp_path, monkeypatch):
+    from searchtide.registry import queries
+
+    passes = []
+    monkeypatch.setattr(queries, "write_raw", lambda rows, root: (passes.append(root), write_raw(rows, root)))
+    monkeypatch.setattr(queries, "_scratch", lambda session, name: str(tmp_path / "base"))
+    queries.stream_dedup(spark, SMALL)
+    assert len(passes) == 1
+    landed = read_raw(spark, str(tmp_path / "base" / "landing"))
+    expected = queries.raw_events(spark, SMALL)
+    stray = "cast(eventid as bigint) % 250 = 7"
+    expected = expected.withColumn("dt", F.expr(f"if({stray}, '', dt)"))
+    assert landed.exceptAll(expected).isEmpty() and expected.exceptAll(landed).isEmpty()
+
+
+def test_ledger_answers_alike_however_its_filters_travel(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "table")
+    known = spark.createDataFrame([(f"+{i}", datetime(2022, 6, 1), "20220601", 1) for i in range(3000)], ledger.ENTRY)
+    added = ledger.add(known, versions.new_commit(root))
+    version = versions.publish(spark, root, versions.Version(), added)
+    # asked for more than once, as in a batch with copies
+    asked = spark.range(2500, 6000).selectExpr("'+' || id as id_key").crossJoin(spark.range(2)).select("id_key")
+    answers = []
+    for sent in (ledger._SENT_BYTES, 0):
+        monkeypatch.setattr(ledger, "_SENT_BYTES", sent)
+        found = ledger.candidates(spark, root, version, asked)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("strategy=broadcast" in plan) == (sent > 0)
+        answers.append({r["id_key"] for r in found.collect()})
+        entries, _ = ledger.known(spark, root, version, asked, str(tmp_path / f"work{sent}"))
+        assert sorted(r["id_key"] for r in entries.collect()) == sorted(f"+{i}" for i in range(2500, 3000))
+    assert answers[0] == answers[1] and {f"+{i}" for i in range(2500, 3000)} <= answers[0]
+
+
 # --- versions and new files -----------------------------------------------------------------
 
 
