@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from searchtide.llm import mixing, neardup, sanitise, substrings, syncmers, warc
+from searchtide.llm.shared import counted
 from tests.llm.conftest import CLASHING, EDGES, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -583,6 +584,38 @@ def test_files_are_bounded_by_bytes(ready, tmp_path, monkeypatch):
     assert len(list(warc._files(rows, lambda r: 1, lambda k: b"h", lambda r, k: b"r", "\n", 2))) == 3
 
 
+def test_archives_take_less_time_to_compress(ready, tmp_path):
+    """Lower than the default level of the same writer, with the same bytes."""
+    text = prose(5, 60_000)
+    warc._write(ready.createDataFrame([(text,)], "value string").coalesce(1), "\n", f"{tmp_path}/own")
+    ready.createDataFrame([(text,)], "value string").coalesce(1).write.option("compression", "gzip").text(f"{tmp_path}/default")
+    own, default = (next((tmp_path / n).glob("part-*")).read_bytes() for n in ("own", "default"))
+    assert warc.unpacked(own) == warc.unpacked(default) == text.encode() + b"\n"
+    assert len(default) < len(own) < 1.1 * len(default)
+
+
+def test_few_revisits_do_not_move_payloads(ready, tmp_path, monkeypatch):
+    pages = ready.createDataFrame([(i, f"http://h/{i}", f"page {i // 3}") for i in range(30)], "page_id long, url string, html string")
+    warc.write_arc(pages, f"{tmp_path}/arc", records=4)
+
+    def marked(most):
+        monkeypatch.setattr(warc, "counted", lambda rows: counted(rows, most))
+        found = warc._marked(ready, f"{tmp_path}/arc")
+        plan, rows = found._jdf.queryExecution().executedPlan().toString(), found.collect()
+        number = {r["record_id"]: r["page_id"] for r in rows}
+        return "hashpartitioning" in plan, sorted((r["page_id"], r["payload"], number.get(r["refers_to"])) for r in rows)
+
+    # else the small table is sent anyhow
+    before = ready.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    ready.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, many = marked(20), marked(19)
+    finally:
+        ready.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert (few[0], many[0]) == (False, True)
+    assert few[1] == many[1] == [(i, b"page %d" % (i // 3), None if i % 3 == 2 else i // 3 * 3 + 2) for i in range(30)]
+
+
 def test_damaged_archives_are_refused():
     with pytest.raises(ValueError):
         list(warc.parse_arc(b"http://x 0.0.0.0 20240101000000 text/html 3 4 5\nabc\n"))
