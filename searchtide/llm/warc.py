@@ -13,7 +13,8 @@ payload as it is and becomes a ``resource`` of the ARC line's content type. The
 writer; without one it is null, and then the latest date, and the smallest identifier, tell which of equal payloads is the response.
 
 Archives are written by Spark's text writer, a whole file of about ``FILE_BYTES`` a row, and
-gzipped. So they need no local files, files and rows are bounded by bytes, and lost tasks leave nothing behind.
+gzipped. So they need no local files, files and rows are bounded by bytes, and lost tasks leave nothing behind. Which records become revisits is worked out
+from digests and joined to whole files by file and number of the record.
 
 Damage: a line that is no header line and a record that declares more bytes than there are do not end up in the result. :func:`damaged_arc` lists them with
 file, offset and reason; reading goes on at the next header line. :func:`parse_arc` without a list for them raises ``ValueError``.
@@ -38,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from searchtide.llm.shared import counted, new_folder, staged
+from searchtide.llm.shared import BROADCAST_ROWS, new_folder, staged
 
 # The header fields of both ARC versions, the separators and the WARC revisit profile
 ARC_FIELDS = {
@@ -242,26 +243,36 @@ def _archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
+def _records(content: bytes) -> Iterator[dict]:
+    """Whole records of an ARC file, numbered from 0, with WARC identifier, date and payload digest."""
+    for number, (fields, block) in enumerate(parse_arc(unpacked(content), [])):
+        head, payload = split_block(block)
+        page_id, digest = _page_of(head), sha1(payload)
+        yield {"number": number, "page_id": page_id, "record_id": record_id(fields, page_id, digest), "url": fields["URL"], "date": warc_date(fields["Archive-date"]),
+               "type": fields["Content-type"], "head": head, "payload": payload, "payload_digest": digest, "payload_bytes": len(payload)}
+
+
 def read_arc(spark: SparkSession, path: str, narrow: bool = False) -> DataFrame:
-    """Whole records of ARC files with WARC identifier, date and payload digest; ``narrow``: without url, type, header and payload."""
-    wanted = "page_id long, record_id string, date string, payload_digest string, payload_bytes long" if narrow else _ARC_RECORD
+    """Whole records of ARC files with WARC identifier, date and payload digest.
+
+    ``narrow``: without url, type, header and payload, but with the file and the number of the record in it.
+    """
+    wanted = "path string, number long, page_id long, record_id string, date string, payload_digest string, payload_bytes long" if narrow else _ARC_RECORD
     names = [x.split()[0] for x in wanted.split(", ")]
     schema = pa.schema([(n, _ARROW[x.split()[1]]) for n, x in zip(names, wanted.split(", "))])
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content in batch.column("content"):
+            for file, content in zip(batch.column("path"), batch.column("content")):
                 rows = {n: [] for n in names}
-                for fields, block in parse_arc(unpacked(content.as_py()), []):
-                    head, payload = split_block(block)
-                    page_id, digest = _page_of(head), sha1(payload)
-                    row = {"page_id": page_id, "record_id": record_id(fields, page_id, digest), "url": fields["URL"], "date": warc_date(fields["Archive-date"]),
-                           "type": fields["Content-type"], "head": head, "payload": payload, "payload_digest": digest, "payload_bytes": len(payload)}
+                path_of = file.as_py()
+                for row in _records(content.as_py()):
+                    row["path"] = path_of
                     for n in names:
                         rows[n].append(row[n])
                 yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
-    return _archives(spark, path).select("content").mapInArrow(parsed, wanted)
+    return _archives(spark, path).mapInArrow(parsed, wanted)
 
 
 def damaged_arc(spark: SparkSession, path: str) -> DataFrame:
@@ -290,11 +301,8 @@ def _warc_record(kind: str, number: str, date: str, fields: list[tuple[str, str]
     return ("WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in lines) + "\r\n").encode() + block
 
 
-def _marked(spark: SparkSession, arc_path: str) -> DataFrame:
-    """Records of ARC files, with the identifier of the response that a record is to refer to; null if it is not to become a revisit.
-
-    Records with their payloads move only if there are too many revisits to send them to every executor.
-    """
+def _revisits(spark: SparkSession, arc_path: str) -> DataFrame:
+    """``path`` and ``number`` of the records of ARC files that are to become revisits, and the identifier of the response they refer to."""
     narrow = staged(read_arc(spark, arc_path, narrow=True), "digests")
     # the largest number of each payload is its response, without numbers the latest; of equal ones the smallest identifier is referred to
     place = F.struct(F.col("page_id").isNull(), -F.col("page_id"), F.when(F.col("page_id").isNull(), -F.unix_seconds(F.to_timestamp("date"))), F.col("record_id"))
@@ -302,9 +310,14 @@ def _marked(spark: SparkSession, arc_path: str) -> DataFrame:
         F.max("page_id").alias("best"), F.min_by("record_id", place).alias("refers_to"), F.count("*").alias("n"))
     best = best.where("n > 1").drop("n")
     later = narrow.join(best, ["payload_digest", "payload_bytes"]).where("not page_id <=> best or (best is null and record_id <> refers_to)")
-    later = later.select(F.col("record_id").alias("r"), F.col("payload_digest").alias("d"), "refers_to").distinct()
-    later = counted(staged(later, "revisits"))
-    return read_arc(spark, arc_path).join(later, (F.col("record_id") == F.col("r")) & (F.col("payload_digest") == F.col("d")), "left").drop("r", "d")
+    return staged(later.select("path", "number", "refers_to"), "revisits")
+
+
+def _marked(spark: SparkSession, arc_path: str) -> DataFrame:
+    """ARC files, each with its records that are to become revisits. Files move, as they are, only if there are too many revisits to send to every executor."""
+    later = _revisits(spark, arc_path)
+    by_file = later.groupBy("path").agg(F.collect_list(F.struct("number", "refers_to")).alias("revisits"))
+    return _archives(spark, arc_path).join(F.broadcast(by_file) if later.count() <= BROADCAST_ROWS else by_file, "path", "left")
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = RECORDS) -> None:
@@ -318,6 +331,14 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = R
             own = f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
             return _warc_record("warcinfo", own, warc_date(ARCHIVED), [("WARC-Filename", name), ("Content-Type", "application/warc-fields")], b"software: searchtide\r\n")
 
+        def found() -> Iterator[dict]:
+            for batch in batches:
+                for content, revisits in zip(batch.column("content"), batch.column("revisits")):
+                    refers_to = {x["number"]: x["refers_to"] for x in revisits.as_py() or []}
+                    for row in _records(content.as_py()):
+                        row["refers_to"] = refers_to.get(row["number"])
+                        yield row
+
         def record(r: dict, number: int) -> bytes:
             http = bool(r["head"])
             fields = [("WARC-Target-URI", r["url"]), ("WARC-Payload-Digest", f"sha1:{r['payload_digest']}"), (_LENGTH, str(r["payload_bytes"])),
@@ -327,7 +348,7 @@ def convert(spark: SparkSession, arc_path: str, warc_path: str, records: int = R
             fields += [("WARC-Profile", REVISIT_PROFILE), ("WARC-Refers-To", r["refers_to"])]
             return _warc_record("revisit", r["record_id"], r["date"], fields, r["head"])
 
-        yield from _files(_rows(batches), lambda r: len(r["payload"]), head, record, WARC_END, records)
+        yield from _files(found(), lambda r: len(r["payload"]), head, record, WARC_END, records)
 
     _write(_marked(spark, arc_path).mapInArrow(converted, "value string"), WARC_END, warc_path)
 

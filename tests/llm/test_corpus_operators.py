@@ -13,7 +13,6 @@ import xxhash
 from pyspark.sql import functions as F
 
 from searchtide.llm import mixing, neardup, sanitise, substrings, syncmers, warc
-from searchtide.llm.shared import counted
 from tests.llm.conftest import CLASHING, EDGES, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -594,26 +593,31 @@ def test_archives_take_less_time_to_compress(ready, tmp_path):
     assert len(default) < len(own) < 1.1 * len(default)
 
 
-def test_few_revisits_do_not_move_payloads(ready, tmp_path, monkeypatch):
+def test_few_revisits_do_not_move_archives(ready, tmp_path, monkeypatch):
     pages = ready.createDataFrame([(i, f"http://h/{i}", f"page {i // 3}") for i in range(30)], "page_id long, url string, html string")
     warc.write_arc(pages, f"{tmp_path}/arc", records=4)
 
-    def marked(most):
-        monkeypatch.setattr(warc, "counted", lambda rows: counted(rows, most))
-        found = warc._marked(ready, f"{tmp_path}/arc")
-        plan, rows = found._jdf.queryExecution().executedPlan().toString(), found.collect()
+    def converted(most):
+        monkeypatch.setattr(warc, "BROADCAST_ROWS", most)
+        files = warc._marked(ready, f"{tmp_path}/arc")
+        plan, columns = files._jdf.queryExecution().executedPlan().toString(), files.columns
+        warc.convert(ready, f"{tmp_path}/arc", f"{tmp_path}/warc{most}")
+        rows = warc.read_warc(ready, f"{tmp_path}/warc{most}").collect()
         number = {r["record_id"]: r["page_id"] for r in rows}
-        return "hashpartitioning" in plan, sorted((r["page_id"], r["payload"], number.get(r["refers_to"])) for r in rows)
+        # files move as they are, never their records
+        assert columns == ["path", "content", "revisits"]
+        return "SortMergeJoin" in plan, sorted((r["page_id"], r["record_type"], number.get(r["refers_to_record"])) for r in rows)
 
     # else the small table is sent anyhow
     before = ready.conf.get("spark.sql.autoBroadcastJoinThreshold")
     ready.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        few, many = marked(20), marked(19)
+        few, many = converted(20), converted(19)
     finally:
         ready.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert (few[0], many[0]) == (False, True)
-    assert few[1] == many[1] == [(i, b"page %d" % (i // 3), None if i % 3 == 2 else i // 3 * 3 + 2) for i in range(30)]
+    assert sorted((r["page_id"], r["payload"]) for r in warc.read_arc(ready, f"{tmp_path}/arc").collect()) == [(i, b"page %d" % (i // 3)) for i in range(30)]
+    assert few[1] == many[1] == [(i, "response", None) if i % 3 == 2 else (i, "revisit", i // 3 * 3 + 2) for i in range(30)]
 
 
 def test_damaged_archives_are_refused():
