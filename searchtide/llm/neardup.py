@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from searchtide.llm import texts as tx
-from searchtide.llm.shared import staged
+from searchtide.llm.shared import BROADCAST_ROWS, counted, in_sieve, released, shuffled, sieve, staged
 
 SHINGLE_WORDS = 4
 SEED = 42
@@ -193,52 +193,132 @@ def plan(nodes: DataFrame, distance: int = DISTANCE) -> list[tuple[int, list[int
     return best[1]
 
 
-def _links(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int, leaders: int = 0) -> DataFrame:
-    """Pairs of nodes of different groups within the distance, as their groups ``u > v``; a pair may come several times.
+#: leaders of each partition value that its nodes are compared with first, four times as many each round, at most so many
+FIRST_DRAWN, MOST_DRAWN = 4, 64
+#: nodes of a cell that are compared in one task; a larger cell is cut into chunks, and each two of them are a cell
+CELL_NODES = 1 << 19
+#: pairs that are held while they are compared
+_PAIRS = 1 << 20
+
 
-    With ``leaders``, each partition value offers only so many of its nodes, drawn by a hash; ``size`` is the number of all it has.
+def _near(bits: np.ndarray, value: np.ndarray, label: np.ndarray, flips: list[int], distance: int, most: int | None) -> Iterator[tuple]:
+    """Blocks of pairs of places with different labels, within the distance, whose values differ by a flip; and how many places the second's value has.
+
+    Places are in order of their value; of each value only the first ``most`` places are taken as the second. Without ``most``
+    all are, and a pair comes once.
     """
-    def spread(flipped: bool, names: tuple[str, str]) -> DataFrame:
-        items = [F.struct(F.lit(i).alias("part"), F.col("bits").bitwiseAND(F.lit(mask)).bitwiseXOR(F.lit(flip)).alias("value"))
-                 for i, (mask, flips) in enumerate(partitions) for flip in (flips if flipped else [0])]
-        at = nodes.select("bits", "root", F.explode(F.array(*items)).alias("at"))
-        return at.select("at.*", F.col("bits").alias(names[0]), F.col("root").alias(names[1]))
-
-    probe, data = spread(True, ("b1", "r1")), spread(False, ("b2", "r2"))
-    # a node asks only where there are nodes of another group: the inside of a group is not gone through
-    sizes = data.groupBy("part", "value").agg(F.min("r2").alias("low"), F.max("r2").alias("high"), F.count("*").alias("size"))
-    probe = probe.join(sizes, ["part", "value"]).where((F.col("low") != F.col("r1")) | (F.col("high") != F.col("r1")))
-    if leaders:
-        drawn = Window.partitionBy("part", "value").orderBy(F.xxhash64("b2", F.lit(leaders)), "b2")
-        data = data.withColumn("place", F.row_number().over(drawn)).where(F.col("place") <= leaders)
-    near = F.bit_count(F.col("b1").bitwiseXOR(F.col("b2"))) <= distance
-    once = F.lit(True) if leaders else F.col("b1") < F.col("b2")
-    found = probe.alias("p").join(data.alias("d"), (F.col("p.part") == F.col("d.part")) & (F.col("p.value") == F.col("d.value"))
-                                  & (F.col("r1") != F.col("r2")) & once & near)
-    return found.select(F.greatest("r1", "r2").alias("u"), F.least("r1", "r2").alias("v"), "size")
-
-
-#: leaders of each partition value in the first round, four times as many each round, at most so many
-FIRST_DRAWN, MOST_DRAWN = 4, 64
+    begin = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]]))
+    values, size = value[begin], np.diff(np.append(begin, len(value)))
+    low, high = np.minimum.reduceat(label, begin), np.maximum.reduceat(label, begin)
+    own = np.repeat(np.arange(len(begin)), size)
+    for flip in flips:
+        wanted = values ^ np.uint64(flip)
+        to = np.minimum(np.searchsorted(values, wanted), len(values) - 1)
+        asks = values[to] == wanted
+        if most is None:
+            asks &= to <= np.arange(len(to))
+        to = to[own]
+        # a node asks only where there are nodes of another group: the inside of a group is not gone through
+        asked = np.flatnonzero(asks[own] & ((low[to] != label) | (high[to] != label)))
+        to = to[asked]
+        count = size[to] if most is None else np.minimum(size[to], most)
+        total, k = np.cumsum(count), 0
+        while k < len(asked):
+            end = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + _PAIRS, "right")))
+            n = count[k:end]
+            i, place = np.repeat(asked[k:end], n), np.repeat(np.cumsum(n) - n, n)
+            j = np.repeat(begin[to[k:end]], n) + np.arange(len(i)) - place
+            found = (label[i] != label[j]) & (np.bitwise_count(bits[i] ^ bits[j]) <= distance)
+            if most is None:
+                found &= j < i
+            yield i[found], j[found], np.repeat(size[to[k:end]], n)[found]
+            k = end
+
+
+def _hooked(least: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``least`` (for each label the smallest one it is joined with) after the labels ``a`` and ``b`` are joined."""
+    while True:
+        a, b = least[a], least[b]
+        apart = a != b
+        if not apart.any():
+            return least
+        a, b = a[apart], b[apart]
+        np.minimum.at(least, np.maximum(a, b), np.minimum(a, b))
+        while (least[least] != least).any():
+            least = least[least]
 
 
-def _joined(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int) -> DataFrame:
-    """Nodes with groups joined along all links.
+def _forest(bits: np.ndarray, root: np.ndarray, mask: int, flips: list[int], distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Links ``u > v`` of groups that join what all pairs of these nodes would join that differ by a flip in the partition: fewer than there are groups.
 
-    All pairs of a dense group would grow with the square of its size. So nodes are first linked with a few leaders of each partition
+    All pairs of a dense group would grow with the square of its size. So nodes are first compared with a few leaders of each partition
     value, and groups joined by that, until leaders find so few links that those of all pairs are not expected to outnumber the nodes.
     Then all pairs of nodes that are still in different groups are looked at, so that no link is lost whatever was drawn.
     """
-    total, leaders = nodes.count(), FIRST_DRAWN
-    while True:
-        found = staged(_links(nodes, partitions, distance, leaders), "links")
-        # the pairs if all nodes found what the leaders did; each would be found from both its sides
-        expected = (found.agg(F.sum(F.greatest("size", F.lit(leaders)) / F.lit(leaders))).first()[0] or 0) / 2
-        nodes = staged(_rooted(nodes, components(found.select("u", "v"))), "nodes")
-        if expected <= total:
-            break
-        leaders = min(4 * leaders, MOST_DRAWN)
-    return staged(_rooted(nodes, components(_links(nodes, partitions, distance).select("u", "v"))), "nodes")
+    names, label = np.unique(root, return_inverse=True)
+    least, value = np.arange(len(names)), bits & np.uint64(mask)
+    order = np.lexsort((bits * np.uint64(0x9E3779B97F4A7C15), value))
+    bits, value, label = bits[order], value[order], label[order]
+    most, expected = FIRST_DRAWN, np.inf if len(names) > 1 else 0
+    while expected > len(bits):
+        expected = 0
+        for i, j, size in _near(bits, value, least[label], flips, distance, most):
+            # the pairs if all nodes found what the leaders did; each would be found from both its sides
+            expected += (np.maximum(size, most) / most).sum() / 2
+            least = _hooked(least, label[i], label[j])
+        most = min(4 * most, MOST_DRAWN)
+    if len(names) > 1:
+        for i, j, _ in _near(bits, value, least[label], flips, distance, None):
+            least = _hooked(least, label[i], label[j])
+    joined = np.flatnonzero(least != np.arange(len(least)))
+    return names[joined], names[least[joined]]
+
+
+def _cells(partitions: list[tuple[int, list[int]]]) -> list[tuple[int, int, list[int]]]:
+    """(bits that are equal in a cell, bits of its partition, bits to flip for its probes), all unsigned.
+
+    A partition is cut into one piece more than bits may differ in it, so that two nodes it links are equal in some piece.
+    """
+    out = []
+    for mask, flips in partitions:
+        mask, flips = mask % (1 << BITS), [f % (1 << BITS) for f in flips]
+        places, pieces = [b for b in range(BITS) if mask >> b & 1], 1 + max(f.bit_count() for f in flips)
+        for k in range(pieces):
+            piece = sum(1 << b for b in places[k::pieces])
+            out.append((piece, mask, [f for f in flips if not f & piece]))
+    return out
+
+
+def _links(nodes: DataFrame, partitions: list[tuple[int, list[int]]], distance: int) -> DataFrame:
+    """Links ``u > v`` of groups that join all groups with nodes within the distance; a link may come several times.
+
+    Probes are not shuffled: a node goes once to each of its cells (:func:`_cells`), and is compared with the others there.
+    """
+    cells = _cells(partitions)
+    items = [F.struct(F.lit(k).alias("cell"), F.col("bits").bitwiseAND(F.lit(_signed(piece))).alias("piece")) for k, (piece, _, _) in enumerate(cells)]
+    rows = nodes.select("bits", "root", F.explode(F.array(*items)).alias("at")).select("at.*", F.lit(0).alias("chunks"), "bits", "root")
+    if nodes.count() > CELL_NODES:
+        large = rows.groupBy("cell", "piece").agg(F.count("*").alias("n")).where(F.col("n") > CELL_NODES)
+        large = large.select("cell", "piece", F.ceil(F.col("n") / CELL_NODES).cast("int").alias("n"))
+        own = F.pmod(F.xxhash64("bits"), "n").cast("int")
+        each = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.least(k, own) * F.col("n") + F.greatest(k, own))
+        cut = rows.drop("chunks").join(counted(staged(large, "cells")), ["cell", "piece"], "left")
+        rows = cut.select("cell", "piece", F.explode(F.when(F.col("n").isNull(), F.array(F.lit(0))).otherwise(each)).alias("chunks"), "bits", "root")
+
+    def linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [[batch.column(c).to_numpy() for c in ("cell", "chunks", "bits", "root")] for batch in batches if batch.num_rows]
+        if not parts:
+            return
+        cell, chunks, bits, root = map(np.concatenate, zip(*parts))
+        order = np.lexsort((chunks, cell))
+        ends = np.flatnonzero((np.diff(cell[order]) != 0) | (np.diff(chunks[order]) != 0)) + 1
+        for own in np.split(order, ends):
+            _, mask, flips = cells[cell[own[0]]]
+            u, v = _forest(bits[own].view(np.uint64), root[own], mask, flips, distance)
+            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+
+    tasks = int(nodes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(tasks, "cell", "piece", "chunks").drop("piece").mapInArrow(linked, "u long, v long")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -255,10 +335,10 @@ def components(links: DataFrame) -> DataFrame:
         before = state
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(shuffled(least), "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = staged(large, "links")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(shuffled(least), "u").where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = staged(small.union(least).distinct(), "links")
     roots = edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
@@ -267,28 +347,29 @@ def components(links: DataFrame) -> DataFrame:
 def _rooted(nodes: DataFrame, found: DataFrame) -> DataFrame:
     """Nodes with their root replaced by the root of that root."""
     named = found.select(F.col("node").alias("root"), F.col("root").alias("new"))
-    return nodes.join(named, "root", "left").select("bits", "least", F.coalesce("new", "root").alias("root"))
+    return nodes.join(shuffled(named), "root", "left").select("bits", "least", F.coalesce("new", "root").alias("root"))
 
 
 def groups(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``bits`` and ``component_id`` (smallest id of the group) of each distinct fingerprint of (doc_id, bits).
 
-    Nodes one bit apart are linked first, then nodes and leaders (:func:`_joined`). The probe of all pairs then only
-    returns pairs of different groups, so that a dense cluster of near copies does not return all its pairs.
+    Nodes one bit apart are linked first. The probe then only returns links of different groups, as few as join them
+    (:func:`_forest`), so that a dense cluster of near copies does not return all its pairs.
     """
     nodes = prints.groupBy("bits").agg(F.min("doc_id").alias("least"))
     nodes = staged(nodes.select("bits", "least", F.col("bits").alias("root")), "nodes")
     halves = [(_mask(range(32)), [0]), (_mask(range(32, 64)), [0])]
-    nodes = staged(_rooted(nodes, components(_links(nodes, halves, 1).select("u", "v"))), "nodes")
-    nodes = _joined(nodes, plan(nodes, distance), distance)
+    for distance, partitions in ((1, lambda: halves), (distance, lambda: plan(nodes, distance))):
+        before, nodes = nodes, staged(_rooted(nodes, components(_links(nodes, partitions(), distance))), "nodes")
+        released(before)
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    return nodes.join(least, "root").select("bits", "component_id")
+    return nodes.join(shuffled(least), "root").select("bits", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE) -> DataFrame:
     """``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id`` of every row."""
     prints = staged(fingerprints(docs, id_col, text_col), "prints")
-    found = prints.join(groups(prints, distance), "bits")
+    found = prints.join(shuffled(groups(prints, distance)), "bits")
     digits = F.lower(F.lpad(F.hex("bits"), 16, "0"))
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
@@ -344,17 +425,20 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
     prints = _contents(rows)
     nodes = staged(prints.groupBy("content").agg(F.min("doc_id").alias("least"), F.first("bits").alias("bits")), "contents")
     found = groups(nodes.select(F.col("least").alias("doc_id"), "bits"), distance)
-    grouped = nodes.join(found, "bits").select("content", "least", F.col("component_id").alias("component"))
+    grouped = nodes.join(shuffled(found), "bits").select("content", "least", F.col("component_id").alias("component"))
     several = grouped.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-    members = staged(grouped.join(several, "component"), "members")
-    texts = rows.join(members.select(F.col("least").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    sets = _shingle_sets(texts, size).groupBy("content").agg(F.first("shingles").alias("shingles"))
-    left = staged(members.join(sets, "content"), "open")
+    members = staged(grouped.join(shuffled(several), "component"), "members")
+    # a few texts of others pass the sieve, and find no member below; texts are not shuffled
+    sifted = sieve(members, "least")
+    sets = _shingle_sets(rows.join(sifted, in_sieve(rows["doc_id"], sifted), "left_semi"), size)
+    sets = sets.groupBy("content").agg(F.first("shingles").alias("shingles"))
+    left = staged(members.join(shuffled(sets), "content"), "open")
+    released(members)
     gone = nodes.limit(0).select("content", F.col("least").alias("kept_id"))
     leaders, order = 1, Window.partitionBy("component").orderBy("least", "content")
     while True:
         several = left.groupBy("component").agg(F.count("*").alias("n")).where("n > 1").select("component")
-        first = left.join(several, "component", "left_semi").withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
+        first = left.join(shuffled(several), "component", "left_semi").withColumn("place", F.row_number().over(order)).where(F.col("place") <= leaders)
         first = staged(first.select("component", F.col("least").alias("kept_id"), F.col("content").alias("leading"), F.col("shingles").alias("held")), "leaders")
         if first.isEmpty():
             break
@@ -364,11 +448,12 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         alike = (F.least(own, held) >= similarity * F.greatest(own, held)) & (shared >= similarity * (own + held - shared))
         later = F.struct("least", "content") > F.struct("kept_id", "leading")
         pairs = staged(left.join(first, "component").where(later & alike).select("content", "leading", "kept_id"), "alike")
-        stay = first.select("leading").join(pairs.select(F.col("content").alias("leading")), "leading", "left_anti")
-        go = staged(pairs.join(stay, "leading").groupBy("content").agg(F.min("kept_id").alias("kept_id")), "gone")
+        stay = first.select("leading").join(shuffled(pairs.select(F.col("content").alias("leading"))), "leading", "left_anti")
+        go = staged(pairs.join(shuffled(stay), "leading").groupBy("content").agg(F.min("kept_id").alias("kept_id")), "gone")
         gone = gone.unionByName(go)
         decided = go.select("content").union(stay.select("leading"))
-        left = staged(left.join(decided, "content", "left_anti"), "open")
+        before, left = left, staged(left.join(shuffled(decided), "content", "left_anti"), "open")
+        released(before, first, pairs)
         leaders = min(4 * leaders, MOST_LEADERS)
     return gone, prints, nodes
 
@@ -380,7 +465,21 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", di
     equal. An empty table gives an empty result. Other columns are not looked at, whatever their names.
     """
     gone, prints, nodes = copied(docs, id_col, text_col, distance=distance)
-    smaller = nodes.select("content", "least").join(gone, "content", "left")
-    goes = prints.join(smaller, "content").where(F.col("kept_id").isNotNull() | (F.col("doc_id") != F.col("least")))
+    smaller = nodes.select("content", "least").join(shuffled(gone), "content", "left")
+    goes = prints.join(shuffled(smaller), "content").where(F.col("kept_id").isNotNull() | (F.col("doc_id") != F.col("least")))
     goes = staged(goes.select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(goes, docs[id_col] == goes["gone_id"], "left_anti")
+    released(prints, nodes)
+    return _without(docs, id_col, goes)
+
+
+def _without(docs: DataFrame, id_col: str, goes: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Rows whose id is not a ``gone_id``. Rows are not shuffled unless very many stay whose ids pass the sieve of those that go."""
+    if goes.count() <= most:
+        return docs.join(F.broadcast(goes), docs[id_col] == goes["gone_id"], "left_anti")
+    sifted = sieve(goes, "gone_id")
+    ids = docs.select(F.col(id_col).alias("stays"))
+    stays = ids.join(sifted, in_sieve(ids["stays"], sifted), "left_semi").distinct()
+    stays = counted(staged(stays.join(shuffled(goes), stays["stays"] == goes["gone_id"], "left_anti"), "stays"), most)
+    passed = docs.join(sifted, in_sieve(docs[id_col], sifted), "left_semi")
+    outside = docs.join(sifted, in_sieve(docs[id_col], sifted), "left_anti")
+    return outside.union(passed.join(stays, passed[id_col] == stays["stays"], "left_semi"))

@@ -7,10 +7,11 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from searchtide.session import shared_folder
+from searchtide.sources.folders import remove
 
 #: rows of a narrow table that may be sent to every executor
 BROADCAST_ROWS = 100_000
@@ -42,7 +43,24 @@ def staged(rows: DataFrame, name: str) -> DataFrame:
     """Write rows to the shared folder and read them back: cuts lineage, survives lost executors."""
     spark, path = rows.sparkSession, new_folder(rows.sparkSession, name)
     rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    table = spark.read.schema(rows.schema).parquet(path)
+    table._searchtide_folder = path
+    return table
+
+
+def released(*tables: DataFrame) -> None:
+    """Remove staged tables that no later step reads, and the shuffle files of all steps that have ended.
+
+    Spark keeps shuffle files until the driver's garbage is collected, which may be long after they are needed.
+    """
+    for table in tables:
+        remove(table.sparkSession, table._searchtide_folder)
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
+
+
+def shuffled(table: DataFrame) -> DataFrame:
+    """A table that is joined by shuffle: Spark sizes it by compressed files, and does not count what explode adds."""
+    return table.hint("merge")
 
 
 def counted(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
@@ -50,6 +68,28 @@ def counted(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(table) if table.count() <= most else table
 
 
+#: a sieve is a bitmap of this many slots of so many words of 64 bits, whatever the number of keys
+_SLOTS, _WORDS = 1 << 16, 16
+
+
+def sieve(keys: DataFrame, key: str) -> DataFrame:
+    """The hashes of all keys as a bitmap, marked for broadcast: always 2^26 bits. For :func:`in_sieve`."""
+    hashed = F.xxhash64(key)
+    word = F.shiftright(hashed, 22).bitwiseAND(F.lit(_WORDS - 1))
+    bit = F.expr(f"shiftleft(1L, CAST(shiftright(xxhash64(`{key}`), 16) & 63 AS INT))")
+    words = [F.bit_or(F.when(word == k, bit).otherwise(F.lit(0).cast("long"))) for k in range(_WORDS)]
+    slots = keys.where(F.col(key).isNotNull()).groupBy(hashed.bitwiseAND(F.lit(_SLOTS - 1)).alias("slot")).agg(F.array(*words).alias("words"))
+    return F.broadcast(staged(slots, "sieve"))
+
+
+def in_sieve(key: Column, made: DataFrame) -> Column:
+    """Condition of a join with a sieve: holds for all keys it was made of and a few others, never for null."""
+    hashed = F.xxhash64(key)
+    word = F.get(made["words"], F.shiftright(hashed, 22).bitwiseAND(F.lit(_WORDS - 1)).cast("int"))
+    bit = F.shiftright(hashed, 16).bitwiseAND(F.lit(63)).cast("int")
+    return (hashed.bitwiseAND(F.lit(_SLOTS - 1)) == made["slot"]) & key.isNotNull() & (F.call_function("getbit", word, bit) == 1)
+
+
 def free_name(rows: DataFrame, name: str) -> str:
     """A column name that the rows do not have."""
     while name in rows.columns:

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from searchtide.llm import mixing, neardup, sanitise, substrings, syncmers, warc
+from searchtide.llm import mixing, neardup, sanitise, shared, substrings, syncmers, warc
 from tests.llm.conftest import CLASHING, EDGES, prose
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -104,6 +104,48 @@ def test_links_found_grow_with_the_nodes(ready, monkeypatch):
     assert sum(listed) < 40 * len(rows)
 
 
+@pytest.mark.parametrize("most", [1 << 19, 20])
+def test_cells_cut_into_chunks_lose_no_link(ready, monkeypatch, most):
+    monkeypatch.setattr(neardup, "CELL_NODES", most, raising=False)
+    rng = np.random.default_rng(11)
+    near = sorted({int(c) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 9), replace=False)) for c in rng.integers(0, 1 << 63, 3) for _ in range(70)})
+    nodes = ready.createDataFrame([(neardup._signed(p), i, neardup._signed(p)) for i, p in enumerate(near)], "bits long, least long, root long")
+    partitions = [(neardup._mask(range(k, 64, 3)), [0, *(neardup._mask([b]) for b in range(k, 64, 3)), *(neardup._mask(c) for c in combinations(range(k, 64, 3), 2))]) for k in range(3)]
+    links = neardup._links(nodes, partitions, 7)
+    # probes are compared where they are: a node moves once for each piece of a partition, and only the table of large cells is joined
+    assert links._jdf.queryExecution().executedPlan().toString().count("Join ") == (most < len(near))
+    root = {b: b for b in map(neardup._signed, near)}
+    for u, v in links.select("u", "v").collect():
+        assert u > v
+        root = {k: root[v] if g == root[u] else g for k, g in root.items()} if root[u] != root[v] else root
+    group = plain_groups(near, 7)
+    assert {frozenset(k for k in root if root[k] == g) for g in root.values()} == {frozenset(neardup._signed(p) for p in near if group[p] == g) for g in group.values()}
+    assert len({*group.values()}) > 3
+
+
+def test_tables_of_a_round_are_removed(ready):
+    """The rounds of near copies write texts' shingles anew; only what the result reads is left in the shared folder."""
+    import os
+
+    top = shared.new_folder(ready, "x").removeprefix("file:").rsplit("/", 1)[0]
+    there = lambda: {f for f in (os.listdir(top) if os.path.isdir(top) else []) if f.split("-")[0] in ("open", "alike", "members", "nodes", "leaders")}
+    before, rows = there(), near_copies(2)
+    kept = neardup.keep_one(ready.createDataFrame(rows, "doc_id long, text string"), distance=24)
+    # the last state of the nodes and of what is open, and the leaders of the round that found none
+    assert len(there() - before) <= 3
+    check_kept(rows, rows_of(kept), 24)
+
+
+@pytest.mark.parametrize("most", [100_000, 100, 0])
+def test_rows_without_some_ids(ready, most):
+    rows = [(k if k % 50 else None, str(k), k) for k in range(600)] + [(7, "again", 0), (9, "again", 0)]
+    docs = ready.createDataFrame(rows, "doc_id long, text string, slot long")
+    goes = shared.staged(ready.range(0, 600, 3).select(F.col("id").alias("gone_id")), "gone")
+    kept = neardup._without(docs, "doc_id", goes, most)
+    assert kept.columns == docs.columns
+    assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[0] is None or r[0] % 3)
+
+
 def test_thresholds_cover_the_distance():
     cost, chosen = neardup.allocated(1000, [22, 21, 21], [[10.0, 50.0, 100.0], [9e9, 9e9, 9e9], [10.0, 50.0, 100.0]])
     assert sum(t + 1 for t in chosen) == 5 and chosen[1] == -1 and cost < 1e9
