@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from searchtide.llm.shared import counted, free_name, staged
+from searchtide.llm.shared import counted, free_name, shuffled, staged
 
 # Kinds and their patterns. Possessive quantifiers and the conditions on what stands before
 # only keep the search linear; they find the same matches.
@@ -168,7 +168,7 @@ def disclosures(docs: DataFrame, found: DataFrame, text_col: str = "text", thres
     bits = [F.expr(f"bit_or(shiftleft(1L, CAST(context {part} {_CLASSES} AS INT)))") for part in ("%", "div")]
     pairs = near.select(F.explode("keys").alias("key"), "term", "context").groupBy("key", "term").agg(
         F.count("*").alias("n_et"), F.greatest(*map(F.bit_count, bits)).alias("contexts"))
-    pairs = pairs.join(counted(n_e), "key").join(n_t, "term")
+    pairs = pairs.join(counted(n_e), "key").join(shuffled(n_t), "term")
     pmi = F.log2(F.col("n_et") * n / (F.col("n_e") * F.col("n_t")))
     # what all documents have says nothing
     score = F.when(F.col("n_e") < n, pmi / -F.log2(F.col("n_e") / n)).otherwise(F.lit(0.0))
@@ -226,10 +226,10 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thres
     Texts are read again only to place terms; they are not shuffled unless very many documents have such terms.
     """
     found, terms = _with_terms(docs, id_col, text_col, threshold, least_contexts)
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(counted(terms), "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(counted(terms, items="terms"), "doc_id")
     added = texts.select("doc_id", _bare(_term_spans(F.col("text"), F.col("terms"))).alias("added")).groupBy("doc_id", F.xxhash64("added")).agg(F.first("added").alias("added"))
     added = staged(added.groupBy("doc_id").agg(F.array_distinct(F.flatten(F.collect_list("added"))).alias("added")), "added")
-    whole = found.join(counted(added), "doc_id", "left")
+    whole = found.join(counted(added, items="added"), "doc_id", "left")
     base = _bare(F.col("found"))
     every = F.array_sort(F.concat(base, F.coalesce("added", F.array().cast(_SPAN))))
     return whole.select("doc_id", base.alias("base"), every.alias("all_spans"))
@@ -242,7 +242,7 @@ def sanitised(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     _, terms = _with_terms(docs, id_col, text_col, threshold, least_contexts)
     keyed = terms.select(F.col("doc_id").alias("_key"), F.col("terms").alias("_terms"))
     row = free_name(docs, "row")
-    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row)).join(counted(keyed), F.col(f"{row}.`{id_col}`") == F.col("_key"), "left")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias(row)).join(counted(keyed, items="_terms"), F.col(f"{row}.`{id_col}`") == F.col("_key"), "left")
     text = F.col(f"{row}.`{text_col}`")
     complete = F.transform(F.filter("_terms", lambda t: t["disclosure"] >= COMPLETE), lambda t: t["term"])
     marked = F.concat(

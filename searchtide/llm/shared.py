@@ -63,9 +63,14 @@ def shuffled(table: DataFrame) -> DataFrame:
     return table.hint("merge")
 
 
-def counted(table: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """A staged narrow table, marked for broadcast if it is counted to have at most ``most`` rows."""
-    return F.broadcast(table) if table.count() <= most else table
+def counted(table: DataFrame, most: int = BROADCAST_ROWS, items: str | None = None) -> DataFrame:
+    """A staged narrow table, marked for broadcast if it is counted to have at most ``most`` rows, else for a shuffle.
+
+    ``items`` names an array, which may have ten elements a row: at most ten times ``most`` elements in all rows.
+    """
+    size = F.size(items) if items else F.lit(0)
+    n = table.agg(F.count("*").alias("rows"), F.sum(F.greatest(size, F.lit(0)).cast("long")).alias("items")).first()
+    return F.broadcast(table) if n["rows"] <= most and (n["items"] or 0) <= 10 * most else shuffled(table)
 
 
 #: a sieve is a bitmap of this many slots of so many words of 64 bits, whatever the number of keys

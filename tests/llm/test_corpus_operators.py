@@ -146,6 +146,22 @@ def test_rows_without_some_ids(ready, most):
     assert Counter(map(tuple, kept.collect())) == Counter(r for r in rows if r[0] is None or r[0] % 3)
 
 
+def test_small_files_do_not_make_a_broadcast(ready):
+    """What has more rows than may be broadcast is joined by shuffle, however few bytes its files have; so are tables nobody has counted."""
+    table = shared.staged(ready.range(50).select(F.col("id").alias("key")), "keys")
+    other = ready.range(1000).select(F.col("id").alias("key"))
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan(other.join(shared.counted(table, 50), "key"))
+    assert "BroadcastHashJoin" not in plan(other.join(shared.counted(table, 49), "key"))
+    wide = shared.staged(table.withColumn("terms", F.array_repeat(F.lit("term"), 10)), "keys")
+    assert "BroadcastHashJoin" in plan(other.join(shared.counted(wide, 50, "terms"), "key"))
+    wide = shared.staged(table.withColumn("terms", F.array_repeat(F.lit("term"), 11)), "keys")
+    assert "BroadcastHashJoin" not in plan(other.join(shared.counted(wide, 50, "terms"), "key"))
+    nodes = shared.staged(ready.range(100).select(F.col("id").alias("bits"), F.col("id").alias("least"), F.col("id").alias("root")), "nodes")
+    found = neardup.components(ready.createDataFrame([(2, 1), (5, 1)], "u long, v long"))
+    assert "BroadcastHashJoin" not in plan(neardup._rooted(nodes, found))
+
+
 def test_thresholds_cover_the_distance():
     cost, chosen = neardup.allocated(1000, [22, 21, 21], [[10.0, 50.0, 100.0], [9e9, 9e9, 9e9], [10.0, 50.0, 100.0]])
     assert sum(t + 1 for t in chosen) == 5 and chosen[1] == -1 and cost < 1e9
