@@ -447,7 +447,7 @@ def copied(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size
         # the first condition follows from the second and needs no intersection
         alike = (F.least(own, held) >= similarity * F.greatest(own, held)) & (shared >= similarity * (own + held - shared))
         later = F.struct("least", "content") > F.struct("kept_id", "leading")
-        pairs = staged(left.join(first, "component").where(later & alike).select("content", "leading", "kept_id"), "alike")
+        pairs = staged(left.join(counted(first, items="held"), "component").where(later & alike).select("content", "leading", "kept_id"), "alike")
         stay = first.select("leading").join(shuffled(pairs.select(F.col("content").alias("leading"))), "leading", "left_anti")
         go = staged(pairs.join(shuffled(stay), "leading").groupBy("content").agg(F.min("kept_id").alias("kept_id")), "gone")
         gone = gone.unionByName(go)
